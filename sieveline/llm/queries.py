@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, packing, rollups, sharding
+from sieveline.llm import bpe, html_text, packing, quality, rollups, sharding, topk
 from sieveline.llm.common import shared_dir, table
 
 #: Vocabularies: (file, split pattern of rank files).
@@ -37,6 +37,21 @@ def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op4_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every 50th vector among all others."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+def op8_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and robust outliers for all documents."""
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text to ids and back."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), *MULTI_50K)
@@ -48,7 +63,7 @@ def op10_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_feistel_sharding, op2_bfd_matrix, op3_token_rollup, op9_byte_bpe, op10_bin_slack_packing)
+    f.__name__: f for f in (op1_feistel_sharding, op2_bfd_matrix, op3_token_rollup, op4_text_density, op5_ball_tree, op8_quality_mcd, op9_byte_bpe, op10_bin_slack_packing)
 }
 #: None of these can be told in SQL that DuckDB runs (keyed permutations, vocabularies, packing); tests hold them against brute force.
 ORACLES: dict[str, str] = {}

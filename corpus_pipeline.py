@@ -4,19 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.llm import packing
+from sieveline.llm import near_dedup, packing, quality, suffix_dedup
 from sieveline.llm.common import Scratch, table
 from sieveline.llm.queries import GPT_50K
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the robust outlier rule let pass."""
+    return quality.filtered(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose sets of 5-word shingles are similar by 0.8 or more."""
+    return near_dedup.filtered(docs, n_words=5, threshold=0.8)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 50 words and more that an earlier document holds."""
+    return suffix_dedup.deduplicated(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 ids from all documents that are left."""
     return packing.pack_pieces(docs, *GPT_50K)
 
 
-STAGES = [("packing", pack)]
+STAGES = [("quality", quality_rules), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages), ("packing", pack)]
 
-#: Packing and similarity can't be told in SQL; the stages are tested against brute force.
+#: Outlier estimates, similarity and packing can't be told in SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, html_text, near_dedup, packing, quality, rollups, sharding, topk
+from sieveline.llm import bpe, html_text, near_dedup, packing, quality, rollups, sharding, suffix_dedup, topk
 from sieveline.llm.common import shared_dir, table
 
 #: Vocabularies: (file, split pattern of rank files).
@@ -47,6 +47,11 @@ def op5_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op6_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that documents share."""
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 2-word shingles are similar by 0.8 or more."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), n_words=2, threshold=0.8)
@@ -68,7 +73,7 @@ def op10_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_feistel_sharding, op2_bfd_matrix, op3_token_rollup, op4_text_density, op5_ball_tree, op7_lsh_forest, op8_quality_mcd, op9_byte_bpe, op10_bin_slack_packing)
+    f.__name__: f for f in (op1_feistel_sharding, op2_bfd_matrix, op3_token_rollup, op4_text_density, op5_ball_tree, op6_sparse_suffixes, op7_lsh_forest, op8_quality_mcd, op9_byte_bpe, op10_bin_slack_packing)
 }
 #: None of these can be told in SQL that DuckDB runs (keyed permutations, vocabularies, packing); tests hold them against brute force.
 ORACLES: dict[str, str] = {}

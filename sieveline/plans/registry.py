@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from sieveline.plans import differences, flows, measure
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+for _part in (measure, differences, flows):
+    QUERIES |= _part.QUERIES
+    ORACLES |= _part.ORACLES

@@ -4,7 +4,8 @@ Rows are dealt to shards, each small enough for a task, and each shard's tree is
 ball (centre, radius) over its rows; no row in it scores more than q.centre + |q| * radius. Nodes are taken in order
 of that bound, and a node whose bound is below a query's k-th score so far is passed over for this query. A first
 round searches each query's own shard; the k-th score found there is shared with every other shard, whose search
-starts from it. Queries travel in blocks of bounded size, and a shard returns k rows per query at most.
+starts from it. Queries travel in blocks of bounded size, so that a task holds one shard's tree and one block, and a
+shard returns k rows per query at most.
 
 Scores are integers, computed exactly in 64-bit floats: components are quantised to floor(scale * x) first.
 """
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 from sieveline.llm.common import Scratch
 
 LEAF = 128
-#: Rows of a shard, and queries of a block.
-SHARD_ROWS, BLOCK = 16_384, 512
+#: Rows of a shard, queries of a block, and queries that go down a tree together.
+SHARD_ROWS, BLOCK, TOGETHER = 16_384, 16_384, 512
 
 
 class BallTree:
@@ -145,7 +146,7 @@ def search(df: DataFrame, is_query, *, k: int = 5, scale: int = 256, id_col: str
     whole = x.isNotNull() & (F.size(x) > 0) & ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf"))))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = rows.where(F.col("id").isNotNull()).where(F.coalesce(whole, F.lit(False))).withColumn("v", quantised)
-    total, width = rows.agg(F.count(F.lit(1)), F.mode(F.size("v"))).first()
+    total, width = rows.agg(F.count(F.lit(1)), F.mode(F.size("v"), True)).first()
     if not total:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     shards = -(-total // SHARD_ROWS)
@@ -167,20 +168,24 @@ def search(df: DataFrame, is_query, *, k: int = 5, scale: int = 256, id_col: str
             return pd.DataFrame({c: np.empty(0, np.int64) for c in ("query_id", "vec_id", "score")})
         tree = pickle.loads(held["tree"].iloc[0])  # noqa: S301  written by build() above
         out = []
-        for _, part in asked.groupby("block"):
+        for at in range(0, len(asked), TOGETHER):
+            part = asked.iloc[at : at + TOGETHER]
             q, ids = np.vstack(part["v"].to_numpy()).astype(float), part["id"].to_numpy(np.int64)
             out.append(_hits(ids, *tree.search(q, ids, part["floor"].to_numpy(float), k)))
         return pd.concat(out, ignore_index=True)
 
-    def round_of(asked: DataFrame) -> DataFrame:
-        return asked.groupBy("shard").cogroup(trees.groupBy("shard")).applyInPandas(look, _HITS)
+    def round_of(asked: DataFrame, held: DataFrame) -> DataFrame:
+        by = ["shard", "block"]
+        return asked.select("id", "v", "floor", *by).groupBy(*by).cogroup(held.groupBy(*by)).applyInPandas(look, _HITS)
 
-    first = scratch.table(round_of(queries.select("id", "v", "block", F.col("home").alias("shard"), F.lit(float("-inf")).alias("floor"))), "first")
+    # a query's own shard holds about as many queries as a shard has of all rows
+    own = queries.select("id", "v", F.col("home").alias("shard"), F.lit(0).alias("block"), F.lit(float("-inf")).alias("floor"))
+    first = scratch.table(round_of(own, trees.withColumn("block", F.lit(0))), "first")
     if shards > 1:
         kth = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("least"))
         floors = queries.join(kth, queries["id"] == kth["query_id"], "left").withColumn("floor", F.when(F.col("n") >= k, F.col("least")).otherwise(F.lit(float("-inf"))))
         others = floors.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home")
-        hits = first.unionByName(scratch.table(round_of(others.select("id", "v", "block", "shard", "floor")), "rest"))
+        hits = first.unionByName(scratch.table(round_of(others, trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))), "rest"))
     else:
         hits = first
     best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)  # k rows per query and shard at most

@@ -66,8 +66,8 @@ def permuted(df: DataFrame, number: str, n: int, seed: int, out: str) -> DataFra
     return df.withColumn(out, safe)
 
 
-def numbered(df: DataFrame, order: list[str], scratch: Scratch, out: str = "row_number") -> tuple[DataFrame, int]:
-    """``df`` with global row numbers 0..N-1 in the order of ``order``, and N.
+def numbered(df: DataFrame, order: list[str], scratch: Scratch) -> tuple[DataFrame, int]:
+    """(row, row_number): the rows as structs with global numbers 0..N-1 in the order of their columns ``order``, and N.
 
     One range shuffle sorts the rows; each row's partition and place in it are written with the row, so a recomputed
     task can't renumber it. Partitions' offsets come from a count of a row per partition. Rows that are equal in
@@ -75,16 +75,17 @@ def numbered(df: DataFrame, order: list[str], scratch: Scratch, out: str = "row_
     """
     spark = df.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    keys = [F.col(c) for c in order] + [F.col("__read")]
-    laid = df.withColumn("__read", F.monotonically_increasing_id()).repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("__read")
-    laid = scratch.table(laid.withColumn("__place", F.monotonically_increasing_id()), "numbered")
-    part, index = F.shiftright("__place", 33), F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = laid.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # over a row for each partition
-    starts = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")).withColumn("read", F.monotonically_increasing_id())
+    keys = [F.col(f"row.`{c}`") for c in order] + [F.col("read")]
+    laid = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("read")
+    laid = scratch.table(laid.withColumn("place", F.monotonically_increasing_id()), "numbered")
+    part, index = F.shiftright("place", 33), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = laid.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over a row for each partition
+    starts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     total = laid.count()
-    rows = laid.withColumn("__part", part).join(F.broadcast(starts), "__part")
-    return rows.withColumn(out, F.col("__start") + index).drop("__place", "__part", "__start"), total
+    numbers = laid.withColumn("part", part).join(F.broadcast(starts), "part")
+    return numbers.select("row", (F.col("start") + index).alias("row_number")), total
 
 
 def shard(df: DataFrame, shards: int = 16, *, order: list[str] | None = None, seed: int = 20240229) -> DataFrame:
@@ -94,7 +95,7 @@ def shard(df: DataFrame, shards: int = 16, *, order: list[str] | None = None, se
     columns of ``df`` stay; those named row_number, shard or slot are replaced. An empty table stays empty.
     """
     scratch = Scratch(df.sparkSession, "sharding")
-    keep = [c for c in df.columns if c not in ("row_number", "shard", "slot")]
-    rows, n = numbered(df.select(*[F.col(f"`{c}`") for c in keep]), order or ["doc_id"], scratch)
-    rows = permuted(rows, "row_number", max(n, 1), seed, "__image")
-    return rows.withColumns({"shard": F.pmod(F.col("__image"), F.lit(shards)).cast("int"), "slot": F.expr(f"__image div {int(shards)}L")}).drop("__image")
+    rows, n = numbered(df, order or ["doc_id"], scratch)
+    rows = permuted(rows, "row_number", max(n, 1), seed, "image")
+    keep = [F.col(f"row.`{c}`").alias(c) for c in df.columns if c.lower() not in ("row_number", "shard", "slot")]
+    return rows.select(*keep, "row_number", F.pmod(F.col("image"), F.lit(shards)).cast("int").alias("shard"), F.expr(f"image div {int(shards)}L").alias("slot"))

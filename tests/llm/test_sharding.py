@@ -62,11 +62,11 @@ def check(rows, shards):
 
 def test_nulls_ties_repeats_and_clashing_names(spark):
     rows = [(None, None, 1, 1)] * 5 + [(3, "a", 2, 2)] * 40 + [(i % 7, "b", i, 9) for i in range(60)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, shard int, part_key int").repartition(5)
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard int, part int").repartition(5)
     out = sharding.shard(df, 8)
-    assert set(out.columns) == {"doc_id", "text", "part_key", "row_number", "shard", "slot"}
+    assert set(out.columns) == {"doc_id", "text", "part", "row_number", "shard", "slot"}
     got = out.collect()
-    assert Counter((r["doc_id"], r["text"], r["part_key"]) for r in got) == Counter((r[0], r[1], r[3]) for r in rows)
+    assert Counter((r["doc_id"], r["text"], r["part"]) for r in got) == Counter((r[0], r[1], r[3]) for r in rows)
     check(got, 8)
     assert sorted(r["row_number"] for r in got) == list(range(105))
     assert [r["doc_id"] for r in sorted(got, key=lambda r: r["row_number"])][:5] == [None] * 5

@@ -99,8 +99,11 @@ def _suffixes(df: DataFrame, sparse: Sparse) -> DataFrame:
 
 
 def _contexts(df: DataFrame, sparse: Sparse) -> DataFrame:
-    """From (id, text, pos[], h[], parts[], first[]) the suffixes with their following and preceding words."""
-    names = ["h", "part", "later", "following", "preceding", "id", "pos"]
+    """From (id, text, pos[], h[], parts[], first[]) the suffixes with their following and preceding words.
+
+    Suffixes of a document that agree in all of these are one row, whose further positions are ``also``.
+    """
+    names = ["h", "part", "later", "following", "preceding", "id", "pos", "also"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,17 +113,25 @@ def _contexts(df: DataFrame, sparse: Sparse) -> DataFrame:
                 keys = windows_hash(h, sparse.key).view(np.int64)
                 small = (h >> np.uint64(32)).astype(">u4")
                 ahead, behind = small.tobytes(), small[::-1].tobytes()
-                for p, k, n, f in zip(pos, key, parts, first, strict=True):
+                same: dict[tuple, list] = {}
+                for p, k, n, f in sorted(zip(pos, key, parts, first, strict=True)):
                     if p >= len(keys) or keys[p] != k:
                         continue  # of another row with the same id
                     right = ahead[4 * (p + sparse.key) : 4 * (p + sparse.key + sparse.context)]
                     left = behind[4 * (len(h) - p) : 4 * (len(h) - p + sparse.context)]
+                    if (found := same.get((k, right, left))) is not None:
+                        if found[2][-1:] != [p] and found[1] != p:
+                            found[2].append(p)
+                    else:
+                        same[k, right, left] = [(n, f), p, []]
+                for (k, right, left), ((n, f), p, also) in same.items():
+                    tail = (right, left, doc, p, also or None)
                     if n == 1:
-                        rows.append((k, 0, not f, right, left, doc, p))
+                        rows.append((k, 0, not f, *tail))
                     elif f:  # the first occurrence is compared with every part of its group
-                        rows += [(k, part, False, right, left, doc, p) for part in range(n)]
+                        rows += [(k, part, False, *tail) for part in range(n)]
                     else:
-                        rows.append((k, int.from_bytes(right[:16], "big") % n, True, right, left, doc, p))
+                        rows.append((k, int.from_bytes(right[:16], "big") % n, True, *tail))
                 if len(rows) >= 20_000:
                     yield _batch(rows)
                     rows = []
@@ -128,10 +139,10 @@ def _contexts(df: DataFrame, sparse: Sparse) -> DataFrame:
                 yield _batch(rows)
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        types = [pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.int64(), pa.int32()]
+        types = [pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    return df.mapInArrow(run, "h long, part int, later boolean, following binary, preceding binary, id long, pos int")
+    return df.mapInArrow(run, "h long, part int, later boolean, following binary, preceding binary, id long, pos int, also array<int>")
 
 
 def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,18 +168,22 @@ def _matches(ordered: DataFrame, sparse: Sparse, across: bool) -> DataFrame:
         for batch in batches:
             following, n_following = _matrix(batch.column("following"), sparse.context)
             preceding, n_preceding = _matrix(batch.column("preceding"), sparse.context)
-            cols = [batch.column("h").to_numpy(), batch.column("part").to_numpy(), batch.column("id").to_numpy(), batch.column("pos").to_numpy().astype(np.int64), following, n_following, preceding, n_preceding]
+            cols = [batch.column("h").to_numpy(), batch.column("part").to_numpy(), batch.column("id").to_numpy(), batch.column("pos").to_numpy().astype(np.int64), following, n_following, preceding, n_preceding, np.array([*batch.column("also").to_pylist(), None], dtype=object)[:-1]]
             old = 0 if held is None else len(held[0])
             if held is not None:
                 cols = [np.concatenate([a, b]) for a, b in zip(held, cols, strict=True)]
-            h, part, ids, pos, following, n_following, preceding, n_preceding = cols
+            h, part, ids, pos, following, n_following, preceding, n_preceding, also = cols
             size = len(h)
             begins = np.ones(size, bool)
             begins[1:] = (h[1:] != h[:-1]) | (part[1:] != part[:-1])
             group = np.cumsum(begins)
             first = np.maximum.accumulate(np.where(begins, np.arange(size), 0))
             new = np.arange(old, size)
-            sides = [(new, first[new])] + [(new[new >= k], new[new >= k] - k) for k in range(1, sparse.near + 1)]
+            # each with the first of its group, with those before it, and with the last one of another document
+            run = np.ones(size, bool)
+            run[1:] = begins[1:] | (ids[1:] != ids[:-1])
+            other_doc = np.maximum.accumulate(np.where(run, np.arange(size), 0)) - 1
+            sides = [(new, first[new]), (new[other_doc[new] >= 0], other_doc[new][other_doc[new] >= 0])] + [(new[new >= k], new[new >= k] - k) for k in range(1, sparse.near + 1)]
             x, y = (np.concatenate([s[i] for s in sides]) for i in (0, 1))
             fit = (x != y) & (group[x] == group[y])
             if across:
@@ -177,21 +192,32 @@ def _matches(ordered: DataFrame, sparse: Sparse, across: bool) -> DataFrame:
             right, left = sparse.key + _common(following, n_following, x, y), _common(preceding, n_preceding, x, y)
             fit = right + left >= sparse.min_words
             x, y, right, left = x[fit], y[fit], right[fit], left[fit]
-            if len(x):
+            within = np.empty(0, np.int64) if across else np.array([i for i in range(old, size) if also[i] is not None and sparse.key + n_following[i] + n_preceding[i] >= sparse.min_words], np.int64)
+            if len(x) or len(within):
                 later = (ids[x] > ids[y]) | ((ids[x] == ids[y]) & (pos[x] > pos[y]))
                 one, other = np.concatenate([x, y]), np.concatenate([y, x])
                 right, left, cut = np.tile(right, 2), np.tile(left, 2), np.concatenate([later, ~later])
-                best = {name: np.full(size, fill) for name, fill in (("l", -1), ("r", -1), ("cl", -1), ("cr", -1))}
+                best = {name: np.full(size, -1) for name in ("l", "r", "cl", "cr")}
                 np.maximum.at(best["l"], one, left)
                 np.maximum.at(best["r"], one, right)
                 np.maximum.at(best["cl"], one[cut], left[cut])
                 np.maximum.at(best["cr"], one[cut], right[cut])
                 partner = np.full(size, np.iinfo(np.int64).max)
                 np.minimum.at(partner, one, ids[other])
+                best["l"][within], best["r"][within] = n_preceding[within], sparse.key + n_following[within]
+                partner[within] = np.minimum(partner[within], ids[within])
                 at = np.flatnonzero(best["r"] >= 0)
-                has = best["cr"][at] >= 0
-                out = [pos[at] - best["l"][at], pos[at] + best["r"][at], np.where(has, pos[at] - best["cl"][at], none), np.where(has, pos[at] + best["cr"][at], none)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), *[pa.array(v.astype(np.int32)) for v in out], pa.array(partner[at])], ["id", "start", "stop", "cut_start", "cut_stop", "other"])
+                more = [(i, p) for i in at.tolist() if also[i] is not None for p in also[i]]
+                rows = np.concatenate([at, np.array([i for i, _ in more], np.int64)])
+                place = np.concatenate([pos[at], np.array([p for _, p in more], np.int64)])
+                cl, cr = best["cl"][rows], best["cr"][rows]
+                if not across:  # what a row's further positions hold, its first one holds before them
+                    copy = np.arange(len(rows)) >= len(at)
+                    full = copy & np.isin(rows, within)
+                    cl, cr = np.where(full, n_preceding[rows], cl), np.where(full, sparse.key + n_following[rows], cr)
+                has = cr >= 0
+                out = [place - best["l"][rows], place + best["r"][rows], np.where(has, place - cl, none), np.where(has, place + cr, none)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), *[pa.array(v.astype(np.int32)) for v in out], pa.array(partner[rows])], ["id", "start", "stop", "cut_start", "cut_stop", "other"])
             # the last group's first row and its last rows may match what comes next
             last = first[size - 1]
             again = np.unique(np.concatenate([[last], np.arange(max(last, size - sparse.near), size)]))
@@ -217,10 +243,11 @@ def matches(df: DataFrame, sparse: Sparse, scratch: Scratch, *, id_col: str, tex
     slim = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     suffixes = scratch.table(_suffixes(slim, sparse), "suffixes")
     keys = suffixes.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "pos")).alias("m")).where("n > 1")
+    keys = scratch.table(keys, "keys")  # written, so that the join's partitions of a hot key can be split
     part = F.ceil(F.col("n") / sparse.group).cast("int")
     shared = suffixes.join(keys, "h").select("id", "pos", "h", part.alias("parts"), (F.struct("id", "pos") == F.col("m")).alias("first"))
     shared = scratch.table(shared, "shared")
-    scratch.drop("suffixes")
+    scratch.drop("suffixes", "keys")
     of_doc = shared.groupBy("id").agg(F.collect_list(F.struct("pos", "h", "parts", "first")).alias("at"))
     ids = scratch.table(shared.select("id").distinct(), "ids")
     picked = slim.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= BROADCAST_IDS else slim
@@ -306,5 +333,5 @@ def deduplicated(df: DataFrame, sparse: Sparse = Sparse(), *, id_col: str = "doc
     if "n_chars" in names:
         df = df.withColumn("n_chars", F.col("n_chars").cast("long"))
         schema = df.schema
-    joined = df.join(cuts, df[id_col] == cuts["__id"], "left").select(*[df[c] for c in names], "__cuts")
+    joined = df.join(cuts, df[f"`{id_col}`"] == cuts["__id"], "left").select(*[df[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(names)], cuts["__cuts"])
     return joined.mapInArrow(run, schema)

@@ -52,7 +52,7 @@ def test_near_duplicates_equal_brute_force(spark, data, n):
 
 def test_near_duplicates_odd_rows(spark):
     rows = [(i, t, i) for i, t in enumerate(ODD)] + [(None, "same text here", 1), (8, "same text here", 1)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, component_id long")
+    df = spark.createDataFrame(rows, "doc_id long, text string, __kept long")
     got = near_dedup.near_duplicates(df, n_words=2).collect()
     assert len(got) == len(rows)
     of = {r["doc_id"]: r for r in got if r["doc_id"] is not None}
@@ -161,8 +161,8 @@ def test_planted_passages(spark, group):
 def test_deduplicated_keeps_each_passage_once(spark):
     rows = planted(5) + [(100, None), (101, ""), (102, "short text"), (None, "no id " * 60)]
     df = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, n_chars long, __cuts string")
-    out = suffix_dedup.deduplicated(df.drop("__cuts"))
-    assert out.columns == ["doc_id", "text", "n_chars"]
+    out = suffix_dedup.deduplicated(df)
+    assert out.columns == ["doc_id", "text", "n_chars", "__cuts"]
     left = out.collect()
     assert covered([(r["doc_id"], r["text"]) for r in left if r["doc_id"] is not None]) == {}
     before = {w for _, t in rows for w in (t or "").split()}
@@ -181,6 +181,15 @@ def test_suffix_edge_cases(spark):
     assert suffix_dedup.repeated_passages(df.limit(0)).collect() == []
 
 
+def test_repeats_within_a_document(spark):
+    block = " ".join(f"z{i}" for i in range(80))
+    df = spark.createDataFrame([(1, f"{block} middle {block} end {block}"), (2, "same " * 200)], "doc_id long, text string")
+    assert spans(suffix_dedup.repeated_passages(df, across=True).collect()) == {}
+    assert spans(suffix_dedup.repeated_passages(df, across=False).collect())[1] == set(range(242)) - {80, 161}
+    out = {r["doc_id"]: r["text"].split() for r in suffix_dedup.deduplicated(df, across=False).collect()}
+    assert out[1] == [*block.split(), "middle", "end"] and 0 < len(out[2]) < 200
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 5), min_size=1, max_size=120), st.integers(1, 40))
 def test_window_hashes_and_minimisers(values, n):

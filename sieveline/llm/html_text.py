@@ -50,6 +50,8 @@ DROP_NAMES = frozenset(
     "sidebar aside widget footer masthead header cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription "
     "share sharing social related recommended recommendations comment comments respond replies disqus pagination pager skip login signup toolbar copyright disclaimer".split()
 )
+#: Beginnings and endings of such words.
+_STEMS = ("advert", "cookie", "comment", "sidebar", "newsletter", "sponsor", "breadcrumb"), ("nav", "menu", "sidebar", "banner", "footer")
 _NAME = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 _TAG = re.compile(r"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|/([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|/[^a-zA-Z][^>]*(?:>|\Z))", re.DOTALL)
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
@@ -61,25 +63,34 @@ class Node:
 
     __slots__ = ("tag", "parent", "items", "drop", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False) -> None:
+    def __init__(self, tag: str, parent: Node | None, drop: int = 0) -> None:
         self.tag, self.parent, self.drop = tag, parent, drop
         self.items: list[Node | str] = []
 
 
-def _dropped(tag: str, attributes: str, inside_article: bool) -> bool:
+def _furniture(word: str) -> bool:
+    word = word.lower()
+    return word in DROP_NAMES or word.startswith(_STEMS[0]) or word.endswith(_STEMS[1])
+
+
+#: Why an element is dropped: by what it is, or by how it is named, which its content can outweigh.
+BY_KIND, BY_NAME = 1, 2
+
+
+def _dropped(tag: str, attributes: str, inside_article: bool) -> int:
     if tag in DROP or (tag == "header" and not inside_article):
-        return True
+        return BY_KIND
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return 0
     for m in _ATTR.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return BY_KIND
         if name == "role" and value.lower() in DROP_ROLES:
-            return True
-        if name in ("class", "id") and any(w.lower() in DROP_NAMES for w in _NAME.findall(value)):
-            return True
-    return False
+            return BY_KIND
+        if name in ("class", "id") and any(map(_furniture, _NAME.findall(value))):
+            return BY_NAME
+    return 0
 
 
 def parse(page: str) -> Node:
@@ -130,6 +141,11 @@ def parse(page: str) -> Node:
                     here = target.parent
             node = Node(tag, here, _dropped(tag, attributes, articles > 0))
             here.items.append(node)
+            if tag in ("article", "main"):  # what holds the article is no furniture, whatever its name
+                above = here
+                while above is not None:
+                    above.drop = 0 if above.drop == BY_NAME else above.drop
+                    above = above.parent
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
                 at = end.end() if end else len(page)
@@ -216,18 +232,17 @@ def _blocks(node: Node, out: list[list[str]]) -> None:
             stack += inner
 
 
-def main_text(page: str) -> str:
-    """The article: blocks in page order, joined by a newline, with references decoded and white space made single."""
-    if not page:
-        return ""
-    root = parse(page)
-    body, stack = None, [root]
-    while stack and body is None:
-        node = stack.pop()
-        kids = [x for x in node.items if not isinstance(x, str)]
-        body = next((x for x in kids if x.tag == "body"), None)
-        stack += [x for x in kids if x.tag in ("html", "#root")]
-    body = body or root
+def _body(root: Node) -> Node:
+    stack = [root]
+    while stack:
+        kids = [x for x in stack.pop().items if not isinstance(x, str)]
+        if body := next((x for x in kids if x.tag == "body"), None):
+            return body
+        stack += [x for x in kids if x.tag == "html"]
+    return root
+
+
+def _joined(body: Node) -> str:
     core, also = _core(body)
     out: list[list[str]] = [[]]
     if also:
@@ -250,6 +265,26 @@ def main_text(page: str) -> str:
     return "\n".join(x for x in found if x)
 
 
+def main_text(page: str) -> str:
+    """The article: blocks in page order, joined by a newline, with references decoded and white space made single.
+
+    A page of which nothing is left because of its elements' names is read again without regard to them.
+    """
+    if not page:
+        return ""
+    body = _body(parse(page))
+    if text := _joined(body):
+        return text
+    stack, named = [body], False
+    while stack:
+        for x in stack.pop().items:
+            if not isinstance(x, str):
+                named |= x.drop == BY_NAME
+                x.drop = 0 if x.drop == BY_NAME else x.drop
+                stack.append(x)
+    return _joined(body) if named else ""
+
+
 def extract(df: DataFrame, *, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (default page_id, url), text and n_chars (code points), a row for each row.
 

@@ -325,7 +325,7 @@ def test_article_of_a_page():
 
 @pytest.mark.parametrize(("page", "text"), [
     ("", ""), ("   ", ""), ("<html></html>", ""), ("just text &lt;b&gt;", "just text <b>"), ("<p>a<br>b</p><p>c", "a b\nc"), ("<article><p>x</p></article>", "x"), ("<p>open <b>bold <i>it", "open bold it"),
-    ("<script>never closed", ""), ("<!-- a <p>b</p> --><p>c</p>", "c"), ("<p>1 < 2 &amp;&amp; 3 > 2</p>", "1 < 2 && 3 > 2"), ("</div></p>text", "text"), ("<div><p>a</p>b<p>c</p></div>", "a\nb\nc"),
+    ('<div class="with-sidebar"><article><p>x</p></article></div>', "x"), ('<div class="comments"><p>only this</p></div>', "only this"), ('<div id="topNav">a</div><p>text</p>', "text"), ("<script>never closed", ""), ("<!-- a <p>b</p> --><p>c</p>", "c"), ("<p>1 < 2 &amp;&amp; 3 > 2</p>", "1 < 2 && 3 > 2"), ("</div></p>text", "text"), ("<div><p>a</p>b<p>c</p></div>", "a\nb\nc"),
 ])
 def test_small_pages(page, text):
     assert html_text.main_text(page) == text

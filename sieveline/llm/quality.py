@@ -228,4 +228,4 @@ def filtered(df: DataFrame, mcd: MCD = MCD(), *, id_col: str = "doc_id") -> Data
     Of rows that share an id, each is kept if any row of that id is. Rows with a null id are matched as one id.
     """
     verdict = quality(df, mcd, id_col=id_col).where("kept").select(F.col(id_col).alias("__kept")).distinct()
-    return df.join(verdict, df[id_col].eqNullSafe(F.col("__kept")), "left_semi")
+    return df.join(verdict, df[f"`{id_col}`"].eqNullSafe(verdict["__kept"]), "left_semi")

@@ -8,6 +8,7 @@ digests, which is associative and so needs one partial and one final aggregation
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,15 +64,25 @@ def digest(columns: Sequence[Column]) -> Column:
     return F.sha2(F.concat_ws(SEPARATOR, *columns), 256)
 
 
-def slice_number(h: Column, start: int) -> Column:
-    """60 bits of a hexadecimal digest as a number that sums without overflow."""
-    return F.conv(F.substring(h, start, SLICE_WIDTH), 16, 10).cast("decimal(20,0)")
+def exact_sum(h: Column, start: int, weight: Column | None = None, when: Column | None = None) -> Column:
+    """The exact sum of a 60-bit slice of hexadecimal digests, as text; 0 without rows.
 
+    The slice is summed as three parts of 20 bits in 64-bit integers, which stay in generated code and can't overflow
+    below 2**43 rows, and the three sums are put together once.
+    """
+    number = F.conv(F.substring(h, start, SLICE_WIDTH), 16, 10).cast("long")
+    total = None
+    for shift in (40, 20, 0):
+        part = F.shiftright(number, shift).bitwiseAND(F.lit((1 << 20) - 1))
+        part = part if weight is None else part * weight
+        part = F.coalesce(F.sum(part if when is None else F.when(when, part)), F.lit(0).cast("long")).cast("decimal(20,0)") * F.lit(Decimal(1 << shift))
+        total = part if total is None else total + part
+    return total.cast("decimal(38,0)").cast("string")
 
-def slice_sums(h: Column, when: Column | None = None) -> list[Column]:
-    """Exact sums of the four slices, over the rows that meet ``when``."""
-    pick = (lambda x: F.when(when, x)) if when is not None else (lambda x: x)
-    return [F.coalesce(F.sum(pick(slice_number(h, s))), F.lit(0)).cast("string") for s in SLICES]
+
+def slice_sums(h: Column, when: Column | None = None, weight: Column | None = None) -> list[Column]:
+    """Exact sums of the four slices, over the rows that meet ``when``, each ``weight`` times."""
+    return [exact_sum(h, s, weight, when) for s in SLICES]
 
 
 def final_digest(version: str, *parts: Column) -> Column:

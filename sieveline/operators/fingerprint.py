@@ -28,8 +28,7 @@ def dataset_fingerprint(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame
     """
     h = canon.digest(list(canon.canonical_columns(df, exclude).values()))
     per = df.select(h.alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
-    count = F.col("c").cast("decimal(18,0)")
-    sums = [F.coalesce(F.sum((canon.slice_number(F.col("h"), s) * count).cast("decimal(38,0)")), F.lit(0)).cast("string").alias(f"s{i}") for i, s in enumerate(canon.SLICES, 1)]
+    sums = [s.alias(f"s{i}") for i, s in enumerate(canon.slice_sums(F.col("h"), weight=F.col("c")), 1)]
     out = per.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"), *sums)
     out = out.withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct"))
     return out.withColumn("fingerprint", canon.final_digest(canon.ROW_VERSION, F.col("n_rows"), *[F.col(f"s{i}") for i in range(1, 5)]))
@@ -43,7 +42,7 @@ def duplicate_rows(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 def column_fingerprints(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """(column_name, n_rows, fingerprint) per column, without the name in the digest, so that renaming doesn't change it."""
     columns = canon.canonical_columns(df, exclude)
-    sums = [F.coalesce(F.sum(canon.slice_number(F.sha2(c, 256), 1)), F.lit(0)).cast("string").alias(f"c{i}") for i, c in enumerate(columns.values())]
+    sums = [canon.exact_sum(F.sha2(c, 256), 1).alias(f"c{i}") for i, c in enumerate(columns.values())]
     wide = df.agg(F.count(F.lit(1)).alias("n_rows"), *sums)
     long = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(f"c{i}").alias("s")) for i, n in enumerate(columns)]))
     out = wide.select("n_rows", long.alias("x")).select("x.column_name", "n_rows", "x.s")

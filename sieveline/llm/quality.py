@@ -114,12 +114,20 @@ def vector() -> list[Column]:
     ]
 
 
+#: Groups up to this number are broadcast (a row of 21 numbers each); more are joined by a shuffle.
+BROADCAST_GROUPS = 50_000
+
 _P = len(STATISTICS)
 _PAIRS = [(i, j) for i in range(_P) for j in range(i, _P)]
 _LEVELS = ["g2", "g1", "g0"]
 _X = [f"x{i}" for i in range(_P)]
 
 
+def _sent(model: DataFrame) -> DataFrame:
+    """The model, broadcast where it is small: then rows of a hot source stay where they are."""
+    return F.broadcast(model) if model.count() <= BROADCAST_GROUPS else model
+
+
 def _sums() -> list[Column]:
     x = [F.col(f"x{i}") for i in range(_P)]
     return [F.count(F.lit(1)).alias("n"), *[F.sum(x[i]).alias(f"s{i}") for i in range(_P)], *[F.sum(x[i] * x[j]).alias(f"q{i}{j}") for i, j in _PAIRS]]
@@ -168,7 +176,7 @@ def _binned(rows: DataFrame, model: DataFrame | None, mcd: MCD, scratch: Scratch
             d2 = _distance(F.col)
             at = F.when(d2 <= 2.0**-LOW, 0).otherwise(F.least(F.lit((LOW + HIGH) * mcd.per_octave), F.ceil((F.log2(d2) + LOW) * mcd.per_octave))).cast("int")
             own = model.where(F.col("level") == k).drop("level", "rows").withColumnRenamed("g", g)
-            parts.append(rows.join(own, g).select(F.lit(k).alias("level"), F.col(g).alias("g"), at.alias("bin"), *_X))
+            parts.append(rows.join(_sent(own), g).select(F.lit(k).alias("level"), F.col(g).alias("g"), at.alias("bin"), *_X))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -213,7 +221,7 @@ def quality(df: DataFrame, mcd: MCD = MCD(), *, id_col: str = "doc_id", text_col
         own = model.where(F.col("level") == k)
         if k < 2:
             own = own.where(F.col("rows") >= mcd.least_rows)
-        out = out.join(own.select(F.col("g").alias(g), F.struct(*names).alias(f"model{k}")), g, "left")
+        out = out.join(_sent(own.select(F.col("g").alias(g), F.struct(*names).alias(f"model{k}"))), g, "left")
     best = F.coalesce(*[F.col(f"model{k}") for k in range(3)])
     out = out.withColumn("model", best).select("*", *[F.col(f"model.{c}").alias(c) for c in names])
     d2 = F.when(~F.col("base_failed"), F.round(_distance(F.col), 6))

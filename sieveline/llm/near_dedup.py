@@ -8,8 +8,9 @@ tells its members apart and a thin one at whatever depth it has. One bit of ever
 drops pairs which are far from similar. Remaining pairs are confirmed on whole texts.
 
 A first pass takes candidates that join what is not yet joined within a task, so that a large group of copies gives
-links in proportion to its size. A second pass takes every candidate pair between different components, except those
-confirmed or refused before; its number of pairs per document is bounded by ``near`` and ``trees``.
+links in proportion to its size, and notes the documents of pairs that it left out. A second pass goes over these
+documents alone, where what was near stays near, and takes every candidate pair between different components, except
+those confirmed or refused before; its number of pairs per document is bounded by ``near`` and ``trees``.
 """
 
 from __future__ import annotations
@@ -109,7 +110,10 @@ def signatures(df: DataFrame, n_words: int, forest: Forest, id_col: str, text_co
 
 
 def _neighbours(ordered: DataFrame, forest: Forest, threshold: float, sparse: bool) -> DataFrame:
-    """Candidate pairs (a < b) among rows (tree, key, sketch, n, rep, comp) in sorted partitions."""
+    """Candidate pairs (a < b) among rows (tree, key, sketch, n, rep, comp) in sorted partitions.
+
+    ``sparse``: only pairs that join what a task has not joined; (a, a) notes that a stands in a pair that was left out.
+    """
     hashes = forest.trees * forest.depth
     # two bits agree with probability s + (1 - s) / 4 at similarity s; 4.5 standard deviations are allowed
     expect = threshold + (1 - threshold) / 4
@@ -118,6 +122,7 @@ def _neighbours(ordered: DataFrame, forest: Forest, threshold: float, sparse: bo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}
+        noted: set[int] = set()
         tail: tuple | None = None
         for batch in batches:
             sketch = np.frombuffer(b"".join([x.ljust(8 * words, b"\0") for x in batch.column("sketch").to_pylist()]), np.uint64).reshape(-1, words)
@@ -145,7 +150,9 @@ def _neighbours(ordered: DataFrame, forest: Forest, threshold: float, sparse: bo
                         c, d = _root(parent, c), _root(parent, d)
                         if c != d:
                             parent[max(c, d)], take[i] = min(c, d), True
-                    found = found[:, take]
+                    left = [x for x in set(found[:2, ~take].ravel().tolist()) if x not in noted]
+                    noted.update(left)
+                    found = np.concatenate([found[:2, take], np.array([left, left], np.int64).reshape(2, -1)], axis=1)
                 found = np.unique(np.sort(found[:2], axis=0), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
             tail = tuple(x[-near:] for x in now)
@@ -191,17 +198,21 @@ def near_duplicates(df: DataFrame, *, n_words: int = 5, threshold: float = 0.8,
     width = 2 * forest.depth
     reps = scratch.table(reps.select(F.col("id").alias("rep"), F.col("n_shingles").alias("n"), "sig"), "reps")
     tree = F.col("tree")
-    rows = reps.select("rep", "n", "sig", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree"))
-    rows = rows.select(tree, F.substring("sig", tree * width + 1, F.lit(width)).alias("key"), F.substring("sig", F.lit(forest.trees * width + 1), F.lit(4096)).alias("sketch"), "n", "rep")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    order = ["tree", "key", "sketch", "rep"]
-    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    first = scratch.table(_neighbours(ordered.withColumn("comp", F.col("rep")), forest, threshold, True), "pairs1")
+
+    def ordered(of: DataFrame) -> DataFrame:
+        """The rows of all trees, in order, from (rep, n, sig, comp)."""
+        rows = of.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))))
+        rows = rows.select(tree, F.substring("sig", tree * width + 1, F.lit(width)).alias("key"), F.substring("sig", F.lit(forest.trees * width + 1), F.lit(4096)).alias("sketch"), "n", "rep", "comp")
+        return rows.repartitionByRange(parts, "tree", "key", "sketch", "rep").sortWithinPartitions("tree", "key", "sketch", "rep")
+
+    found = scratch.table(_neighbours(ordered(reps.withColumn("comp", F.col("rep"))), forest, threshold, True), "pairs1")
+    first, noted = found.where("a <> b"), found.where("a = b").select(F.col("a").alias("rep"))
     checked = scratch.table(_confirmed(first, _texts(slim, first, id_col, scratch, "texts1"), n_words, threshold), "checked1")
     links = checked.where("linked").select("a", "b")
     comps = scratch.table(components(links, scratch, "stars1"), "comps1")
-    again = rows.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("tree", "key", "sketch", "n", "rep", F.coalesce("component", "rep").alias("comp"))
-    again = again.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    again = reps.join(noted, "rep", "left_semi").join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    again = ordered(again.select("rep", "n", "sig", F.coalesce("component", "rep").alias("comp")))
     second = _neighbours(again, forest, threshold, False).join(checked.select("a", "b"), ["a", "b"], "left_anti")
     second = scratch.table(second, "pairs2")
     more = scratch.table(_confirmed(second, _texts(slim, second, id_col, scratch, "texts2"), n_words, threshold), "checked2").where("linked").select("a", "b")

@@ -11,6 +11,10 @@ A first pass takes candidates that join what is not yet joined within a task, so
 links in proportion to its size, and notes the documents of pairs that it left out. A second pass goes over these
 documents alone, where what was near stays near, and takes every candidate pair between different components, except
 those confirmed or refused before; its number of pairs per document is bounded by ``near`` and ``trees``.
+
+Runs of rows that share the first ``shared`` hashes of a tree but exceed the window (or lie across a border of two tasks)
+are noted in the first pass. Those that still hold several components are compared whole, in blocks of bounded size that
+any two rows of a run share: pairs that pass the sketch are counted on the full sets by products of 0/1 matrices.
 """
 
 from __future__ import annotations
@@ -40,10 +44,14 @@ class Forest:
     depth: int = 8
     near: int = 16
     seed: int = 7
+    #: Hashes of a tree that a pair has to share, at most four.
+    shared: int = 4
 
 
 #: Ids up to this number are broadcast (8 bytes each) to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
+#: Rows and shingles of a block of a crowded run, and the columns of one matrix product.
+BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 2_000, 400_000, 2_048
 
 
 def _multipliers(forest: Forest) -> tuple[np.ndarray, np.ndarray]:
@@ -112,34 +120,39 @@ def signatures(df: DataFrame, n_words: int, forest: Forest, id_col: str, text_co
 def _neighbours(ordered: DataFrame, forest: Forest, threshold: float, sparse: bool) -> DataFrame:
     """Candidate pairs (a < b) among rows (tree, key, sketch, n, rep, comp) in sorted partitions.
 
-    ``sparse``: only pairs that join what a task has not joined; (a, a) notes that a stands in a pair that was left out.
+    ``sparse``: only pairs that join what a task has not joined; (a, a) notes that a stands in a pair that was left out,
+    and rows with a prefix note runs of the tree a = b that the window or the task doesn't cover.
     """
-    hashes = forest.trees * forest.depth
-    # two bits agree with probability s + (1 - s) / 4 at similarity s; 4.5 standard deviations are allowed
-    expect = threshold + (1 - threshold) / 4
-    most = int(hashes - hashes * expect + 4.5 * (hashes * expect * (1 - expect)) ** 0.5) + 1
-    near, words, low = forest.near, -(-2 * hashes // 64), np.uint64(0x5555555555555555)
+    most, near = _most(forest, threshold), forest.near
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}
         noted: set[int] = set()
+        runs: set[tuple[int, int]] = set()
         tail: tuple | None = None
         for batch in batches:
-            sketch = np.frombuffer(b"".join([x.ljust(8 * words, b"\0") for x in batch.column("sketch").to_pylist()]), np.uint64).reshape(-1, words)
-            now = (batch.column("tree").to_numpy(), sketch, batch.column("n").to_numpy(), batch.column("rep").to_numpy(), batch.column("comp").to_numpy())
+            if not batch.num_rows:
+                continue
+            prefix = np.frombuffer(b"".join([x[: 2 * forest.shared].ljust(8, b"\0") for x in batch.column("key").to_pylist()]), "<i8")
+            now = (batch.column("tree").to_numpy(), _sketches(batch.column("sketch"), forest), batch.column("n").to_numpy(), batch.column("rep").to_numpy(), batch.column("comp").to_numpy(), prefix)
+            edge = [0] if tail is None else []
             old = 0
             if tail is not None:
                 old = len(tail[0])
                 now = tuple(np.concatenate([t, x]) for t, x in zip(tail, now, strict=True))
-            tree, sketch, n, rep, comp = now
+            tree, sketch, n, rep, comp, prefix = now
+            if sparse:
+                far = np.flatnonzero((tree[: -near - 1] == tree[near + 1 :]) & (prefix[: -near - 1] == prefix[near + 1 :])).tolist()
+                new = {(int(tree[i]), int(prefix[i])) for i in edge + far} - runs
+                runs |= new
+                yield _noted(new)
             pairs = []
             for k in range(1, min(near, len(tree) - 1) + 1):
                 first = max(0, old - k)  # pairs that end before this batch have been seen
                 x, y = slice(first, len(tree) - k), slice(first + k, None)
                 fit = (tree[x] == tree[y]) & (comp[x] != comp[y]) & (np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]) - 1e-9)
                 at = np.flatnonzero(fit) + first
-                apart = sketch[at] ^ sketch[at + k]
-                at = at[np.bitwise_count((apart | apart >> np.uint64(1)) & low).sum(axis=1) <= most]
+                at = at[_apart(sketch[at], sketch[at + k]) <= most]
                 if len(at):
                     pairs.append(np.stack([rep[at], rep[at + k], comp[at], comp[at + k]]))
             if pairs:
@@ -154,10 +167,111 @@ def _neighbours(ordered: DataFrame, forest: Forest, threshold: float, sparse: bo
                     noted.update(left)
                     found = np.concatenate([found[:2, take], np.array([left, left], np.int64).reshape(2, -1)], axis=1)
                 found = np.unique(np.sort(found[:2], axis=0), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
-            tail = tuple(x[-near:] for x in now)
+                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1]), pa.nulls(found.shape[1], pa.binary())], ["a", "b", "prefix"])
+            tail = tuple(x[-near - 1 :] for x in now)
+        if sparse and tail is not None:
+            yield _noted({(int(tail[0][-1]), int(tail[5][-1]))} - runs)
+
+    def _noted(runs: set[tuple[int, int]]) -> pa.RecordBatch:
+        trees = pa.array([t for t, _ in runs], pa.int64())
+        return pa.RecordBatch.from_arrays([trees, trees, pa.array([x.to_bytes(8, "little", signed=True)[: 2 * forest.shared] for _, x in runs], pa.binary())], ["a", "b", "prefix"])
+
+    return ordered.mapInArrow(run, "a long, b long, prefix binary").distinct()
+
+
+def _most(forest: Forest, threshold: float) -> int:
+    """Places of two sketches that may differ."""
+    hashes = forest.trees * forest.depth
+    # two bits agree with probability s + (1 - s) / 4 at similarity s; 4.5 standard deviations are allowed
+    expect = threshold + (1 - threshold) / 4
+    return int(hashes - hashes * expect + 4.5 * (hashes * expect * (1 - expect)) ** 0.5) + 1
+
 
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+def _sketches(column: pa.Array, forest: Forest) -> np.ndarray:
+    words = -(-2 * forest.trees * forest.depth // 64)
+    return np.frombuffer(b"".join([x.ljust(8 * words, b"\0") for x in column.to_pylist()]), np.uint64).reshape(-1, words)
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Places in which sketches differ."""
+    apart = x ^ y
+    return np.bitwise_count((apart | apart >> np.uint64(1)) & np.uint64(0x5555555555555555)).sum(axis=-1)
+
+
+def _common(sets: list[np.ndarray], one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """How many hashes the sets ``one`` (rows) and ``other`` (columns) have in common."""
+    hashes, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    number = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[place]  # a hash that one set holds is nobody's in common
+    row, number = row[number >= 0], number[number >= 0]
+    order = np.argsort(number, kind="stable")
+    row, number = row[order], number[order]
+    out = np.zeros((len(one), len(other)), np.float32)
+    for start in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        at = slice(*np.searchsorted(number, [start, start + COLUMNS]))
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[row[at], number[at] - start] = 1
+        out += held[one] @ held[other].T
+    return out
+
+
+def _crowded(reps: DataFrame, runs: DataFrame, slim: DataFrame, forest: Forest, n_words: int, threshold: float, id_col: str, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) that link different components within whole ``runs`` (tree, prefix), from reps (rep, n, sig, comp).
+
+    Enough of them to connect what is linked in a block, not all.
+    """
+    width, most, percent = 2 * forest.depth, _most(forest, threshold), round(100 * threshold)
+    tree = F.col("tree")
+    rows = reps.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))))
+    rows = rows.select(tree, F.substring("sig", tree * width + 1, F.lit(2 * forest.shared)).alias("prefix"), F.substring("sig", F.lit(forest.trees * width + 1), F.lit(4096)).alias("sketch"), "n", "rep", "comp")
+    wanted = F.broadcast(runs) if runs.count() <= BROADCAST_IDS else runs
+    rows = scratch.table(rows.join(wanted, ["tree", "prefix"], "left_semi"), "crowd")
+    sizes = rows.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"), F.min("comp").alias("least"), F.max("comp").alias("largest")).where("least <> largest")
+    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    rows = rows.join(scratch.table(sizes.select("tree", "prefix", blocks.alias("blocks")), "crowds"), ["tree", "prefix"])
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = scratch.table(rows.select("tree", "prefix", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "sketch", "n", "rep", "comp"), "blocks")
+    scratch.drop("crowd", "crowds")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_set_hashes(words_of(x.as_py() or ""), n_words).tobytes() for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "held"])
+
+    texts = _texts(slim, rows.select(F.col("rep").alias("a"), F.col("rep").alias("b")), id_col, scratch, "texts3")
+    rows = rows.join(texts.select("id", "text").mapInArrow(hashed, "rep long, held binary"), "rep")
+
+    def linked(found: pa.Table) -> pa.Table:
+        found = found.combine_chunks()
+        i, j = found["i"][0].as_py(), found["j"][0].as_py()
+        block, n, rep, comp = (found[c].to_numpy() for c in ("block", "n", "rep", "comp"))
+        sketch = _sketches(found["sketch"], forest)
+        one, other = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        fit = np.zeros((len(one), len(other)), bool)
+        for k, x in enumerate(one):
+            may = (comp[other] != comp[x]) & (np.minimum(n[other], n[x]) >= threshold * np.maximum(n[other], n[x]) - 1e-9)
+            if i == j:
+                may &= other > x
+            at = np.flatnonzero(may)
+            fit[k, at[_apart(sketch[other[at]], sketch[x]) <= most]] = True
+        left, right = fit.any(axis=1), fit.any(axis=0)
+        one, other, fit = one[left], other[right], fit[left][:, right]
+        out: list[tuple[int, int]] = []
+        if len(one):
+            used, at = np.unique(np.concatenate([one, other]), return_inverse=True)
+            held = found["held"].take(pa.array(used)).to_pylist()
+            common = _common([np.frombuffer(x, np.uint64) for x in held], at[: len(one)], at[len(one) :])
+            fit &= 100 * common.astype(np.int64) >= percent * (n[one][:, None] + n[other][None, :] - common.astype(np.int64))
+            parent: dict[int, int] = {}
+            for x, ys in zip(one, fit, strict=True):
+                for y in other[np.flatnonzero(ys)]:
+                    c, d = _root(parent, int(comp[x])), _root(parent, int(comp[y]))
+                    if c != d:
+                        parent[max(c, d)] = min(c, d)
+                        out.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    return rows.groupBy("tree", "prefix", "i", "j").applyInArrow(linked, "a long, b long").distinct()
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, n_words: int, threshold: float) -> DataFrame:
@@ -207,19 +321,28 @@ def near_duplicates(df: DataFrame, *, n_words: int = 5, threshold: float = 0.8,
         return rows.repartitionByRange(parts, "tree", "key", "sketch", "rep").sortWithinPartitions("tree", "key", "sketch", "rep")
 
     found = scratch.table(_neighbours(ordered(reps.withColumn("comp", F.col("rep"))), forest, threshold, True), "pairs1")
+    runs = found.where("prefix is not null").select(F.col("a").cast("int").alias("tree"), "prefix")
+    found = found.where("prefix is null").select("a", "b")
     first, noted = found.where("a <> b"), found.where("a = b").select(F.col("a").alias("rep"))
     checked = scratch.table(_confirmed(first, _texts(slim, first, id_col, scratch, "texts1"), n_words, threshold), "checked1")
     links = checked.where("linked").select("a", "b")
     comps = scratch.table(components(links, scratch, "stars1"), "comps1")
     again = reps.join(noted, "rep", "left_semi").join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left")
     again = ordered(again.select("rep", "n", "sig", F.coalesce("component", "rep").alias("comp")))
-    second = _neighbours(again, forest, threshold, False).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    second = _neighbours(again, forest, threshold, False).select("a", "b").join(checked.select("a", "b"), ["a", "b"], "left_anti")
     second = scratch.table(second, "pairs2")
     more = scratch.table(_confirmed(second, _texts(slim, second, id_col, scratch, "texts2"), n_words, threshold), "checked2").where("linked").select("a", "b")
     if not more.isEmpty():
-        comps = scratch.table(components(links.unionByName(more), scratch, "stars2"), "comps2")
+        links = links.unionByName(more)
+        comps = scratch.table(components(links, scratch, "stars2"), "comps2")
     else:
         scratch.drop("pairs2", "checked2")
+    whole = reps.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("rep", "n", "sig", F.coalesce("component", "rep").alias("comp"))
+    third = scratch.table(_crowded(whole, runs, slim, forest, n_words, threshold, id_col, scratch), "pairs3")
+    scratch.drop("blocks", "texts3")
+    more = scratch.table(_confirmed(third, _texts(slim, third, id_col, scratch, "texts4"), n_words, threshold), "checked3").where("linked").select("a", "b")
+    if not more.isEmpty():
+        comps = scratch.table(components(links.unionByName(more), scratch, "stars3"), "comps3")
     of_class = classes.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("of_class"))
     out = docs.join(of_class, ["k1", "k2"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("of_class")).otherwise(F.col("id"))

@@ -80,6 +80,21 @@ def test_large_group_of_near_copies(spark):
     assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df, n_words=2).collect()} == want
 
 
+def test_star_of_near_copies(spark):
+    rng = np.random.default_rng(2)
+    rows = [(0, " ".join(f"w{i}" for i in range(201)))]
+    for i in range(1, 1001):  # each change of a word changes two shingles: 0.82 like the base, 0.67 like each other
+        words = rows[0][1].split()
+        for at in rng.choice(np.arange(1, 199, 3), 10, replace=False):
+            words[at] = f"n{i}x{at}"
+        rows.append((i, " ".join(words)))
+    sets = {i: near_dedup.shingles(near_dedup.words_of(t), 2) for i, t in rows}
+    assert all(100 * len(sets[0] & s) >= 80 * len(sets[0] | s) for s in sets.values())  # so all are one component
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    apart = [r["doc_id"] for r in near_dedup.near_duplicates(df, n_words=2).collect() if r["component_id"] != 0]
+    assert len(apart) == 0
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
 def test_components(spark, links):

@@ -42,7 +42,7 @@ class Forest:
 
     trees: int = 24
     depth: int = 8
-    near: int = 16
+    near: int = 32
     seed: int = 7
     #: Hashes of a tree that a pair has to share, at most four.
     shared: int = 4

@@ -4,13 +4,16 @@ Suffixes are kept at minimiser positions: a position is kept if its 8-word hash
 The choice rests on content alone, so any two places that share 50 words keep a suffix at the same offset among the
 first 25 of them, with at least 26 shared words from there on. The first 26 words, as one 64-bit hash, are the leading
 sort key of a suffix; those whose key occurs once can't repeat and go before anything else is gathered. For the
-others the words that follow and those before (24 on either side) are fetched from the text, and suffixes are sorted by
-key, following and preceding words. Each suffix is compared with its neighbours and with the first occurrence of its
-key, the match is extended right and left word by word, and counts if it reaches ``min_words``.
+others the words that follow and those before (24 on either side) are fetched from the text. Suffixes of a key that
+occurs up to ``group`` times are sorted by key, following and preceding words and each is compared with all others of its
+key; the match is extended right and left word by word, and counts if it reaches ``min_words``.
 
-Every passage of 50 or more words that two documents share is found where one of them is the first with its key, or
-where fewer than ``near`` others stand between them; what is reported is always a true match. Long passages are covered
-by one match after another, and matches of a document are merged.
+Suffixes of a key that occurs more often meet by their splits: for each r from 0 to 24 by key, r words to the right and
+24 - r to the left, which any two places with 50 words in common share for some r. Such a split is a run of 50 words,
+hashed to 96 bits; the least document of each is found by an aggregation, so that no group stands in one task as a whole.
+
+Every passage of 50 or more words that two documents share is found, whatever the size of its group. Long passages are
+covered by one match after another, and matches of a document are merged.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import WORDS, Scratch, prepare, windows_hash
+from sieveline.llm.common import WORDS, Scratch, mix, prepare, windows_hash
 
 
 @dataclass(frozen=True)
@@ -34,9 +37,8 @@ class Sparse:
     min_words: int = 50
     gram: int = 8
     window: int = 25
-    near: int = 4
-    #: Suffixes of one key that stand in one task; larger groups are dealt by their next words.
-    group: int = 20_000
+    #: Suffixes of one key of which all pairs are compared; larger groups meet by their splits.
+    group: int = 5
 
     @property
     def key(self) -> int:
@@ -99,39 +101,32 @@ def _suffixes(df: DataFrame, sparse: Sparse) -> DataFrame:
 
 
 def _contexts(df: DataFrame, sparse: Sparse) -> DataFrame:
-    """From (id, text, pos[], h[], parts[], first[]) the suffixes with their following and preceding words.
+    """From (id, text, pos[], h[]) the suffixes with their following and preceding words.
 
     Suffixes of a document that agree in all of these are one row, whose further positions are ``also``.
     """
-    names = ["h", "part", "later", "following", "preceding", "id", "pos", "also"]
+    names = ["h", "following", "preceding", "id", "pos", "also"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text, pos, key, parts, first in zip(batch.column(0).to_pylist(), batch.column(1), *[c.to_pylist() for c in batch.columns[2:]], strict=True):
+            for doc, text, pos, key in zip(batch.column(0).to_pylist(), batch.column(1), *[c.to_pylist() for c in batch.columns[2:]], strict=True):
                 h = WORDS.of(_words(text.as_py() or ""))
                 keys = windows_hash(h, sparse.key).view(np.int64)
                 small = (h >> np.uint64(32)).astype(">u4")
                 ahead, behind = small.tobytes(), small[::-1].tobytes()
                 same: dict[tuple, list] = {}
-                for p, k, n, f in sorted(zip(pos, key, parts, first, strict=True)):
+                for p, k in sorted(zip(pos, key, strict=True)):
                     if p >= len(keys) or keys[p] != k:
                         continue  # of another row with the same id
                     right = ahead[4 * (p + sparse.key) : 4 * (p + sparse.key + sparse.context)]
                     left = behind[4 * (len(h) - p) : 4 * (len(h) - p + sparse.context)]
                     if (found := same.get((k, right, left))) is not None:
-                        if found[2][-1:] != [p] and found[1] != p:
-                            found[2].append(p)
-                    else:
-                        same[k, right, left] = [(n, f), p, []]
-                for (k, right, left), ((n, f), p, also) in same.items():
-                    tail = (right, left, doc, p, also or None)
-                    if n == 1:
-                        rows.append((k, 0, not f, *tail))
-                    elif f:  # the first occurrence is compared with every part of its group
-                        rows += [(k, part, False, *tail) for part in range(n)]
+                        if found[1][-1:] != [p] and found[0] != p:
+                            found[1].append(p)
                     else:
-                        rows.append((k, int.from_bytes(right[:16], "big") % n, True, *tail))
+                        same[k, right, left] = [p, []]
+                rows += [(k, right, left, doc, p, also or None) for (k, right, left), (p, also) in same.items()]
                 if len(rows) >= 20_000:
                     yield _batch(rows)
                     rows = []
@@ -139,10 +134,46 @@ def _contexts(df: DataFrame, sparse: Sparse) -> DataFrame:
                 yield _batch(rows)
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        types = [pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
+        types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    return df.mapInArrow(run, "h long, part int, later boolean, following binary, preceding binary, id long, pos int, also array<int>")
+    return df.mapInArrow(run, "h long, following binary, preceding binary, id long, pos int, also array<int>")
+
+
+def _splits(df: DataFrame, sparse: Sparse) -> DataFrame:
+    """(g, g2, id, start): from (id, text, pos[], h[]) the runs of ``min_words`` words around suffixes, by their hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, text, pos, key in zip(batch.column(0).to_pylist(), batch.column(1), *[c.to_pylist() for c in batch.columns[2:]], strict=True):
+                h = WORDS.of(_words(text.as_py() or ""))
+                keys = windows_hash(h, sparse.key).view(np.int64)
+                at = np.array([p for p, k in zip(pos, key, strict=True) if p < len(keys) and keys[p] == k], np.int64)
+                starts = np.unique((at[:, None] - np.arange(sparse.context + 1)[None, :]).ravel())
+                starts = starts[(starts >= 0) & (starts <= len(h) - sparse.min_words)]
+                if len(starts):
+                    g = windows_hash(h, sparse.min_words)[starts].view(np.int64)
+                    g2 = (windows_hash(mix(h), sparse.min_words)[starts] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (g, g2, np.full(len(starts), doc, np.int64), starts.astype(np.int32))], ["g", "g2", "id", "start"])
+
+    return df.mapInArrow(run, "g long, g2 int, id long, start int")
+
+
+def _split_matches(splits: DataFrame, sparse: Sparse, scratch: Scratch, across: bool) -> DataFrame:
+    """As :func:`_matches`, from (g, g2, id, start): runs of words that another document (or place) has."""
+    place, of = (F.col("id") if across else F.struct("id", "start")), ["g", "g2"]
+    splits = scratch.table(splits.withColumn("place", place), "splits")
+    least = splits.groupBy(*of).agg(F.min("place").alias("m"), F.max("place").alias("n")).where("m < n").drop("n")
+    held = scratch.table(splits.join(scratch.table(least, "least"), of), "held")
+    scratch.drop("splits", "least")
+    doc = (lambda c: F.col(c)) if across else (lambda c: F.col(f"{c}.id"))
+    later = held.where("place <> m").select(*of, "id", "start", F.lit(True).alias("cut"), doc("m").alias("other"), "place")
+    second = later.groupBy(*of).agg(F.min("place").alias("s"))
+    first = held.where("place = m").join(second, of).select("id", "start", F.lit(False).alias("cut"), doc("s").alias("other"))
+    found = later.select("id", "start", "cut", "other").unionByName(first)
+    stop = (F.col("start") + sparse.min_words).cast("int")
+    none = F.lit(np.iinfo(np.int32).max.__int__())
+    return found.select("id", "start", stop.alias("stop"), F.when(F.col("cut"), F.col("start")).otherwise(none).alias("cut_start"), F.when(F.col("cut"), stop).otherwise(none).alias("cut_stop"), "other")
 
 
 def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -166,24 +197,23 @@ def _matches(ordered: DataFrame, sparse: Sparse, across: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             following, n_following = _matrix(batch.column("following"), sparse.context)
             preceding, n_preceding = _matrix(batch.column("preceding"), sparse.context)
-            cols = [batch.column("h").to_numpy(), batch.column("part").to_numpy(), batch.column("id").to_numpy(), batch.column("pos").to_numpy().astype(np.int64), following, n_following, preceding, n_preceding, np.array([*batch.column("also").to_pylist(), None], dtype=object)[:-1]]
+            cols = [batch.column("h").to_numpy(), batch.column("id").to_numpy(), batch.column("pos").to_numpy().astype(np.int64), following, n_following, preceding, n_preceding, np.array([*batch.column("also").to_pylist(), None], dtype=object)[:-1]]
             old = 0 if held is None else len(held[0])
             if held is not None:
                 cols = [np.concatenate([a, b]) for a, b in zip(held, cols, strict=True)]
-            h, part, ids, pos, following, n_following, preceding, n_preceding, also = cols
+            h, ids, pos, following, n_following, preceding, n_preceding, also = cols
             size = len(h)
             begins = np.ones(size, bool)
-            begins[1:] = (h[1:] != h[:-1]) | (part[1:] != part[:-1])
+            begins[1:] = h[1:] != h[:-1]
             group = np.cumsum(begins)
             first = np.maximum.accumulate(np.where(begins, np.arange(size), 0))
             new = np.arange(old, size)
-            # each with the first of its group, with those before it, and with the last one of another document
-            run = np.ones(size, bool)
-            run[1:] = begins[1:] | (ids[1:] != ids[:-1])
-            other_doc = np.maximum.accumulate(np.where(run, np.arange(size), 0)) - 1
-            sides = [(new, first[new]), (new[other_doc[new] >= 0], other_doc[new][other_doc[new] >= 0])] + [(new[new >= k], new[new >= k] - k) for k in range(1, sparse.near + 1)]
+            most = int((np.arange(size) - first).max())  # each with all before it in its group
+            sides = [(new[:0], new[:0])] + [(at := new[new - first[new] >= k], at - k) for k in range(1, most + 1)]
             x, y = (np.concatenate([s[i] for s in sides]) for i in (0, 1))
             fit = (x != y) & (group[x] == group[y])
             if across:
@@ -218,10 +248,7 @@ def _matches(ordered: DataFrame, sparse: Sparse, across: bool) -> DataFrame:
                 has = cr >= 0
                 out = [place - best["l"][rows], place + best["r"][rows], np.where(has, place - cl, none), np.where(has, place + cr, none)]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), *[pa.array(v.astype(np.int32)) for v in out], pa.array(partner[rows])], ["id", "start", "stop", "cut_start", "cut_stop", "other"])
-            # the last group's first row and its last rows may match what comes next
-            last = first[size - 1]
-            again = np.unique(np.concatenate([[last], np.arange(max(last, size - sparse.near), size)]))
-            held = [c[again] for c in cols]
+            held = [c[first[size - 1] :] for c in cols]  # the last group's rows may match what comes next
 
     return ordered.mapInArrow(run, "id long, start int, stop int, cut_start int, cut_stop int, other long")
 
@@ -242,20 +269,24 @@ def matches(df: DataFrame, sparse: Sparse, scratch: Scratch, *, id_col: str, tex
     spark = prepare(df.sparkSession)
     slim = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     suffixes = scratch.table(_suffixes(slim, sparse), "suffixes")
-    keys = suffixes.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "pos")).alias("m")).where("n > 1")
+    keys = suffixes.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).where("a < b" if across else "n > 1").select("h", "n")
     keys = scratch.table(keys, "keys")  # written, so that the join's partitions of a hot key can be split
-    part = F.ceil(F.col("n") / sparse.group).cast("int")
-    shared = suffixes.join(keys, "h").select("id", "pos", "h", part.alias("parts"), (F.struct("id", "pos") == F.col("m")).alias("first"))
+    shared = suffixes.join(keys, "h").select("id", "pos", "h", (F.col("n") > sparse.group).alias("large"))
     shared = scratch.table(shared, "shared")
     scratch.drop("suffixes", "keys")
-    of_doc = shared.groupBy("id").agg(F.collect_list(F.struct("pos", "h", "parts", "first")).alias("at"))
-    ids = scratch.table(shared.select("id").distinct(), "ids")
-    picked = slim.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= BROADCAST_IDS else slim
-    joined = picked.join(of_doc, "id").select("id", "text", "at.pos", "at.h", "at.parts", "at.first")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ordered = _contexts(joined, sparse).repartition(parts, "h", "part").sortWithinPartitions("h", "part", "later", "following", "preceding", "id", "pos")
-    found = scratch.table(_matches(ordered, sparse, across), "matches")
-    scratch.drop("shared")
+
+    def texts(rows: DataFrame, name: str) -> DataFrame:
+        of_doc = rows.groupBy("id").agg(F.collect_list(F.struct("pos", "h")).alias("at"))
+        ids = scratch.table(rows.select("id").distinct(), name)
+        picked = slim.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= BROADCAST_IDS else slim
+        return picked.join(of_doc, "id").select("id", "text", "at.pos", "at.h")
+
+    ordered = _contexts(texts(shared.where("not large"), "ids"), sparse).repartition(parts, "h").sortWithinPartitions("h", "following", "preceding", "id", "pos")
+    few = scratch.table(_matches(ordered, sparse, across), "matches")
+    many = scratch.table(_split_matches(_splits(texts(shared.where("large"), "ids2"), sparse), sparse, scratch, across), "split_matches")
+    scratch.drop("shared", "held")
+    found = few.unionByName(many)
     return found.groupBy("id").agg(F.collect_list(F.struct("start", "stop", "cut_start", "cut_stop", "other")).alias("spans"))
 
 

@@ -173,6 +173,15 @@ def test_planted_passages(spark, group):
     assert missed == 0 if group > 100 else missed <= 0.02 * sum(map(len, want.values()))
 
 
+def test_passages_told_apart_by_what_precedes(spark):
+    rng = np.random.default_rng(4)
+    fresh = lambda k: [f"w{x}" for x in rng.integers(0, 10**9, k)]
+    boilerplate, lines = fresh(40), [fresh(12) for _ in range(60)]
+    rows = [(i, " ".join(fresh(30) + lines[i // 2] + boilerplate + fresh(30))) for i in rng.permutation(120).tolist()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert spans(suffix_dedup.repeated_passages(df).collect()) == covered(rows)
+
+
 def test_deduplicated_keeps_each_passage_once(spark):
     rows = planted(5) + [(100, None), (101, ""), (102, "short text"), (None, "no id " * 60)]
     df = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, n_chars long, __cuts string")

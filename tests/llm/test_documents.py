@@ -182,6 +182,13 @@ def test_passages_told_apart_by_what_precedes(spark):
     assert spans(suffix_dedup.repeated_passages(df).collect()) == covered(rows)
 
 
+def test_group_size_changes_nothing(spark):
+    df = spark.createDataFrame(planted(), "doc_id long, text string")
+    few, many = (sorted(map(tuple, suffix_dedup.repeated_passages(df, suffix_dedup.Sparse(group=g)).collect())) for g in (20_000, 5))
+    assert spans(suffix_dedup.repeated_passages(df, suffix_dedup.Sparse(group=1)).collect()) == covered(planted())
+    assert few == many
+
+
 def test_deduplicated_keeps_each_passage_once(spark):
     rows = planted(5) + [(100, None), (101, ""), (102, "short text"), (None, "no id " * 60)]
     df = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, n_chars long, __cuts string")

@@ -7,14 +7,14 @@ next to each other; each is held against its ``near`` successors, and so a crowd
 tells its members apart and a thin one at whatever depth it has. One bit of every minimum hash makes a sketch that
 drops pairs which are far from similar. Remaining pairs are confirmed on whole texts.
 
-A first pass takes candidates that join what is not yet joined within a task, so that a large group of copies gives
-links in proportion to its size, and notes the documents of pairs that it left out. A second pass goes over these
-documents alone, where what was near stays near, and takes every candidate pair between different components, except
-those confirmed or refused before; its number of pairs per document is bounded by ``near`` and ``trees``.
-
-Runs of rows that share the first ``shared`` hashes of a tree but exceed the window (or lie across a border of two tasks)
-are noted in the first pass. Those that still hold several components are compared whole, in blocks of bounded size that
-any two rows of a run share: pairs that pass the sketch are counted on the full sets by products of 0/1 matrices.
+The first pass takes candidates that join what is not yet joined within a task, so that a large group of copies gives
+links in proportion to its size. It notes the runs (rows that share the first ``shared`` hashes of a tree) in which it left
+a pair out, which exceed the window, or which lie across a border of two tasks.
+
+The second pass compares those of these runs whole that still hold several components, so that no two rows of a run go
+unseen, however many it has. Rows outside a run's largest component meet all its rows in blocks of bounded size; a run
+of one component and some others costs in proportion to its size. Pairs that pass the sketch are counted on the full
+sets by products of 0/1 matrices, and only links that join components leave a block.
 """
 
 from __future__ import annotations
@@ -117,60 +117,56 @@ def signatures(df: DataFrame, n_words: int, forest: Forest, id_col: str, text_co
     return df.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, n_shingles long, k1 long, k2 long, sig binary")
 
 
-def _neighbours(ordered: DataFrame, forest: Forest, threshold: float, sparse: bool) -> DataFrame:
-    """Candidate pairs (a < b) among rows (tree, key, sketch, n, rep, comp) in sorted partitions.
+def _neighbours(ordered: DataFrame, forest: Forest, threshold: float) -> DataFrame:
+    """Candidate pairs (a < b) among rows (tree, key, sketch, n, rep) in sorted partitions, with no prefix.
 
-    ``sparse``: only pairs that join what a task has not joined; (a, a) notes that a stands in a pair that was left out,
-    and rows with a prefix note runs of the tree a = b that the window or the task doesn't cover.
+    Only pairs that join what a task has not joined. Rows with a prefix note runs of the tree a = b that hold pairs left
+    out, or that the window or the task doesn't cover.
     """
     most, near = _most(forest, threshold), forest.near
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}
-        noted: set[int] = set()
         runs: set[tuple[int, int]] = set()
         tail: tuple | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             prefix = np.frombuffer(b"".join([x[: 2 * forest.shared].ljust(8, b"\0") for x in batch.column("key").to_pylist()]), "<i8")
-            now = (batch.column("tree").to_numpy(), _sketches(batch.column("sketch"), forest), batch.column("n").to_numpy(), batch.column("rep").to_numpy(), batch.column("comp").to_numpy(), prefix)
-            edge = [0] if tail is None else []
+            now = (batch.column("tree").to_numpy(), _sketches(batch.column("sketch"), forest), batch.column("n").to_numpy(), batch.column("rep").to_numpy(), prefix)
+            open_runs = [0] if tail is None else []
             old = 0
             if tail is not None:
                 old = len(tail[0])
                 now = tuple(np.concatenate([t, x]) for t, x in zip(tail, now, strict=True))
-            tree, sketch, n, rep, comp, prefix = now
-            if sparse:
-                far = np.flatnonzero((tree[: -near - 1] == tree[near + 1 :]) & (prefix[: -near - 1] == prefix[near + 1 :])).tolist()
-                new = {(int(tree[i]), int(prefix[i])) for i in edge + far} - runs
-                runs |= new
-                yield _noted(new)
+            tree, sketch, n, rep, prefix = now
+            open_runs += np.flatnonzero((tree[: -near - 1] == tree[near + 1 :]) & (prefix[: -near - 1] == prefix[near + 1 :])).tolist()
             pairs = []
             for k in range(1, min(near, len(tree) - 1) + 1):
                 first = max(0, old - k)  # pairs that end before this batch have been seen
                 x, y = slice(first, len(tree) - k), slice(first + k, None)
-                fit = (tree[x] == tree[y]) & (comp[x] != comp[y]) & (np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]) - 1e-9)
+                fit = (tree[x] == tree[y]) & (rep[x] != rep[y]) & (np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]) - 1e-9)
                 at = np.flatnonzero(fit) + first
                 at = at[_apart(sketch[at], sketch[at + k]) <= most]
                 if len(at):
-                    pairs.append(np.stack([rep[at], rep[at + k], comp[at], comp[at + k]]))
+                    pairs.append(np.stack([at, at + k]))
             if pairs:
                 found = np.concatenate(pairs, axis=1)
-                if sparse:
-                    take = np.zeros(found.shape[1], bool)
-                    for i, (c, d) in enumerate(zip(found[2].tolist(), found[3].tolist(), strict=True)):
-                        c, d = _root(parent, c), _root(parent, d)
-                        if c != d:
-                            parent[max(c, d)], take[i] = min(c, d), True
-                    left = [x for x in set(found[:2, ~take].ravel().tolist()) if x not in noted]
-                    noted.update(left)
-                    found = np.concatenate([found[:2, take], np.array([left, left], np.int64).reshape(2, -1)], axis=1)
-                found = np.unique(np.sort(found[:2], axis=0), axis=1)
+                take = np.zeros(found.shape[1], bool)
+                for i, (c, d) in enumerate(zip(*rep[found].tolist(), strict=True)):
+                    c, d = _root(parent, c), _root(parent, d)
+                    if c != d:
+                        parent[max(c, d)], take[i] = min(c, d), True
+                left = found[:, ~take]
+                open_runs += left[0, prefix[left[0]] == prefix[left[1]]].tolist()
+                found = np.unique(np.sort(rep[found[:, take]], axis=0), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1]), pa.nulls(found.shape[1], pa.binary())], ["a", "b", "prefix"])
+            new = {(int(tree[i]), int(prefix[i])) for i in open_runs} - runs
+            runs |= new
+            yield _noted(new)
             tail = tuple(x[-near - 1 :] for x in now)
-        if sparse and tail is not None:
-            yield _noted({(int(tail[0][-1]), int(tail[5][-1]))} - runs)
+        if tail is not None:
+            yield _noted({(int(tail[0][-1]), int(tail[4][-1]))} - runs)
 
     def _noted(runs: set[tuple[int, int]]) -> pa.RecordBatch:
         trees = pa.array([t for t, _ in runs], pa.int64())
@@ -221,16 +217,25 @@ def _crowded(reps: DataFrame, runs: DataFrame, slim: DataFrame, forest: Forest,
     Enough of them to connect what is linked in a block, not all.
     """
     width, most, percent = 2 * forest.depth, _most(forest, threshold), round(100 * threshold)
-    tree = F.col("tree")
+    tree, run = F.col("tree"), ["tree", "prefix"]
     rows = reps.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))))
     rows = rows.select(tree, F.substring("sig", tree * width + 1, F.lit(2 * forest.shared)).alias("prefix"), F.substring("sig", F.lit(forest.trees * width + 1), F.lit(4096)).alias("sketch"), "n", "rep", "comp")
     wanted = F.broadcast(runs) if runs.count() <= BROADCAST_IDS else runs
-    rows = scratch.table(rows.join(wanted, ["tree", "prefix"], "left_semi"), "crowd")
-    sizes = rows.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"), F.min("comp").alias("least"), F.max("comp").alias("largest")).where("least <> largest")
-    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    rows = rows.join(scratch.table(sizes.select("tree", "prefix", blocks.alias("blocks")), "crowds"), ["tree", "prefix"])
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = scratch.table(rows.select("tree", "prefix", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "sketch", "n", "rep", "comp"), "blocks")
+    rows = scratch.table(rows.join(wanted, run, "left_semi"), "crowd")
+    # a run's rows by component, so that a hot run is added up before it meets in one row
+    sizes = rows.groupBy(*run, "comp").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
+    total = [F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles"), F.max(F.struct("rows", "shingles", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")]
+    sizes = sizes.groupBy(*run).agg(*total).where("comps > 1")
+    blocks = lambda rows, shingles: F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+    sizes = sizes.select(*run, F.col("main.comp").alias("main"), blocks(F.col("rows"), F.col("shingles")).alias("all"), blocks(F.col("rows") - F.col("main.rows"), F.col("shingles") - F.col("main.shingles")).alias("few"))
+    rows = rows.join(scratch.table(sizes, "crowds"), run)
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    dealt = lambda n, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), n).cast("int")
+    keep = ["sketch", "n", "rep", "comp", "outside"]
+    rows = rows.withColumn("outside", F.col("comp") != F.col("main"))
+    asks = rows.where("outside").select(*run, dealt(F.col("few"), 1).alias("i"), F.explode(every(F.col("all"))).alias("j"), F.lit(True).alias("asks"), *keep)
+    held = rows.select(*run, F.explode(every(F.col("few"))).alias("i"), dealt(F.col("all"), 2).alias("j"), F.lit(False).alias("asks"), *keep)
+    rows = scratch.table(asks.unionByName(held), "blocks")
     scratch.drop("crowd", "crowds")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,29 +243,27 @@ def _crowded(reps: DataFrame, runs: DataFrame, slim: DataFrame, forest: Forest,
             sets = [_set_hashes(words_of(x.as_py() or ""), n_words).tobytes() for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "held"])
 
-    texts = _texts(slim, rows.select(F.col("rep").alias("a"), F.col("rep").alias("b")), id_col, scratch, "texts3")
+    texts = _texts(slim, rows.select(F.col("rep").alias("a"), F.col("rep").alias("b")), id_col, scratch, "texts2")
     rows = rows.join(texts.select("id", "text").mapInArrow(hashed, "rep long, held binary"), "rep")
 
     def linked(found: pa.Table) -> pa.Table:
         found = found.combine_chunks()
-        i, j = found["i"][0].as_py(), found["j"][0].as_py()
-        block, n, rep, comp = (found[c].to_numpy() for c in ("block", "n", "rep", "comp"))
+        asks, outside = (found[c].to_numpy(zero_copy_only=False) for c in ("asks", "outside"))
+        n, rep, comp = (found[c].to_numpy() for c in ("n", "rep", "comp"))
         sketch = _sketches(found["sketch"], forest)
-        one, other = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        one, other = np.flatnonzero(asks), np.flatnonzero(~asks)
         fit = np.zeros((len(one), len(other)), bool)
         for k, x in enumerate(one):
             may = (comp[other] != comp[x]) & (np.minimum(n[other], n[x]) >= threshold * np.maximum(n[other], n[x]) - 1e-9)
-            if i == j:
-                may &= other > x
-            at = np.flatnonzero(may)
+            at = np.flatnonzero(may & (~outside[other] | (rep[other] > rep[x])))  # two that ask meet twice
             fit[k, at[_apart(sketch[other[at]], sketch[x]) <= most]] = True
         left, right = fit.any(axis=1), fit.any(axis=0)
         one, other, fit = one[left], other[right], fit[left][:, right]
         out: list[tuple[int, int]] = []
         if len(one):
             used, at = np.unique(np.concatenate([one, other]), return_inverse=True)
-            held = found["held"].take(pa.array(used)).to_pylist()
-            common = _common([np.frombuffer(x, np.uint64) for x in held], at[: len(one)], at[len(one) :])
+            sets = found["held"].take(pa.array(used)).to_pylist()
+            common = _common([np.frombuffer(x, np.uint64) for x in sets], at[: len(one)], at[len(one) :])
             fit &= 100 * common.astype(np.int64) >= percent * (n[one][:, None] + n[other][None, :] - common.astype(np.int64))
             parent: dict[int, int] = {}
             for x, ys in zip(one, fit, strict=True):
@@ -271,7 +274,7 @@ def _crowded(reps: DataFrame, runs: DataFrame, slim: DataFrame, forest: Forest,
                         out.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
-    return rows.groupBy("tree", "prefix", "i", "j").applyInArrow(linked, "a long, b long").distinct()
+    return rows.groupBy(*run, "i", "j").applyInArrow(linked, "a long, b long").distinct()
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, n_words: int, threshold: float) -> DataFrame:
@@ -313,36 +316,27 @@ def near_duplicates(df: DataFrame, *, n_words: int = 5, threshold: float = 0.8,
     reps = scratch.table(reps.select(F.col("id").alias("rep"), F.col("n_shingles").alias("n"), "sig"), "reps")
     tree = F.col("tree")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    # the rows of all trees, in order
+    rows = reps.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))))
+    rows = rows.select(tree, F.substring("sig", tree * width + 1, F.lit(width)).alias("key"), F.substring("sig", F.lit(forest.trees * width + 1), F.lit(4096)).alias("sketch"), "n", "rep")
+    rows = rows.repartitionByRange(parts, "tree", "key", "sketch", "rep").sortWithinPartitions("tree", "key", "sketch", "rep")
+    found = scratch.table(_neighbours(rows, forest, threshold), "candidates")
+    runs = found.where("prefix is not null").select(F.col("a").cast("int").alias("tree"), "prefix")
 
-    def ordered(of: DataFrame) -> DataFrame:
-        """The rows of all trees, in order, from (rep, n, sig, comp)."""
-        rows = of.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))))
-        rows = rows.select(tree, F.substring("sig", tree * width + 1, F.lit(width)).alias("key"), F.substring("sig", F.lit(forest.trees * width + 1), F.lit(4096)).alias("sketch"), "n", "rep", "comp")
-        return rows.repartitionByRange(parts, "tree", "key", "sketch", "rep").sortWithinPartitions("tree", "key", "sketch", "rep")
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        """Those of the pairs that the whole texts confirm."""
+        checked = scratch.table(_confirmed(pairs, _texts(slim, pairs, id_col, scratch, f"texts{name}"), n_words, threshold).where("linked").select("a", "b"), f"links{name}")
+        scratch.drop(f"texts{name}", f"texts{name}-ids")
+        return checked
 
-    found = scratch.table(_neighbours(ordered(reps.withColumn("comp", F.col("rep"))), forest, threshold, True), "pairs1")
-    runs = found.where("prefix is not null").select(F.col("a").cast("int").alias("tree"), "prefix")
-    found = found.where("prefix is null").select("a", "b")
-    first, noted = found.where("a <> b"), found.where("a = b").select(F.col("a").alias("rep"))
-    checked = scratch.table(_confirmed(first, _texts(slim, first, id_col, scratch, "texts1"), n_words, threshold), "checked1")
-    links = checked.where("linked").select("a", "b")
-    comps = scratch.table(components(links, scratch, "stars1"), "comps1")
-    again = reps.join(noted, "rep", "left_semi").join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    again = ordered(again.select("rep", "n", "sig", F.coalesce("component", "rep").alias("comp")))
-    second = _neighbours(again, forest, threshold, False).select("a", "b").join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    second = scratch.table(second, "pairs2")
-    more = scratch.table(_confirmed(second, _texts(slim, second, id_col, scratch, "texts2"), n_words, threshold), "checked2").where("linked").select("a", "b")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        comps = scratch.table(components(links, scratch, "stars2"), "comps2")
-    else:
-        scratch.drop("pairs2", "checked2")
+    links = linked(found.where("prefix is null").select("a", "b"), "1")
+    comps = scratch.table(components(links, scratch, "stars"), "comps1")
     whole = reps.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("rep", "n", "sig", F.coalesce("component", "rep").alias("comp"))
-    third = scratch.table(_crowded(whole, runs, slim, forest, n_words, threshold, id_col, scratch), "pairs3")
-    scratch.drop("blocks", "texts3")
-    more = scratch.table(_confirmed(third, _texts(slim, third, id_col, scratch, "texts4"), n_words, threshold), "checked3").where("linked").select("a", "b")
+    more = scratch.table(_crowded(whole, runs, slim, forest, n_words, threshold, id_col, scratch), "crowded")
+    scratch.drop("blocks", "texts2", "texts2-ids", "candidates", "reps")
+    more = linked(more, "3")
     if not more.isEmpty():
-        comps = scratch.table(components(links.unionByName(more), scratch, "stars3"), "comps3")
+        comps = scratch.table(components(links.unionByName(more), scratch, "stars2"), "comps2")
     of_class = classes.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("of_class"))
     out = docs.join(of_class, ["k1", "k2"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("of_class")).otherwise(F.col("id"))

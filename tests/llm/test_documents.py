@@ -362,6 +362,62 @@ def test_small_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+# what the title says, and nothing else, tells the article here: names and kinds of elements only weigh
+LOST = [
+    ("<p title=it's>First para</p><p>Second para isn't lost</p><p>Third</p>", "First para\nSecond para isn't lost\nThird"),
+    ('<p title="a hidden gem">First.</p><p data-hidden="no">Second.</p><p hidden>Third</p>', "First.\nSecond."),
+    ('<article><p>Text of an article.</p><div class="social-history"><p>A</p></div><p class="notice-of-intent">B</p><section id="ad-hoc-networks">C</section><div class="share-buttons">D</div></article>', "Text of an article.\nA\nB\nC"),
+    ('<body><form id="aspnetForm"><article><p>In a form</p><select><option>x</option></select></article></form></body>', "In a form"),
+    ('<body><form id="aspnetForm"><div><p>In a form</p><button>Go</button></div></form></body>', "In a form"),
+    ("<article><p>One article with text.</p></article><div>x</div><article><p>Another article with text.</p></article>", "One article with text.\nAnother article with text."),
+    ('<body><div class="content no-sidebar"><p>the article</p></div></body>', "the article"),
+    ('<p>short</p><div class="commentary"><p>a commentary on it</p></div>', "short\na commentary on it"),
+    ("<nav>a</nav><article>Hi</article><footer>A footer that is longer than the article, all rights reserved</footer>", "Hi"),
+    ('<article><p>Hello</p><section class="comments"><article class="comment"><p>A comment that is longer than the article itself.</p></article></section></article>', "Hello"),
+    ('<nav>a</nav><div class="ad">Buy</div><article></article><footer>x</footer>', ""),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), LOST)
+def test_names_and_kinds_only_weigh(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_densities_by_hand():
+    import math
+
+    body = html_text._body(html_text.parse(f"<body><div id=a><p>{'x' * 100}</p><p>{'y' * 50}<a>{'z' * 10}</a></p></div><div><a>{'l' * 20}</a><a>{'m' * 20}</a></div></body>"))
+    html_text.densities(body)
+    (one, other), share = body.items, 50 / 200
+    first, second = one.items
+
+    def by_hand(c, t, lc, lt):
+        b = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
+        return c / t * max(0.0, math.log(c / max(lc, 1) * t / max(lt, 1)) / max(1.0, math.log(b)))
+
+    assert (body.chars, body.tags, body.link_chars, body.link_tags) == (200, 7, 50, 3)
+    assert first.density == pytest.approx(100 * math.log(100) / max(1, math.log(math.log(25 + math.e))))
+    assert second.density == pytest.approx(60 * math.log(6) / max(1, math.log(math.log(60 / 50 * 10 + 15 + math.e))))
+    assert (one.density, other.density) == pytest.approx((by_hand(160, 3, 10, 1), 0.0))
+    assert one.total == pytest.approx(first.density + second.density)
+    assert body.total == pytest.approx(one.density)
+    assert html_text._chosen(body) == ({id(one)}, {id(one), id(body)})
+
+
+def test_threshold_of_the_body_path():
+    long, short = "word " * 60, "word " * 25
+    page = f"<body><ul><li><a href=x>one</a><li><a href=y>two</a></ul><h1>{'t' * 60}</h1><div><section><p>{long}</p><p>{long}</p><p>{long}</p></section><section><p>{short}</p><p>{short}</p></section></div><div><span>a</span> <span>b</span> <a href=z>c</a></div></body>"
+    assert html_text.main_text(page).split("\n") == ["t" * 60, *[long.strip()] * 3, *[short.strip()] * 2]
+
+
+def test_marks_change_little(spark, data):
+    """Without its <article> tag, a page of the table keeps its article's paragraphs and none of its furniture."""
+    for r in spark.read.parquet(f"{data}/pages.parquet").collect():
+        want = html_text.main_text(r["html"]).split("\n")
+        got = html_text.main_text(r["html"].replace("<article>", "<div>").replace("</article>", "</div>")).split("\n")
+        assert max(want, key=len) in got and set(got) <= set(want)
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20_000 + "deep") == "deep"
     assert len(html_text.main_text("<p>" + "word " * 200_000)) == 999_999

@@ -9,7 +9,7 @@ where notLC are the characters outside links, and divisors of 0 count as 1. What
 enters as a prior only: the weight is the product of those on the way from the body. A node's density sum adds its
 children's densities and that of its own text. The node with the largest sum is the core of the article. The least density on the path
 from the body to it is the threshold: besides the core's subtree, a subtree that hangs off this path belongs to the
-article if its density reaches the threshold, or its density sum a fifth of the core's.
+article if its density reaches the threshold, or its density sum a fifth of the core's; so does an <h1> before it.
 
 A page that marks its articles (<article>, <main>) says how far they go: the core extends to the mark that holds it, and
 gives way to marks inside that hold half of its sum; then only marked subtrees can join by the threshold. In what was
@@ -276,8 +276,13 @@ def _chosen(body: Node) -> tuple[set[int], set[int]]:
         taken = {id(x) for x in marked} or {id(core)}
     joins = lambda x: x.density >= threshold or x.total >= JOINS * core.total
     for node, child in zip(path[1:], path, strict=False):
+        before = True
         for x in node.kept():
             if x is child or x.prior < PLAIN:
+                before &= x is not child
+                continue
+            if before and not marked and x.tag == "h1" and 2 * x.link_chars < x.chars:
+                taken.add(id(x))
                 continue
             taken |= {id(y) for y in ([x] if x.mark else _marks(x)) if y.chars and joins(y)} if marked else {id(x)} if x.chars and joins(x) else set()
         if not marked and (own := sum(_chars(x) for x in node.items if isinstance(x, str))) and node.weight * composite_density(own, 1, 0, 0, 0.0) >= threshold:

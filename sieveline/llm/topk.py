@@ -1,24 +1,30 @@
 """Exact inner-product search by branch and bound in ball trees, one tree per shard.
 
-Rows are dealt to shards, each small enough for a task, and each shard's tree is built once and written. A node is a
-ball (centre, radius) over its rows; no row in it scores more than q.centre + |q| * radius. Nodes are taken in order
-of that bound, and a node whose bound is below a query's k-th score so far is passed over for this query. A first
-round searches each query's own shard; the k-th score found there is shared with every other shard, whose search
-starts from it. Queries travel in blocks of bounded size, so that a task holds one shard's tree and one block, and a
-shard returns k rows per query at most.
-
-Scores are integers, computed exactly in 64-bit floats: components are quantised to floor(scale * x) first.
+Space is cut into cells by the top of a ball tree, fitted to a bounded sample of the vectors (``SAMPLE_ROWS``, and
+``SAMPLE_VALUES`` numbers at most); every row goes to its cell, and a cell with more than ``SHARD_ROWS`` rows is dealt to
+several shards. Each shard's ball tree is built once and written. A node is a ball (centre, radius) over its rows; no
+row in it scores more than q.centre + |q| * radius. Nodes are taken in order of that bound, and a node whose bound is
+below a query's k-th score so far is passed over for this query.
+
+A first round searches a shard of each query's own cell. The k-th score found there is shared with all other cells: a
+query is sent on to those cells alone whose ball's bound reaches it, and the search there starts from it. Queries travel in
+blocks of bounded size, so that a task holds one shard's tree and one block, and a shard returns k rows a query at most.
+
+Scores are exact integers. Where every partial sum stays below 2**52, 64-bit floats hold them; else floats only bound the
+scores, and what the bounds leave is computed in whole numbers of any size.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import Scratch
@@ -26,13 +32,68 @@ from sieveline.llm.common import Scratch
 LEAF = 128
 #: Rows of a shard, queries of a block, and queries that go down a tree together.
 SHARD_ROWS, BLOCK, TOGETHER = 16_384, 16_384, 512
+#: Cells of the top tree, rows and numbers of the sample that it is fitted to, and sampled rows a cell needs.
+CELLS, SAMPLE_ROWS, SAMPLE_VALUES, CELL_SAMPLE = 1_024, 16_384, 8_000_000, 8
+#: Components are kept as whole numbers times 2**-UNIT, so that no finite one overflows.
+UNIT = 16
+#: Scores of this size and beyond don't fit a long's range here; their exact value travels beside the clamped one.
+CLAMP = 2**63 - 1
+_EPS = 2.0**-50
+
+
+def quantised(x: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) * 2**-UNIT, exactly, for a power of two as the scale; a double of 2**53 or more is whole already."""
+    with np.errstate(over="ignore"):
+        small = np.abs(x) < 2.0**60
+    return np.where(small, np.floor(np.where(small, x, 0.0) * scale) * 2.0**-UNIT, x * (scale * 2.0**-UNIT))
+
+
+def whole(v: np.ndarray) -> list[int]:
+    """The integers that :func:`quantised` stands for."""
+    return [int(x * 2.0**UNIT) if abs(x) < 2.0**100 else int(x) << UNIT for x in v.tolist()]
+
+
+def _exponent(v: np.ndarray) -> int:
+    """The least e with all |v| < 2**e."""
+    return int(np.frexp(np.abs(v).max())[1]) if v.size else 0
+
+
+def wide_key(z: int) -> bytes:
+    """Bytes that sort like the integers."""
+    size = (abs(z).bit_length() + 7) // 8
+    plain = size.to_bytes(4, "big") + abs(z).to_bytes(size, "big")
+    return b"\x81" + plain if z >= 0 else b"\x80" + bytes(255 - x for x in plain)
+
+
+def wide_value(key: bytes) -> int:
+    plain = key[1:] if key[0] == 0x81 else bytes(255 - x for x in key[1:])
+    return int.from_bytes(plain[4:], "big") * (1 if key[0] == 0x81 else -1)
+
+
+def sortable(score: int) -> tuple[int, bytes]:
+    """(minus the score within a long, the exact value's key where that was cut): the best score sorts first."""
+    if abs(score) < CLAMP:
+        return -score, b""
+    return (-CLAMP if score > 0 else CLAMP), wide_key(-score)
+
+
+def _scaled(x: int, exponent: int) -> float:
+    """x * 2**-exponent, rounded down a little."""
+    cut = max(0, x.bit_length() - 60)
+    try:
+        y = math.ldexp(float(x >> cut), cut - exponent)
+    except OverflowError:
+        return math.inf if x > 0 else -math.inf
+    return y - abs(y) * 2.0**-48 - 1e-300
 
 
 class BallTree:
-    """Nodes in arrays; the rows of a leaf lie together, by id."""
+    """Nodes in arrays; the rows of a leaf lie together, by id. Vectors are held times 2**-shift, so that all are below 1."""
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray) -> None:
         order = np.argsort(ids, kind="stable")
+        self.shift = _exponent(vectors)
+        vectors = np.ldexp(vectors, -self.shift)
         self.centre, self.radius, self.span, self.kids = [], [], [], []
         rows: list[np.ndarray] = []
         self._at = 0
@@ -40,6 +101,7 @@ class BallTree:
         kept = np.concatenate(rows) if rows else order
         self.vectors, self.ids = np.ascontiguousarray(vectors[kept]), ids[kept]
         self.centre, self.radius = np.array(self.centre), np.array(self.radius)
+        self.reach = np.sqrt((self.centre**2).sum(axis=1)) + self.radius
 
     def _build(self, vectors: np.ndarray, order: np.ndarray, rows: list[np.ndarray]) -> None:
         waiting = [(order, -1, 0)]
@@ -53,7 +115,7 @@ class BallTree:
             away = points - centre
             self.centre.append(centre)
             # the least bit more than the largest distance, so that rounding never makes a bound too low
-            self.radius.append(float(np.sqrt(np.einsum("ij,ij->i", away, away).max())) * (1 + 1e-9) + 1e-9)
+            self.radius.append(float(np.sqrt(np.einsum("ij,ij->i", away, away).max())) * (1 + 1e-9) + 1e-12 * points.shape[1])
             if len(part) <= LEAF or self.radius[-1] < 1e-6:
                 self.kids.append([-1, -1])
                 self.span.append((self._at, self._at + len(part)))
@@ -62,28 +124,36 @@ class BallTree:
                 continue
             self.kids.append([-1, -1])
             self.span.append((-1, -1))
-            one = points[np.argmax(np.einsum("ij,ij->i", away, away))]
-            other = points[np.argmax(((points - one) ** 2).sum(axis=1))]
-            along = points @ (other - one)
-            cut = np.argsort(along, kind="stable")
-            half = len(part) // 2
-            left = np.zeros(len(part), bool)
-            left[cut[:half]] = True
+            left = halves(points, away, len(part) // 2)
             waiting += [(part[left], me, 0), (part[~left], me, 1)]
 
-    def search(self, queries: np.ndarray, own: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Scores and ids (best first, ties to smaller ids; -inf where there are fewer) for a block of queries.
+    def search(self, queries: np.ndarray, own: np.ndarray, floor: list[int | None], k: int) -> Iterator[tuple[int, int, int]]:
+        """(place of the query, id, score) of each query's k best, ties to smaller ids.
 
         ``floor``: scores that the k-th best is known to reach; rows below it may be left out.
         """
-        n = len(queries)
+        if not len(self.ids):
+            return
+        tops = np.frexp(np.abs(queries).max(axis=1, initial=0))[1]
+        exact = tops + self.shift + 2 * UNIT + queries.shape[1].bit_length() <= 52
+        if exact.any():
+            at = np.flatnonzero(exact)
+            known = np.array([-np.inf if floor[i] is None else float(max(min(floor[i], 2**62), -(2**62))) for i in at])
+            best, ids = self._floats(np.ldexp(queries[at], self.shift + 2 * UNIT), own[at], known, k)
+            for i, j in zip(*np.nonzero(~np.isneginf(best)), strict=True):
+                yield int(at[i]), int(ids[i, j]), int(best[i, j])
+        for i in np.flatnonzero(~exact):
+            for score, one in self._integers(queries[i], int(own[i]), floor[i], k):
+                yield int(i), one, score
+
+    def _floats(self, queries: np.ndarray, own: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """A block of queries together; scores are whole and exact."""
+        n, size = queries.shape
         best = np.full((n, k), -np.inf)
         ids = np.full((n, k), np.iinfo(np.int64).max)
-        least = floor.astype(float).copy()
+        least = floor.copy()
         norms = np.sqrt((queries**2).sum(axis=1))
-        if not len(self.ids):
-            return best, ids
-        bounds = lambda node, who: queries[who] @ self.centre[node] + norms[who] * self.radius[node] + 1e-6
+        bounds = lambda node, who: queries[who] @ self.centre[node] + norms[who] * (self.radius[node] + size * _EPS * self.reach[node]) + 1e-6
         everyone = np.arange(n)
         first = bounds(0, everyone)
         heap = [(-float(first.max()), 0, 0, everyone, first)]
@@ -123,71 +193,206 @@ class BallTree:
         ids[who] = np.take_along_axis(all_ids, pick, 1)
         least[who] = np.maximum(least[who], best[who][:, k - 1])
 
+    def _integers(self, query: np.ndarray, own: int, floor: int | None, k: int) -> list[tuple[int, int]]:
+        """One query; floats bound the scores, and rows that the bounds leave are scored in whole numbers."""
+        shift, exact = _exponent(query), whole(query)
+        q, size, to = np.ldexp(query, -shift), len(query), shift + self.shift + 2 * UNIT
+        norm = float(np.sqrt((q**2).sum()))
+        slack = lambda reach: size * _EPS * norm * reach + 1e-290
+        bound = lambda node: float(q @ self.centre[node]) + norm * self.radius[node] + slack(self.reach[node])
+        least = -math.inf if floor is None else _scaled(floor, to)
+        found: list[tuple[int, int]] = []
+        heap = [(-bound(0), 0)]
+        while heap and -heap[0][0] >= least:
+            node = heapq.heappop(heap)[1]
+            if self.kids[node][0] >= 0:
+                for kid in self.kids[node]:
+                    heapq.heappush(heap, (-bound(kid), kid))
+                continue
+            a, b = self.span[node]
+            rows = self.vectors[a:b]
+            most = rows @ q + slack(np.sqrt((rows**2).sum(axis=1)))
+            for i in np.flatnonzero(most >= least) + a:
+                if (one := int(self.ids[i])) != own and most[i - a] >= least:
+                    score = sum(x * y for x, y in zip(exact, whole(np.ldexp(self.vectors[i], self.shift)), strict=True))
+                    found = heapq.nsmallest(k, [*found, (-score, one)])
+                    if len(found) == k:
+                        least = max(least, _scaled(-found[-1][0], to))
+        return [(-s, one) for s, one in found]
+
+
+def halves(points: np.ndarray, away: np.ndarray, count: int) -> np.ndarray:
+    """A mask of the ``count`` points that lie nearest to one end of the direction between two points far apart."""
+    one = points[np.argmax(np.einsum("ij,ij->i", away, away))]
+    other = points[np.argmax(((points - one) ** 2).sum(axis=1))]
+    left = np.zeros(len(points), bool)
+    left[np.argsort(points @ (other - one), kind="stable")[:count]] = True
+    return left
+
+
+class Cells:
+    """The top of a ball tree over a sample: hyperplanes down to cells, and a centre for each cell."""
+
+    def __init__(self, sample: np.ndarray, cells: int) -> None:
+        self.normal, self.cut, self.kids, centres = [], [], [], []
+        waiting = [(sample, cells, -1, 0)]
+        while waiting:
+            points, n, parent, side = waiting.pop()
+            centre = points.mean(axis=0) if len(points) else np.zeros(sample.shape[1])
+            away = points - centre
+            spread = np.einsum("ij,ij->i", away, away)
+            if n <= 1 or len(points) < 2 or not spread.max() > 0:
+                me = -1 - len(centres)
+                centres.append(centre)
+            else:
+                me = len(self.kids)
+                one = points[np.argmax(spread)]
+                with np.errstate(over="ignore", invalid="ignore"):
+                    other = points[np.argmax(((points - one) ** 2).sum(axis=1))]
+                    along = points @ (other - one)
+                cut = float(np.partition(along, len(points) * (n // 2) // n)[len(points) * (n // 2) // n])
+                self.normal.append(other - one)
+                self.cut.append(cut)
+                self.kids.append([0, 0])
+                waiting += [(points[along < cut], n // 2, me, 0), (points[~(along < cut)], n - n // 2, me, 1)]
+            if parent >= 0:
+                self.kids[parent][side] = me
+        self.centres, self.kids = np.array(centres), np.array(self.kids, np.int64).reshape(-1, 2)
+        self.normal = np.array(self.normal).reshape(-1, sample.shape[1])
 
-_HITS = "query_id long, vec_id long, score long"
+    def of(self, vectors: np.ndarray) -> np.ndarray:
+        """Each vector's cell."""
+        at = np.zeros(len(vectors), np.int64) if len(self.kids) else np.full(len(vectors), -1, np.int64)
+        while (open_rows := np.flatnonzero(at >= 0)).size:
+            node = at[open_rows]
+            with np.errstate(over="ignore", invalid="ignore"):
+                along = np.einsum("ij,ij->i", vectors[open_rows], self.normal[node])
+            at[open_rows] = self.kids[node, (~(along < np.array(self.cut)[node])).astype(int)]
+        return -1 - at
 
 
-def _hits(query_ids: np.ndarray, best: np.ndarray, ids: np.ndarray) -> pd.DataFrame:
-    at, place = np.nonzero(~np.isneginf(best))
-    return pd.DataFrame({"query_id": query_ids[at], "vec_id": ids[at, place], "score": best[at, place].astype(np.int64)})
+_HITS = "query_id long, vec_id long, s long, wide binary"
+
+
+def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All components, and each row's number of them."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float), sizes
 
 
 def search(df: DataFrame, is_query, *, k: int = 5, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k highest inner products, ties to smaller ids.
 
-    ``is_query`` is a condition on the rows of ``df``. Rows whose id is null, or whose vector is null, empty, of another length
-    than most, or holds null or non-finite components take no part. A query's own rows (all rows with its id) are no
-    candidates; a repeated query is searched once, and candidates that repeat count as often as they occur. Extra
-    columns are not read.
+    ``is_query`` is a condition on the rows of ``df``; ``scale`` is a power of two. Rows whose id is null, or whose vector is null or
+    holds null or non-finite components, take no part. An inner product needs vectors of one length: a query meets the rows
+    of its own length, and rows of no components score 0 with each other. A query's own rows (all rows with its id) are no
+    candidates; a repeated query is searched once, with the least of its vectors (the shortest, then by components), and
+    candidates that repeat count as often as they occur. Ranks follow the exact scores; a score beyond a long's range is
+    returned as 2**63 - 1 or its negative. Extra columns are not read.
     """
-    scratch = Scratch(df.sparkSession, "topk")
+    if scale & (scale - 1) or not 0 < scale <= 2**UNIT:
+        raise ValueError("scale has to be a power of two, at most 65536")
+    spark, scratch = df.sparkSession, Scratch(df.sparkSession, "topk")
     x = F.col("v")
-    quantised = F.transform(x, lambda c: F.floor(c.cast("double") * F.lit(float(scale))).cast("long"))
-    whole = x.isNotNull() & (F.size(x) > 0) & ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf"))))
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
-    rows = rows.where(F.col("id").isNotNull()).where(F.coalesce(whole, F.lit(False))).withColumn("v", quantised)
-    total, width = rows.agg(F.count(F.lit(1)), F.mode(F.size("v"), True)).first()
-    if not total:
-        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    shards = -(-total // SHARD_ROWS)
-    # a shard is a range of hashed ids and of places read, so that rows that share an id don't share a shard
-    home = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
-    rows = scratch.table(rows.where(F.size("v") == width).withColumn("shard", F.when(F.col("asks"), home).otherwise(F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(shards)).cast("int"))), "rows")
+    fine = x.isNotNull() & ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf"))))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    rows = rows.where(F.col("id").isNotNull()).where(F.coalesce(fine, F.lit(False)))
+    widths = rows.groupBy(F.size("v").alias("width")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "width").first()
+    if widths is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    width, total = widths  # the most frequent length: its rows get cells, others are dealt to shards by their ids
+    wanted = max(1, min(SAMPLE_ROWS, SAMPLE_VALUES // max(width, 1)))
+    sample = rows.where(F.size("v") == width).where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(max(1, total // wanted))) == 0).limit(wanted).select("v")
+    sample = [r["v"] for r in sample.collect()] or [[0.0] * width]
+    cells = Cells(quantised(np.array(sample, float).reshape(len(sample), width), scale), max(1, min(CELLS, -(-total // SHARD_ROWS), len(sample) // CELL_SAMPLE)))
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = 0
+        for batch in batches:
+            values, sizes = _vectors(batch.column(1))
+            values = quantised(values, scale)
+            cell, away, own = np.full(len(sizes), -1, np.int32), np.full(len(sizes), np.inf), sizes == width
+            if own.any() and width:
+                mine = values[np.repeat(own, sizes)].reshape(-1, width)
+                cell[own] = cells.of(mine)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    away[own] = np.sqrt(((mine - cells.centres[cell[own]]) ** 2).sum(axis=1))
+            v = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values))
+            yield pa.RecordBatch.from_arrays([batch.column(0), v, batch.column(2), pa.array(sizes.astype(np.int32)), pa.array(cell), pa.array(np.nan_to_num(away, nan=np.inf)), pa.array(np.arange(read, read + len(sizes)))], ["id", "v", "asks", "width", "cell", "away", "place"])
+            read += len(sizes)
+
+    rows = scratch.table(rows.mapInArrow(assign, "id long, v array<double>, asks boolean, width int, cell int, away double, place long"), "rows")
+    where = ["width", "cell", "sub"]
+    shards = scratch.table(rows.groupBy("width", "cell").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("subs"), F.max("away").alias("radius")), "shards")
+    radius = {r["cell"]: r["radius"] for r in shards.where("cell >= 0").select("cell", "radius").collect()}  # at most CELLS rows
+    shards = shards.select("width", "cell", "subs")
+    # rows that share an id don't share a shard: places read deal them, and ids deal queries
+    dealt = lambda *of: F.pmod(F.xxhash64(*of), F.col("subs")).cast("int")
+    rows = rows.join(shards, ["width", "cell"]).withColumn("sub", dealt("id", "place"))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = BallTree(np.vstack(pdf["v"].to_numpy()).astype(float), pdf["id"].to_numpy(np.int64))
-        return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "tree": [pickle.dumps(tree, protocol=5)]})
-
-    trees = scratch.table(rows.groupBy("shard").applyInPandas(build, "shard int, tree binary"), "trees")
-    queries = rows.where("asks").groupBy("id").agg(F.min_by("v", F.struct("shard", "v")).alias("v"), F.min("shard").alias("home"))
-    blocks = -(-max(queries.count(), 1) // BLOCK)
-    queries = scratch.table(queries.withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(blocks)).cast("int")), "queries")
-
-    def look(_key, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        if not len(held) or not len(asked):
-            return pd.DataFrame({c: np.empty(0, np.int64) for c in ("query_id", "vec_id", "score")})
-        tree = pickle.loads(held["tree"].iloc[0])  # noqa: S301  written by build() above
+        tree = BallTree(np.array(pdf["v"].to_list(), float).reshape(len(pdf), -1), pdf["id"].to_numpy(np.int64))
+        return pd.DataFrame({**{c: pdf[c].iloc[:1] for c in where}, "tree": [pickle.dumps(tree, protocol=5)]})
+
+    trees = scratch.table(rows.select("id", "v", *where).groupBy(*where).applyInPandas(build, "width int, cell int, sub int, tree binary"), "trees")
+    asked = rows.where("asks").groupBy("id").agg(F.min(F.struct("width", "v", "cell")).alias("q")).select("id", "q.v", "q.width", "q.cell")
+    queries = scratch.table(asked.join(shards, ["width", "cell"]).select("id", "v", "width", "cell", dealt("id").alias("sub"), "subs"), "queries")
+
+    def look(_key, asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for at in range(0, len(asked), TOGETHER):
-            part = asked.iloc[at : at + TOGETHER]
-            q, ids = np.vstack(part["v"].to_numpy()).astype(float), part["id"].to_numpy(np.int64)
-            out.append(_hits(ids, *tree.search(q, ids, part["floor"].to_numpy(float), k)))
-        return pd.concat(out, ignore_index=True)
-
-    def round_of(asked: DataFrame, held: DataFrame) -> DataFrame:
-        by = ["shard", "block"]
-        return asked.select("id", "v", "floor", *by).groupBy(*by).cogroup(held.groupBy(*by)).applyInPandas(look, _HITS)
-
-    # a query's own shard holds about as many queries as a shard has of all rows
-    own = queries.select("id", "v", F.col("home").alias("shard"), F.lit(0).alias("block"), F.lit(float("-inf")).alias("floor"))
-    first = scratch.table(round_of(own, trees.withColumn("block", F.lit(0))), "first")
-    if shards > 1:
-        kth = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("least"))
-        floors = queries.join(kth, queries["id"] == kth["query_id"], "left").withColumn("floor", F.when(F.col("n") >= k, F.col("least")).otherwise(F.lit(float("-inf"))))
-        others = floors.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home")
-        hits = first.unionByName(scratch.table(round_of(others, trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))), "rest"))
-    else:
-        hits = first
-    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)  # k rows per query and shard at most
-    ranked = hits.groupBy("query_id").agg(best.alias("top")).select("query_id", F.posexplode("top").alias("place", "hit"))
-    return ranked.select("query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.s")).alias("score"))
+        if len(held):
+            tree = pickle.loads(held["tree"].iloc[0])  # noqa: S301  written by build() above
+            for at in range(0, len(asking), TOGETHER):
+                part = asking.iloc[at : at + TOGETHER]
+                ids = part["id"].to_numpy(np.int64)
+                floors = [None if w is None else -wide_value(w) if w else -int(s) for s, w in zip(part["s"], part["wide"], strict=True)]
+                out += [(int(ids[i]), one, *sortable(score)) for i, one, score in tree.search(np.array(part["v"].to_list(), float).reshape(len(part), -1), ids, floors, k)]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "s", "wide"]).astype({"query_id": "int64", "vec_id": "int64", "s": "int64"})
+
+    def round_of(asking: DataFrame, name: str) -> DataFrame:
+        """Hits of (id, v, shard, s, wide), in blocks of queries; a shard's tree goes to each of its blocks."""
+        sizes = asking.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+        sizes = scratch.table(sizes, f"{name}-blocks")
+        by = [*where, "block"]
+        parts = asking.join(sizes, where).withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")).cast("int")).select("id", "v", "s", "wide", *by)
+        held = trees.join(sizes, where).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("tree", *by)
+        return scratch.table(parts.groupBy(*by).cogroup(held.groupBy(*by)).applyInPandas(look, _HITS), name)
+
+    none = [F.lit(0).cast("long").alias("s"), F.lit(None).cast("binary").alias("wide")]  # no floor is known
+    first = round_of(queries.select("id", "v", *where, *none), "first")
+    worst = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("s", "wide")).alias("kth")).where(F.col("n") >= k).select(F.col("query_id").alias("id"), "kth.s", "kth.wide")
+    known = queries.join(worst, "id", "left").select("id", "v", *where, F.coalesce("s", F.lit(0)).alias("s"), "wide")
+    centres, reach = cells.centres, np.array([radius.get(c, -np.inf) for c in range(len(cells.centres))])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The cells whose ball reaches a query's k-th score; its own one is always among them."""
+        names = ["id", "v", "width", "home", "home_sub", "s", "wide", "cell"]
+        for batch in batches:
+            values, sizes = _vectors(batch.column("v"))
+            s, wide = batch.column("s").to_pylist(), batch.column("wide").to_pylist()
+            far = [[c] for c in batch.column("cell").to_pylist()]
+            own = np.flatnonzero(batch.column("cell").to_numpy() >= 0)
+            if len(own):
+                q = values[np.repeat(batch.column("cell").to_numpy() >= 0, sizes)].reshape(len(own), -1)
+                norm = np.sqrt((q**2).sum(axis=1))
+                with np.errstate(all="ignore"):
+                    slack = q.shape[1] * _EPS * (np.sqrt((centres**2).sum(axis=1)) + reach)
+                    bound = q @ centres.T + norm[:, None] * (reach * (1 + 1e-9) + slack)[None, :] + 1e-12
+                    floor = np.array([-np.inf if wide[i] is None or s[i] >= CLAMP else math.ldexp(-float(s[i]), -2 * UNIT) for i in own])
+                    floor -= np.where(np.isfinite(floor), np.abs(floor) * 1e-12, 0)
+                    visits = ~(bound < floor[:, None]) & ~np.isneginf(reach)[None, :]
+                visits[np.arange(len(own)), batch.column("cell").to_numpy()[own]] = True
+                for i, row in zip(own.tolist(), visits, strict=True):
+                    far[i] = np.flatnonzero(row).tolist()
+            n = [len(c) for c in far]
+            at = pa.array(np.repeat(np.arange(len(n)), n))
+            taken = [batch.column(c).take(at) for c in ("id", "v", "width", "cell", "sub", "s", "wide")]
+            yield pa.RecordBatch.from_arrays([*taken, pa.array(np.concatenate([np.array(c, np.int32) for c in far]) if len(n) else np.empty(0, np.int32))], names)
+
+    sent = known.mapInArrow(spread, "id long, v array<double>, width int, home int, home_sub int, s long, wide binary, cell int")
+    sent = sent.join(shards, ["width", "cell"]).withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
+    sent = scratch.table(sent.where("cell <> home or sub <> home_sub").select("id", "v", *where, "s", "wide"), "sent")
+    hits = first.unionByName(round_of(sent, "rest"))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("s", "wide", "vec_id"))
+    ranked = hits.withColumn("rank", place).where(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", (-F.col("s")).alias("score"))

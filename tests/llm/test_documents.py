@@ -340,6 +340,42 @@ def test_topk_ties_and_odd_vectors(spark):
     assert topk.search(few.limit(0), F.lit(True)).collect() == []
 
 
+def big_topk(rows, asks, k=5, scale=256):
+    """By whole numbers of any size, all rows against all queries of their length."""
+    from fractions import Fraction
+
+    held = [(i, [(Fraction(x) * scale).__floor__() for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for q in sorted({i for i, _ in held if i % asks == 0}):
+        asked = min((v for i, v in held if i == q), key=lambda v: (len(v), v))
+        scores = sorted((-sum(x * y for x, y in zip(asked, v, strict=True)), i) for i, v in held if i != q and len(v) == len(asked))
+        out += [(q, n + 1, i, max(-(2**63) + 1, min(2**63 - 1, -s))) for n, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("shard_rows", [16_384, 20])
+def test_topk_of_large_components(spark, monkeypatch, shard_rows):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(topk, "SHARD_ROWS", shard_rows)
+    monkeypatch.setattr(topk, "LEAF", 4)
+    rng = np.random.default_rng(4)
+    rows = [(0, [1e6, 1 / 256]), (1, [1e6, 0.0]), (2, [1e6, 1 / 256]), (3, [1e6, -1 / 256]), (5, []), (10, []), (15, [1.5]), (20, [2.0]), (21, [-3.0])]
+    rows += [(100 + i, (rng.normal(size=2) * 10.0 ** rng.integers(-2, 9)).tolist()) for i in range(60)]
+    rows += [(200 + i, (rng.normal(size=2) * 10.0 ** rng.integers(30, 300)).tolist()) for i in range(60)]
+    rows += [(300, [3e38, 3e38]), (301, [-3e38, 3e38]), (302, [1.7e308, 1.7e308]), (303, [-1.7e308, 1e-300]), (305, [2.0**53 + 2, 1.0]), (306, [2.0**53, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.search(df, F.col("vec_id") % 5 == 0).collect())
+    assert got == big_topk(rows, 5)
+    assert [r[2:] for r in got if r[:2] == (0, 1)] != []
+
+
+@given(st.lists(st.integers(-(2**90), 2**90), min_size=1))
+def test_wide_scores_sort(scores):
+    assert [s for _, s in sorted((topk.sortable(s), s) for s in scores)] == sorted(scores, reverse=True)
+    assert all(topk.wide_value(topk.wide_key(s)) == s for s in scores)
+
+
 # pages
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body class="home">

@@ -254,19 +254,63 @@ def test_statistics(text):
     assert quality.text_statistics(text) == slow_statistics(text)
 
 
-def slow_mcd(x: np.ndarray, mcd: quality.MCD):
-    """Concentration steps by hand, with the same bins."""
-    floor = np.diag(np.square(list(quality.STATISTICS.values())))
-    keep, factor = np.ones(len(x), bool), 1.0
-    for step in range(mcd.steps + 1):
-        if step:
-            at = np.where(d <= 2.0**-quality.LOW, 0, np.minimum((quality.LOW + quality.HIGH) * mcd.per_octave, np.ceil((np.log2(np.maximum(d, 1e-300)) + quality.LOW) * mcd.per_octave)))
-            last = np.sort(at)[int(np.ceil(mcd.support * len(x) - 1e-9)) - 1]
-            keep, factor = at <= last, 1.4
-        mean = x[keep].mean(axis=0)
-        inverse = np.linalg.inv(np.cov(x[keep].T, bias=True) * factor + floor)
-        d = np.einsum("ij,jk,ik->i", x - mean, inverse, x - mean)
-    return d
+FLOOR = np.diag(np.square(list(quality.STATISTICS.values())))
+
+
+def slow_mcd(x: np.ndarray, mcd: quality.MCD, trials: int = 60):
+    """Distances to the least determinant found from many random subsets, with exact nearest rows: no bins, no sums."""
+    rng, best = np.random.default_rng(3), (np.inf, None)
+    h, factor = int(np.ceil(mcd.support * len(x))), quality.consistency(mcd.support)
+    for _ in range(trials):
+        keep = rng.choice(len(x), min(len(x), 6), replace=False)
+        before = np.inf
+        while True:
+            mean, scatter = x[keep].mean(axis=0), np.cov(x[keep].T, bias=True) * factor + FLOOR
+            now = np.linalg.slogdet(scatter)[1] if len(keep) == h else np.inf
+            if now < best[0]:
+                best = now, (mean, np.linalg.inv(scatter))
+            if len(keep) == h and before - now < 1e-9:
+                break
+            before = now
+            d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(scatter), x - mean)
+            keep = np.argsort(d, kind="stable")[:h]
+    mean, inverse = best[1]
+    return best[0], np.einsum("ij,jk,ik->i", x - mean, inverse, x - mean)
+
+
+def model_of(spark, x: np.ndarray, mcd: quality.MCD):
+    """Log determinant and distances by the operator, for rows of one group."""
+    rows = spark.createDataFrame([("a", "a", "a", *map(float, v)) for v in x], "g2 string, g1 string, g0 string, " + ", ".join(f"x{i} double" for i in range(5)))
+    m = quality.robust_model(rows, mcd, Scratch(spark, "test")).where("level = 0").first()
+    inverse = np.zeros((5, 5))
+    for i in range(5):
+        for j in range(i, 5):
+            inverse[i, j] = inverse[j, i] = m[f"w{i}{j}"]
+    away = x - np.array([m[f"m{i}"] for i in range(5)])
+    return m["logdet"], np.einsum("ij,jk,ik->i", away, inverse, away)
+
+
+@pytest.mark.parametrize("away", [8, 30])
+def test_outliers_in_a_cluster_are_rejected(spark, away):
+    """A fifth of the rows close together, far from the others: the plain estimate would take them in."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2000, 5)) * 3
+    x[:400] = np.array([away * 3, 0, 0, 0, 0]) + rng.normal(size=(400, 5)) * 0.3
+    mcd = quality.MCD()
+    logdet, d = model_of(spark, x, mcd)
+    assert (d[:400] > mcd.cutoff).all() and (d[400:] <= mcd.cutoff).all()
+    least, want = slow_mcd(x, mcd)
+    assert logdet == pytest.approx(least, abs=0.05)
+    assert np.corrcoef(d, want)[0, 1] > 0.999 and np.median(d[400:] / want[400:]) == pytest.approx(1, abs=0.05)
+
+
+def test_consistency_factor():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400_000, 5))
+    d = (x**2).sum(axis=1)
+    near = x[d <= np.quantile(d, 0.75)]
+    assert quality.consistency(0.75) == pytest.approx(1 / near.var(axis=0).mean(), rel=0.01)
+    assert quality.consistency(1.0) == 1.0 and quality.chi2_share(6.626, 5) == pytest.approx(0.75, abs=1e-3)
 
 
 def test_quality_equals_brute_force(spark, data):
@@ -284,15 +328,20 @@ def test_quality_equals_brute_force(spark, data):
         for g in {level(i) for i in good}:
             members = [i for i in good if level(i) == g]
             if g == 0 or len(members) >= 40:
-                d |= dict(zip(members, slow_mcd(np.array([vec[i] for i in members]), mcd), strict=True))
+                d |= dict(zip(members, slow_mcd(np.array([vec[i] for i in members]), mcd)[1], strict=True))
+    near = {}
     for i, s in stats.items():
         r = got[i]
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == (*s, bad[i])
         if bad[i]:
             assert not r["kept"]
         else:
-            assert r["distance2"] == pytest.approx(d[i], rel=1e-6, abs=2e-6)
-            assert r["kept"] == (d[i] <= mcd.cutoff)
+            near[i] = (r["distance2"], d[i])
+            assert r["kept"] == (r["distance2"] <= mcd.cutoff)
+            if not 0.8 < d[i] / mcd.cutoff < 1.25:  # the search by random subsets ends elsewhere by a little
+                assert r["kept"] == (d[i] <= mcd.cutoff)
+    ours, theirs = np.array(list(near.values())).T
+    assert np.corrcoef(np.log1p(ours), np.log1p(theirs))[0, 1] > 0.98
 
 
 def test_quality_odd_rows(spark):
@@ -302,6 +351,10 @@ def test_quality_odd_rows(spark):
     assert len(got) == len(rows) and not any(r["kept"] for r in got if (r["n_words"] or 0) < 20)
     assert quality.quality(df.limit(0)).collect() == []
     assert quality.filtered(df).columns == df.columns
+    fine = " ".join(f"plain{i}" for i in range(60))
+    rows = [(1, "bad text", "en", "s", 1), (1, fine, "en", "s", 2), (1, fine, "en", "s", 2), (None, "bad text", "en", "s", 3), (None, fine, None, "s", 4), (2, "word " * 30, "en", "s", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, __id int")
+    assert sorted(r["__id"] for r in quality.filtered(df).collect()) == [2, 2, 4]  # each row by its own verdict
 
 
 # search

@@ -215,8 +215,8 @@ def test_rollup_of_deltas(spark, data, tmp_path, plain):
 def test_rollup_retries_and_odd_rows(spark, tmp_path):
     rollup = rollups.Rollup(spark, f"file://{tmp_path}/r")
     df = spark.createDataFrame([("x y", None, "s", 1, 9), (None, "en", "s", 1, 9), ("x y", None, "s", 1, 9), ("z", "en", "s", None, 9)], "text string, lang string, source string, sign int, n_tokens int")
-    (tmp_path / "r" / "batch=b").mkdir(parents=True)
-    (tmp_path / "r" / "batch=b" / "part-0.parquet").write_bytes(b"left by a job that died")
+    (tmp_path / "r" / "attempt-1").mkdir(parents=True)
+    (tmp_path / "r" / "attempt-1" / "part-0.parquet").write_bytes(b"left by a job that died")
     assert rollup.batches() == []
     assert rollup.apply("b", df, {"v": GPT})
     assert {tuple(r) for r in rollup.totals().collect()} == {("s", None, "v", 2, 4, 6, 6), ("s", "en", "v", 1, 0, 0, 0)}
@@ -224,7 +224,50 @@ def test_rollup_retries_and_odd_rows(spark, tmp_path):
         rollup.apply("../x", df, {"v": GPT})
 
 
-def test_rollup_query(spark, data):
-    got = queries.op3_token_rollup(spark, data).collect()
-    n = spark.read.parquet(f"{data}/documents.parquet").count()
-    assert sum(r["n_docs"] for r in got if r["tokenizer"] == "byte_bpe_50k") == n == sum(r["n_docs"] for r in got if r["tokenizer"] == "byte_bpe_multi_50k")
+def test_rollup_writers_with_one_id(spark, tmp_path):
+    rollup = rollups.Rollup(spark, f"file://{tmp_path}/r")
+    df = spark.createDataFrame([("x y", "en", "s")], "text string, lang string, source string")
+    other = rollups.Rollup(spark, f"file://{tmp_path}/r")
+    assert rollup.apply("b", df, {"v": GPT})
+    other.committed = lambda batch: False  # it looked before the first one had committed
+    assert not other.apply("b", df.unionByName(df), {"v": GPT})
+    assert [r["n_docs"] for r in rollup.totals().collect()] == [1]
+    assert sorted(p.name for p in (tmp_path / "r").iterdir()) == ["batch=b"]
+
+
+def test_rollup_compaction(spark, tmp_path):
+    rollup = rollups.Rollup(spark, f"file://{tmp_path}/r")
+    schema = "text string, lang string, source string, sign int"
+    assert not rollup.compact()
+    rollup.apply("a", spark.createDataFrame([("x" * 300_000, "en", "s", 1), ("y z", "en", "t", 1)], schema), {"v": GPT})
+    rollup.apply("none", spark.createDataFrame([], schema), {"v": GPT})
+    assert rollup.compact() and not rollup.compact()
+    rollup.apply("b", spark.createDataFrame([("y z", "en", "t", -1), ("y", "en", "s", 1)], schema), {"v": GPT})
+    want = {tuple(r) for r in rollup.totals().collect()}
+    assert {r[:2] + r[3:4] for r in want} == {("s", "en", 2)} and {r[5] for r in want} == {300_001}
+    assert rollup.compact()
+    rollup.prune()
+    assert not rollup.apply("a", spark.createDataFrame([("x", "en", "s", 1)], schema), {"v": GPT})
+    assert {tuple(r) for r in rollup.totals().collect()} == want and rollup.batches() == ["a", "b", "none"]
+
+
+def test_rollup_query(spark, data, plain, tik):
+    """Both vocabularies by their libraries, over what the batches leave."""
+    import re
+
+    rows, first = spark.read.parquet(f"{data}/documents.parquet").collect(), {}
+    for r in rows:
+        if r["text"] is not None:
+            first[r["text"]] = min(r["doc_id"], first.get(r["text"], r["doc_id"]))
+    want = defaultdict(lambda: [0, 0, 0, 0])
+    n_masked = 0
+    for r in rows:
+        if r["text"] is not None and first[r["text"]] < r["doc_id"]:
+            continue
+        t = re.sub(queries.EMAIL, "<email>", r["text"] or "")
+        n_masked += t != (r["text"] or "")
+        for name, n in (("byte_bpe_50k", len(plain.encode(t, add_special_tokens=False).ids)), ("byte_bpe_multi_50k", len(tik.encode_ordinary(t)))):
+            for k, v in enumerate((1, n, len(t), len(t.encode()))):
+                want[r["source"], r["lang"], name][k] += v
+    assert n_masked and sum(v[0] for v in want.values()) < 2 * len(rows)
+    assert {tuple(r)[:3]: list(r)[3:] for r in queries.op3_token_rollup(spark, data).collect()} == dict(want)

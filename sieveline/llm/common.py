@@ -12,6 +12,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NullType
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -27,9 +28,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir where it is set, else one of our own (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset in local mode one of our own."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = spark.conf.get("spark.sieveline.own.dir", None)
         if not at:
             at = tempfile.mkdtemp(prefix="sieveline-")
@@ -37,6 +41,14 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def integral(df: DataFrame, column: str) -> DataFrame:
+    """``df``, whose ids have to be whole numbers: of a text as id a cast to long would make a null."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, IntegralType | NullType):
+        raise TypeError(f"{column} has to be an integer column, not {kind.simpleString()}")
+    return df
+
+
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)

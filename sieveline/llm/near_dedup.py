@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import BASE, WORDS, Scratch, mix, prepare, windows_hash
+from sieveline.llm.common import BASE, WORDS, Scratch, integral, mix, prepare, windows_hash
 from sieveline.llm.components import _root, components
 
 
@@ -301,12 +301,12 @@ def near_duplicates(df: DataFrame, *, n_words: int = 5, threshold: float = 0.8,
     """id, n_shingles, component_id (the smallest id that links reach), kept (the id is its component's), per row.
 
     Texts without words (null, empty, blank) have no shingles and are linked with nothing. Rows that share an id are one
-    node; a row without an id takes no part, has no component and is kept. Ties don't arise: every link counts. Other
+    node; ids are integers, of any width, and others raise; a row without an id takes no part, has no component and is kept. Ties don't arise: every link counts. Other
     columns of ``df`` are not read.
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "near")
-    slim = df.select(F.col(id_col), F.col(text_col).alias("text"))
+    slim = integral(df, id_col).select(F.col(id_col), F.col(text_col).alias("text"))
     docs = scratch.table(signatures(slim, n_words, forest, id_col, "text"), "signatures")
     member = docs.where("id is not null and n_shingles > 0")
     classes = member.groupBy("k1", "k2").agg(F.min("id").alias("rep"))

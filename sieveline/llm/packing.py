@@ -17,14 +17,17 @@ Sequences of a window that are less than half full are opened again with the nex
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sieveline.llm import bpe
 from sieveline.llm.common import prepare
@@ -176,13 +179,12 @@ def pack_pieces(df: DataFrame, path: str, pattern: str | None = None, *, capacit
     columns, whatever their names, are not read.
     """
     prepare(df.sparkSession)
-    kind = df.schema[id_col].dataType.simpleString()
+    kind, id_type = df.schema[id_col].dataType.simpleString(), to_arrow_type(df.schema[id_col].dataType)
     closing = np.array([closing_id], "<u4").tobytes()
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        id_type = pa.string() if kind == "string" else pa.int64() if kind == "bigint" else pa.int32()
         types = [id_type, *[pa.int64()] * 6]
 
         def batch_of() -> pa.RecordBatch:
@@ -214,13 +216,12 @@ def pack_matrix(df: DataFrame, path: str, pattern: str | None = None, *, capacit
     prepare(df.sparkSession)
     if capacity > 65536:
         raise ValueError("positions are written as 16-bit words")
-    kind = df.schema[id_col].dataType.simpleString()
+    kind, id_type = df.schema[id_col].dataType.simpleString(), to_arrow_type(df.schema[id_col].dataType)
     closing = np.array([closing_id], "<u4").tobytes()
     names = ["sequence_id", "n_tokens", "input_ids", "cu_seqlens", "position_ids", "doc_ids", "starts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ramp = np.arange(capacity, dtype="<u2").tobytes()
-        id_type = pa.string() if kind == "string" else pa.int64() if kind == "bigint" else pa.int32()
         types = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.binary(), pa.list_(id_type), pa.list_(pa.int64())]
         rows: list[tuple] = []
 
@@ -243,3 +244,48 @@ def pack_matrix(df: DataFrame, path: str, pattern: str | None = None, *, capacit
             yield batch_of()
 
     return df.select(id_col, text_col).mapInArrow(run, f"sequence_id long, n_tokens int, input_ids binary, cu_seqlens array<int>, position_ids binary, doc_ids array<{kind}>, starts array<long>")
+
+
+def write_matrix(packed: DataFrame, path: str) -> DataFrame:
+    """Write the sequences of :func:`pack_matrix` as binary files below ``path`` and return their index, a row per file set.
+
+    Each task writes ``<file>.ids`` (a row of ``capacity`` little-endian unsigned 32-bit ids per sequence), ``<file>.pos``
+    (as many unsigned 16-bit positions) and ``<file>.cu`` (per sequence the number of its cumulative lengths, then these, as
+    unsigned 32-bit words). The index (file, n_sequences, n_tokens, capacity, ids_crc32) is written last, to
+    ``path/index``, by the tasks that wrote the files: what a lost or repeated task has left is not in it. ``path`` is a folder
+    that driver and executors share. No sequences: an empty index.
+    """
+    spark, path = packed.sparkSession, path.rstrip("/")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, at = fs.FileSystem.from_uri(path)
+        file, files, total, tokens, capacity, crc = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}", None, 0, 0, 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if files is None:
+                store.create_dir(at, recursive=True)
+                files = [store.open_output_stream(f"{at}/{file}.{end}") for end in ("ids", "pos", "cu")]
+            for n, ids, ends, places in zip(*[batch.column(c).to_pylist() for c in ("n_tokens", "input_ids", "cu_seqlens", "position_ids")], strict=True):
+                for out, data in zip(files, (ids, places, np.array([len(ends), *ends], "<u4").tobytes()), strict=True):
+                    out.write(data)
+                total, tokens, capacity, crc = total + 1, tokens + n, len(ids) // 4, zlib.crc32(ids, crc)
+        if files is not None:
+            for out in files:
+                out.close()
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (file, total, tokens, capacity, crc)], ["file", "n_sequences", "n_tokens", "capacity", "ids_crc32"])
+
+    index = packed.select("n_tokens", "input_ids", "cu_seqlens", "position_ids").mapInArrow(run, "file string, n_sequences long, n_tokens long, capacity long, ids_crc32 long")
+    index.write.parquet(f"{path}/index")
+    return spark.read.parquet(f"{path}/index")
+
+
+def read_matrix(path: str, file: str, capacity: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """One file set of :func:`write_matrix`: ids, positions, and each sequence's cumulative lengths."""
+    store, at = fs.FileSystem.from_uri(path.rstrip("/"))
+    ids, places, ends = (np.frombuffer(store.open_input_stream(f"{at}/{file}.{end}").read(), kind) for end, kind in (("ids", "<u4"), ("pos", "<u2"), ("cu", "<u4")))
+    out, i = [], 0
+    while i < len(ends):
+        out.append(ends[i + 1 : i + 1 + ends[i]])
+        i += 1 + int(ends[i])
+    return ids.reshape(-1, capacity), places.reshape(-1, capacity), out

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import WORDS, Scratch, mix, prepare, windows_hash
+from sieveline.llm.common import WORDS, Scratch, integral, mix, prepare, windows_hash
 
 
 @dataclass(frozen=True)
@@ -267,7 +267,7 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def matches(df: DataFrame, sparse: Sparse, scratch: Scratch, *, id_col: str, text_col: str, across: bool) -> DataFrame:
     """(id, spans array of (start, stop, cut_start, cut_stop, other)) of the documents with repeated passages."""
     spark = prepare(df.sparkSession)
-    slim = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    slim = integral(df, id_col).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     suffixes = scratch.table(_suffixes(slim, sparse), "suffixes")
     keys = suffixes.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).where("a < b" if across else "n > 1").select("h", "n")
     keys = scratch.table(keys, "keys")  # written, so that the join's partitions of a hot key can be split
@@ -296,7 +296,7 @@ def repeated_passages(df: DataFrame, sparse: Sparse = Sparse(), *, id_col: str =
     A passage is a maximal run of words that matches cover; words are runs of bytes other than 0x20 and 0x09-0x0D,
     counted from 0. An earlier place is one in a document of smaller id (or, unless ``across``, further up in the same
     one). Null, empty and short texts have no passages; rows without an id take no part; rows that share an id are
-    one document. Other columns are not read.
+    one document; ids that are no integers raise. Other columns are not read.
     """
     scratch = Scratch(df.sparkSession, "suffix")
     spans = matches(df, sparse, scratch, id_col=id_col, text_col=text_col, across=across)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import Scratch
+from sieveline.llm.common import Scratch, integral
 
 LEAF = 128
 #: Rows of a shard, queries of a block, and queries that go down a tree together.
@@ -295,7 +295,7 @@ def search(df: DataFrame, is_query, *, k: int = 5, scale: int = 256, id_col: str
     spark, scratch = df.sparkSession, Scratch(df.sparkSession, "topk")
     x = F.col("v")
     fine = x.isNotNull() & ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf"))))
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    rows = integral(df, id_col).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = rows.where(F.col("id").isNotNull()).where(F.coalesce(fine, F.lit(False)))
     widths = rows.groupBy(F.size("v").alias("width")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "width").first()
     if widths is None:

@@ -237,6 +237,12 @@ def test_window_hashes_and_minimisers(values, n):
     assert at == ({p for p in want if p <= len(h) - s.key} if len(h) >= s.min_words else set())
 
 
+@pytest.mark.parametrize("run", [near_dedup.near_duplicates, suffix_dedup.repeated_passages, lambda df: topk.search(df, df["doc_id"].isNotNull(), id_col="doc_id", vector_col="text")])
+def test_ids_are_integers(spark, run):
+    with pytest.raises(TypeError):
+        run(spark.createDataFrame([("a", "some text")], "doc_id string, text string"))
+
+
 # quality
 
 

@@ -190,6 +190,32 @@ def test_best_fit_decreasing_is_the_textbook_one(lengths):
     assert sorted(got) == sorted(rooms)
 
 
+def test_matrix_files(spark, data, tmp_path):
+    docs = spark.read.parquet(f"{data}/documents.parquet").repartition(3)
+    packed = packing.pack_matrix(docs, *GPT)
+    index = packing.write_matrix(packed, f"file://{tmp_path}/m").collect()
+    assert len(index) == 3 and len(list((tmp_path / "m").iterdir())) == 10
+    rows, got = packed.collect(), Counter()
+    for r in index:
+        ids, places, ends = packing.read_matrix(f"file://{tmp_path}/m", r["file"], r["capacity"])
+        assert len(ids) == len(places) == len(ends) == r["n_sequences"] and sum(int(e[-1]) for e in ends) == r["n_tokens"]
+        assert zlib.crc32(ids.tobytes()) == r["ids_crc32"]
+        for one, place, end in zip(ids, places, ends, strict=True):
+            assert all(place[a] == 0 and place[b - 1] == b - a - 1 for a, b in zip(end[:-1], end[1:], strict=True))
+            got[one.tobytes(), tuple(end.tolist())] += 1
+    assert got == Counter((bytes(r["input_ids"]), tuple(r["cu_seqlens"])) for r in rows)
+    assert packing.write_matrix(packed.limit(0), f"file://{tmp_path}/none").collect() == []
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "decimal(5,0)", "string", "date"])
+def test_packing_with_ids_of_other_types(spark, kind):
+    of = "cast('2024-01-02' as date)" if kind == "date" else f"cast(7 as {kind})"
+    df = spark.sql(f"select {of} as doc_id, 'a b c' as text union all select null, null")
+    for r in packing.pack_pieces(df, *GPT).collect():
+        assert (r["doc_id"] is None) == (r["doc_tokens"] == 1)
+    assert {len(r["doc_ids"]) for r in packing.pack_matrix(df, *GPT).repartition(1).collect()} <= {1, 2}
+
+
 # rollups
 
 

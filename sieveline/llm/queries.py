@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, html_text, near_dedup, packing, quality, rollups, sharding, suffix_dedup, topk
+from sieveline.llm import bpe, html_text, near_dedup, packing, quality, rollups, sharding, sql, suffix_dedup, topk
 from sieveline.llm.common import shared_dir, table
 
 #: Vocabularies: (file, split pattern of rank files).
@@ -86,8 +86,22 @@ def op10_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_pieces(table(spark, sf_dir, "documents"), *GPT_50K)
 
 
+def sharding_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the law of op1 promises, from its result: counts per shard, distinct places, gaps in the slots, and all bytes."""
+    shards = op1_feistel_sharding(spark, sf_dir).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("slot").alias("slots"), (F.max("slot") + 1).alias("reach"), F.sum("size").alias("size"))
+    sums = [F.min("n").alias("least_rows"), F.max("n").alias("most_rows"), F.sum("n").alias("n_rows"), F.sum("slots").alias("n_places"), F.sum(F.col("reach") - F.col("slots")).alias("gaps"), F.sum("size").alias("bytes")]
+    return shards.agg(*sums).select(F.lit("rows").alias("law"), "*")
+
+
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base statistics and rules of op8 for all documents."""
+    return quality.base_statistics(table(spark, sf_dir, "documents"), keys=["doc_id"]).drop("n_lines")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_feistel_sharding, op2_bfd_matrix, op3_token_rollup, op4_text_density, op5_ball_tree, op6_sparse_suffixes, op7_lsh_forest, op8_quality_mcd, op9_byte_bpe, op10_bin_slack_packing)
+    f.__name__: f
+    for f in (op1_feistel_sharding, op2_bfd_matrix, op3_token_rollup, op4_text_density, op5_ball_tree, op6_sparse_suffixes, op7_lsh_forest, op8_quality_mcd, op9_byte_bpe, op10_bin_slack_packing, sharding_laws, quality_base)
 }
-#: None of these can be told in SQL that DuckDB runs (keyed permutations, vocabularies, packing); tests hold them against brute force.
-ORACLES: dict[str, str] = {}
+#: SQL tells searches, near-duplicates, the base rules and what sharding promises. Keyed permutations, vocabularies, packing and
+#: robust estimates it can't; tests hold these against brute force.
+ORACLES: dict[str, str] = {"op5_ball_tree": sql.OP5, "op7_lsh_forest": sql.OP7, "sharding_laws": sql.SHARDING_LAWS, "quality_base": sql.QUALITY_BASE}

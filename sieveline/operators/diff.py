@@ -1,20 +1,21 @@
 """Differences between two sides: rows by key, cells by cause, multisets without a key.
 
-The sides are projected to canonical text once. Rows of repeated keys are set aside by an anti join; what is left is
-joined once by key, and all per-cell results come from one unpivoted frame (key, column, source, target) of the
-cells that differ.
+Both sides are projected to canonical text and meet in one aggregation by key, which counts each side's rows and keeps a
+row of each; copies of a key combine before the shuffle, so a repeated key multiplies nothing. Which keys are on one side,
+on both or repeated, and which cells differ, is all read from that frame. ``keep()`` computes it once for several results.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.functions import canon
 from sieveline.functions.patterns import as_time, pattern, seconds_between
-from sieveline.operators.keys import common_columns, repeated_keys
+from sieveline.operators.keys import common_columns
 
 
 class Diff:
@@ -24,52 +25,73 @@ class Diff:
         self.key, self.date_column = list(key), date_column
         self.columns = [c for c in common_columns(source, target) if c not in self.key]
         self.source, self.target = (self._canonical(x) for x in (source, target))
-        self.repeated = repeated_keys(self.source, self.target, self.key)
-        self.unique_source, self.unique_target = (x.join(self.repeated, self.key, "left_anti") for x in (self.source, self.target))
+        self.frame = self._keyed()
 
     def _canonical(self, df: DataFrame) -> DataFrame:
         kinds = {f.name: f.dataType for f in df.schema.fields}
         return df.select(*[canon.canonical(F.col(f"`{c}`"), kinds[c]).alias(c) for c in [*self.key, *self.columns]])
 
+    def _keyed(self) -> DataFrame:
+        """(k0.., ns, nf, s, f): a row per key with each side's count and, where it is 1, its cells c0..."""
+        keys = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(self.key)]
+        cells = F.struct(F.lit(True).alias("is"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(self.columns)])
+        none = F.when(F.lit(False), cells)
+        s = self.source.select(*keys, F.lit(1).alias("ns"), F.lit(0).alias("nf"), cells.alias("s"), none.alias("f"))
+        f = self.target.select(*keys, F.lit(0).alias("ns"), F.lit(1).alias("nf"), none.alias("s"), cells.alias("f"))
+        return s.unionByName(f).groupBy(*self._keys()).agg(F.sum("ns").alias("ns"), F.sum("nf").alias("nf"), F.max("s").alias("s"), F.max("f").alias("f"))
+
+    def _keys(self) -> list[str]:
+        return [f"k{i}" for i in range(len(self.key))]
+
+    def keep(self) -> Diff:
+        """Compute the frame once for all results that follow; ``drop()`` frees it."""
+        self.frame = self.frame.persist(StorageLevel.MEMORY_AND_DISK)
+        return self
+
+    def drop(self) -> None:
+        self.frame.unpersist()
+
+    def _of(self, condition: str, *columns: Column) -> DataFrame:
+        return self.frame.where(condition).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(self.key)], *columns)
+
+    def _cells(self, side: str, prefix: str = "") -> list[Column]:
+        return [F.col(f"{side}.c{i}").alias(f"{prefix}{c}") for i, c in enumerate(self.columns)]
+
     @property
     def joined(self) -> DataFrame:
-        s = self.unique_source.select(*self.key, *[F.col(f"`{c}`").alias(f"s_{c}") for c in self.columns])
-        f = self.unique_target.select(*self.key, *[F.col(f"`{c}`").alias(f"f_{c}") for c in self.columns])
-        return s.join(f, self.key)
-
-    def _differs(self) -> Column:
-        out = F.lit(False)
-        for c in self.columns:
-            out = out | (F.col(f"s_{c}") != F.col(f"f_{c}"))
-        return out
+        """The key, s_<column> and f_<column> of the keys that occur once on both sides."""
+        return self._of("ns = 1 and nf = 1", *self._cells("s", "s_"), *self._cells("f", "f_"))
 
     def only_source(self) -> DataFrame:
-        return self.unique_source.join(self.unique_target.select(*self.key), self.key, "left_anti")
+        return self._of("ns = 1 and nf = 0", *self._cells("s"))
 
     def only_target(self) -> DataFrame:
-        return self.unique_target.join(self.unique_source.select(*self.key), self.key, "left_anti")
+        return self._of("ns = 0 and nf = 1", *self._cells("f"))
 
     def changed(self) -> DataFrame:
-        return self.joined.where(self._differs())
+        return self._of("ns = 1 and nf = 1 and s <> f", *self._cells("s", "s_"), *self._cells("f", "f_"))
+
+    @property
+    def repeated(self) -> DataFrame:
+        """Keys that occur more than once on a side."""
+        return self._of("ns > 1 or nf > 1")
 
     def repeated_rows(self, side: str) -> DataFrame:
         return (self.source if side == "source" else self.target).join(self.repeated, self.key, "left_semi")
 
     def summary(self) -> DataFrame:
-        """(only_source, only_target, common, changed, repeated_keys, repeated_source, repeated_target) in one row.
-
-        One full outer join of per-key counts decides all of it; the cells are compared in the same pass.
-        """
-        count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-        parts = [
-            count(self.only_source(), "only_source"), count(self.only_target(), "only_target"),
-            self.joined.agg(F.count(F.lit(1)).alias("common"), F.count(F.when(self._differs(), 1)).alias("changed")),
-            count(self.repeated, "repeated_keys"), count(self.repeated_rows("source"), "repeated_source"), count(self.repeated_rows("target"), "repeated_target"),
-        ]
-        out = parts[0].withColumn("__one", F.lit(1))
-        for p in parts[1:]:
-            out = out.join(F.broadcast(p.withColumn("__one", F.lit(1))), "__one")  # one row each
-        return out.drop("__one")
+        """(only_source, only_target, common, changed, repeated_keys, repeated_source, repeated_target) in one row, by one pass."""
+        count = lambda condition, what="1": F.coalesce(F.sum(F.when(F.expr(condition), F.expr(what))), F.lit(0)).cast("long")
+        again = "ns > 1 or nf > 1"
+        return self.frame.agg(
+            count("ns = 1 and nf = 0").alias("only_source"), count("ns = 0 and nf = 1").alias("only_target"), count("ns = 1 and nf = 1").alias("common"), count("ns = 1 and nf = 1 and s <> f").alias("changed"),
+            count(again).alias("repeated_keys"), count(again, "ns").alias("repeated_source"), count(again, "nf").alias("repeated_target"),
+        )
+
+    def classes(self) -> DataFrame:
+        """(what, n_keys, n_source, n_target): keys and rows by repeated, only_source, only_target, changed, equal."""
+        what = F.when(F.expr("ns > 1 or nf > 1"), "repeated").when(F.col("nf") == 0, "only_source").when(F.col("ns") == 0, "only_target").when(F.expr("s <> f"), "changed").otherwise("equal")
+        return self.frame.groupBy(what.alias("what")).agg(F.count(F.lit(1)).alias("n_keys"), F.sum("ns").alias("n_source"), F.sum("nf").alias("n_target"))
 
     def columns_summary(self) -> DataFrame:
         """(column_name, n_different): one sweep over the joined rows."""

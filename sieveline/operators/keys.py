@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.functions import types as K
+from sieveline.operators.profile import distincts
 
-#: Column names that sound like a key.
-KEY_NAME = re.compile(r"(^|_)(id|codigo|cod|key|llave|numero|num|nro|documento|identificacion|partner|bp)(_|$)", re.IGNORECASE)
+#: Words of a column's name that make it likely to be a key, in English and Spanish.
+KEY_WORDS = ("id", "key", "code", "cod", "codigo", "number", "num", "numero", "no", "document", "documento", "uuid")
+KEY_NAME = re.compile(rf"(^|_|[a-z]+_)({'|'.join(KEY_WORDS)}|[a-z]*key)(_|$)", re.IGNORECASE)
 NOT_KEYS = (K.FLOATING, K.DECIMAL, K.TIMESTAMP, K.NESTED, K.BINARY, K.VOID)
 
 
@@ -63,6 +65,20 @@ def repeated_keys(source: DataFrame, target: DataFrame, columns: Sequence[str])
     return again(source).union(again(target)).distinct()
 
 
+#: Sketches of one pass, their relative deviation, and the share of distinct tuples below which a unique combination never falls.
+SKETCHES, DEVIATION, SURELY_REPEATS = 60, 0.03, 0.8
+
+
+def _plausible(df: DataFrame, combinations_: list[tuple[str, ...]], n: int) -> list[tuple[str, ...]]:
+    """Combinations that may be unique: sketches of their tuples' digests, one pass that shuffles nothing but sketches, refute the others."""
+    out = []
+    for at in range(0, len(combinations_), SKETCHES):
+        part = combinations_[at : at + SKETCHES]
+        row = df.agg(*[F.approx_count_distinct(F.xxhash64(*[F.col(f"`{c}`") for c in x]), DEVIATION).alias(f"d{i}") for i, x in enumerate(part)]).first()
+        out += [x for i, x in enumerate(part) if row[f"d{i}"] >= SURELY_REPEATS * n]
+    return out
+
+
 @dataclass
 class Key:
     """A key, where it comes from, and what was noticed on the way."""
@@ -76,8 +92,9 @@ def discover(source: DataFrame, target: DataFrame, declared: Sequence[str] | Non
     """The key that pairs most rows: the declared one if it is unique on both sides, one column, two or three, or a column
     that is almost unique (95 % on both sides) and pairs more.
 
-    A bounded number of aggregations: one profile per side, at most 6 coverage joins of one column, 20 unique
-    combinations of the 10 most selective columns, and 6 more joins for almost unique columns.
+    A bounded number of passes: one profile per side, at most 6 coverage joins of one column, per size one pass of sketches
+    over the combinations of the 10 most selective columns, an exact test of up to 20 that the sketches don't refute, and
+    6 more joins for almost unique columns.
     """
     notes: list[str] = []
     columns = common_columns(source, target)
@@ -93,8 +110,9 @@ def discover(source: DataFrame, target: DataFrame, declared: Sequence[str] | Non
 
     def profile(side: DataFrame) -> tuple[int, dict[str, tuple[int, int]]]:
         usable = [c for c in columns if all(k[c] not in (K.NESTED, K.BINARY, K.VOID) for k in kinds)]
-        row = side.agg(F.count(F.lit(1)).alias("n"), *[e for i, c in enumerate(usable) for e in (F.count(f"`{c}`").alias(f"a{i}"), F.countDistinct(f"`{c}`").alias(f"d{i}"))]).first()
-        return row["n"], {c: (row[f"a{i}"], row[f"d{i}"]) for i, c in enumerate(usable)}
+        row = side.agg(F.count(F.lit(1)).alias("n"), *[F.count(f"`{c}`").alias(f"a{i}") for i, c in enumerate(usable)]).first()
+        found = {r["column_name"]: r["n_distinct"] for r in distincts(side.select(*[f"`{c}`" for c in usable])).collect()} if usable else {}
+        return row["n"], {c: (row[f"a{i}"], found[c]) for i, c in enumerate(usable)}
 
     (n_s, of_s), (n_f, of_f) = profile(source), profile(target)
     if not columns or not n_s or not n_f:
@@ -112,15 +130,14 @@ def discover(source: DataFrame, target: DataFrame, declared: Sequence[str] | Non
     selective = sorted(usable, key=lambda c: (-min(of_s[c][1] / n_s, of_f[c][1] / n_f), not named[c]))[:10]
     tested = 0
     for size in range(2, max_columns + 1):
-        for some in combinations(selective, size):
-            if tested >= 20 or prod(min(of_s[c][1], of_f[c][1]) for c in some) < max(n_s, n_f):
-                continue
-            if is_unique(source, some) and is_unique(target, some):
+        some = [x for x in combinations(selective, size) if prod(min(of_s[c][1], of_f[c][1]) for c in x) >= max(n_s, n_f)]
+        for found in _plausible(source, some, n_s):
+            if tested >= 20 or (best[3] and best[0] == most):
+                break
+            if is_unique(source, found) and is_unique(target, found):
                 tested += 1
-                found = (coverage(source, target, some).first()["n_pairs"], sum(named[c] for c in some) / size, -size, list(some))
-                best = found if best[3] is None or found[:3] > best[:3] else best
-                if best[0] == most:
-                    break
+                held = (coverage(source, target, found).first()["n_pairs"], sum(named[c] for c in found) / size, -size, list(found))
+                best = held if best[3] is None or held[:3] > best[:3] else best
         if best[3] and best[0] == most:
             break
     almost = [c for c in usable if of_s[c][1] >= 0.95 * n_s and of_f[c][1] >= 0.95 * n_f and [c] != best[3]]

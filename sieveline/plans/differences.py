@@ -34,8 +34,10 @@ _WITH = f"with {C.TARGET_SQL} "
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    """A folder for files that a query writes and reads: the shared one on a cluster."""
+    """A folder for files that a query writes and reads: the shared one on a cluster, one of our own in local mode."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{base.rstrip('/')}/sieveline-{name}" if base else tempfile.mkdtemp(prefix=f"sieveline-{name}-")
 
 
@@ -172,6 +174,15 @@ def diff_rows(spark, d):
     return _diff(spark, d).summary()
 
 
+@query(
+    f"{C.DIFF_SQL}, k as (select coalesce(s.o_orderkey, f.o_orderkey) as o_orderkey, coalesce(s.n, 0) as ns, coalesce(f.n, 0) as nf from (select o_orderkey, count(*) as n from cs group by 1) s full join (select o_orderkey, count(*) as n from cf group by 1) f using (o_orderkey)), "
+    f"c as (select o_orderkey from _j where {_CHANGED}) "
+    "select case when ns > 1 or nf > 1 then 'repeated' when nf = 0 then 'only_source' when ns = 0 then 'only_target' when o_orderkey in (select o_orderkey from c) then 'changed' else 'equal' end as what, count(*) as n_keys, sum(ns)::bigint as n_source, sum(nf)::bigint as n_target from k group by 1"
+)
+def diff_summary(spark, d):
+    return _diff(spark, d).classes()
+
+
 @query(f"{C.DIFF_SQL} " + " union all ".join(f"select '{c}' as column_name, count(*) filter (where s_{c} <> f_{c}) as n_different from _j" for c in COLS))
 def diff_columns(spark, d):
     return _diff(spark, d).columns_summary()

@@ -6,9 +6,11 @@ them is a single map-side combined pass.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
+from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions import types as K
@@ -81,34 +83,86 @@ def distincts(df: DataFrame, approximate: bool = False) -> DataFrame:
     return all_names.join(F.broadcast(per), F.col("k") == F.col("i"), "left").select(name.alias("column_name"), F.coalesce("n", F.lit(0)).cast("long").alias("n_distinct"))
 
 
-def numeric(df: DataFrame) -> DataFrame:
-    """(column_name, minimum, maximum, exact_sum, zeros, negatives, nans, infinities, mean) with numbers as text."""
-    kinds = {f.name: K.category(f.dataType) for f in df.schema.fields}
+def _finite(n: str, kind: str) -> Column:
+    c = _c(n)
+    return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c) if kind == K.FLOATING else c
+
+
+def _as_decimal(c: Column, kind: str) -> Column:
+    """A number as decimal(38,10) (integers as decimal(38,0)); NULL where it has no room there."""
+    return c.cast("string").try_cast("decimal(38,10)") if kind == K.FLOATING else c.cast("decimal(38,0)") if kind == K.INTEGER else c
 
-    def as_decimal(n: str) -> Column:
-        c = _c(n)
-        if kinds[n] == K.FLOATING:
-            finite = F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
-            return finite.cast("string").try_cast("decimal(38,10)")
-        return c.cast("decimal(38,0)") if kinds[n] == K.INTEGER else c
 
-    def special(n: str, test) -> Column:
-        return _sum(test(_c(n))) if kinds[n] == K.FLOATING else F.lit(0).cast("long")
+def number_text(c: Column, kind: str) -> Column:
+    """A number's text: with ten decimals where that is exactly the number, else the shortest that reads back as it."""
+    if kind != K.FLOATING:
+        return c.cast("string")
+    fixed = _as_decimal(c, kind)
+    return F.when(fixed.cast("double") == c.cast("double"), fixed.cast("string")).otherwise(c.cast("string"))
 
+
+def numeric(df: DataFrame) -> DataFrame:
+    """(column_name, minimum, maximum, exact_sum, zeros, negatives, nans, infinities, inexact, mean) with numbers as text.
+
+    Bounds are of the values themselves, without NaN and infinities. ``inexact`` counts the floating values that ten decimals
+    don't hold exactly (or at all); where there are any, the sum lacks or rounds them, and the mean is that of doubles.
+    """
+    kinds = {f.name: K.category(f.dataType) for f in df.schema.fields}
+    floating = lambda n, e: e(_c(n)) if kinds[n] == K.FLOATING else F.lit(False)
+    value = lambda n: _finite(n, kinds[n])
+    fixed = lambda n: _as_decimal(value(n), kinds[n])
     out = _long(df, columns_of(df, *K.NUMERIC), {
-        "minimum": lambda n: F.min(as_decimal(n)).cast("string"), "maximum": lambda n: F.max(as_decimal(n)).cast("string"),
-        "exact_sum": lambda n: F.sum(as_decimal(n)).cast("string"), "zeros": lambda n: _sum(_c(n) == 0), "negatives": lambda n: _sum(_c(n) < 0),
-        "nans": lambda n: special(n, F.isnan), "infinities": lambda n: special(n, lambda c: F.abs(c) == F.lit(float("inf"))), "n": lambda n: F.count(as_decimal(n)),
+        "minimum": lambda n: number_text(F.min(value(n)), kinds[n]), "maximum": lambda n: number_text(F.max(value(n)), kinds[n]),
+        "exact_sum": lambda n: F.sum(fixed(n)).cast("string"), "zeros": lambda n: _sum(_c(n) == 0), "negatives": lambda n: _sum(_c(n) < 0),
+        "nans": lambda n: _sum(floating(n, F.isnan)), "infinities": lambda n: _sum(floating(n, lambda c: F.abs(c) == F.lit(float("inf")))),
+        "inexact": lambda n: _sum(F.coalesce(fixed(n).cast("double") != value(n).cast("double"), value(n).isNotNull())) if kinds[n] == K.FLOATING else F.lit(0).cast("long"),
+        "n": lambda n: F.count(value(n)), "average": lambda n: F.avg(value(n).cast("double")),
     })
-    mean = F.when(F.col("n") > 0, (F.col("exact_sum").try_cast("decimal(38,10)").cast("double") / F.col("n")))
-    return out.withColumn("mean", F.round(mean, 6)).drop("n")
+    exact = F.col("exact_sum").try_cast("decimal(38,10)").cast("double") / F.col("n")
+    mean = F.when(F.col("n") > 0, F.when(F.col("inexact") == 0, F.coalesce(exact, F.col("average"))).otherwise(F.col("average")))
+    return out.withColumn("mean", F.when(F.col("inexact") == 0, F.round(mean, 6)).otherwise(mean)).drop("n", "average")
+
+
+#: Accuracy of the sketches that bracket a quantile: its rank is known to one in as many rows.
+BRACKET = 10_000
+
 
+def quartiles(df: DataFrame, only: Sequence[str] | None = None, at: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """(column_name, p25, p50, p75): discrete quartiles of numeric columns as text, each a value that occurs; NaN takes no part.
 
-def quartiles(df: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
-    """(column_name, p25, p50, p75): discrete quartiles of numeric columns, each a value that occurs."""
+    The value of rank ceil(p * n) is found exactly in three passes, whatever the number of distinct values: a sketch gives
+    bounds that are sure to hold it, values below them are counted, and of those between them (some 4 in ``BRACKET``
+    of the rows, and the equal ones) each is counted and they are ranked. Nothing but sketches and these counts is shuffled.
+    """
     names = columns_of(df, *K.NUMERIC, only=only)
-    out = _long(df, names, {"q": lambda n: F.expr(f"percentile_disc(array(0.25, 0.5, 0.75)) within group (order by cast(`{n}` as double))")})
-    return out.select("column_name", *[F.col("q")[i].alias(p) for i, p in enumerate(("p25", "p50", "p75"))])
+    kinds = {f.name: K.category(f.dataType) for f in df.schema.fields}
+    value = {n: F.when(~F.isnan(_c(n)), _c(n)) if kinds[n] == K.FLOATING else _c(n) for n in names}
+    edges = [x for p in at for x in (max(0.0, p - 2 / BRACKET), min(1.0, p + 2 / BRACKET))]
+    rows, spark = [], df.sparkSession
+    for start in range(0, len(names), BLOCK):
+        block = names[start : start + BLOCK]
+        # the sketch computes in doubles: bounds give way by what a double may have cut off
+        sketch = df.agg(*[F.percentile_approx(value[n].cast("double"), edges, BRACKET).alias(f"q{i}") for i, n in enumerate(block)], *[F.count(value[n]).alias(f"n{i}") for i, n in enumerate(block)]).first()
+        cuts = {n: [(lo - abs(lo) * 1e-15, hi + abs(hi) * 1e-15) for lo, hi in zip(sketch[f"q{i}"][::2], sketch[f"q{i}"][1::2], strict=True)] for i, n in enumerate(block) if sketch[f"n{i}"]}
+        total = {n: sketch[f"n{i}"] for i, n in enumerate(block)}
+        if cuts:
+            below = df.agg(*[F.count(F.when(value[n].cast("double") < lo, 1)).alias(f"b{block.index(n)}_{k}") for n, c in cuts.items() for k, (lo, _) in enumerate(c)]).first()
+            for n, c in cuts.items():
+                inside = [F.when(value[n].cast("double").between(lo, hi), F.lit(k)) for k, (lo, hi) in enumerate(c)]
+                counts = df.select(value[n].alias("v"), F.explode(F.array_compact(F.array(*inside))).alias("k")).groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
+                counts = counts.withColumn("reach", F.sum("c").over(Window.partitionBy("k").orderBy("v")))
+                need = F.element_at(F.array(*[F.lit(max(1, math.ceil(Fraction(str(p)) * total[n])) - below[f"b{block.index(n)}_{k}"]) for k, p in enumerate(at)]), F.col("k") + 1)
+                found = counts.where(F.col("reach") >= need).groupBy("k").agg(F.min("v").alias("v"))
+                rows.append(found.select(F.lit(n).alias("column_name"), "k", number_text(F.col("v"), kinds[n]).alias("v")))
+    empty = spark.createDataFrame([(n,) for n in names], "column_name string")
+    places = [f"p{round(100 * p)}" for p in at]
+    if not rows:
+        return empty.select("column_name", *[F.lit(None).cast("string").alias(p) for p in places])
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    out = out.groupBy("column_name").agg(*[F.max(F.when(F.col("k") == k, F.col("v"))).alias(p) for k, p in enumerate(places)])
+    return empty.join(F.broadcast(out), "column_name", "left")  # a row per column
 
 
 def text(df: DataFrame) -> DataFrame:
@@ -179,8 +233,6 @@ def frequent_values(df: DataFrame, columns: Sequence[str] | None = None, top: in
     Columns with the fewest distinct values come first, up to ``max_columns``; order by frequency, then value, nulls first.
     All columns are counted in one aggregation over (column, value) pairs.
     """
-    from pyspark.sql import Window
-
     names = list(columns) if columns else [f.name for f in df.schema.fields if K.category(f.dataType) not in (K.NESTED, K.BINARY, K.VOID)]
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), _c(n).cast("string").alias("value")) for n in names]))
     counts = df.select(pairs.alias("p")).select("p.*").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("frequency"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -125,7 +126,7 @@ def _literal(v: object) -> str:
     if isinstance(v, bool):
         return str(v).lower()
     if isinstance(v, (int, float)):
-        return repr(v)
+        return repr(v) if isinstance(v, int) or math.isfinite(v) else f"'{v}'"
     if isinstance(v, (list, tuple)):
         return "[" + ", ".join(map(_literal, v)) + "]"
     if isinstance(v, bytes):

@@ -134,22 +134,61 @@ def _decimal(c: str, k: str) -> str:
     return f"cast(cast({c} as varchar) as decimal(38,10))" if k == "f" else f"cast({c} as decimal(38,0))"
 
 
-@query(" union all ".join(
-    f"select '{c}' as column_name, cast(min({_decimal(c, k)}) as varchar) as minimum, cast(max({_decimal(c, k)}) as varchar) as maximum, cast(sum({_decimal(c, k)}) as varchar) as exact_sum, "
-    f"count(*) filter (where {c} = 0) as zeros, count(*) filter (where {c} < 0) as negatives, {f'count(*) filter (where isnan({c}))' if k == 'f' else '0::bigint'} as nans, {f'count(*) filter (where isinf({c}))' if k == 'f' else '0::bigint'} as infinities, "
-    f"round(cast(sum({_decimal(c, k)}) as double) / count({c}), 6) as mean from lineitem" for c, k in L if k in "if"))
+def _number(c: str, k: str) -> str:
+    """Ten decimals where they are the number, else its shortest text, in the form 1.0E30."""
+    if k != "f":
+        return f"cast({c} as varchar)"
+    fixed = f"try_cast(cast({c} as varchar) as decimal(38,10))"
+    plain = f"cast({c} as varchar)"
+    mantissa, exponent = f"split_part({plain}, 'e', 1)", f"cast(cast(split_part({plain}, 'e', 2) as integer) as varchar)"
+    return f"case when cast({fixed} as double) = {c} then cast({fixed} as varchar) when contains({plain}, 'e') then {mantissa} || case when contains({mantissa}, '.') then '' else '.0' end || 'E' || {exponent} else {plain} end"
+
+
+def _numeric_sql(cols, table: str) -> str:
+    parts = []
+    for c, k in cols:
+        fine = f"case when not isnan({c}) and not isinf({c}) then {c} end" if k == "f" else c
+        fixed = f"try_cast(cast({fine} as varchar) as decimal(38,10))" if k == "f" else f"cast({c} as decimal(38,0))"
+        inexact = f"count(*) filter (where coalesce(cast({fixed} as double) <> {fine}, {fine} is not null))" if k == "f" else "0::bigint"
+        parts.append(
+            f"select '{c}' as column_name, {_number(f'min({fine})', k)} as minimum, {_number(f'max({fine})', k)} as maximum, cast(sum({fixed}) as varchar) as exact_sum, count(*) filter (where {c} = 0) as zeros, count(*) filter (where {c} < 0) as negatives, "
+            f"{f'count(*) filter (where isnan({c}))' if k == 'f' else '0::bigint'} as nans, {f'count(*) filter (where isinf({c}))' if k == 'f' else '0::bigint'} as infinities, {inexact} as inexact, "
+            f"case when {inexact} = 0 then round(cast(sum({fixed}) as double) / count({fine}), 6) else avg({fine}) end as mean from {table}"
+        )
+    return " union all ".join(parts)
+
+
+@query(_numeric_sql([c for c in L if c[1] in "if"], "lineitem"))
 def profile_numeric(spark, d):
     return profile.numeric(C.table(spark, d, "lineitem"))
 
 
-_QUARTILES = [c for c in L if c[1] in "if"]
+EXTREMES = C.Inline("wide double, tiny double, big long, few double", (1e30, 1e-12, 9007199254740993, 4.0), (5.0, 2.5, -9007199254740993, 4.0), (-1e-12, 0.5, 9007199254740992, None), (None, None, None, None), (2.0**70, 0.125, 0, float("nan")), (1e12, 3.0, 1, 8.0))
+
+
+@query(_numeric_sql([("wide", "f"), ("tiny", "f"), ("big", "i"), ("few", "f")], EXTREMES.sql))
+def profile_numeric_extremes(spark, d):
+    return profile.numeric(EXTREMES.df(spark))
+
+
+def _quartiles_sql(cols, table: str) -> str:
+    parts = []
+    for c, k in cols:
+        value = f"case when not isnan({c}) then {c} end" if k == "f" else c
+        parts.append(f"select '{c}' as column_name, " + ", ".join(f"{_number(f'quantile_disc({value}, {p})', k)} as p{round(100 * p)}" for p in (0.25, 0.5, 0.75)) + f" from {table}")
+    return " union all ".join(parts)
 
 
-@query(_each(_QUARTILES, "quantile_disc({c}, 0.25)::double as p25, quantile_disc({c}, 0.5)::double as p50, quantile_disc({c}, 0.75)::double as p75", "lineitem"))
+@query(_quartiles_sql([c for c in L if c[1] in "if"], "lineitem"))
 def profile_quartiles(spark, d):
     return profile.quartiles(C.table(spark, d, "lineitem"))
 
 
+@query(_quartiles_sql([("wide", "f"), ("tiny", "f"), ("big", "i"), ("few", "f")], EXTREMES.sql))
+def profile_quartiles_extremes(spark, d):
+    return profile.quartiles(EXTREMES.df(spark))
+
+
 _SENT = ", ".join(C._literal(x) for x in profile.SENTINEL_TEXTS)
 
 
@@ -224,16 +263,15 @@ def semantic_types(spark, d):
     return profile.semantic_types(MIXED.df(spark))
 
 
-_FREQ = ["l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
-
-
+# the oracle chooses the columns too: at most 1000 distinct values, the 25 with the fewest first
 @query(
-    "with v as (" + " union all ".join(f"select '{c}' as column_name, cast({c} as varchar) as value from lineitem" for c in _FREQ) + "), "
-    "n as (select column_name, value, count(*) as frequency from v group by 1, 2), r as (select *, sum(frequency) over (partition by column_name) as n_rows, row_number() over (partition by column_name order by frequency desc, value nulls first) as place from n) "
+    "with v as (" + " union all ".join(f"select '{c}' as column_name, {C.canon_sql(c, k) if k == 't' else f'cast({c} as varchar)'} as value from lineitem" for c, k in L) + "), "
+    "n as (select column_name, value, count(*) as frequency from v group by 1, 2), s as (select column_name from n group by 1 having count(value) <= 1000 order by count(value), column_name limit 25), "
+    "r as (select n.*, sum(frequency) over (partition by column_name) as n_rows, row_number() over (partition by column_name order by frequency desc, value nulls first) as place from n join s using (column_name)) "
     "select column_name, place::int as place, value, frequency, round(100.0 * frequency / n_rows, 4)::double as pct from r where place <= 5"
 )
 def frequent_values(spark, d):
-    return profile.frequent_values(C.table(spark, d, "lineitem"), _FREQ)
+    return profile.frequent_values(C.table(spark, d, "lineitem"))
 
 
 def _names(cond: str, of: str) -> str:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from sieveline.functions import types as K
 
+# Canonical text and digests must agree with those of other engines.
 #: Stands for NULL in canonical text, and what separates columns; neither occurs in ordinary data.
 NULL_TOKEN, SEPARATOR = "\x00NULL\x00", "\x01"
 SLICES, SLICE_WIDTH = (1, 16, 31, 46), 15

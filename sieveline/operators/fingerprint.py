@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from sieveline.functions import canon
 from sieveline.functions import types as K
+from sieveline.functions.scale import spread
 
-#: A character outside ASCII, or a control character other than tab, newline and carriage return.
+# Fixed value: a character outside ASCII, or a control character other than tab, newline and carriage return.
 UNUSUAL = r"[^\x00-\x7F]|[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 
 
@@ -23,17 +24,27 @@ def row_digests(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 def dataset_fingerprint(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """One row: n_rows, n_distinct, n_duplicates, s1..s4 and fingerprint. Row order, partitions and files don't matter.
 
+    Counting duplicates shuffles a digest of 32 bytes per distinct row; :func:`row_fingerprint` goes without.
+
     Rows are first counted per digest (partial aggregation merges copies before the shuffle), so duplicates are exact and a
     hot row costs one entry per task. An empty table has a fingerprint of its own.
     """
     h = canon.digest(list(canon.canonical_columns(df, exclude).values()))
-    per = df.select(h.alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
-    sums = [s.alias(f"s{i}") for i, s in enumerate(canon.slice_sums(F.col("h"), weight=F.col("c")), 1)]
+    per = spread(df).select(F.unhex(h).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
+    sums = [s.alias(f"s{i}") for i, s in enumerate(canon.slice_sums(F.lower(F.hex("h")), weight=F.col("c")), 1)]
     out = per.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"), *sums)
     out = out.withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct"))
     return out.withColumn("fingerprint", canon.final_digest(canon.ROW_VERSION, F.col("n_rows"), *[F.col(f"s{i}") for i in range(1, 5)]))
 
 
+def row_fingerprint(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
+    """One row: n_rows and the fingerprint of :func:`dataset_fingerprint`, by sums alone, with nothing to shuffle but these."""
+    h = canon.digest(list(canon.canonical_columns(df, exclude).values()))
+    sums = [s.alias(f"s{i}") for i, s in enumerate(canon.slice_sums(F.col("h")), 1)]
+    out = spread(df).select(h.alias("h")).agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+    return out.select("n_rows", canon.final_digest(canon.ROW_VERSION, F.col("n_rows"), *[F.col(f"s{i}") for i in range(1, 5)]).alias("fingerprint"))
+
+
 def duplicate_rows(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """n_rows, n_distinct, n_duplicates, by row digests."""
     return dataset_fingerprint(df, exclude).select("n_rows", "n_distinct", "n_duplicates")
@@ -42,8 +53,8 @@ def duplicate_rows(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 def column_fingerprints(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """(column_name, n_rows, fingerprint) per column, without the name in the digest, so that renaming doesn't change it."""
     columns = canon.canonical_columns(df, exclude)
-    sums = [canon.exact_sum(F.sha2(c, 256), 1).alias(f"c{i}") for i, c in enumerate(columns.values())]
-    wide = df.agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+    digests = spread(df).select(*[F.sha2(c, 256).alias(f"c{i}") for i, c in enumerate(columns.values())])  # once a column, not once a sum
+    wide = digests.agg(F.count(F.lit(1)).alias("n_rows"), *[canon.exact_sum(F.col(f"c{i}"), 1).alias(f"c{i}") for i in range(len(columns))])
     long = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(f"c{i}").alias("s")) for i, n in enumerate(columns)]))
     out = wide.select("n_rows", long.alias("x")).select("x.column_name", "n_rows", "x.s")
     return out.select("column_name", "n_rows", canon.final_digest(canon.COLUMN_VERSION, F.col("n_rows"), F.col("s")).alias("fingerprint"))
@@ -66,7 +77,7 @@ def affected(df: DataFrame) -> Column:
 def segregation(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """(part, n_rows, fingerprint) for clean and affected rows."""
     h = canon.digest(list(canon.canonical_columns(df, exclude).values()))
-    marked = df.select(h.alias("h"), affected(df).alias("bad"))
+    marked = spread(df).select(h.alias("h"), affected(df).alias("bad"))
     sums = [x for part, when in (("clean", ~F.col("bad")), ("affected", F.col("bad"))) for x in [F.count(F.when(when, 1)).alias(f"{part}_n"), *[s.alias(f"{part}_{i}") for i, s in enumerate(canon.slice_sums(F.col("h"), when))]]]
     wide = marked.agg(*sums)
     rows = [F.struct(F.lit(p).alias("part"), F.col(f"{p}_n").alias("n_rows"), canon.final_digest(canon.ROW_VERSION, F.col(f"{p}_n"), *[F.col(f"{p}_{i}") for i in range(4)]).alias("fingerprint")) for p in ("clean", "affected")]
@@ -84,6 +95,12 @@ def crc_fingerprint(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(F.crc32(text.cast("binary")).cast("decimal(20,0)")), F.lit(0)).cast("string").alias("crc_sum"), F.substring(F.sha2(F.lit(shape), 256), 1, 16).alias("schema_digest"))
 
 
+def sample(df: DataFrame, n: int) -> DataFrame:
+    """``n`` rows as canonical text, the first by the digest of that text: a choice that storage and order don't change."""
+    rows = df.select(*[e.alias(c) for c, e in canon.canonical_columns(df).items()])
+    return rows.orderBy(canon.digest([F.col(f"`{c}`") for c in rows.columns])).limit(n)
+
+
 def schema_table(df: DataFrame) -> DataFrame:
     """(position, column_name, data_type, nullable) of a frame's columns."""
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]

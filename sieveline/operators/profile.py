@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions import types as K
+from sieveline.functions.scale import spread
 
 #: Columns per pass: wide aggregations leave generated code beyond about a hundred expressions.
 BLOCK = 14
@@ -76,7 +77,7 @@ def distincts(df: DataFrame, approximate: bool = False) -> DataFrame:
     if approximate:
         return _long(df, names, {"n_distinct": lambda n: F.approx_count_distinct(_c(n))})
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _c(n).cast("string").alias("v")) for i, n in enumerate(names)]))
-    per = df.select(pairs.alias("p")).select("p.i", "p.v").where("v is not null").distinct().groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    per = spread(df).select(pairs.alias("p")).select("p.i", "p.v").where("v is not null").distinct().groupBy("i").agg(F.count(F.lit(1)).alias("n"))
     # columns without any value have no pair
     name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("k") + 1)
     all_names = df.sparkSession.range(len(names)).select(F.col("id").cast("int").alias("k"))
@@ -177,7 +178,7 @@ def text(df: DataFrame) -> DataFrame:
 
 def text_forensics(df: DataFrame) -> DataFrame:
     """How many values of each text column look like integers, numbers, dates, coded numbers, e-mails and so on."""
-    return _long(df, columns_of(df, K.TEXT), {k: (lambda n, p=p: _sum(_c(n).rlike(p))) for k, p in FORENSICS.items()})
+    return _long(spread(df), columns_of(df, K.TEXT), {k: (lambda n, p=p: _sum(_c(n).rlike(p))) for k, p in FORENSICS.items()})
 
 
 def dates(df: DataFrame, reference_date: str) -> DataFrame:

@@ -97,7 +97,22 @@ def level1_sql_profile(spark, d):
 
 @query(" union all ".join(f"select '{c}' as column_name, count(*) as n_rows, count(*) - count({c}) as nulls, true as exact from orders" for c, _ in O))
 def level1_footer_profile(spark, d):
-    return scans.footer_aggregate(scans.footer_profile(spark, f"{d}/orders.parquet"))
+    return scans.footer_aggregate(scans.footer_profile(spark, f"{d}/orders.parquet")).drop("kinds")
+
+
+_TWO_FILES = "(select unnest([1, 2, null, null]) as id, null as note union all select id, case when id > 5 then 'x' end from (select unnest([4, 5, 6, 7]) as id))"
+
+
+@query(" union all ".join(f"select '{c}' as column_name, count(*) - 1 as n_rows, count(*) - count({c}) as nulls, false as exact, {n} as n_kinds from {_TWO_FILES}" for c, n in (("id", 2), ("note", 1))))
+def level1_footer_drift(spark, d):
+    """Two files that disagree in a type and a column, and a deletion vector that takes one row."""
+    path = f"{_folder(spark, 'drift')}/t"
+    spark.sql("select explode(array(1, 2, null, null)) as id").coalesce(1).write.mode("overwrite").parquet(f"{path}/a")
+    spark.sql("select cast(id as bigint) as id, if(id > 5, 'x', null) as note from (select explode(sequence(4, 7)) as id)").coalesce(1).write.mode("overwrite").parquet(f"{path}/b")
+    footers = scans.footer_profile(spark, f"{path}/*")
+    file = footers.agg(F.min("file")).first()[0]
+    deleted = spark.createDataFrame([(file, 1)], "path string, dv_rows long")
+    return scans.footer_aggregate(footers, deleted).select("column_name", "n_rows", "nulls", "exact", F.size("kinds").alias("n_kinds"))
 
 
 @query("select 'o_totalprice' as column_name, count(*) as n, count(o_totalprice) as non_null, min(o_totalprice) as low, max(o_totalprice) as high, cast(sum(cast(cast(o_totalprice as varchar) as decimal(38,10))) as varchar) as total from orders")
@@ -107,20 +122,28 @@ def chunked_combine(spark, d):
     return ops.combine_chunks(parts).withColumn("total", F.col("total").cast("decimal(38,10)").cast("string"))
 
 
-@query()
+#: Actions of a small log: (version, op, path, rows, size, rows deleted by a vector).
+LOG = C.Inline("version long, op string, path string, rows long, size long, dv_rows long", (0, "add", "a.parquet", 5, 10, None), (0, "add", "b.parquet", 7, 20, None), (0, "add", "d.parquet", 9, 40, None), (1, "remove", "a.parquet", None, None, None), (1, "add", "c.parquet", 6, 30, None), (2, "remove", "d.parquet", None, None, None), (2, "add", "d.parquet", 9, 40, 3), (3, "remove", "c.parquet", None, None, None))
+
+
+@query(
+    f"select path, rows, size, dv_rows is not null as dv, dv_rows from (select *, row_number() over (partition by path order by version desc, op = 'add' desc) as place from {LOG.sql}) where place = 1 and op = 'add'"
+)
 def delta_live_files(spark, d):
-    """A log written for the purpose: two files added, one replaced."""
+    """A log written for the purpose: files added, replaced, removed, and one with a deletion vector."""
+    import json
+
     path = f"{_folder(spark, 'delta')}/t"
-    lines = [
-        (0, '{"metaData":{"schemaString":"{}"}}'), (0, '{"add":{"path":"a.parquet","size":10,"modificationTime":1000,"stats":"{\\"numRecords\\":5}"}}'),
-        (0, '{"add":{"path":"b.parquet","size":20,"modificationTime":1000,"stats":"{\\"numRecords\\":7}"}}'), (0, '{"commitInfo":{"timestamp":1000,"operation":"WRITE"}}'),
-        (1, '{"remove":{"path":"a.parquet"}}'), (1, '{"add":{"path":"c.parquet","size":30,"modificationTime":2000,"stats":"{\\"numRecords\\":6}"}}'), (1, '{"commitInfo":{"timestamp":2000,"operation":"MERGE"}}'),
-    ]
     fs = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for v in (0, 1):
+    for v in sorted({r[0] for r in LOG.rows}):
+        lines = [{"metaData": {"schemaString": "{}"}}] * (v == 0)
+        for _, op, file, rows, size, gone in (r for r in LOG.rows if r[0] == v):
+            vector = {"deletionVector": {"storageType": "u", "cardinality": gone}} if gone else {}
+            lines.append({op: {"path": file} | ({"size": size, "modificationTime": 1000 * v, "stats": json.dumps({"numRecords": rows})} | vector if op == "add" else {})})
+        lines.append({"commitInfo": {"timestamp": 1000 * v, "operation": "WRITE"}})
         where = fs.Path(f"{path}/_delta_log/{v:020d}.json")
         out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
-        out.write(bytearray("\n".join(x for k, x in lines if k == v).encode()))
+        out.write(bytearray("\n".join(map(json.dumps, lines)).encode()))
         out.close()
     return scans.delta_live_files(scans.delta_actions(spark, path))
 

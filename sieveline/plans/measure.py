@@ -108,7 +108,20 @@ def segregation(spark, d):
     return fingerprint.segregation(C.table(spark, d, "documents"))
 
 
-@query()
+# CRC-32 as its definition has it: a table of 256 words made by eight steps each, then a step per character (ASCII: per byte)
+_CRC_WORD = "list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)"
+
+
+def _crc_sql(table: str, kinds: dict[str, str]) -> str:
+    text = f"concat_ws(chr(1), {', '.join(C.canon_sql(c, k) for c, k in sorted(C.columns(table)))})"
+    return (
+        f"with t as (select {text} as text from {table}), words as (select list({_CRC_WORD} order by x) as w from (select unnest(range(256)) as x)), "
+        "c as (select xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(text, ''), lambda ch: ascii(ch)::bigint)), lambda crc, ch: xor(crc >> 8, words.w[(xor(crc, ch) & 255) + 1])), 4294967295) as crc from t, words) "
+        f"select count(*) as n_rows, cast(sum(crc) as varchar) as crc_sum, substr(sha256('{'|'.join(f'{c}:{kinds.get(k, k)}' if c not in kinds else f'{c}:{kinds[c]}' for c, k in sorted(C.columns(table)))}'), 1, 16) as schema_digest from c"
+    )
+
+
+@query(_crc_sql("lineitem", {"i": "bigint", "f": "double", "s": "string", "t": "timestamp_ntz", "l_linenumber": "int"}))
 def crc_fingerprint(spark, d):
     return fingerprint.crc_fingerprint(C.table(spark, d, "lineitem"))
 
@@ -329,6 +342,7 @@ def load_stamp(spark, d):
     return compare.load_stamps(profile.bounds(s), profile.bounds(f))
 
 
-@query()
+@query(f"select * from (select {', '.join(f'{C.canon_sql(c, k)} as {c}' for c, k in O)} from orders) order by {C.digest_sql([(c, 's') for c, _ in O])} limit 10")
 def sample10(spark, d):
-    return C.source(spark, d).limit(10)
+    """Ten rows by the order of their digests: the same rows however the table is stored."""
+    return fingerprint.sample(C.source(spark, d), 10)

@@ -74,10 +74,10 @@ def read_any(spark: SparkSession, path: str) -> tuple[DataFrame | None, str | No
 def delta_actions(spark: SparkSession, table: str) -> DataFrame:
     """All actions of a table's log with their version: JSON commits after the newest checkpoint, and the checkpoint.
 
-    (version, path, op, rows, size, dv, schema, ts, operation); op is add, remove, meta or commit.
+    (version, path, op, rows, size, dv, dv_rows, schema, ts, operation); op is add, remove, meta or commit.
     """
     log = f"{table.rstrip('/')}/_delta_log"
-    schema = "add struct<path:string,size:long,modificationTime:long,stats:string,deletionVector:struct<storageType:string>>, remove struct<path:string>, metaData struct<schemaString:string>, commitInfo struct<timestamp:long,operation:string>"
+    schema = "add struct<path:string,size:long,modificationTime:long,stats:string,deletionVector:struct<storageType:string,cardinality:long>>, remove struct<path:string>, metaData struct<schemaString:string>, commitInfo struct<timestamp:long,operation:string>"
     kept = ["add", "remove", "metaData", "commitInfo"]
 
     def flat(df: DataFrame, version: Column) -> DataFrame:
@@ -86,7 +86,7 @@ def delta_actions(spark: SparkSession, table: str) -> DataFrame:
         rows = F.get_json_object("add.stats", "$.numRecords").cast("long")
         return df.select(
             "version", F.coalesce("add.path", "remove.path").alias("path"), op.alias("op"), rows.alias("rows"), F.col("add.size").alias("size"),
-            F.col("add.deletionVector").isNotNull().alias("dv"), F.col("metaData.schemaString").alias("schema"),
+            F.col("add.deletionVector").isNotNull().alias("dv"), F.col("add.deletionVector.cardinality").alias("dv_rows"), F.col("metaData.schemaString").alias("schema"),
             F.coalesce("commitInfo.timestamp", "add.modificationTime").alias("ts"), F.col("commitInfo.operation").alias("operation"),
         ).where("op is not null")
 
@@ -107,18 +107,18 @@ def delta_actions(spark: SparkSession, table: str) -> DataFrame:
             point = point.withColumn(name, F.lit(None).cast(typed[name].dataType))
         else:  # only the fields that are used, and nulls for those that this writer left out
             fields = {f.name for f in point.schema[name].dataType.fields}
-            parts = [(F.col(f"{name}.{f.name}") if f.name in fields and not isinstance(f.dataType, T.StructType) else F.when(F.col(f"{name}.{f.name}").isNotNull(), F.struct(F.lit("u").alias("storageType"))) if f.name in fields else F.lit(None)).cast(f.dataType).alias(f.name) for f in typed[name].dataType.fields]
+            parts = [(F.col(f"{name}.{f.name}") if f.name in fields and not isinstance(f.dataType, T.StructType) else F.when(F.col(f"{name}.{f.name}").isNotNull(), F.struct(F.lit("u").alias("storageType"), F.col(f"{name}.{f.name}.cardinality").cast("long").alias("cardinality"))) if f.name in fields else F.lit(None)).cast(f.dataType).alias(f.name) for f in typed[name].dataType.fields]
             point = point.withColumn(name, F.when(F.col(name).isNotNull(), F.struct(*parts)))
     base = flat(point.withColumn("__v", number()).where(F.col("__v") == newest), F.col("__v"))
     return base.unionByName(commits.where(F.col("version") > newest))
 
 
 def delta_live_files(actions: DataFrame) -> DataFrame:
-    """(path, rows, size, dv) of the live files: each path's last action, if it is an add."""
+    """(path, rows, size, dv, dv_rows) of the live files: each path's last action, if it is an add."""
     files = actions.where("op in ('add', 'remove')")
     # within a commit that removes and adds a path again, the add counts
-    last = files.groupBy("path").agg(F.max_by(F.struct("op", "rows", "size", "dv"), F.struct("version", F.when(F.col("op") == "add", 1).otherwise(0).alias("o"))).alias("x"))
-    return last.where("x.op = 'add'").select("path", "x.rows", "x.size", "x.dv")
+    last = files.groupBy("path").agg(F.max_by(F.struct("op", "rows", "size", "dv", "dv_rows"), F.struct("version", F.when(F.col("op") == "add", 1).otherwise(0).alias("o"))).alias("x"))
+    return last.where("x.op = 'add'").select("path", "x.rows", "x.size", "x.dv", "x.dv_rows")
 
 
 def delta_commits(actions: DataFrame) -> DataFrame:
@@ -138,21 +138,32 @@ def delta_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.option("basePath", table).option("mergeSchema", True).parquet(*paths)
 
 
-def footer_profile(spark: SparkSession, path: str) -> DataFrame:
-    """(file, column_name, n_rows, nulls, low, high, has_stats) from Parquet footers alone.
+def footer_profile(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """(file, column_name, kind, n_rows, nulls, low, high, has_stats) from Parquet footers alone.
 
-    Spark lists the files and hands out their bytes; a footer is read by pyarrow on the executors.
+    Spark lists the files; each is opened on an executor and its last bytes are read, whatever its size. A store that
+    pyarrow can't open needs ``whole_files``: then Spark hands out all bytes, and files are limited to 2 GB.
     """
     def run(batches: Iterator) -> Iterator:
         import io
 
         import pandas as pd
         import pyarrow.parquet as pq
+        from pyarrow import fs
 
+        def opened(name: str, content: bytes | None):
+            if content is not None:
+                return io.BytesIO(content)
+            if name.startswith("file:"):
+                return fs.LocalFileSystem().open_input_file("/" + name.removeprefix("file:").lstrip("/"))
+            store, at = fs.FileSystem.from_uri(name)
+            return store.open_input_file(at)
+
+        as_text = lambda v: None if v is None else str(v)
         for pdf in batches:
             rows = []
             for name, content in zip(pdf["path"], pdf["content"], strict=True):
-                meta = pq.ParquetFile(io.BytesIO(content)).metadata
+                meta = pq.ParquetFile(opened(name, content)).metadata
                 for i in range(meta.num_columns):
                     stats = [meta.row_group(g).column(i).statistics for g in range(meta.num_row_groups)]
                     column = meta.schema.column(i)
@@ -160,19 +171,31 @@ def footer_profile(spark: SparkSession, path: str) -> DataFrame:
                     ok = flat and all(s is not None and s.has_null_count for s in stats)
                     low = [s.min for s in stats if ok and s.has_min_max]
                     high = [s.max for s in stats if ok and s.has_min_max]
-                    as_text = lambda v: None if v is None else str(v)
-                    rows.append((name, column.path.split(".")[0], meta.num_rows, sum(s.null_count for s in stats) if ok else None, as_text(min(low, default=None)), as_text(max(high, default=None)), ok))
-            yield pd.DataFrame(rows, columns=["file", "column_name", "n_rows", "nulls", "low", "high", "has_stats"]).astype({"nulls": "Int64"})
+                    kind = column.physical_type if column.logical_type.type == "NONE" else str(column.logical_type)
+                    rows.append((name, column.path.split(".")[0], kind, meta.num_rows, sum(s.null_count for s in stats) if ok else None, as_text(min(low, default=None)), as_text(max(high, default=None)), ok))
+            yield pd.DataFrame(rows, columns=["file", "column_name", "kind", "n_rows", "nulls", "low", "high", "has_stats"]).astype({"nulls": "Int64"})
+
+    content = "content" if whole_files else F.lit(None).cast("binary").alias("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", content)
+    return files.mapInPandas(run, "file string, column_name string, kind string, n_rows long, nulls long, low string, high string, has_stats boolean")
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", "content")
-    return files.mapInPandas(run, "file string, column_name string, n_rows long, nulls long, low string, high string, has_stats boolean")
 
+def footer_aggregate(footers: DataFrame, deleted: DataFrame | None = None) -> DataFrame:
+    """(column_name, n_rows, nulls, exact, kinds): over all files; not exact where a file lacks statistics or the column.
 
-def footer_aggregate(footers: DataFrame) -> DataFrame:
-    """(column_name, n_rows, nulls, exact): over all files; not exact where a file lacks statistics or the column."""
-    total = footers.select("file", "n_rows").distinct().agg(F.sum("n_rows").alias("total"))
-    per = footers.groupBy("column_name").agg(F.sum("n_rows").alias("n_rows"), F.sum("nulls").alias("nulls"), F.min("has_stats").alias("ok"))
-    return per.join(F.broadcast(total)).select("column_name", F.col("total").alias("n_rows"), (F.coalesce("nulls", F.lit(0)) + F.col("total") - F.col("n_rows")).alias("nulls"), (F.col("ok") & (F.col("total") == F.col("n_rows"))).alias("exact"))  # one row
+    ``kinds``: the types that files give the column, more than one where they drift. ``deleted``: (path, dv_rows), the rows that
+    deletion vectors take from a file; they are subtracted from n_rows, and as their values aren't known nulls are not exact.
+    """
+    files = footers.select("file", "n_rows").distinct()
+    gone = F.lit(0).cast("long").alias("gone")
+    if deleted is not None:
+        files = files.withColumn("name", F.element_at(F.split("file", "/"), -1)).join(deleted.select(F.element_at(F.split("path", "/"), -1).alias("name"), "dv_rows"), "name", "left")
+        gone = F.coalesce(F.sum("dv_rows"), F.lit(0)).alias("gone")
+    total = files.agg(F.sum("n_rows").alias("total"), gone)
+    per = footers.groupBy("column_name").agg(F.sum("n_rows").alias("n_rows"), F.sum("nulls").alias("nulls"), F.min("has_stats").alias("ok"), F.array_sort(F.collect_set("kind")).alias("kinds"))
+    nulls = F.coalesce("nulls", F.lit(0)) + F.col("total") - F.col("n_rows")
+    exact = F.col("ok") & (F.col("total") == F.col("n_rows")) & (F.col("gone") == 0)
+    return per.join(F.broadcast(total)).select("column_name", (F.col("total") - F.col("gone")).alias("n_rows"), nulls.alias("nulls"), exact.alias("exact"), "kinds")  # one row
 
 
 def table_profile(df: DataFrame, block: int = 40) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Planning defaults: rows a pass and second, columns a pass, and what makes a table big.
@@ -48,6 +51,37 @@ def usage_by_actor(calls: DataFrame, prices: DataFrame) -> DataFrame:
     return sums.join(best, "model", "left").select("actor", "model", "n_calls", "n_runs", "input_tokens", "output_tokens", F.round(cost, 6).alias("cost"))
 
 
+def usage_findings(sessions: DataFrame, *, coordinator: str = "COORDINATOR", generic: Sequence[str] = (), strong: str, weak: str, context_limit: int = 200_000, rewrite_limit: int = 100_000, result_limit: int = 30_000, mechanical_percent: float = 70, error_percent: float = 25) -> DataFrame:
+    """(finding, subject, figure) from sessions (session, actor, model, declared_model, ended, declared_since, calls, context_tokens,
+    rewrite_tokens, result_bytes, tool_calls, pipeline_tool_calls, errors, cost).
+
+    Large mean contexts and large tool results of the coordinator by session; large cache rewrites, models other than the one declared
+    at the time, and generic actors by actor; names of models that several models answer to; strong models at mechanical work and
+    weak ones with many errors, by actor.
+    """
+    chief, declared = F.col("actor") == coordinator, F.col("declared_model")
+    named = F.col("model").contains(declared)
+    percent = lambda part: 100.0 * F.sum(part) / F.sum("tool_calls")
+
+    def found(name: str, by: str, where: Column, figure: Column, having: Column | None = None) -> DataFrame:
+        out = sessions.where(where).groupBy(F.col(by).alias("subject")).agg(figure.cast("double").alias("figure"), F.sum("tool_calls").alias("tools"), F.lit(True).alias("any"))
+        out = out if having is None else out.where(having)
+        return out.select(F.lit(name).alias("finding"), "subject", F.round("figure", 6).alias("figure"))
+
+    figure = F.col("figure")
+    parts = [
+        found("large_context", "session", chief & (F.col("context_tokens") > context_limit), F.max("context_tokens")),
+        found("cache_rewrites", "actor", F.col("rewrite_tokens") >= rewrite_limit, F.sum("rewrite_tokens")),
+        found("other_model", "actor", declared.isNotNull() & ~named & (F.col("ended") >= F.col("declared_since")), F.count(F.lit(1))),
+        found("generic_actor", "actor", F.col("actor").isin(list(generic)), F.sum("cost")),
+        found("large_results", "session", chief & (F.col("result_bytes") >= result_limit), F.sum("result_bytes")),
+        found("alias_of_several", "declared_model", named, F.countDistinct("model"), figure > 1),
+        found("mechanical_work", "actor", declared == strong, percent("pipeline_tool_calls"), figure >= mechanical_percent),
+        found("many_errors", "actor", declared == weak, percent("errors"), (figure >= error_percent) & (F.col("tools") > 20)),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def median_duration(log: DataFrame) -> DataFrame:
     """(action, n, median_s) of logged actions (action, seconds); the mean of the middle two for even counts."""
     return log.groupBy("action").agg(F.count("seconds").alias("n"), F.round(F.expr("percentile(seconds, 0.5)"), 6).alias("median_s"))

@@ -117,7 +117,7 @@ DIFF_SQL = (
 
 # Inline rows for both engines
 
-_DUCK = {"string": "varchar", "int": "integer", "long": "bigint", "bigint": "bigint", "double": "double", "boolean": "boolean", "timestamp_ntz": "timestamp", "date": "date", "array<string>": "varchar[]", "binary": "blob"}
+_DUCK = {"string": "varchar", "int": "integer", "long": "bigint", "bigint": "bigint", "double": "double", "boolean": "boolean", "timestamp_ntz": "timestamp", "date": "date", "array<string>": "varchar[]", "array<long>": "bigint[]", "binary": "blob"}
 
 
 def _literal(v: object) -> str:

@@ -51,18 +51,20 @@ def csv(spark: SparkSession, path: str, encoding: str | None = None) -> tuple[Da
 _BY_SUFFIX = {".parquet": ["parquet"], ".csv": ["csv"], ".json": ["json"], ".jsonl": ["json"], ".orc": ["orc"]}
 
 
-def formats_for(path: str) -> list[str]:
-    """Formats in the order in which they are worth trying."""
+def formats_for(path: str, spark: SparkSession | None = None) -> list[str]:
+    """Formats in the order in which they are worth trying; with a session, a file of an unknown ending is looked into."""
     suffix = PurePosixPath(path.rstrip("/")).suffix.lower()
     if suffix in _BY_SUFFIX:
         return _BY_SUFFIX[suffix]
+    if spark is not None and suffix and is_parquet(spark, path):
+        return ["parquet"]
     return ["delta", "parquet"] if "/Tables/" in f"/{path}/" else ["parquet", "delta", "csv", "json"]
 
 
 def read_any(spark: SparkSession, path: str) -> tuple[DataFrame | None, str | None, dict[str, str]]:
     """The first reader that can open a path, its name, and why the ones before it could not."""
     errors: dict[str, str] = {}
-    for name in formats_for(path):
+    for name in formats_for(path, spark):
         try:
             df = delta_table(spark, path) if name == "delta" else csv(spark, path)[0] if name == "csv" else spark.read.format(name).load(path)
             return df, name, errors
@@ -198,6 +200,48 @@ def footer_aggregate(footers: DataFrame, deleted: DataFrame | None = None) -> Da
     return per.join(F.broadcast(total)).select("column_name", (F.col("total") - F.col("gone")).alias("n_rows"), nulls.alias("nulls"), exact.alias("exact"), "kinds")  # one row
 
 
+def matching_files(spark: SparkSession, path: str, pattern: str = ".*", since: str | None = None) -> DataFrame:
+    """(path, name, n_bytes, modified): the files of a folder whose name matches, changed since a time; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if since:
+        files = files.option("modifiedAfter", since)
+    name = F.element_at(F.split("path", "/"), -1)
+    return files.load(path).select("path", name.alias("name"), F.col("length").alias("n_bytes"), F.col("modificationTime").alias("modified")).where(F.col("name").rlike(pattern))
+
+
+def changed_files(listing: DataFrame, seen: DataFrame) -> DataFrame:
+    """Of (path, n_bytes, modified) the files that an earlier listing lacks or has with another size or time."""
+    return listing.join(seen.select("path", "n_bytes", "modified"), ["path", "n_bytes", "modified"], "left_anti")
+
+
+def transcripts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, ts, request_id, model, the four token counts, context_tokens) of logged model calls, JSON lines.
+
+    A request that stands on several lines of a file counts once, as its first; lines that are no JSON, have no request
+    or name no real model are left out. ``path`` may be a list, as of :func:`changed_files`.
+    """
+    usage = "input_tokens: bigint, cache_creation_input_tokens: bigint, cache_read_input_tokens: bigint, output_tokens: bigint"
+    schema = f"type string, timestamp timestamp, requestId string, message struct<model: string, usage: struct<{usage}>>"
+    lines = spark.read.schema(schema).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True).json(path).withColumn("file", F.col("_metadata.file_path"))
+    lines = lines.where("type = 'assistant' and requestId is not null and message.model is not null and message.model not like '<%'")
+    once = lines.groupBy("file", "requestId").agg(F.min_by(F.struct("timestamp", "message"), "timestamp").alias("x"))
+    count = lambda c: F.coalesce(F.col(f"x.message.usage.{c}"), F.lit(0))
+    tokens = {"input_tokens": count("input_tokens"), "cache_write_tokens": count("cache_creation_input_tokens"), "cache_read_tokens": count("cache_read_input_tokens"), "output_tokens": count("output_tokens")}
+    out = once.select("file", F.col("x.timestamp").alias("ts"), F.col("requestId").alias("request_id"), F.col("x.message.model").alias("model"), *[e.alias(n) for n, e in tokens.items()])
+    return out.withColumn("context_tokens", F.col("input_tokens") + F.col("cache_write_tokens") + F.col("cache_read_tokens"))
+
+
+def is_parquet(spark: SparkSession, path: str) -> bool:
+    """Whether a file begins with Parquet's magic bytes; its head is all that is read."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    where = hadoop.Path(path)
+    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(where)
+    try:
+        return bytes(b & 0xFF for b in (stream.read() for _ in range(4)) if b >= 0) == b"PAR1"
+    finally:
+        stream.close()
+
+
 def table_profile(df: DataFrame, block: int = 40) -> DataFrame:
     """(column_name, n_rows, non_null, low, high, min_length, max_length) by aggregates that a database can take over.
 

@@ -67,7 +67,10 @@ class Scratch:
         self.at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         atexit.register(self._clean)
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, *, thin: bool = False) -> DataFrame:
+        """``thin``: a table of few bytes per row of its input, in an eighth as many files as there are shuffle partitions."""
+        if thin:
+            df = df.coalesce(max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 8))
         df.write.mode("overwrite").parquet(f"{self.at}/{name}")
         return self.read(name, df)
 
@@ -97,7 +100,7 @@ def text_or_empty(col: str = "text"):
 class WordHash(dict):
     """64-bit hashes of words; the most recent vocabulary is kept, up to ``limit`` entries, to spare hashing it again."""
 
-    def __init__(self, limit: int = 300_000) -> None:
+    def __init__(self, limit: int = 150_000) -> None:
         super().__init__()
         self.limit = limit
 

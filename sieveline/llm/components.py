@@ -49,7 +49,11 @@ def components(links: DataFrame, scratch: Scratch, name: str = "components") ->
     """
     a, b = links.columns
     ends = links.where(F.col(a) != F.col(b)).select(F.col(a).cast("long").alias("x"), F.col(b).cast("long").alias("y"))
-    edges = scratch.table(ends.mapInArrow(_contract, "x long, y long").distinct(), f"{name}0")
+    edges = scratch.table(ends.mapInArrow(_contract, "x long, y long").distinct(), f"{name}0", thin=True)
+    if edges.count() <= CHUNK:  # a bounded number of links is one chunk
+        edges = scratch.table(edges.coalesce(1).mapInArrow(_contract, "x long, y long"), f"{name}-stars")
+        scratch.drop(f"{name}0")
+        return _members(edges)
     step, before = 0, None
     while True:
         mark = edges.agg(F.count(F.lit(1)), F.sum("y")).first()
@@ -63,7 +67,12 @@ def components(links: DataFrame, scratch: Scratch, name: str = "components") ->
         # small star: a node and its smaller neighbours move to the smallest of them; x > y holds in every row
         low = large.groupBy("x").agg(F.min("y").alias("m"))
         moved = large.join(low, "x").where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))
-        edges = scratch.table(moved.unionByName(low.select("x", F.col("m").alias("y"))).distinct(), f"{name}{step}")
+        edges = scratch.table(moved.unionByName(low.select("x", F.col("m").alias("y"))).distinct(), f"{name}{step}", thin=True)
         scratch.drop(f"{name}{step - 1}")
+    return _members(edges)
+
+
+def _members(edges: DataFrame) -> DataFrame:
+    """From stars (x, their smallest node y) every node with its component."""
     stars = edges.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("component"))
     return stars.unionByName(edges.select(F.col("y").alias("node"), F.col("y").alias("component")).distinct())

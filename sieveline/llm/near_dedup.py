@@ -51,7 +51,7 @@ class Forest:
 #: Ids up to this number are broadcast (8 bytes each) to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 #: Rows and shingles of a block of a crowded run, and the columns of one matrix product.
-BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 2_000, 400_000, 2_048
+BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 2_000, 400_000, 1_024
 
 
 def _multipliers(forest: Forest) -> tuple[np.ndarray, np.ndarray]:
@@ -228,7 +228,7 @@ def _crowded(reps: DataFrame, runs: DataFrame, slim: DataFrame, forest: Forest,
     sizes = sizes.groupBy(*run).agg(*total).where("comps > 1")
     blocks = lambda rows, shingles: F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
     sizes = sizes.select(*run, F.col("main.comp").alias("main"), blocks(F.col("rows"), F.col("shingles")).alias("all"), blocks(F.col("rows") - F.col("main.rows"), F.col("shingles") - F.col("main.shingles")).alias("few"))
-    rows = rows.join(scratch.table(sizes, "crowds"), run)
+    rows = rows.join(scratch.table(sizes, "crowds", thin=True), run)
     every = lambda n: F.sequence(F.lit(0), n - 1)
     dealt = lambda n, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), n).cast("int")
     keep = ["sketch", "n", "rep", "comp", "outside"]
@@ -264,10 +264,10 @@ def _crowded(reps: DataFrame, runs: DataFrame, slim: DataFrame, forest: Forest,
             used, at = np.unique(np.concatenate([one, other]), return_inverse=True)
             sets = found["held"].take(pa.array(used)).to_pylist()
             common = _common([np.frombuffer(x, np.uint64) for x in sets], at[: len(one)], at[len(one) :])
-            fit &= 100 * common.astype(np.int64) >= percent * (n[one][:, None] + n[other][None, :] - common.astype(np.int64))
             parent: dict[int, int] = {}
-            for x, ys in zip(one, fit, strict=True):
-                for y in other[np.flatnonzero(ys)]:
+            for x, ys, same in zip(one, fit, common, strict=True):
+                same = same.astype(np.int64)
+                for y in other[np.flatnonzero(ys & (100 * same >= percent * (n[x] + n[other] - same)))]:
                     c, d = _root(parent, int(comp[x])), _root(parent, int(comp[y]))
                     if c != d:
                         parent[max(c, d)] = min(c, d)
@@ -330,13 +330,13 @@ def near_duplicates(df: DataFrame, *, n_words: int = 5, threshold: float = 0.8,
         return checked
 
     links = linked(found.where("prefix is null").select("a", "b"), "1")
-    comps = scratch.table(components(links, scratch, "stars"), "comps1")
+    comps = scratch.table(components(links, scratch, "stars"), "comps1", thin=True)
     whole = reps.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("rep", "n", "sig", F.coalesce("component", "rep").alias("comp"))
     more = scratch.table(_crowded(whole, runs, slim, forest, n_words, threshold, id_col, scratch), "crowded")
     scratch.drop("blocks", "texts2", "texts2-ids", "candidates", "reps")
     more = linked(more, "3")
     if not more.isEmpty():
-        comps = scratch.table(components(links.unionByName(more), scratch, "stars2"), "comps2")
+        comps = scratch.table(components(links.unionByName(more), scratch, "stars2"), "comps2", thin=True)
     of_class = classes.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("of_class"))
     out = docs.join(of_class, ["k1", "k2"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("of_class")).otherwise(F.col("id"))
@@ -345,7 +345,7 @@ def near_duplicates(df: DataFrame, *, n_words: int = 5, threshold: float = 0.8,
 
 def _texts(slim: DataFrame, pairs: DataFrame, id_col: str, scratch: Scratch, name: str) -> DataFrame:
     """(id, text) of the documents that stand in pairs."""
-    ids = scratch.table(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), f"{name}-ids")
+    ids = scratch.table(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), f"{name}-ids", thin=True)
     n = ids.count()
     wanted = F.broadcast(ids) if n <= BROADCAST_IDS else ids
     found = slim.select(F.col(id_col).cast("long").alias("id"), "text").join(wanted, "id", "left_semi")

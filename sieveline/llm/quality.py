@@ -215,7 +215,7 @@ _C, _D = [f"c{i}" for i in range(_P)], [f"d{i}" for i in range(_P)]
 
 def _starts(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """A model for every group and start."""
-    middles = scratch.table(_middles(rows), "middles")
+    middles = scratch.table(_middles(rows), "middles", thin=True)
     z = [((F.col(x) - F.col(c)) / F.col(d)) for x, c, d in zip(_X, _C, _D, strict=True)]
     norm2 = F.greatest(sum(((v * v) for v in z[1:]), z[0] * z[0]), F.lit(1e-12))
     odd = [F.sum(F.tanh(z[i]) * F.tanh(z[j])).alias(f"t{i}{j}") for i, j in _PAIRS] + [F.sum(z[i] * z[j] / norm2).alias(f"u{i}{j}") for i, j in _PAIRS]
@@ -241,7 +241,7 @@ def _starts(rows: DataFrame, scratch: Scratch) -> DataFrame:
             out += [_row(int(r["level"]), r["g"], k, int(n), m, c) for k, (m, c) in enumerate(found)]
         return pd.DataFrame(out, columns=_COLUMNS)
 
-    return scratch.table(sums.groupBy("level", "g").applyInPandas(one, _MODEL), "starts")
+    return scratch.table(sums.groupBy("level", "g").applyInPandas(one, _MODEL), "starts", thin=True)
 
 
 def _concentrated(rows: DataFrame, model: DataFrame, mcd: MCD) -> DataFrame:
@@ -272,15 +272,15 @@ def robust_model(stats: DataFrame, mcd: MCD, scratch: Scratch) -> DataFrame:
     """A model per group at three levels, (language, source), language, all rows, from (g2, g1, g0, x0..)."""
     model = _starts(stats, scratch)
     for step in range(mcd.trial):
-        model = scratch.table(_concentrated(stats, model, mcd), f"trial{step}")
+        model = scratch.table(_concentrated(stats, model, mcd), f"trial{step}", thin=True)
     best = F.row_number().over(Window.partitionBy("level", "g").orderBy("logdet", "start"))
-    model = scratch.table(model.withColumn("place", best).where("place = 1").select(*_COLUMNS), "step0")
+    model = scratch.table(model.withColumn("place", best).where("place = 1").select(*_COLUMNS), "step0", thin=True)
     for step in range(1, mcd.most_steps + 1):
         new = _concentrated(stats, model, mcd)
         old = model.select("level", "g", F.col("logdet").alias("before"))
-        both = scratch.table(new.join(old, ["level", "g"]).withColumn("fell", F.col("before") - F.col("logdet")), f"step{step}-both")
+        both = scratch.table(new.join(old, ["level", "g"]).withColumn("fell", F.col("before") - F.col("logdet")), f"step{step}-both", thin=True)
         lower = both.where("fell > 0").select(*_COLUMNS)
-        model = scratch.table(lower.unionByName(model.join(lower.select("level", "g"), ["level", "g"], "left_anti")), f"step{step}")
+        model = scratch.table(lower.unionByName(model.join(lower.select("level", "g"), ["level", "g"], "left_anti")), f"step{step}", thin=True)
         if both.where(F.col("fell") >= mcd.settled).isEmpty():
             break
     return model

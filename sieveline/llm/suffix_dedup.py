@@ -278,7 +278,7 @@ def matches(df: DataFrame, sparse: Sparse, scratch: Scratch, *, id_col: str, tex
 
     def texts(rows: DataFrame, name: str) -> DataFrame:
         of_doc = rows.groupBy("id").agg(F.collect_list(F.struct("pos", "h")).alias("at"))
-        ids = scratch.table(rows.select("id").distinct(), name)
+        ids = scratch.table(rows.select("id").distinct(), name, thin=True)
         picked = slim.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= BROADCAST_IDS else slim
         return picked.join(of_doc, "id").select("id", "text", "at.pos", "at.h")
 

@@ -95,6 +95,26 @@ _CUT = re.compile(r"(?<=\S)(?= \S)")
 _BESIDE = re.compile(r" \s|[^\S ] ").search
 
 
+def split(texts: list[str]) -> tuple[list[tuple[str, str]], list[str], list[int]]:
+    """Each text's beginning and end, what stands between them as segments after a blank each, and how many of these it has."""
+    heads, tails, counts = [], [], []
+    for text in texts:
+        if not text or text[0] == " " or text[-1] == " " or _BESIDE(text):
+            first, *rest = _CUT.split(text) if text else [""]
+            rest = [s[1:] for s in rest]
+            if rest and rest[-1][-1].isspace():  # white space at the text's end isn't cut off
+                last = rest.pop()
+                heads.append((first, f" {last}"))
+            else:
+                heads.append((first, ""))
+        else:
+            first, *rest = text.split(" ")
+            heads.append((first, ""))
+        tails += rest
+        counts.append(len(rest))
+    return heads, tails, counts
+
+
 class Segments(dict):
     """The ids, as little-endian 32-bit words, of ' ' + segment, and the encoding of texts from them."""
 
@@ -115,6 +135,15 @@ class Segments(dict):
         new = list({s for s, f in zip(segments, found, strict=True) if f is None})
         if not new:
             return found
+        known = self.fresh(new)
+        found = [known[s] if f is None else f for s, f in zip(segments, found, strict=True)]
+        if len(self) + len(new) > self.LIMIT:
+            self.clear()
+        self.update((s, x) for s, x in known.items() if len(s) <= self.LONGEST)
+        return found
+
+    def fresh(self, new: list[str]) -> dict[str, bytes]:
+        """The ids of ' ' + segment for each, in a single run."""
         run = "".join([f" {s}" for s in new])
         ids = np.array(self.tokenizer.encode_batch_fast([run], add_special_tokens=False)[0].ids, "<u4")
         ends = np.cumsum([len(s.encode()) + 1 for s in new])
@@ -123,11 +152,7 @@ class Segments(dict):
         for s, cut in zip(new, cuts, strict=True):
             known[s] = raw[4 * before : 4 * cut]
             before = cut
-        found = [known[s] if f is None else f for s, f in zip(segments, found, strict=True)]
-        if len(self) + len(new) > self.LIMIT:
-            self.clear()
-        self.update((s, x) for s, x in known.items() if len(s) <= self.LONGEST)
-        return found
+        return known
 
     def encode(self, text: str) -> bytes:
         return next(self.encode_many([text]))
@@ -144,21 +169,7 @@ class Segments(dict):
         yield from self._encode(held)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        heads, tails, counts = [], [], []
-        for text in texts:
-            if not text or text[0] == " " or text[-1] == " " or _BESIDE(text):
-                first, *rest = _CUT.split(text) if text else [""]
-                rest = [s[1:] for s in rest]
-                if rest and rest[-1][-1].isspace():  # white space at the text's end isn't cut off
-                    last = rest.pop()
-                    heads.append((first, f" {last}"))
-                else:
-                    heads.append((first, ""))
-            else:
-                first, *rest = text.split(" ")
-                heads.append((first, ""))
-            tails += rest
-            counts.append(len(rest))
+        heads, tails, counts = split(texts)
         found, at, out = self._look_up(tails), 0, []
         for (first, last), n in zip(heads, counts, strict=True):
             inner = b"".join(found[at : at + n])
@@ -173,6 +184,54 @@ def encoder(path: str, pattern: str | None = None) -> Segments:
     return Segments(path, pattern)
 
 
+class TokenCounts(dict):
+    """Numbers of ids of ' ' + segment by several vocabularies, packed in one integer, and those of texts from them."""
+
+    #: Bits of a vocabulary's number: more than a text of 2 GB has tokens.
+    BITS = 31
+
+    def __init__(self, kinds: tuple[tuple[str, str | None], ...]) -> None:
+        super().__init__()
+        self.encoders = [encoder(path, pattern) for path, pattern in kinds]
+
+    def _packed(self, ids: list[bytes]) -> int:
+        return sum(len(x) // 4 << self.BITS * k for k, x in enumerate(ids))
+
+    def of(self, texts: Iterable[str]) -> list[list[int]]:
+        """For each vocabulary the texts' numbers of ids, the same as of :meth:`Segments.encode_many`."""
+        totals, held, size = [], [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= Segments.AT_ONCE:
+                totals += self._count(held)
+                held, size = [], 0
+        totals += self._count(held)
+        return [[x >> self.BITS * k & (1 << self.BITS) - 1 for x in totals] for k in range(len(self.encoders))]
+
+    def _count(self, texts: list[str]) -> list[int]:
+        heads, tails, counts = split(texts)
+        found = list(map(self.get, tails))
+        if new := list({s for s, f in zip(tails, found, strict=True) if f is None}):
+            each = [codes.fresh(new) for codes in self.encoders]
+            known = {s: self._packed([x[s] for x in each]) for s in new}
+            found = [known[s] if f is None else f for s, f in zip(tails, found, strict=True)]
+            if len(self) + len(new) > Segments.LIMIT:
+                self.clear()
+            self.update((s, x) for s, x in known.items() if len(s) <= Segments.LONGEST)
+        at, out = 0, []
+        for ends, n in zip(heads, counts, strict=True):
+            out.append(sum(found[at : at + n]) + sum(self._packed([codes.ids(x) for codes in self.encoders]) for x in ends if x))
+            at += n
+        return out
+
+
+@functools.lru_cache(maxsize=4)
+def counter(kinds: tuple[tuple[str, str | None], ...]) -> TokenCounts:
+    """One per Python worker and set of vocabularies."""
+    return TokenCounts(kinds)
+
+
 def decode_bytes(ids: bytes, path: str, pattern: str | None = None) -> bytes:
     """The bytes that ids (little-endian 32-bit words) stand for."""
     flat, starts, sizes = _flat_bytes(path, pattern)

@@ -43,10 +43,8 @@ def token_counts(df: DataFrame, tokenizers: Mapping[str, tuple[str, str | None]]
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column(3).to_pylist()]
             chars, size = pa.array(map(len, texts), pa.int64()), pa.array([len(t.encode()) for t in texts], pa.int64())
-            for version, (path, pattern) in kinds.items():
-                codes = bpe.encoder(path, pattern)
-                n = pa.array([len(ids) // 4 for ids in codes.encode_many(texts)], pa.int64())
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([version] * len(texts), pa.string()), n, chars, size], ["source", "lang", "sign", "tokenizer", "n_tokens", "n_chars", "n_bytes"])
+            for version, n in zip(kinds, bpe.counter(tuple(kinds.values())).of(texts), strict=True):
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([version] * len(texts), pa.string()), pa.array(n, pa.int64()), chars, size], ["source", "lang", "sign", "tokenizer", "n_tokens", "n_chars", "n_bytes"])
 
     slim = df.select(F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), sign.alias("sign"), F.col(text_col).alias("text"))
     return slim.mapInArrow(run, "source string, lang string, sign long, tokenizer string, n_tokens long, n_chars long, n_bytes long")

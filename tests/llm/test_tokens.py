@@ -43,6 +43,7 @@ def test_encoders_agree_with_the_libraries(text):
     tok = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=_ranks(), special_tokens={})
     for codes, want in ((bpe.encoder(*MULTI), tok.encode_ordinary(text)), (bpe.encoder(*GPT), bpe.load(*GPT).encode(text, add_special_tokens=False).ids)):
         assert ids_of(codes.encode(text)) == want
+    assert bpe.counter((MULTI, GPT)).of([text, "", text]) == [[n, 0, n] for n in (len(bpe.encoder(*x).encode(text)) // 4 for x in (MULTI, GPT))]
     raw = bpe.encoder(*MULTI).encode(text)
     assert bpe.decode_bytes(raw, *MULTI) == text.encode()
 

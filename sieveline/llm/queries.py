@@ -42,7 +42,7 @@ def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = rollups.copies(docs, f"{at}-copies")
     copy = (F.sha2(docs["text"], 256) == copies["digest"]) & (docs["doc_id"] > copies["first"])
     masked = F.regexp_replace("text", EMAIL, "<email>")
-    revised = docs.where(F.col("text").rlike(EMAIL)).join(copies, copy, "left_anti")
+    revised = docs.where(F.col("text").contains("@") & F.col("text").rlike(EMAIL)).join(copies, copy, "left_anti")
     rollup.apply("arrival", docs, kinds)
     rollup.apply("copies", docs.join(copies, copy, "left_semi").withColumn("sign", F.lit(-1)), kinds)
     rollup.apply("masking", revised.withColumn("sign", F.explode(F.array(F.lit(-1), F.lit(1)))).withColumn("text", F.when(F.col("sign") > 0, masked).otherwise(F.col("text"))), kinds)

@@ -19,7 +19,7 @@ import functools
 import hashlib
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,6 +115,22 @@ def split(texts: list[str]) -> tuple[list[tuple[str, str]], list[str], list[int]
     return heads, tails, counts
 
 
+def looked_up(held: dict, segments: list[str], fresh: Callable[[list[str]], dict]) -> list:
+    """What ``held`` has for the segments, after adding what ``fresh`` finds for new ones; long ones are not kept."""
+    wanted = set(segments)
+    if new := list(wanted.difference(held)):
+        if len(held) + len(new) > Segments.LIMIT:
+            again = {s: held[s] for s in wanted if s in held}
+            held.clear()
+            held.update(again)
+        held.update(fresh(new))
+    found = list(map(held.__getitem__, segments))
+    for s in new:
+        if len(s) > Segments.LONGEST:
+            del held[s]
+    return found
+
+
 class Segments(dict):
     """The ids, as little-endian 32-bit words, of ' ' + segment, and the encoding of texts from them."""
 
@@ -131,16 +147,7 @@ class Segments(dict):
 
     def _look_up(self, segments: list[str]) -> list[bytes]:
         """The ids of ' ' + segment for segments without white space at their ends: new ones in a single run."""
-        found = list(map(self.get, segments))
-        new = list({s for s, f in zip(segments, found, strict=True) if f is None})
-        if not new:
-            return found
-        known = self.fresh(new)
-        found = [known[s] if f is None else f for s, f in zip(segments, found, strict=True)]
-        if len(self) + len(new) > self.LIMIT:
-            self.clear()
-        self.update((s, x) for s, x in known.items() if len(s) <= self.LONGEST)
-        return found
+        return looked_up(self, segments, self.fresh)
 
     def fresh(self, new: list[str]) -> dict[str, bytes]:
         """The ids of ' ' + segment for each, in a single run."""
@@ -209,16 +216,13 @@ class TokenCounts(dict):
         totals += self._count(held)
         return [[x >> self.BITS * k & (1 << self.BITS) - 1 for x in totals] for k in range(len(self.encoders))]
 
+    def _fresh(self, new: list[str]) -> dict[str, int]:
+        each = [codes.fresh(new) for codes in self.encoders]
+        return {s: self._packed([x[s] for x in each]) for s in new}
+
     def _count(self, texts: list[str]) -> list[int]:
         heads, tails, counts = split(texts)
-        found = list(map(self.get, tails))
-        if new := list({s for s, f in zip(tails, found, strict=True) if f is None}):
-            each = [codes.fresh(new) for codes in self.encoders]
-            known = {s: self._packed([x[s] for x in each]) for s in new}
-            found = [known[s] if f is None else f for s, f in zip(tails, found, strict=True)]
-            if len(self) + len(new) > Segments.LIMIT:
-                self.clear()
-            self.update((s, x) for s, x in known.items() if len(s) <= Segments.LONGEST)
+        found = looked_up(self, tails, self._fresh)
         at, out = 0, []
         for ends, n in zip(heads, counts, strict=True):
             out.append(sum(found[at : at + n]) + sum(self._packed([codes.ids(x) for codes in self.encoders]) for x in ends if x))

@@ -117,17 +117,16 @@ def split(texts: list[str]) -> tuple[list[tuple[str, str]], list[str], list[int]
 
 def looked_up(held: dict, segments: list[str], fresh: Callable[[list[str]], dict]) -> list:
     """What ``held`` has for the segments, after adding what ``fresh`` finds for new ones; long ones are not kept."""
-    wanted = set(segments)
-    if new := list(wanted.difference(held)):
-        if len(held) + len(new) > Segments.LIMIT:
-            again = {s: held[s] for s in wanted if s in held}
-            held.clear()
-            held.update(again)
-        held.update(fresh(new))
-    found = list(map(held.__getitem__, segments))
-    for s in new:
-        if len(s) > Segments.LONGEST:
-            del held[s]
+    found = list(map(held.get, segments))
+    at = [i for i, x in enumerate(found) if x is None]
+    if not at:
+        return found
+    known = fresh(list({segments[i] for i in at}))
+    for i in at:
+        found[i] = known[segments[i]]
+    if len(held) + len(known) > Segments.LIMIT:
+        held.clear()
+    held.update((s, x) for s, x in known.items() if len(s) <= Segments.LONGEST)
     return found
 
 
@@ -151,14 +150,11 @@ class Segments(dict):
 
     def fresh(self, new: list[str]) -> dict[str, bytes]:
         """The ids of ' ' + segment for each, in a single run."""
-        run = "".join([f" {s}" for s in new])
-        ids = np.array(self.tokenizer.encode_batch_fast([run], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.cumsum([len(s.encode()) + 1 for s in new])
-        cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends, "right").tolist()
-        raw, before, known = ids.tobytes(), 0, {}
-        for s, cut in zip(new, cuts, strict=True):
-            known[s] = raw[4 * before : 4 * cut]
-            before = cut
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum(np.fromiter(map(len, map(str.encode, new)), np.int64, len(new)) + 1)
+        cuts = (4 * np.searchsorted(np.cumsum(self.sizes[ids]), ends, "right")).tolist()
+        raw = ids.tobytes()
+        known = dict(zip(new, [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)], strict=True))
         return known
 
     def encode(self, text: str) -> bytes:

@@ -43,5 +43,6 @@ def test_runs(spark, data, name):
 
 
 def test_delta_live_files(spark, data):
-    got = {(r["path"], r["rows"]) for r in registry.QUERIES["delta_live_files"](spark, data).collect()}
-    assert got == {("b.parquet", 7), ("c.parquet", 6)}
+    """b stays, a and c were removed, d came again with a deletion vector of three rows."""
+    got = {(r["path"], r["rows"], r["dv"], r["dv_rows"]) for r in registry.QUERIES["delta_live_files"](spark, data).collect()}
+    assert got == {("b.parquet", 7, False, None), ("d.parquet", 9, True, 3)}

@@ -139,6 +139,8 @@ def quartiles(df: DataFrame, only: Sequence[str] | None = None, at: Sequence[flo
     kinds = {f.name: K.category(f.dataType) for f in df.schema.fields}
     value = {n: F.when(~F.isnan(_c(n)), _c(n)) if kinds[n] == K.FLOATING else _c(n) for n in names}
     edges = [x for p in at for x in (max(0.0, p - 2 / BRACKET), min(1.0, p + 2 / BRACKET))]
+    kinds_of = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    df = spread(df)
     rows, spark = [], df.sparkSession
     for start in range(0, len(names), BLOCK):
         block = names[start : start + BLOCK]
@@ -148,13 +150,15 @@ def quartiles(df: DataFrame, only: Sequence[str] | None = None, at: Sequence[flo
         total = {n: sketch[f"n{i}"] for i, n in enumerate(block)}
         if cuts:
             below = df.agg(*[F.count(F.when(value[n].cast("double") < lo, 1)).alias(f"b{block.index(n)}_{k}") for n, c in cuts.items() for k, (lo, _) in enumerate(c)]).first()
-            for n, c in cuts.items():
-                inside = [F.when(value[n].cast("double").between(lo, hi), F.lit(k)) for k, (lo, hi) in enumerate(c)]
-                counts = df.select(value[n].alias("v"), F.explode(F.array_compact(F.array(*inside))).alias("k")).groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
-                counts = counts.withColumn("reach", F.sum("c").over(Window.partitionBy("k").orderBy("v")))
-                need = F.element_at(F.array(*[F.lit(max(1, math.ceil(Fraction(str(p)) * total[n])) - below[f"b{block.index(n)}_{k}"]) for k, p in enumerate(at)]), F.col("k") + 1)
-                found = counts.where(F.col("reach") >= need).groupBy("k").agg(F.min("v").alias("v"))
-                rows.append(found.select(F.lit(n).alias("column_name"), "k", number_text(F.col("v"), kinds[n]).alias("v")))
+            needs = {(n, k): max(1, math.ceil(Fraction(str(p)) * total[n])) - below[f"b{block.index(n)}_{k}"] for n in cuts for k, p in enumerate(at)}
+            for same in {kinds_of[n]: None for n in cuts}:  # one scan for all columns of a type
+                of = [n for n in cuts if kinds_of[n] == same]
+                inside = [F.when(value[n].cast("double").between(lo, hi), F.struct(F.lit(i).alias("i"), F.lit(k).alias("k"), value[n].alias("v"))) for i, n in enumerate(of) for k, (lo, hi) in enumerate(cuts[n])]
+                counts = df.select(F.explode(F.array_compact(F.array(*inside))).alias("x")).groupBy("x.i", "x.k", "x.v").agg(F.count(F.lit(1)).alias("c"))
+                counts = counts.withColumn("reach", F.sum("c").over(Window.partitionBy("i", "k").orderBy("v")))
+                need = F.element_at(F.array(*[F.lit(needs[n, k]) for n in of for k in range(len(at))]), F.col("i") * len(at) + F.col("k") + 1)
+                found = counts.where(F.col("reach") >= need).groupBy("i", "k").agg(F.min("v").alias("v"))
+                rows.append(found.select(F.element_at(F.array(*map(F.lit, of)), F.col("i") + 1).alias("column_name"), "k", number_text(F.col("v"), kinds[of[0]]).alias("v")))
     empty = spark.createDataFrame([(n,) for n in names], "column_name string")
     places = [f"p{round(100 * p)}" for p in at]
     if not rows:
@@ -236,7 +240,7 @@ def frequent_values(df: DataFrame, columns: Sequence[str] | None = None, top: in
     """
     names = list(columns) if columns else [f.name for f in df.schema.fields if K.category(f.dataType) not in (K.NESTED, K.BINARY, K.VOID)]
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), _c(n).cast("string").alias("value")) for n in names]))
-    counts = df.select(pairs.alias("p")).select("p.*").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("frequency"))
+    counts = spread(df).select(pairs.alias("p")).select("p.*").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("frequency"))
     sizes = counts.groupBy("column_name").agg(F.count("value").alias("n_distinct"), F.sum("frequency").alias("n_rows")).where(F.col("n_distinct").between(0, max_distinct))
     sizes = sizes.orderBy("n_distinct", "column_name").limit(max_columns)
     few = counts.join(F.broadcast(sizes), "column_name")  # a row per column, max_columns at most

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, html_text, near_dedup, packing, quality, rollups, sharding, sql, suffix_dedup, topk
+from sieveline.llm import bpe, conversations, html_text, near_dedup, packing, quality, rollups, sharding, sql, suffix_dedup, topk
 from sieveline.llm.common import shared_dir, table
 
 #: Vocabularies: (file, split pattern of rank files).
@@ -86,6 +86,11 @@ def op10_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_pieces(table(spark, sf_dir, "documents"), *GPT_50K)
 
 
+def op13_trie_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every damaged conversation."""
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
 def sharding_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the law of op1 promises, from its result: counts per shard, distinct places, gaps in the slots, and all bytes."""
     shards = op1_feistel_sharding(spark, sf_dir).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("slot").alias("slots"), (F.max("slot") + 1).alias("reach"), F.sum("size").alias("size"))
@@ -100,7 +105,7 @@ def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_feistel_sharding, op2_bfd_matrix, op3_token_rollup, op4_text_density, op5_ball_tree, op6_sparse_suffixes, op7_lsh_forest, op8_quality_mcd, op9_byte_bpe, op10_bin_slack_packing, sharding_laws, quality_base)
+    for f in (op1_feistel_sharding, op2_bfd_matrix, op3_token_rollup, op4_text_density, op5_ball_tree, op6_sparse_suffixes, op7_lsh_forest, op8_quality_mcd, op9_byte_bpe, op10_bin_slack_packing, op13_trie_repair, sharding_laws, quality_base)
 }
 #: SQL tells searches, near-duplicates, the base rules and what sharding promises. Keyed permutations, vocabularies, packing and
 #: robust estimates it can't; tests hold these against brute force.

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, conversations, html_text, near_dedup, packing, quality, rollups, sharding, sql, suffix_dedup, topk
+from sieveline.llm import bpe, conversations, html_text, near_dedup, packing, quality, rollups, sharding, sql, suffix_dedup, topk, whitening
 from sieveline.llm.common import shared_dir, table
 
 #: Vocabularies: (file, split pattern of rank files).
@@ -86,6 +86,11 @@ def op10_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_pieces(table(spark, sf_dir, "documents"), *GPT_50K)
 
 
+def op11_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of every vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), k=4, scale=256)
+
+
 def op13_trie_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cheapest repair of every damaged conversation."""
     return conversations.repair(table(spark, sf_dir, "conversations"))
@@ -98,6 +103,11 @@ def sharding_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.agg(*sums).select(F.lit("rows").alias("law"), "*")
 
 
+def whitening_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n and the exact deviations of op11, which SQL can tell."""
+    return op11_lanczos_whitening(spark, sf_dir).where("component = 1").select("vec_id", "n", "deviation")
+
+
 def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base statistics and rules of op8 for all documents."""
     return quality.base_statistics(table(spark, sf_dir, "documents"), keys=["doc_id"]).drop("n_lines")
@@ -105,8 +115,8 @@ def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_feistel_sharding, op2_bfd_matrix, op3_token_rollup, op4_text_density, op5_ball_tree, op6_sparse_suffixes, op7_lsh_forest, op8_quality_mcd, op9_byte_bpe, op10_bin_slack_packing, op13_trie_repair, sharding_laws, quality_base)
+    for f in (op1_feistel_sharding, op2_bfd_matrix, op3_token_rollup, op4_text_density, op5_ball_tree, op6_sparse_suffixes, op7_lsh_forest, op8_quality_mcd, op9_byte_bpe, op10_bin_slack_packing, op11_lanczos_whitening, op13_trie_repair, sharding_laws, quality_base, whitening_deviations)
 }
 #: SQL tells searches, near-duplicates, the base rules and what sharding promises. Keyed permutations, vocabularies, packing and
 #: robust estimates it can't; tests hold these against brute force.
-ORACLES: dict[str, str] = {"op5_ball_tree": sql.OP5, "op7_lsh_forest": sql.OP7, "sharding_laws": sql.SHARDING_LAWS, "quality_base": sql.QUALITY_BASE}
+ORACLES: dict[str, str] = {"op5_ball_tree": sql.OP5, "op7_lsh_forest": sql.OP7, "sharding_laws": sql.SHARDING_LAWS, "quality_base": sql.QUALITY_BASE, "whitening_deviations": sql.DEVIATIONS}

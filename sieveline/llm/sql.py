@@ -77,3 +77,15 @@ SHARDING_LAWS = """
 select 'rows' as law, n // 16 as least_rows, (n + 15) // 16 as most_rows, n as n_rows, n as n_places, 0::bigint as gaps, bytes
 from (select count(*) as n, sum(octet_length(encode(coalesce(text, ''))) + 1)::bigint as bytes from documents)
 """
+
+DEVIATIONS = """
+with v as (
+    select vec_id, list_transform(embedding, lambda c: cast(floor(256 * cast(c as double)) as hugeint)) as x
+    from embeddings where embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+),
+fit as (select distinct x from v),
+n as (select count(*) as n from fit),
+sums as (select i, sum(x[i]) as s from fit, (select unnest(range(1, (select max(len(x)) from fit) + 1)) as i) group by i),
+parts as (select vec_id, x, i, (n.n * x[i] - s) as y from v, sums, n)
+select vec_id, cast((select n from n) as bigint) as n, cast(sum(y * y) as bigint) as deviation from parts group by vec_id
+"""

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, conversations, html_text, near_dedup, packing, quality, rollups, sharding, sql, suffix_dedup, topk, whitening
+from sieveline.llm import bpe, conversations, html_text, near_dedup, packing, quality, rollups, sharding, sql, suffix_dedup, topk, toxicity, whitening
 from sieveline.llm.common import shared_dir, table
 
 #: Vocabularies: (file, split pattern of rank files).
@@ -91,6 +91,11 @@ def op11_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), k=4, scale=256)
 
 
+def op12_text_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_trie_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cheapest repair of every damaged conversation."""
     return conversations.repair(table(spark, sf_dir, "conversations"))
@@ -115,8 +120,8 @@ def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_feistel_sharding, op2_bfd_matrix, op3_token_rollup, op4_text_density, op5_ball_tree, op6_sparse_suffixes, op7_lsh_forest, op8_quality_mcd, op9_byte_bpe, op10_bin_slack_packing, op11_lanczos_whitening, op13_trie_repair, sharding_laws, quality_base, whitening_deviations)
+    for f in (op1_feistel_sharding, op2_bfd_matrix, op3_token_rollup, op4_text_density, op5_ball_tree, op6_sparse_suffixes, op7_lsh_forest, op8_quality_mcd, op9_byte_bpe, op10_bin_slack_packing, op11_lanczos_whitening, op12_text_cnn, op13_trie_repair, sharding_laws, quality_base, whitening_deviations)
 }
-#: SQL tells searches, near-duplicates, the base rules and what sharding promises. Keyed permutations, vocabularies, packing and
-#: robust estimates it can't; tests hold these against brute force.
+#: SQL tells searches, near-duplicates, the base rules, deviations and what sharding promises. Keyed permutations, vocabularies, packing,
+#: robust estimates, components, trained models and repairs it can't; tests hold these against brute force or held-out rows.
 ORACLES: dict[str, str] = {"op5_ball_tree": sql.OP5, "op7_lsh_forest": sql.OP7, "sharding_laws": sql.SHARDING_LAWS, "quality_base": sql.QUALITY_BASE, "whitening_deviations": sql.DEVIATIONS}

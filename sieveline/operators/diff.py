@@ -132,11 +132,13 @@ class Diff:
         """(column_name, source_column, n): target values that equal another source column of the same row."""
         from pyspark.sql import Window
 
-        null = F.lit(canon.NULL_TOKEN)
-        pairs = [(f, s) for f in self.columns for s in self.columns if f != s]
-        sums = [F.count(F.when((F.col(f"s_{f}") != F.col(f"f_{f}")) & (F.col(f"f_{f}") == F.col(f"s_{s}")) & (F.col(f"f_{f}") != null) & (F.col(f"f_{f}") != ""), 1)).alias(f"n{i}") for i, (f, s) in enumerate(pairs)]
-        rows = F.array(*[F.struct(F.lit(f).alias("column_name"), F.lit(s).alias("source_column"), F.col(f"n{i}").alias("n")) for i, (f, s) in enumerate(pairs)])
-        out = self.joined.agg(*sums).select(F.explode(rows).alias("x")).select("x.*").where("n > 0")
+        # Row by row: each differing cell is looked for among the row's source cells; the plan grows with the columns, not their pairs.
+        cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"s_{c}").alias("s"), F.col(f"f_{c}").alias("f")) for i, c in enumerate(self.columns)])
+        odd = F.filter("cells", lambda x: (x["s"] != x["f"]) & (x["f"] != F.lit(canon.NULL_TOKEN)) & (x["f"] != ""))
+        same = lambda d: F.transform(F.filter("cells", lambda x: (x["s"] == d["f"]) & (x["i"] != d["i"])), lambda x: F.struct(d["i"].alias("to"), x["i"].alias("of")))
+        names = F.array(*map(F.lit, self.columns))
+        found = self.joined.select(cells.alias("cells")).select(F.explode(F.flatten(F.transform(odd, same))).alias("x")).groupBy("x.to", "x.of").agg(F.count(F.lit(1)).alias("n"))
+        out = found.select(F.get(names, F.col("to")).alias("column_name"), F.get(names, F.col("of")).alias("source_column"), "n")
         order = Window.partitionBy("column_name").orderBy(F.desc("n"), "source_column")
         return out.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top).drop("place")
 

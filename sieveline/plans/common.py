@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +34,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own for files that a query writes and reads: below the shared one on a cluster, a temporary one in local mode."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{base.rstrip('/')}/sieveline-{name}-{uuid.uuid4().hex}" if base else tempfile.mkdtemp(prefix=f"sieveline-{name}-")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that a query wrote, in whatever store it lies."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 # DuckDB text of the canonical forms
 
 

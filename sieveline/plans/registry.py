@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from sieveline.plans import differences, evidence, flows, measure
+from sieveline.plans import differences, evidence, extracts, flows, measure
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for _part in (measure, differences, flows, evidence):
+for _part in (measure, differences, flows, evidence, extracts):
     QUERIES |= _part.QUERIES
     ORACLES |= _part.ORACLES

@@ -266,19 +266,6 @@ def table_profile(df: DataFrame, block: int = 40) -> DataFrame:
     return out
 
 
-def database(spark: SparkSession, url: str, table: str, properties: Mapping[str, str], where: str | None = None, partition: tuple[str, int, int, int] | None = None) -> DataFrame:
-    """A database table by JDBC; filters, columns and aggregates are pushed down. Needs the database's driver.
-
-    ``partition``: (column, low, high, parts) for parallel reads of a large table.
-    """
-    query = f"(select * from {table}{f' where {where}' if where else ''}) t"
-    reader = spark.read.format("jdbc").options(url=url, dbtable=query, pushDownAggregate="true", **properties)
-    if partition:
-        column, low, high, parts = partition
-        reader = reader.options(partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=parts)
-    return reader.load()
-
-
 def view(df: DataFrame, *, exclude: Sequence[str] = (), casts: Mapping[str, str] | None = None, date_column: str | None = None, since: str | None = None, until: str | None = None) -> DataFrame:
     """What is compared: columns without the excluded ones, declared types, rows of an inclusive window. Lazy."""
     gone = {x.lower() for x in exclude}

@@ -6,11 +6,12 @@ first 25 of them, with at least 26 shared words from there on. The first 26 word
 sort key of a suffix; those whose key occurs once can't repeat and go before anything else is gathered. For the
 others the words that follow and those before (24 on either side) are fetched from the text. Suffixes of a key that
 occurs up to ``group`` times are sorted by key, following and preceding words and each is compared with all others of its
-key; the match is extended right and left word by word, and counts if it reaches ``min_words``.
+key; the match is extended right and left word by word, on the words themselves, and counts if it reaches ``min_words``. That
+the keys agree is told by two hashes, together of 128 bits, of which one is of the key's text.
 
 Suffixes of a key that occurs more often meet by their splits: for each r from 0 to 24 by key, r words to the right and
-24 - r to the left, which any two places with 50 words in common share for some r. Such a split is a run of 50 words,
-hashed to 96 bits; the least document of each is found by an aggregation, so that no group stands in one task as a whole.
+24 - r to the left, which any two places with 50 words in common share for some r. Such a split is a run of 50 words, whose
+text is hashed to 128 bits; the least document of each is found by an aggregation, so that no group stands in one task as a whole.
 
 Every passage of 50 or more words that two documents share is found, whatever the size of its group. Long passages are
 covered by one match after another, and matches of a document are merged.
@@ -24,10 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import WORDS, Scratch, integral, mix, prepare, windows_hash
+from sieveline.llm.common import WORDS, Scratch, integral, prepare, windows_hash
 
 
 @dataclass(frozen=True)
@@ -49,6 +51,8 @@ class Sparse:
         return self.window - 1
 
 
+#: Words of more bytes stand in contexts by a hash of 128 bits.
+LONG = 40
 #: Ids up to this number are broadcast (8 bytes each) to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -105,28 +109,29 @@ def _contexts(df: DataFrame, sparse: Sparse) -> DataFrame:
 
     Suffixes of a document that agree in all of these are one row, whose further positions are ``also``.
     """
-    names = ["h", "following", "preceding", "id", "pos", "also"]
+    names = ["h", "h2", "following", "preceding", "id", "pos", "also"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for doc, text, pos, key in zip(batch.column(0).to_pylist(), batch.column(1), *[c.to_pylist() for c in batch.columns[2:]], strict=True):
-                h = WORDS.of(_words(text.as_py() or ""))
-                keys = windows_hash(h, sparse.key).view(np.int64)
-                small = (h >> np.uint64(32)).astype(">u4")
-                ahead, behind = small.tobytes(), small[::-1].tobytes()
+                words = _words(text.as_py() or "")
+                keys = windows_hash(WORDS.of(words), sparse.key).view(np.int64)
+                short = [w if len(w) <= LONG and w[:1] != b"\0" else b"\0" + xxhash.xxh3_128_digest(w).hex().encode() for w in words]
                 same: dict[tuple, list] = {}
                 for p, k in sorted(zip(pos, key, strict=True)):
                     if p >= len(keys) or keys[p] != k:
                         continue  # of another row with the same id
-                    right = ahead[4 * (p + sparse.key) : 4 * (p + sparse.key + sparse.context)]
-                    left = behind[4 * (len(h) - p) : 4 * (len(h) - p + sparse.context)]
-                    if (found := same.get((k, right, left))) is not None:
+                    end = p + sparse.key
+                    k2 = xxhash.xxh3_64_intdigest(b" ".join(words[p:end]), 1) - 2**63
+                    right = b" ".join(short[end : end + sparse.context])
+                    left = b" ".join(reversed(short[max(0, p - sparse.context) : p]))
+                    if (found := same.get((k, k2, right, left))) is not None:
                         if found[1][-1:] != [p] and found[0] != p:
                             found[1].append(p)
                     else:
-                        same[k, right, left] = [p, []]
-                rows += [(k, right, left, doc, p, also or None) for (k, right, left), (p, also) in same.items()]
+                        same[k, k2, right, left] = [p, []]
+                rows += [(*of, doc, p, also or None) for of, (p, also) in same.items()]
                 if len(rows) >= 20_000:
                     yield _batch(rows)
                     rows = []
@@ -134,10 +139,10 @@ def _contexts(df: DataFrame, sparse: Sparse) -> DataFrame:
                 yield _batch(rows)
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    return df.mapInArrow(run, "h long, following binary, preceding binary, id long, pos int, also array<int>")
+    return df.mapInArrow(run, "h long, h2 long, following binary, preceding binary, id long, pos int, also array<int>")
 
 
 def _splits(df: DataFrame, sparse: Sparse) -> DataFrame:
@@ -146,17 +151,19 @@ def _splits(df: DataFrame, sparse: Sparse) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, text, pos, key in zip(batch.column(0).to_pylist(), batch.column(1), *[c.to_pylist() for c in batch.columns[2:]], strict=True):
-                h = WORDS.of(_words(text.as_py() or ""))
-                keys = windows_hash(h, sparse.key).view(np.int64)
+                words = _words(text.as_py() or "")
+                keys = windows_hash(WORDS.of(words), sparse.key).view(np.int64)
                 at = np.array([p for p, k in zip(pos, key, strict=True) if p < len(keys) and keys[p] == k], np.int64)
                 starts = np.unique((at[:, None] - np.arange(sparse.context + 1)[None, :]).ravel())
-                starts = starts[(starts >= 0) & (starts <= len(h) - sparse.min_words)]
-                if len(starts):
-                    g = windows_hash(h, sparse.min_words)[starts].view(np.int64)
-                    g2 = (windows_hash(mix(h), sparse.min_words)[starts] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (g, g2, np.full(len(starts), doc, np.int64), starts.astype(np.int32))], ["g", "g2", "id", "start"])
+                starts = starts[(starts >= 0) & (starts <= len(words) - sparse.min_words)]
+                raw, ends = b" ".join(words), np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+                for part in np.split(starts, range(50_000, len(starts), 50_000)) if len(starts) else ():
+                    first = np.where(part > 0, ends[part - 1], 0).tolist()
+                    digests = b"".join([xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(first, (ends[part + sparse.min_words - 1] - 1).tolist(), strict=True)])
+                    g = np.frombuffer(digests, "<i8").reshape(-1, 2)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in (g[:, 0], g[:, 1], np.full(len(part), doc, np.int64), part.astype(np.int32))], ["g", "g2", "id", "start"])
 
-    return df.mapInArrow(run, "g long, g2 int, id long, start int")
+    return df.mapInArrow(run, "g long, g2 long, id long, start int")
 
 
 def _split_matches(splits: DataFrame, sparse: Sparse, scratch: Scratch, across: bool) -> DataFrame:
@@ -176,11 +183,15 @@ def _split_matches(splits: DataFrame, sparse: Sparse, scratch: Scratch, across:
     return found.select("id", "start", stop.alias("stop"), F.when(F.col("cut"), F.col("start")).otherwise(none).alias("cut_start"), F.when(F.col("cut"), stop).otherwise(none).alias("cut_stop"), "other")
 
 
-def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words as rows of a matrix, and how many each row has."""
-    found = column.to_pylist()
-    sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
-    return np.frombuffer(b"".join([x.ljust(4 * width, b"\0") for x in found]), ">u4").reshape(-1, width), sizes
+def _coded(rows: np.ndarray, width: int, codes: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Words as rows of a matrix, equal words by equal numbers, and how many each row has."""
+    out, sizes = np.zeros((len(rows), width), np.int32), np.zeros(len(rows), np.int32)
+    for i, row in enumerate(rows):
+        if row:
+            words = row.split(b" ")
+            sizes[i] = len(words)
+            out[i, : len(words)] = [codes.setdefault(w, len(codes) + 1) for w in words]
+    return out, sizes
 
 
 def _common(words: np.ndarray, sizes: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -199,16 +210,18 @@ def _matches(ordered: DataFrame, sparse: Sparse, across: bool) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            following, n_following = _matrix(batch.column("following"), sparse.context)
-            preceding, n_preceding = _matrix(batch.column("preceding"), sparse.context)
-            cols = [batch.column("h").to_numpy(), batch.column("id").to_numpy(), batch.column("pos").to_numpy().astype(np.int64), following, n_following, preceding, n_preceding, np.array([*batch.column("also").to_pylist(), None], dtype=object)[:-1]]
+            bytes_of = lambda name: np.array([*batch.column(name).to_pylist(), None], dtype=object)[:-1]  # noqa: B023, E731
+            cols = [batch.column("h").to_numpy(), batch.column("h2").to_numpy(), batch.column("id").to_numpy(), batch.column("pos").to_numpy().astype(np.int64), bytes_of("following"), bytes_of("preceding"), bytes_of("also")]
             old = 0 if held is None else len(held[0])
             if held is not None:
                 cols = [np.concatenate([a, b]) for a, b in zip(held, cols, strict=True)]
-            h, ids, pos, following, n_following, preceding, n_preceding, also = cols
+            h, h2, ids, pos, ahead, behind, also = cols
+            codes: dict[bytes, int] = {}
+            following, n_following = _coded(ahead, sparse.context, codes)
+            preceding, n_preceding = _coded(behind, sparse.context, codes)
             size = len(h)
             begins = np.ones(size, bool)
-            begins[1:] = h[1:] != h[:-1]
+            begins[1:] = (h[1:] != h[:-1]) | (h2[1:] != h2[:-1])
             group = np.cumsum(begins)
             first = np.maximum.accumulate(np.where(begins, np.arange(size), 0))
             new = np.arange(old, size)
@@ -264,8 +277,38 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Merges matches that come sorted by document and start; of a passage only the merged cuts are held."""
+    none = np.iinfo(np.int32).max
+    kind = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("other", pa.int64()), ("cuts", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))])
+    now: list | None = None  # id, start, stop, other, cuts
+    done: list[dict] = []
+
+    def close() -> None:
+        done.append({"id": now[0], "start": now[1], "stop": now[2], "other": now[3], "cuts": [{"a": a, "b": b} for a, b in merge(now[4])]})
+
+    for batch in batches:
+        for doc, start, stop, a, b, other in zip(*(batch.column(n).to_pylist() for n in ("id", "start", "stop", "cut_start", "cut_stop", "other")), strict=True):
+            if now is not None and now[0] == doc and start <= now[2]:
+                now[2], now[3] = max(now[2], stop), min(now[3], other)
+            else:
+                if now is not None:
+                    close()
+                now = [doc, start, stop, other, []]
+            if a != none:
+                now[4].append((a, b))
+                if len(now[4]) > 4096:
+                    now[4] = merge(now[4])
+        if len(done) >= 4096:
+            yield pa.RecordBatch.from_pylist(done, kind)
+            done.clear()
+    if now is not None:
+        close()
+    yield pa.RecordBatch.from_pylist(done, kind)
+
+
 def matches(df: DataFrame, sparse: Sparse, scratch: Scratch, *, id_col: str, text_col: str, across: bool) -> DataFrame:
-    """(id, spans array of (start, stop, cut_start, cut_stop, other)) of the documents with repeated passages."""
+    """(id, start, stop, other, cuts array of (a, b)): a row per passage, merged as the sorted matches stream by."""
     spark = prepare(df.sparkSession)
     slim = integral(df, id_col).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     suffixes = scratch.table(_suffixes(slim, sparse), "suffixes")
@@ -282,12 +325,12 @@ def matches(df: DataFrame, sparse: Sparse, scratch: Scratch, *, id_col: str, tex
         picked = slim.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= BROADCAST_IDS else slim
         return picked.join(of_doc, "id").select("id", "text", "at.pos", "at.h")
 
-    ordered = _contexts(texts(shared.where("not large"), "ids"), sparse).repartition(parts, "h").sortWithinPartitions("h", "following", "preceding", "id", "pos")
+    ordered = _contexts(texts(shared.where("not large"), "ids"), sparse).repartition(parts, "h").sortWithinPartitions("h", "h2", "following", "preceding", "id", "pos")
     few = scratch.table(_matches(ordered, sparse, across), "matches")
     many = scratch.table(_split_matches(_splits(texts(shared.where("large"), "ids2"), sparse), sparse, scratch, across), "split_matches")
     scratch.drop("shared", "held")
     found = few.unionByName(many)
-    return found.groupBy("id").agg(F.collect_list(F.struct("start", "stop", "cut_start", "cut_stop", "other")).alias("spans"))
+    return found.repartition("id").sortWithinPartitions("id", "start").mapInArrow(_passages, "id long, start long, stop long, other long, cuts array<struct<a: long, b: long>>")
 
 
 def repeated_passages(df: DataFrame, sparse: Sparse = Sparse(), *, id_col: str = "doc_id", text_col: str = "text", across: bool = True) -> DataFrame:
@@ -300,20 +343,8 @@ def repeated_passages(df: DataFrame, sparse: Sparse = Sparse(), *, id_col: str =
     """
     scratch = Scratch(df.sparkSession, "suffix")
     spans = matches(df, sparse, scratch, id_col=id_col, text_col=text_col, across=across)
-    none = np.iinfo(np.int32).max
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                cuts = merge([(s["cut_start"], s["cut_stop"]) for s in found if s["cut_start"] != none])
-                for a, b in merge([(s["start"], s["stop"]) for s in found]):
-                    gone = sum(max(0, min(b, d) - max(a, c)) for c, d in cuts)
-                    rows.append((doc, a, b - a, gone, min(s["other"] for s in found if a <= s["start"] < b)))
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], [id_col, "start_word", "n_words", "cut_words", "other_id"])
-
-    return spans.mapInArrow(run, f"`{id_col}` long, start_word long, n_words long, cut_words long, other_id long")
+    gone = F.aggregate("cuts", F.lit(0).cast("long"), lambda n, c: n + c["b"] - c["a"])
+    return spans.select(F.col("id").alias(id_col), F.col("start").alias("start_word"), (F.col("stop") - F.col("start")).alias("n_words"), gone.alias("cut_words"), F.col("other").alias("other_id"))
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -338,10 +369,9 @@ def deduplicated(df: DataFrame, sparse: Sparse = Sparse(), *, id_col: str = "doc
     documents without repeated passages stay as they are.
     """
     scratch = Scratch(df.sparkSession, "suffix")
-    none = np.iinfo(np.int32).max
     spans = matches(df, sparse, scratch, id_col=id_col, text_col=text_col, across=across)
-    cut = F.filter("spans", lambda s: s["cut_start"] != none)
-    cuts = scratch.table(spans.select(F.col("id").alias("__id"), F.transform(cut, lambda s: F.struct(s["cut_start"].alias("a"), s["cut_stop"].alias("b"))).alias("__cuts")).where(F.size("__cuts") > 0), "cuts")
+    # Merged cuts: of each some min_words words, so that a document's list is a small part of its text.
+    cuts = scratch.table(spans.where(F.size("cuts") > 0).groupBy(F.col("id").alias("__id")).agg(F.flatten(F.collect_list("cuts")).alias("__cuts")), "cuts")
     names, place = df.columns, df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

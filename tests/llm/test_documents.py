@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sieveline.llm import components, html_text, near_dedup, quality, queries, suffix_dedup, topk
@@ -189,6 +190,32 @@ def test_group_size_changes_nothing(spark):
     assert few == many
 
 
+def test_words_whose_hashes_agree_in_half_are_told_apart(spark):
+    """Three pairs of words agree in 32 bits of their hashes; with 47 words before them they aren't a shared passage."""
+    start = [f"z{i}" for i in range(47)]
+    rows = [(1, " ".join([*start, "w57212", "w22101", "w81646"])), (2, " ".join([*start, "w67677", "w77280", "w90278"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for group in (1, 5):
+        assert suffix_dedup.repeated_passages(df, suffix_dedup.Sparse(group=group)).collect() == []
+    assert sorted(map(tuple, suffix_dedup.deduplicated(df).collect())) == rows
+
+
+def test_long_words_and_markers_in_contexts(spark):
+    long, near = "x" * 300 + "a", "x" * 300 + "b"
+    start = [f"z{i}" for i in range(47)]
+    marked = "\0" + suffix_dedup.xxhash.xxh3_128_digest(long.encode()).hex()
+    rows = [(1, " ".join([*start, long, "\0q", "e"])), (2, " ".join([*start, near, "\0q", "e"])), (3, " ".join([*start, long, "\0q", "e"])), (4, " ".join([*start, marked, "\0q", "e"]))]
+    got = spans(suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == {1: set(range(50)), 3: set(range(50))}
+
+
+def test_a_document_of_five_million_words_twice(spark):
+    text = F.expr("concat_ws(' ', transform(sequence(1, 5000000), i -> concat('w', i % 3999999)))")
+    df = spark.range(3).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2, text).otherwise("short").alias("text")).repartition(3)
+    got = sorted(map(tuple, suffix_dedup.repeated_passages(df).collect()))
+    assert got == [(0, 0, 5_000_000, 0, 1), (1, 0, 5_000_000, 5_000_000, 0)]
+
+
 def test_deduplicated_keeps_each_passage_once(spark):
     rows = planted(5) + [(100, None), (101, ""), (102, "short text"), (None, "no id " * 60)]
     df = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, n_chars long, __cuts string")

@@ -19,7 +19,10 @@ from sieveline.operators.keys import common_columns
 
 
 class Diff:
-    """Lazy results of comparing ``source`` and ``target`` by ``key``; each is a DataFrame."""
+    """Lazy results of comparing ``source`` and ``target`` by ``key``; each is a DataFrame.
+
+    A row with a NULL in its key is no other row's counterpart: such rows are set aside and counted by :meth:`null_keys`.
+    """
 
     def __init__(self, source: DataFrame, target: DataFrame, key: Sequence[str], date_column: str | None = None) -> None:
         self.key, self.date_column = list(key), date_column
@@ -38,7 +41,16 @@ class Diff:
         none = F.when(F.lit(False), cells)
         s = self.source.select(*keys, F.lit(1).alias("ns"), F.lit(0).alias("nf"), cells.alias("s"), none.alias("f"))
         f = self.target.select(*keys, F.lit(0).alias("ns"), F.lit(1).alias("nf"), none.alias("s"), cells.alias("f"))
-        return s.unionByName(f).groupBy(*self._keys()).agg(F.sum("ns").alias("ns"), F.sum("nf").alias("nf"), F.max("s").alias("s"), F.max("f").alias("f"))
+        return s.unionByName(f).where(self._whole()).groupBy(*self._keys()).agg(F.sum("ns").alias("ns"), F.sum("nf").alias("nf"), F.max("s").alias("s"), F.max("f").alias("f"))
+
+    def _whole(self, names: Sequence[str] | None = None) -> Column:
+        """Whether no part of the key is NULL, in canonical text."""
+        return ~F.array_contains(F.array(*[F.col(f"`{k}`") for k in names or self._keys()]), canon.NULL_TOKEN)
+
+    def null_keys(self) -> DataFrame:
+        """(side, n_rows) of the rows whose key has a NULL, which nothing else here counts."""
+        sides = [df.where(~self._whole(self.key)).agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("n_rows")) for side, df in (("source", self.source), ("target", self.target))]
+        return sides[0].unionByName(sides[1])
 
     def _keys(self) -> list[str]:
         return [f"k{i}" for i in range(len(self.key))]

@@ -120,26 +120,6 @@ def plain_number(c: Column) -> Column:
     return F.nanvl(c.cast("double"), F.lit(None).cast("double")).cast("long")
 
 
-#: Shares of memory and cores, objects at a time and network threads, by how much a machine may be used; and what stays free (GB).
-MACHINE, RESERVE_GB = {"full": (0.85, 1.0, 2, 8), "moderate": (0.50, 0.60, 1, 6), "average": (0.35, 0.50, 1, 4)}, 1.5
-
-
-def machine_limits(machines: DataFrame) -> DataFrame:
-    """(machine, preset, objects, threads, memory_gb, network_threads) for every preset, from (machine, cores, ram_gb).
-
-    Only the full preset leaves no reserve; two objects at a time need 16 GB; each gets a thread and two GB at least
-    (one below 6 GB of memory).
-    """
-    rows = F.array(*[F.struct(F.lit(k).alias("preset"), F.lit(ram).alias("ram"), F.lit(cpu).alias("cpu"), F.lit(n).alias("n"), F.lit(net).alias("net")) for k, (ram, cpu, n, net) in MACHINE.items()])
-    out = machines.select("*", F.explode(rows).alias("p")).select("machine", "cores", "ram_gb", "p.*")
-    budget = F.greatest(F.lit(1.0), F.col("ram_gb") * F.col("ram") - F.when(F.col("ram") < 0.8, RESERVE_GB).otherwise(0.0))
-    threads = F.floor(F.col("cores") * F.col("cpu"))
-    objects = F.greatest(F.lit(1), F.least(F.when(F.col("ram_gb") >= 16, F.col("n")).otherwise(1), threads))
-    out = out.select("*", budget.alias("budget"), threads.alias("all"), objects.cast("int").alias("objects"))
-    memory = F.greatest(F.when(F.col("ram_gb") >= 6, 2).otherwise(1), F.floor(F.col("budget") / F.col("objects")))
-    return out.select("machine", "preset", "objects", F.greatest(F.lit(1), F.floor(F.col("all") / F.col("objects"))).cast("int").alias("threads"), memory.cast("int").alias("memory_gb"), F.least(F.lit(8), F.col("net")).cast("int").alias("network_threads"))
-
-
 def resolve_table(names: DataFrame, listing: DataFrame) -> DataFrame:
     """(name, path): the folder of a table that is named in any case, from a storage listing (path of schema/table folders).
 

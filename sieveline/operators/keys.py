@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -16,10 +15,17 @@ from sieveline.operators.profile import distincts
 
 #: Words of a column's name that make it likely to be a key, in English and Spanish.
 KEY_WORDS = ("id", "key", "code", "cod", "codigo", "number", "num", "numero", "no", "document", "documento", "uuid")
-KEY_NAME = re.compile(rf"(^|_|[a-z]+_)({'|'.join(KEY_WORDS)}|[a-z]*key)(_|$)", re.IGNORECASE)
+
+#: Exact tests of combinations that the sketches don't refute, in all.
+TESTS = 20
 NOT_KEYS = (K.FLOATING, K.DECIMAL, K.TIMESTAMP, K.NESTED, K.BINARY, K.VOID)
 
 
+def likely_key(name: str, words: Sequence[str] = KEY_WORDS) -> bool:
+    """Whether a column's name has one of the words, or one that ends in key, between underscores."""
+    return any(part in words or part.endswith("key") for part in name.lower().split("_"))
+
+
 def common_columns(source: DataFrame, target: DataFrame) -> list[str]:
     """Columns on both sides, in the source's order."""
     there = set(target.columns)
@@ -88,13 +94,13 @@ class Key:
     notes: list[str] = field(default_factory=list)
 
 
-def discover(source: DataFrame, target: DataFrame, declared: Sequence[str] | None = None, max_columns: int = 3) -> Key:
+def discover(source: DataFrame, target: DataFrame, declared: Sequence[str] | None = None, max_columns: int = 3, words: Sequence[str] = KEY_WORDS) -> Key:
     """The key that pairs most rows: the declared one if it is unique on both sides, one column, two or three, or a column
     that is almost unique (95 % on both sides) and pairs more.
 
     A bounded number of passes: one profile per side, at most 6 coverage joins of one column, per size one pass of sketches
-    over the combinations of the 10 most selective columns, an exact test of up to 20 that the sketches don't refute, and
-    6 more joins for almost unique columns.
+    over the combinations of the 10 most selective columns, an exact test of the first ``TESTS`` that the sketches don't refute,
+    and 6 more joins for almost unique columns. ``words`` are those that make a column's name likely to be a key.
     """
     notes: list[str] = []
     columns = common_columns(source, target)
@@ -118,7 +124,7 @@ def discover(source: DataFrame, target: DataFrame, declared: Sequence[str] | Non
     if not columns or not n_s or not n_f:
         return Key(None, "no_key", [*notes, "a side is empty"])
     usable = [c for c in columns if c in of_s and all(k[c] not in NOT_KEYS for k in kinds) and of_s[c][0] == n_s and of_f[c][0] == n_f]
-    named = {c: bool(KEY_NAME.search(c)) for c in usable}
+    named = {c: likely_key(c, words) for c in usable}
     most = min(n_s, n_f)
     single = sorted((c for c in usable if of_s[c][1] == n_s and of_f[c][1] == n_f), key=lambda c: not named[c])[:6]
     best: tuple[int, float, int, list[str] | None] = (0, -1.0, 0, None)
@@ -132,10 +138,10 @@ def discover(source: DataFrame, target: DataFrame, declared: Sequence[str] | Non
     for size in range(2, max_columns + 1):
         some = [x for x in combinations(selective, size) if prod(min(of_s[c][1], of_f[c][1]) for c in x) >= max(n_s, n_f)]
         for found in _plausible(source, some, n_s):
-            if tested >= 20 or (best[3] and best[0] == most):
+            if tested >= TESTS or (best[3] and best[0] == most):
                 break
+            tested += 1
             if is_unique(source, found) and is_unique(target, found):
-                tested += 1
                 held = (coverage(source, target, found).first()["n_pairs"], sum(named[c] for c in found) / size, -size, list(found))
                 best = held if best[3] is None or held[:3] > best[:3] else best
         if best[3] and best[0] == most:

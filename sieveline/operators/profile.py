@@ -42,6 +42,12 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _value(df: DataFrame, name: str) -> Column:
+    """A value as it is told apart from others: 0.0 and -0.0 are the same."""
+    kind = df.schema[name].dataType
+    return F.when(_c(name) == 0, F.lit(0).cast(kind)).otherwise(_c(name)) if K.category(kind) == K.FLOATING else _c(name)
+
+
 def _sum(condition: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0)).cast("long")
 
@@ -76,7 +82,7 @@ def distincts(df: DataFrame, approximate: bool = False) -> DataFrame:
     names = [f.name for f in df.schema.fields if K.category(f.dataType) not in (K.NESTED, K.BINARY, K.VOID)]
     if approximate:
         return _long(df, names, {"n_distinct": lambda n: F.approx_count_distinct(_c(n))})
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _c(n).cast("string").alias("v")) for i, n in enumerate(names)]))
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _value(df, n).cast("string").alias("v")) for i, n in enumerate(names)]))
     per = spread(df).select(pairs.alias("p")).select("p.i", "p.v").where("v is not null").distinct().groupBy("i").agg(F.count(F.lit(1)).alias("n"))
     # columns without any value have no pair
     name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("k") + 1)
@@ -126,14 +132,21 @@ def numeric(df: DataFrame) -> DataFrame:
 
 #: Accuracy of the sketches that bracket a quantile: its rank is known to one in as many rows.
 BRACKET = 10_000
+#: Rows that a bracket may hold; one that holds more, of more than one value, is narrowed by a sketch of its own.
+INSIDE = 1_000_000
+
+
+def _wider(lo: float, hi: float) -> tuple[float, float]:
+    """Bounds in doubles give way by what a double may have cut off of them; infinite ones are what they are."""
+    return (lo if math.isinf(lo) else lo - abs(lo) * 1e-15), (hi if math.isinf(hi) else hi + abs(hi) * 1e-15)
 
 
 def quartiles(df: DataFrame, only: Sequence[str] | None = None, at: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """(column_name, p25, p50, p75): discrete quartiles of numeric columns as text, each a value that occurs; NaN takes no part.
 
-    The value of rank ceil(p * n) is found exactly in three passes, whatever the number of distinct values: a sketch gives
-    bounds that are sure to hold it, values below them are counted, and of those between them (some 4 in ``BRACKET``
-    of the rows, and the equal ones) each is counted and they are ranked. Nothing but sketches and these counts is shuffled.
+    The value of rank ceil(p * n) is found exactly: sketches give bounds that are sure to hold it, values below them are counted,
+    and a bracket of more than ``INSIDE`` rows is narrowed by a sketch of its own values (each narrows it some 2,500 times, unless
+    they are equal). What is left is grouped by value and ranked, so that the ranking is bounded; equal values are one row of it.
     """
     names = columns_of(df, *K.NUMERIC, only=only)
     kinds = {f.name: K.category(f.dataType) for f in df.schema.fields}
@@ -144,13 +157,28 @@ def quartiles(df: DataFrame, only: Sequence[str] | None = None, at: Sequence[flo
     rows, spark = [], df.sparkSession
     for start in range(0, len(names), BLOCK):
         block = names[start : start + BLOCK]
-        # the sketch computes in doubles: bounds give way by what a double may have cut off
         sketch = df.agg(*[F.percentile_approx(value[n].cast("double"), edges, BRACKET).alias(f"q{i}") for i, n in enumerate(block)], *[F.count(value[n]).alias(f"n{i}") for i, n in enumerate(block)]).first()
-        cuts = {n: [(lo - abs(lo) * 1e-15, hi + abs(hi) * 1e-15) for lo, hi in zip(sketch[f"q{i}"][::2], sketch[f"q{i}"][1::2], strict=True)] for i, n in enumerate(block) if sketch[f"n{i}"]}
+        cuts = {n: [_wider(lo, hi) for lo, hi in zip(sketch[f"q{i}"][::2], sketch[f"q{i}"][1::2], strict=True)] for i, n in enumerate(block) if sketch[f"n{i}"]}
         total = {n: sketch[f"n{i}"] for i, n in enumerate(block)}
         if cuts:
-            below = df.agg(*[F.count(F.when(value[n].cast("double") < lo, 1)).alias(f"b{block.index(n)}_{k}") for n, c in cuts.items() for k, (lo, _) in enumerate(c)]).first()
-            needs = {(n, k): max(1, math.ceil(Fraction(str(p)) * total[n])) - below[f"b{block.index(n)}_{k}"] for n in cuts for k, p in enumerate(at)}
+            number = {n: value[n].cast("double") for n in cuts}
+            ranks = {(n, k): max(1, math.ceil(Fraction(str(p)) * total[n])) for n in cuts for k, p in enumerate(at)}
+            while True:
+                counts_of = df.agg(*[F.count(F.when(c, 1)).alias(f"{side}{block.index(n)}_{k}") for n in cuts for k, (lo, hi) in enumerate(cuts[n]) for side, c in (("b", number[n] < lo), ("i", number[n].between(lo, hi)))]).first()
+                below = {(n, k): counts_of[f"b{block.index(n)}_{k}"] for n, k in ranks}
+                held = {(n, k): counts_of[f"i{block.index(n)}_{k}"] for n, k in ranks}
+                wide = [(n, k) for n, k in ranks if held[n, k] > INSIDE and cuts[n][k][0] < cuts[n][k][1]]
+                if not wide:
+                    break
+                shares = {x: (ranks[x] - below[x]) / held[x] for x in wide}
+                again = df.agg(*[F.percentile_approx(F.when(number[n].between(*cuts[n][k]), number[n]), [max(0.0, shares[n, k] - 2 / BRACKET), min(1.0, shares[n, k] + 2 / BRACKET)], BRACKET).alias(f"q{j}") for j, (n, k) in enumerate(wide)]).first()
+                before = {n: list(c) for n, c in cuts.items()}
+                for j, (n, k) in enumerate(wide):
+                    lo, hi = _wider(*again[f"q{j}"])
+                    cuts[n][k] = max(lo, cuts[n][k][0]), min(hi, cuts[n][k][1])
+                if before == cuts:
+                    break
+            needs = {x: ranks[x] - below[x] for x in ranks}
             for same in {kinds_of[n]: None for n in cuts}:  # one scan for all columns of a type
                 of = [n for n in cuts if kinds_of[n] == same]
                 inside = [F.when(value[n].cast("double").between(lo, hi), F.struct(F.lit(i).alias("i"), F.lit(k).alias("k"), value[n].alias("v"))) for i, n in enumerate(of) for k, (lo, hi) in enumerate(cuts[n])]
@@ -239,7 +267,7 @@ def frequent_values(df: DataFrame, columns: Sequence[str] | None = None, top: in
     All columns are counted in one aggregation over (column, value) pairs.
     """
     names = list(columns) if columns else [f.name for f in df.schema.fields if K.category(f.dataType) not in (K.NESTED, K.BINARY, K.VOID)]
-    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), _c(n).cast("string").alias("value")) for n in names]))
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), _value(df, n).cast("string").alias("value")) for n in names]))
     counts = spread(df).select(pairs.alias("p")).select("p.*").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("frequency"))
     sizes = counts.groupBy("column_name").agg(F.count("value").alias("n_distinct"), F.sum("frequency").alias("n_rows")).where(F.col("n_distinct").between(0, max_distinct))
     sizes = sizes.orderBy("n_distinct", "column_name").limit(max_columns)

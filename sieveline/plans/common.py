@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -169,5 +170,36 @@ class Inline:
         return f"(select * from (values {rows}) v({', '.join(self.names)}))"
 
 
+class Derived:
+    """A register (of flows, runs, states, ...) made from the given tables by one SELECT that both engines read alike.
+
+    ``names``: columns whose names one engine reserves, renamed for Spark. ``duck``: what DuckDB writes in another way.
+    """
+
+    def __init__(self, select: str, duck: dict[str, str] | None = None, **names: str) -> None:
+        self.select, self.duck, self.names = select, duck or {}, names
+
+    def df(self, spark: SparkSession, d: str) -> DataFrame:
+        text, used = self.select.replace("{", "{{").replace("}", "}}"), {}
+        for name in TABLES:
+            text, n = re.subn(rf"\b(from|join) {name}\b", rf"\1 {{{name}}}", text)
+            if n:
+                used[name] = table(spark, d, name)
+        return spark.sql(text, **used).withColumnsRenamed(self.names)
+
+    @property
+    def sql(self) -> str:
+        text = self.select
+        for spark, duck in self.duck.items():
+            text = text.replace(spark, duck)
+        return f"({text})"
+
+
+def pick(number: str, *values: object) -> str:
+    """SQL for the value at a number from 0 on; texts that begin with = are SQL themselves."""
+    told = [v[1:] if isinstance(v, str) and v.startswith("=") else _literal(v) for v in values]
+    return f"case {number} " + " ".join(f"when {i} then {v}" for i, v in enumerate(told[:-1])) + f" else {told[-1]} end"
+
+
 def time(text: str) -> dt.datetime:
     return dt.datetime.fromisoformat(text)

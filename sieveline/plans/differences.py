@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.functions import patterns
-from sieveline.functions.types import change_class
 from sieveline.operators import compare, diff, keys, ops, profile, rules
 from sieveline.plans import common as C
+from sieveline.plans import measure
 from sieveline.sources import scans
 
 QUERIES: dict = {}
@@ -33,14 +31,6 @@ COLS = [c for c, _ in O[1:]]
 _WITH = f"with {C.TARGET_SQL} "
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    """A folder for files that a query writes and reads: the shared one on a cluster, one of our own in local mode."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return f"{base.rstrip('/')}/sieveline-{name}" if base else tempfile.mkdtemp(prefix=f"sieveline-{name}-")
-
-
 # Views and scans
 
 
@@ -64,22 +54,22 @@ def union_by_name_cast(spark, d):
 
 @query("select o_orderstatus, cast(count(*) as bigint) as n from orders where extract(year from o_orderdate) >= 1995 group by 1")
 def partition_prune(spark, d):
-    path = f"{_folder(spark, 'parts')}/orders"
+    path = f"{C.folder(spark, 'parts')}/orders"
     C.source(spark, d).withColumn("year", F.year("o_orderdate")).write.mode("overwrite").partitionBy("year").parquet(path)
     return scans.parquet_folder(spark, path).where("year >= '1995'").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-CSV_ROWS = C.Inline("id string, note string", ("1", "plain"), ("2", 'with "quotes", commas'), ("3", "two\nlines"), ("4", "Señor Ñandú"), ("5", None))
+CSV_ROWS = C.Derived(f"select cast(p_partkey as string) as id, {C.pick('p_partkey % 5', '=p_name', '=p_brand || chr(32) || chr(34) || p_type || chr(34) || chr(44)', '=p_name || chr(10) || p_brand', '=p_name || chr(32) || chr(241)', None)} as note from part")
 
 
 @query(f"select * from {CSV_ROWS.sql}")
 def csv_roundtrip(spark, d):
-    path = f"{_folder(spark, 'csv')}/notes"
-    CSV_ROWS.df(spark).coalesce(1).write.mode("overwrite").options(header=True, quote='"', escape='"', encoding="ISO-8859-1").csv(path)
+    path = f"{C.folder(spark, 'csv')}/notes"
+    CSV_ROWS.df(spark, d).coalesce(1).write.mode("overwrite").options(header=True, quote='"', escape='"', encoding="ISO-8859-1").csv(path)
     return scans.csv(spark, path)[0]
 
 
-@query("select column_name, 5::bigint as n_rows, 5 - nulls as non_null, low, high from (select 'id' as column_name, count(*) - count(id) as nulls, min(id) as low, max(id) as high from " + CSV_ROWS.sql + " union all select 'note', count(*) - count(note), min(note), max(note) from " + CSV_ROWS.sql + ")")
+@query("select column_name, n_rows, n_rows - nulls as non_null, low, high from (select 'id' as column_name, count(*) as n_rows, count(*) - count(id) as nulls, min(id) as low, max(id) as high from " + CSV_ROWS.sql + " union all select 'note', count(*), count(*) - count(note), min(note), max(note) from " + CSV_ROWS.sql + ")")
 def level1_csv_profile(spark, d):
     return scans.table_profile(csv_roundtrip(spark, d)).select("column_name", "n_rows", "non_null", "low", "high")
 
@@ -100,15 +90,16 @@ def level1_footer_profile(spark, d):
     return scans.footer_aggregate(scans.footer_profile(spark, f"{d}/orders.parquet")).drop("kinds")
 
 
-_TWO_FILES = "(select unnest([1, 2, null, null]) as id, null as note union all select id, case when id > 5 then 'x' end from (select unnest([4, 5, 6, 7]) as id))"
+_TWO_FILES = "(select case when n_nationkey % 3 = 0 then null else cast(n_nationkey as bigint) end as id, null as note from nation union all select o_orderkey, case when o_orderkey % 4 > 0 then o_orderstatus end from orders)"
 
 
 @query(" union all ".join(f"select '{c}' as column_name, count(*) - 1 as n_rows, count(*) - count({c}) as nulls, false as exact, {n} as n_kinds from {_TWO_FILES}" for c, n in (("id", 2), ("note", 1))))
 def level1_footer_drift(spark, d):
     """Two files that disagree in a type and a column, and a deletion vector that takes one row."""
-    path = f"{_folder(spark, 'drift')}/t"
-    spark.sql("select explode(array(1, 2, null, null)) as id").coalesce(1).write.mode("overwrite").parquet(f"{path}/a")
-    spark.sql("select cast(id as bigint) as id, if(id > 5, 'x', null) as note from (select explode(sequence(4, 7)) as id)").coalesce(1).write.mode("overwrite").parquet(f"{path}/b")
+    path = f"{C.folder(spark, 'drift')}/t"
+    nations, orders = C.table(spark, d, "nation"), C.source(spark, d)
+    nations.select(F.when(F.col("n_nationkey") % 3 > 0, F.col("n_nationkey")).alias("id")).coalesce(1).write.mode("overwrite").parquet(f"{path}/a")
+    orders.select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 4 > 0, F.col("o_orderstatus")).alias("note")).coalesce(1).write.mode("overwrite").parquet(f"{path}/b")
     footers = scans.footer_profile(spark, f"{path}/*")
     file = footers.agg(F.min("file")).first()[0]
     deleted = spark.createDataFrame([(file, 1)], "path string, dv_rows long")
@@ -123,7 +114,13 @@ def chunked_combine(spark, d):
 
 
 #: Actions of a small log: (version, op, path, rows, size, rows deleted by a vector).
-LOG = C.Inline("version long, op string, path string, rows long, size long, dv_rows long", (0, "add", "a.parquet", 5, 10, None), (0, "add", "b.parquet", 7, 20, None), (0, "add", "d.parquet", 9, 40, None), (1, "remove", "a.parquet", None, None, None), (1, "add", "c.parquet", 6, 30, None), (2, "remove", "d.parquet", None, None, None), (2, "add", "d.parquet", 9, 40, 3), (3, "remove", "c.parquet", None, None, None))
+LOG = C.Derived(
+    "select 0 as version, 'add' as op, 'p' || c_custkey as path, cast(c_nationkey as bigint) as rows, c_custkey * 10 as size, cast(null as bigint) as dv_rows from customer "
+    "union all select 1, 'remove', 'p' || c_custkey, null, null, null from customer where c_custkey % 3 = 0 "
+    "union all select 2, 'remove', 'p' || c_custkey, null, null, null from customer where c_custkey % 5 = 0 and c_custkey % 3 > 0 "
+    "union all select 2, 'add', 'p' || c_custkey, cast(c_nationkey as bigint), c_custkey * 10, cast(3 as bigint) from customer where c_custkey % 5 = 0 "
+    "union all select 3, 'remove', 'p' || c_custkey, null, null, null from customer where c_custkey % 7 = 0"
+)
 
 
 @query(
@@ -133,18 +130,19 @@ def delta_live_files(spark, d):
     """A log written for the purpose: files added, replaced, removed, and one with a deletion vector."""
     import json
 
-    path = f"{_folder(spark, 'delta')}/t"
+    path = f"{C.folder(spark, 'delta')}/t"
     fs = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for v in sorted({r[0] for r in LOG.rows}):
-        lines = [{"metaData": {"schemaString": "{}"}}] * (v == 0)
-        for _, op, file, rows, size, gone in (r for r in LOG.rows if r[0] == v):
-            vector = {"deletionVector": {"storageType": "u", "cardinality": gone}} if gone else {}
-            lines.append({op: {"path": file} | ({"size": size, "modificationTime": 1000 * v, "stats": json.dumps({"numRecords": rows})} | vector if op == "add" else {})})
-        lines.append({"commitInfo": {"timestamp": 1000 * v, "operation": "WRITE"}})
-        where = fs.Path(f"{path}/_delta_log/{v:020d}.json")
-        out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
-        out.write(bytearray("\n".join(map(json.dumps, lines)).encode()))
-        out.close()
+    add = F.to_json(F.struct(F.struct("path", "size", (F.col("version") * 1000).alias("modificationTime"), F.to_json(F.struct(F.col("rows").alias("numRecords"))).alias("stats"), F.when(F.col("dv_rows").isNotNull(), F.struct(F.lit("u").alias("storageType"), F.col("dv_rows").alias("cardinality"))).alias("deletionVector")).alias("add")))
+    gone = F.to_json(F.struct(F.struct("path").alias("remove")))
+    lines = LOG.df(spark, d).select("version", F.when(F.col("op") == "add", add).otherwise(gone).alias("value"))
+    for v in range(4):
+        commit = spark.createDataFrame([(json.dumps({"commitInfo": {"timestamp": 1000 * v, "operation": "WRITE"}}),)], "value string")
+        lines.where(F.col("version") == v).select("value").unionByName(commit).coalesce(1).write.mode("overwrite").text(f"{path}/_made/{v}")
+        where = fs.Path(f"{path}/_delta_log")
+        store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        store.mkdirs(where)
+        part = next(s.getPath() for s in store.listStatus(fs.Path(f"{path}/_made/{v}")) if s.getPath().getName().startswith("part-"))
+        store.rename(part, fs.Path(f"{path}/_delta_log/{v:020d}.json"))
     return scans.delta_live_files(scans.delta_actions(spark, path))
 
 
@@ -250,19 +248,20 @@ def diff_patterns(spark, d):
     return _diff(spark, d).patterns()
 
 
-TEXT_PAIRS = C.Inline(
-    "id int, source string, target string",
-    (1, " Ana", "Ana"), (2, "LUIS", "Luis"), (3, "José", "Jose"), (4, "MarÃ­a", "María"), (5, "007", "7"), (6, "1.50", "1.5"), (7, "10", "10.01"),
-    (8, "2024-01-05 10:00:00", "2024-01-05 15:00:00"), (9, "2024-01-05 10:20:30.500", "2024-01-05 10:20:30"), (10, "2024-01-05 10:20:33", "2024-01-05 00:00:00"),
-    (11, "2024-01-05 10:20:33", "2024-01-05 11:25:40"), (12, "05/01/2024", "2024-01-05"), (13, None, "N/A"), (14, "x", None), (15, None, "y"), (16, "abc", "xyz"),
-    (17, "20240105", "20240106"), (18, "", None), (19, "Ñandú", "ñandu"), (20, "0", ""), (21, "5/1/2024 1:02:03", "2024-01-05 01:02:03"),
-)
+_K = "cast(c_custkey as string)"
+TEXT_PAIRS = C.Derived(
+    "select c_custkey as id, "
+    + C.pick("c_custkey % 16", f"='Peña ' || {_K}", "=c_name || ' '", "=upper(c_name)", f"='00' || {_K}", f"={_K} || '.50'", None, f"='Andrés ' || {_K}", f"='2024-01-05 10:' || lpad(cast(c_custkey % 60 as string), 2, '0') || ':33'", "05/01/2024", None, "=c_name", None, "=c_mktsegment", "20240105", "", "5/1/2024 1:02:03")
+    + " as source, "
+    + C.pick("c_custkey % 16", f"='PeÃ±a ' || {_K}", "=c_name", "=lower(c_name)", f"={_K}", f"={_K} || '.5'", "", f"='Andres ' || {_K}", f"='2024-01-05 11:' || lpad(cast(c_custkey % 60 as string), 2, '0') || ':33'", "2024-01-05", "N/A", None, "=c_name", "=c_name", "20240106", None, "2024-01-05 01:02:03")
+    + " as target from customer"
+)
 
 
 @query(f"with t as (select id, coalesce(source, chr(0) || 'NULL' || chr(0)) as source, coalesce(target, chr(0) || 'NULL' || chr(0)) as target from {TEXT_PAIRS.sql}) select id, {_pattern_sql('source', 'target')} as pattern from t")
 def diff_patterns_text(spark, d):
     null = F.lit("\x00NULL\x00")
-    return TEXT_PAIRS.df(spark).select("id", patterns.pattern(F.coalesce("source", null), F.coalesce("target", null)).alias("pattern"))
+    return TEXT_PAIRS.df(spark, d).select("id", patterns.pattern(F.coalesce("source", null), F.coalesce("target", null)).alias("pattern"))
 
 
 @query(f"{_PATTERNED} select column_name, cast(min(abs(cast(source as decimal(38,10)) - cast(target as decimal(38,10))))::decimal(38,10) as varchar) as min_abs, cast(max(abs(cast(source as decimal(38,10)) - cast(target as decimal(38,10))))::decimal(38,10) as varchar) as max_abs from p where pattern = 'numeric_difference' group by 1")
@@ -280,12 +279,15 @@ def diff_examples(spark, d):
     return _diff(spark, d).examples("o_totalprice")
 
 
-SHIFTED = [C.Inline("k int, cod string, nombre string, extra string", *rows) for rows in (((1, "A", "Ana", "x"), (2, "B", "Luis", None), (3, "C", "Eva", "z")), ((1, "Ana", "Ana", None), (2, "Luis", "Luis", "w"), (3, "Eva", "Eva", None)))]
+SHIFTED = [
+    C.Derived("select c_custkey as k, 'C' || c_custkey as cod, c_name as nombre, case when c_custkey % 4 > 0 then c_mktsegment end as extra from customer"),
+    C.Derived("select c_custkey as k, case when c_custkey % 5 = 0 then c_name else 'C' || c_custkey end as cod, case when c_custkey % 11 = 0 then c_mktsegment else c_name end as nombre, case when c_custkey % 3 > 0 then c_mktsegment else '' end as extra from customer"),
+]
 
 
 @query(f"with j as (select s.cod as s_cod, s.nombre as s_nombre, s.extra as s_extra, f.cod as f_cod, f.nombre as f_nombre, f.extra as f_extra from {SHIFTED[0].sql} s join {SHIFTED[1].sql} f using (k)), r as (" + " union all ".join(f"select '{a}' as column_name, '{b}' as source_column, count(*) filter (where s_{a} is distinct from f_{a} and f_{a} = s_{b} and f_{a} <> '') as n from j" for a in ("cod", "nombre", "extra") for b in ("cod", "nombre", "extra") if a != b) + ") select * from r where n > 0")
 def diff_column_shift(spark, d):
-    return diff.Diff(SHIFTED[0].df(spark), SHIFTED[1].df(spark), ["k"]).column_shift()
+    return diff.Diff(SHIFTED[0].df(spark, d), SHIFTED[1].df(spark, d), ["k"]).column_shift()
 
 
 @query(
@@ -327,27 +329,26 @@ def column_distribution_diff(spark, d):
     return diff.distribution(C.source(spark, d), C.target(spark, d), "o_orderpriority")
 
 
-DATES = C.Inline("id int, v string", *enumerate(["2024-01-05", "05/01/2024", "5/1/2024 1:02:03", "20240105", "12/25/2024", "2024-01-05 10:11:12", "x", None, "31/12/2023", "99/99/9999"]))
+_Y, _M, _D = "cast(year(o_orderdate) as string)", "cast(month(o_orderdate) as string)", "cast(day(o_orderdate) as string)"
+_MM, _DD = (f"lpad({x}, 2, '0')" for x in (_M, _D))
+DATES = C.Derived(
+    "select o_orderkey as id, "
+    + C.pick("o_orderkey % 10", f"={_Y} || '-' || {_MM} || '-' || {_DD}", f"={_DD} || '/' || {_MM} || '/' || {_Y}", f"={_D} || '/' || {_M} || '/' || {_Y} || ' 1:02:03'", f"={_Y} || {_MM} || {_DD}", f"={_MM} || '/' || {_DD} || '/' || {_Y}", f"={_Y} || '-' || {_MM} || '-' || {_DD} || ' 10:11:12'", "=o_orderpriority", None, f"='31/' || {_MM} || '/' || {_Y}", "99/99/9999")
+    + " as v from orders"
+)
 
 
 @query(f"select id, strftime(coalesce(case when regexp_matches(v, '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') then try_cast(v as timestamp) end, try_strptime(v, '%d/%m/%Y'), try_strptime(v, '%d/%m/%Y %H:%M:%S'), try_strptime(v, '%Y%m%d'), try_strptime(v, '%m/%d/%Y')), '%Y-%m-%d %H:%M:%S') as parsed from {DATES.sql}")
 def date_formats(spark, d):
-    return DATES.df(spark).select("id", F.date_format(patterns.any_time(F.col("v")), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+    return DATES.df(spark, d).select("id", F.date_format(patterns.any_time(F.col("v")), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
 
 
 # Schemas and comparisons
 
-TYPE_CHANGES = [("varchar(20)", "text"), ("integer", "bigint"), ("bigint", "integer"), ("numeric(10,2)", "numeric(12,2)"), ("date", "timestamp without time zone"), ("text", "text"), ("integer", "numeric(10,0)"), ("boolean", "text"), ("real", "double precision")]
-
-
-@query("select * from (values ('varchar(20)','text','TEXT_EQUIVALENT'),('integer','bigint','WIDENING'),('bigint','integer','INCOMPATIBLE'),('numeric(10,2)','numeric(12,2)','PRECISION'),('date','timestamp without time zone','WIDENING'),('text','text','SAME'),('integer','numeric(10,0)','WIDENING'),('boolean','text','INCOMPATIBLE'),('real','double precision','WIDENING')) t(source,target,class)")
-def type_change_class(spark, d):
-    return spark.createDataFrame([(a, b, change_class(a, b)) for a, b in TYPE_CHANGES], "source string, target string, class string")
-
-
-@query("select * from (values ('Fecha Alta','fecha_alta'),('id','id'),('Código','codigo'),('gone',null),(null,'new')) t(source,target)")
+@query("with c as (select column_name as n from information_schema.columns where table_name = 'customer') select n as source, case when n = 'c_acctbal' then null else upper(replace(n, '_', ' ')) end as target from c union all select null, 'new'")
 def column_pairing(spark, d):
-    pairs, s, f = compare.pair_columns(["Fecha Alta", "id", "Código", "gone"], ["new", "id", "codigo", "fecha_alta"])
+    names = C.table(spark, d, "customer").columns
+    pairs, s, f = compare.pair_columns(names, ["new", *[n.upper().replace("_", " ") for n in names if n != "c_acctbal"]])
     return spark.createDataFrame([*pairs.items(), *[(x, None) for x in s], *[(None, x) for x in f]], "source string, target string")
 
 
@@ -370,25 +371,23 @@ def profile_diff(spark, d):
     return compare.profile_diff(profile.text(C.source(spark, d)).select(*keep), profile.text(C.target(spark, d)).select(*keep))
 
 
-CONTRACTS = [C.Inline("column_name string, data_type string, nullable boolean, candidate_key boolean, max_length int", *rows) for rows in (
-    (("id", "bigint", False, True, None), ("name", "string", False, False, 10), ("old", "string", True, False, 5), ("amt", "decimal(10,2)", True, False, None)),
-    (("ID", "bigint", False, False, None), ("name", "string", True, False, 12), ("amt", "double", True, False, None), ("fresh", "int", True, False, None)),
-)]
+#: The target's customers: keys that repeat, longer names, nulls, another type, a column less and one more.
+CONTRACT_TARGET = C.Derived("select case when c_custkey % 50 = 0 then 1 else c_custkey end as C_CUSTKEY, c_name || '!!' as c_name, case when c_nationkey % 9 > 0 then c_nationkey end as c_nationkey, cast(floor(c_acctbal) as bigint) as c_acctbal, 'x' || c_custkey as fresh from customer")
+_CONTRACTS = [f"({measure.contract_sql('customer', measure.CU, {'c_nationkey': 'int'})})", f"({measure.contract_sql(CONTRACT_TARGET.sql + ' t', [('C_CUSTKEY', 'i'), ('c_name', 's'), ('c_nationkey', 'i'), ('c_acctbal', 'i'), ('fresh', 's')], {'c_nationkey': 'int'})})"]
 
 
 @query(
-    f"with b as (select s.column_name as sn, f.column_name as fn, s.data_type as st, f.data_type as ft, s.nullable as sx, f.nullable as fx, s.candidate_key as sk, f.candidate_key as fk, s.max_length as sl, f.max_length as fl from {CONTRACTS[0].sql} s full join {CONTRACTS[1].sql} f on lower(s.column_name) = lower(f.column_name)) "
+    f"with b as (select s.column_name as sn, f.column_name as fn, s.data_type as st, f.data_type as ft, s.nullable as sx, f.nullable as fx, s.candidate_key as sk, f.candidate_key as fk, s.max_length as sl, f.max_length as fl from {_CONTRACTS[0]} s full join {_CONTRACTS[1]} f on lower(s.column_name) = lower(f.column_name)) "
     "select sn as column_name, 'column_missing_in_target' as rule from b where fn is null union all select fn, 'column_new_in_target' from b where sn is null union all select sn, 'type' from b where st <> ft union all select sn, 'no_longer_mandatory' from b where not sx and fx union all select sn, 'no_longer_key' from b where sk and not fk union all select sn, 'max_length_grew' from b where fl > sl"
 )
 def contract_breaks(spark, d):
-    return compare.contract_breaks(CONTRACTS[0].df(spark), CONTRACTS[1].df(spark))
+    return compare.contract_breaks(rules.contract(C.table(spark, d, "customer")), rules.contract(CONTRACT_TARGET.df(spark, d)))
 
 
-VERDICTS = C.Inline(
-    "id int, ns long, nf long, same_rows boolean, same_set boolean, pairs int, equal int, different int, one_sided int, measured boolean",
-    (1, 5, 5, True, True, 3, 3, 0, 0, True), (2, 5, 5, False, True, 3, 3, 0, 0, True), (3, 5, 5, False, False, 3, 3, 0, 0, True), (4, 5, 5, False, False, 10, 9, 1, 0, True),
-    (5, 5, 5, False, False, 10, 5, 5, 0, True), (6, 5, 6, False, False, 3, 3, 0, 0, True), (7, 5, 5, False, False, 3, 3, 0, 1, True), (8, 5, 5, True, True, 3, 3, 0, 0, False),
-)
+VERDICTS = C.Derived(
+    "select o_orderkey as id, o_custkey % 5 as ns, (case when o_orderkey % 6 = 0 then o_custkey + 1 else o_custkey end) % 5 as nf, o_orderkey % 4 = 0 as same_rows, o_orderkey % 5 < 2 as same_set, cast(o_orderkey % 11 as int) as pairs, "
+    "cast(o_custkey % 11 as int) as equal, cast(case when o_orderkey % 3 = 0 then o_custkey % 4 else 0 end as int) as different, cast(case when o_orderkey % 7 = 0 then 1 else 0 end as int) as one_sided, o_orderkey % 13 > 0 as measured from orders"
+)
 
 
 @query(
@@ -397,14 +396,17 @@ VERDICTS = C.Inline(
 )
 def data_verdict(spark, d):
     c = F.col
-    return VERDICTS.df(spark).select("id", compare.data_verdict(c("ns"), c("nf"), c("same_rows"), c("same_set"), c("pairs"), c("equal"), c("different"), c("one_sided"), c("measured")).alias("verdict"))
+    return VERDICTS.df(spark, d).select("id", compare.data_verdict(c("ns"), c("nf"), c("same_rows"), c("same_set"), c("pairs"), c("equal"), c("different"), c("one_sided"), c("measured")).alias("verdict"))
 
 
-STATES = C.Inline(
-    "code string, source string, target string, equal boolean, new_empty boolean",
-    ("VG-01", "OK", "ERROR", None, None), ("VG-02", "ERROR", "ERROR", None, None), ("VG-03", "OK", "OK", None, None), ("CP-01", "OK", "OK", False, None), ("CP-02", "OK", "OK", True, None),
-    ("CP-05", "OK", "ERROR", None, None), ("ID-01", "OK", "ERROR", None, None), ("ID-03", "OK", "OK", None, True), ("ID-04", "INFO", "INFO", None, None), ("ID-06", "OK", "INFO", None, None),
-)
+_CODES = [*rules.CONTROLS]
+_CODE = C.pick(f"o_orderkey % {len(_CODES) + 2}", *_CODES, "XX-01")
+_STATE_OF = "case when max({c}) % 4 = 0 then 'ERROR' when max({c}) % 4 = 1 then 'ALERT' when max({c}) % 4 = 2 then 'INFO' else 'OK' end"
+#: A state per control and side, from the orders that fall to the control.
+STATES = C.Derived(
+    f"select code, {_STATE_OF.format(c='a')} as source, {_STATE_OF.format(c='b')} as target, case when max(c) % 3 > 0 then max(c) % 3 = 1 end as equal, max(b) % 2 = 0 as new_empty "
+    f"from (select {_CODE} as code, o_custkey as a, o_custkey * 7 + o_orderkey as b, o_orderkey as c from orders) r where code <> 'XX-01' group by code"
+)
 _CATALOGUE = C.Inline("code string, level int, criterion string", *[(c, x[0], x[1]) for c, x in rules.CONTROLS.items()])
 
 
@@ -415,40 +417,40 @@ _CATALOGUE = C.Inline("code string, level int, criterion string", *[(c, x[0], x[
     "when criterion = 'no_regression' then case when (case target when 'ERROR' then 2 when 'ALERT' then 1 else 0 end) > (case source when 'ERROR' then 2 when 'ALERT' then 1 else 0 end) then 'NOT_MET' else 'MET' end else 'INFORMATIVE' end as result from j"
 )
 def quick_compare(spark, d):
-    return compare.quick_compare(STATES.df(spark), "ingestion")
+    return compare.quick_compare(STATES.df(spark, d), "ingestion")
 
 
 @query(f"with t as (select code, case when source = 'OK' and target <> 'OK' then 'regression' when source <> 'OK' and target = 'OK' then 'improvement' when source = 'ERROR' and target = 'ERROR' then 'inherited' end as change from {STATES.sql}) select * from t where change is not null")
 def control_regressions(spark, d):
-    return compare.control_regressions(STATES.df(spark))
+    return compare.control_regressions(STATES.df(spark, d))
 
 
-RESULTS = C.Inline("code string, result string", ("VG-01", "MET"), ("VG-02", "INHERITED"), ("VG-03", "NOT_MET"), ("CP-01", "MET"), ("CP-05", "NOT_EVALUATED"), ("ID-01", "NOT_MET"), ("ID-02", "PENDING_LEVEL_2"), ("ID-04", "INFORMATIVE"))
+RESULTS = C.Derived(f"select {_CODE} as code, {C.pick('(o_custkey * 3 + o_orderkey) % 7', 'MET', 'INHERITED', 'NOT_MET', 'NOT_EVALUATED', 'PENDING_LEVEL_2', 'INFORMATIVE', 'MET')} as result from orders")
 
 
 @query(f"select split_part(code, '-', 1) as family, count(*) as n, count(*) filter (where result in ('MET', 'INHERITED')) as met, case when count(*) filter (where result in ('MET', 'INHERITED', 'NOT_MET')) > 0 then round(100.0 * count(*) filter (where result in ('MET', 'INHERITED')) / count(*) filter (where result in ('MET', 'INHERITED', 'NOT_MET')), 2)::double end as pct from {RESULTS.sql} group by 1")
 def control_rollup(spark, d):
-    return compare.control_rollup(RESULTS.df(spark))
+    return compare.control_rollup(RESULTS.df(spark, d))
 
 
-DECIDED = C.Inline("id int, result string, decided string, warned boolean", (1, "MET", None, False), (2, "NOT_MET", "justified", False), (3, "NOT_MET", "to_verify", False), (4, "NOT_MET", None, True), (5, "PENDING_LEVEL_2", None, False), (6, "INFORMATIVE", None, True), (7, "NOT_APPLICABLE", None, False), (8, "NOT_EVALUATED", None, False), (9, "MET", None, True))
+DECIDED = C.Derived(f"select o_orderkey as id, {C.pick('o_custkey % 7', 'MET', 'NOT_MET', 'PENDING_LEVEL_2', 'INFORMATIVE', 'NOT_APPLICABLE', 'NOT_EVALUATED', 'INHERITED')} as result, {C.pick('o_orderkey % 4', 'justified', 'to_verify', None, None)} as decided, o_orderkey % 3 = 0 as warned from orders")
 
 
 @query(f"select id, case result when 'NOT_APPLICABLE' then 'not_applicable' when 'NOT_EVALUATED' then 'not_evaluated' when 'PENDING_LEVEL_2' then 'pending' when 'NOT_MET' then case decided when 'justified' then 'justified' when 'to_verify' then 'to_verify' else 'fails' end else case when warned then 'warning' else 'ok' end end as word from {DECIDED.sql}")
 def control_words(spark, d):
-    return DECIDED.df(spark).select("id", compare.control_word(F.col("result"), F.col("decided"), F.col("warned")).alias("word"))
+    return DECIDED.df(spark, d).select("id", compare.control_word(F.col("result"), F.col("decided"), F.col("warned")).alias("word"))
 
 
-WORDS = C.Inline("flow string, tab string, word string", ("a", "t1", "ok"), ("a", "t1", "justified"), ("a", "t2", "ok"), ("b", "t3", "fails"), ("b", "t3", "to_verify"), ("b", "t4", "pending"), ("c", "t5", "to_verify"), ("c", "t5", "justified"), ("d", "t6", "not_evaluated"), ("e", "t7", "ok"))
+WORDS = C.Derived(f"select 'f' || (c_custkey % 40) as flow, 't' || (c_custkey % 120) as tab, {C.pick('(c_custkey * 13 + c_nationkey) % 40', 'fails', 'pending', 'not_evaluated', 'to_verify', 'justified', 'to_verify', 'justified', 'justified', 'ok')} as word from customer")
 _TABLE_STATE = f"select flow, tab, case when bool_or(word = 'pending') then 'IN_PROGRESS' when bool_or(word = 'fails') then 'RETURNED' when bool_or(word = 'not_evaluated') then 'IN_REVIEW' when bool_or(word = 'to_verify') then 'APPROVED_WITH_VERIFICATION' when bool_or(word = 'justified') then 'APPROVED_WITH_JUSTIFICATION' else 'APPROVED' end as state from {WORDS.sql} group by 1, 2"
 
 
 @query(_TABLE_STATE)
 def table_state(spark, d):
-    return compare.table_state(WORDS.df(spark), ["flow", "tab"])
+    return compare.table_state(WORDS.df(spark, d), ["flow", "tab"])
 
 
-CHECKS = C.Inline("flow string, word string", ("a", "ok"), ("b", "ok"), ("c", "fails"), ("e", "not_evaluated"), ("f", "ok"))
+CHECKS = C.Derived(f"select 'f' || (c_custkey % 45 + 3) as flow, {C.pick('(c_custkey * 5 + c_nationkey) % 90', 'fails', 'not_evaluated', 'ok')} as word from customer")
 _RANKED = "case state " + " ".join(f"when '{s}' then {i}" for i, s in enumerate(compare.STATE_ORDER)) + " end"
 
 
@@ -457,29 +459,31 @@ _RANKED = "case state " + " ".join(f"when '{s}' then {i}" for i, s in enumerate(
     "select flow, case when bad or s = 'RETURNED' then 'RETURNED' when s = 'IN_PROGRESS' then 'IN_PROGRESS' when open or s is null then 'IN_REVIEW' else s end as state from w full join c using (flow)"
 )
 def flow_state(spark, d):
-    return compare.flow_state(table_state(spark, d), CHECKS.df(spark))
+    return compare.flow_state(table_state(spark, d), CHECKS.df(spark, d))
 
 
-OUTCOMES = C.Inline(
-    "id int, grp string, same_rows boolean, same_hash boolean, same_columns boolean, type_change string, vg int, regr int, verdict string, renamed boolean, justified boolean, cut boolean",
-    (1, "ingestion", True, True, True, "SAME", 0, 0, "IDENTICAL", False, False, False), (2, "ingestion", True, False, True, "SAME", 0, 0, "DIFFERENT", False, False, False), (3, "ingestion", True, True, True, "SAME", 0, 0, "IDENTICAL", True, False, False),
-    (4, "analytics", False, False, True, "SAME", 0, 0, "DIFFERENT", False, False, False), (5, "analytics", False, False, True, "SAME", 0, 1, "DIFFERENT", False, False, False), (6, "ingestion", False, False, True, "SAME", 0, 0, "DIFFERENT", False, False, True),
-    (7, "ingestion", True, True, True, "WIDENING", 0, 0, "IDENTICAL", False, False, False), (8, "ingestion", True, True, True, "INCOMPATIBLE", 0, 0, "IDENTICAL", False, False, False), (9, "analytics", True, True, False, "SAME", 0, 0, "IDENTICAL", False, False, False), (10, "analytics", True, True, True, "SAME", 0, 0, "IDENTICAL", False, True, False),
-)
+OUTCOMES = C.Derived(
+    f"select o_orderkey as id, case when o_custkey % 2 = 0 then 'ingestion' else 'analytics' end as grp, o_orderkey % 5 > 0 as same_rows, o_orderkey % 7 > 0 as same_hash, o_orderkey % 11 > 0 as same_columns, "
+    f"{C.pick('o_custkey % 6', 'SAME', 'TEXT_EQUIVALENT', 'WIDENING', 'PRECISION', 'INCOMPATIBLE', 'SAME')} as type_change, cast(case when o_orderkey % 13 = 0 then 1 else 0 end as int) as vg, cast(case when o_custkey % 9 = 0 then 1 else 0 end as int) as regr, "
+    "case when o_orderkey % 3 = 0 then 'DIFFERENT' else 'IDENTICAL' end as verdict, o_custkey % 8 = 0 as renamed, o_custkey % 10 = 0 as justified, o_orderkey % 4 = 0 as cut from orders"
+)
 
 
-@query("select * from (values (1,'APPROVED'),(2,'REVIEW'),(3,'APPROVED_WITH_JUSTIFICATION'),(4,'APPROVED'),(5,'REVIEW'),(6,'APPROVED_WITH_JUSTIFICATION'),(7,'APPROVED_WITH_JUSTIFICATION'),(8,'REVIEW'),(9,'REVIEW'),(10,'APPROVED_WITH_JUSTIFICATION')) t(id,outcome)")
+@query(f"select id, case when shape and same_type and rest then case when not renamed and not justified and (grp <> 'ingestion' or verdict = 'IDENTICAL') then 'APPROVED' else 'APPROVED_WITH_JUSTIFICATION' end when (cut and shape and same_type and (grp = 'ingestion' or regr = 0)) or (type_change in ('WIDENING', 'PRECISION') and shape and rest) then 'APPROVED_WITH_JUSTIFICATION' else 'REVIEW' end as outcome from (select *, same_columns and vg = 0 as shape, type_change in ('SAME', 'TEXT_EQUIVALENT') as same_type, case when grp = 'ingestion' then same_rows and same_hash else regr = 0 end as rest from {OUTCOMES.sql}) o")
 def comparison_outcome(spark, d):
     c = F.col
-    return OUTCOMES.df(spark).select("id", compare.comparison_outcome(c("grp"), c("same_rows"), c("same_hash"), c("same_columns"), c("type_change"), c("vg"), c("regr"), c("verdict"), c("renamed"), c("justified"), c("cut")).alias("outcome"))
+    return OUTCOMES.df(spark, d).select("id", compare.comparison_outcome(c("grp"), c("same_rows"), c("same_hash"), c("same_columns"), c("type_change"), c("vg"), c("regr"), c("verdict"), c("renamed"), c("justified"), c("cut")).alias("outcome"))
 
 
-FINDINGS = C.Inline("flow string, kind string, detail string", ("a", "control_not_met", "ID-01"), ("b", "control_not_met", "CP-01"), ("c", "ok", None), ("d", "output_without_commit", "t"), ("d", "nulls_differ", "t"), ("e", "roles_swapped", None), ("f", "run_not_completed", "Failed"))
+FINDINGS = C.Derived(
+    f"select 'f' || (o_custkey % 150) as flow, {C.pick('(o_orderkey * 7 + o_custkey) % 90', 'run_not_completed', 'validator_blocker', 'output_without_commit', 'control_not_met', 'roles_swapped', 'comparison_missing', 'nulls_differ', 'control_not_met', 'ok')} as kind, "
+    "case when o_custkey % 4 = 0 then 'ID-01' when o_custkey % 4 = 1 then 'CP-01' end as detail from orders"
+)
 
 
 @query(f"with t as (select flow, count(*) filter (where kind in ('run_not_completed', 'validator_blocker', 'output_without_commit', 'child_not_completed') or (kind = 'control_not_met' and detail = 'ID-01')) as n_red, count(*) filter (where kind in ('roles_swapped', 'comparison_missing', 'cp05_not_evaluated', 'nulls_differ', 'code_review_open', 'no_run') or (kind = 'control_not_met' and detail <> 'ID-01')) as n_yellow from {FINDINGS.sql} group by 1) select flow, case when n_red > 0 then 'RED' when n_yellow > 0 then 'YELLOW' else 'GREEN' end as light, n_red, n_yellow from t")
 def traffic_light(spark, d):
-    return compare.traffic_light(FINDINGS.df(spark))
+    return compare.traffic_light(FINDINGS.df(spark, d))
 
 
 @query("select code, case when level = 2 then 'PENDING_LEVEL_2' when code = 'ID-01' then 'OK' when code = 'ID-03' then 'OK' when code = 'ID-04' then 'INFO' when code = 'ID-06' then 'OK' end as state from " + _CATALOGUE.sql + " where code like 'ID-%'")

@@ -1,14 +1,11 @@
-"""Queries on a run's evidence, next steps, machine presets, table lookup and transcripts, with SQL that computes the rules."""
+"""Queries on a run's evidence, next steps, table lookup and transcripts, with SQL that computes the rules."""
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import functions as F
 
 from sieveline.operators import evidence, ops
 from sieveline.plans import common as C
-from sieveline.plans.differences import _folder
 from sieveline.sources import scans
 
 QUERIES: dict = {}
@@ -24,34 +21,24 @@ def query(sql: str):
     return keep
 
 
-T = C.time
-RUNS = C.Inline(
-    "flow string, kind string, run_state string, run_end timestamp_ntz, validator_ts timestamp_ntz, validator_ran boolean, validator_matches boolean, validator_passes boolean, orchestrated boolean, waiver boolean, blockers int, false_blockers int, orchestrator_state string",
-    ("good", "analytic", "Completed", T("2024-01-05 10:30:00"), T("2024-01-05 11:00:00"), True, True, True, False, False, 0, 0, "Completed"),
-    ("chain", "analytic", "Completed", T("2024-01-05 10:30:00"), T("2024-01-05 11:00:00"), False, False, True, True, False, 0, 0, "Failed"),
-    ("waived", "ingest", "Completed", T("2024-01-05 10:30:00"), T("2024-01-05 11:00:00"), False, False, False, False, True, 2, 2, None),
-    ("early", "ingest", "Completed", T("2024-01-05 10:30:00"), T("2024-01-05 10:00:00"), True, True, True, False, False, 1, 0, "Cancelled"),
-    ("failed", "ingest", "Failed", T("2024-01-05 10:30:00"), T("2024-01-05 11:00:00"), False, False, True, False, True, 3, 1, "Failed"),
-    ("none", "analytic", None, None, None, None, None, None, None, None, None, None, None),
-)
-ACTIVITIES = C.Inline(
-    "flow string, activity string, kind string, state string, rows_read long, rows_copied long, in_scope boolean",
-    ("good", "a", "Notebook", "Succeeded", None, None, None), ("chain", "a", "Copy", "Succeeded", 5, 5, False), ("chain", "b", "Copy", "Succeeded", None, None, False), ("waived", "a", "Copy", "Succeeded", 7, 7, True), ("waived", "b", "Copy", "Failed", 7, 3, False),
-    ("early", "a", "Copy", "Succeeded", 7, 6, True), ("early", "b", "Copy", "Succeeded", None, None, True), ("failed", "a", "Copy", "Failed", None, 0, True), ("failed", "c", "Wait", "Inactive", None, None, True),
-)
-INPUTS = C.Inline(
-    "flow string, input string, kind string, version_read long, producer_state string, changed_after boolean, files_after int",
-    ("good", "s.a", "delta", 4, "Succeeded", False, None), ("good", "s.b", "delta", 9, None, None, None), ("chain", "s.a", "delta", None, "Failed", True, None), ("chain", "Files/x", "folder", None, None, None, 0), ("early", "Files/y", "folder", None, None, None, 3), ("failed", "db", "copy", None, None, True, 9),
-)
-OUTPUTS = C.Inline(
-    "flow string, output string, kind string, committed boolean, measured_version long, written_versions array<long>, commits_after int, files_in_run int",
-    ("good", "g.a", "delta", True, 3, [2, 3], 0, None), ("good", "g.b", "delta", True, None, [], None, None), ("chain", "g.c", "delta", False, 4, [2], 1, None), ("chain", "pg", "database", None, None, None, None, None), ("waived", "Files/z", "folder", None, None, None, None, 4),
-    ("early", "Files/z", "folder", None, None, None, None, None), ("failed", "pg", "database", None, None, None, None, None), ("early", "pg", "database", None, None, None, None, None), ("early", "pg2", "database", None, None, None, None, None), ("none", "pg", "database", None, None, None, None, None),
-)
-CHAIN = C.Inline(
-    "flow string, place int, own_place int, state string",
-    ("good", 1, 1, "Succeeded"), ("good", 2, 1, "Succeeded"), ("chain", 1, 2, "Succeeded"), ("chain", 2, 2, "Succeeded"), ("chain", 3, 2, "Failed"), ("early", 1, 2, "Cancelled"), ("early", 2, 2, "Succeeded"), ("failed", 1, 2, "Failed"), ("failed", 2, 2, "Failed"),
-)
+_FLOW = "'f' || o_orderkey as flow, "
+_TIME = "cast(null as timestamp)"
+RUNS = C.Derived(
+    f"select {_FLOW}{C.pick('o_custkey % 3', 'analytic', 'ingest', 'ingest')} as kind, {C.pick('o_orderkey % 7', 'Failed', None, 'Completed')} as run_state, case when o_orderkey % 7 <> 1 then o_orderdate + interval 30 minutes end as run_end, "
+    f"{C.pick('o_orderkey % 5', '=' + _TIME, '=o_orderdate', '=o_orderdate + interval 60 minutes')} as validator_ts, {C.pick('o_orderkey % 4', True, False, None, False)} as validator_ran, o_custkey % 5 > 0 as validator_matches, case when o_custkey % 11 > 0 then o_custkey % 4 > 0 end as validator_passes, "
+    f"o_orderkey % 3 = 0 as orchestrated, o_orderkey % 3 = 1 as waiver, cast({C.pick('o_custkey % 6', '=2', '=1', '=3', None, '=0', '=0')} as int) as blockers, cast({C.pick('o_custkey % 7', '=2', '=1', None, '=0', '=0', '=0', '=0')} as int) as false_blockers, {C.pick('o_custkey % 5', 'Completed', 'Failed', 'Cancelled', None, 'Completed')} as orchestrator_state from orders"
+)
+_ACTIVITY = "select " + _FLOW + "'{n}' as activity, " + C.pick("(o_orderkey + {i}) % 4", "Copy", "Notebook", "Copy", "Wait") + " as kind, " + C.pick("(o_custkey + {i}) % 8", "Failed", "Inactive", "Succeeded") + " as state, "
+_ACTIVITY += C.pick("(o_orderkey + {i}) % 9", None, "=o_custkey") + " as rows_read, " + C.pick("(o_orderkey + {i}) % 11", None, "=o_custkey - 1", "=cast(0 as bigint)", "=o_custkey") + " as rows_copied, " + C.pick("(o_custkey + {i}) % 5", None, False, True) + " as in_scope from orders where o_orderkey % 9 > {i}"
+ACTIVITIES = C.Derived(" union all ".join(_ACTIVITY.format(n=n, i=i) for i, n in enumerate("ab")))
+_INPUT = "select " + _FLOW + "'s{i}' as input, " + C.pick("(o_orderkey + {i}) % 4", "delta", "folder", "delta", "copy") + " as kind, " + C.pick("(o_custkey + {i}) % 6", None, "=o_custkey") + " as version_read, " + C.pick("(o_custkey + {i}) % 7", "Failed", None, "Succeeded") + " as producer_state, "
+_INPUT += C.pick("(o_orderkey + {i}) % 5", None, True, False) + " as changed_after, cast(" + C.pick("(o_custkey + {i}) % 5", None, "=3", "=0") + " as int) as files_after from orders where o_orderkey % 7 > {i}"
+INPUTS = C.Derived(" union all ".join(_INPUT.format(i=i) for i in range(2)))
+_OUTPUT = "select " + _FLOW + "'g{i}' as output, " + C.pick("(o_orderkey + {i}) % 4", "delta", "database", "delta", "folder") + " as kind, " + C.pick("(o_custkey + {i}) % 6", None, False, True) + " as committed, " + C.pick("(o_custkey + {i}) % 5", None, "=o_orderkey % 4") + " as measured_version, "
+_OUTPUT += "array(cast(0 as bigint), 2, 3) as written_versions, cast(" + C.pick("(o_orderkey + {i}) % 6", None, "=1", "=0") + " as int) as commits_after, cast(" + C.pick("(o_custkey + {i}) % 4", None, "=0", "=5") + " as int) as files_in_run from orders where o_orderkey % 7 > {i}"
+OUTPUTS = C.Derived(" union all ".join(_OUTPUT.format(i=i) for i in range(3)), {"array(cast(0 as bigint), 2, 3)": "[0::bigint, 2, 3]"})
+_LINK = "select " + _FLOW + "cast({i} as int) as place, cast(o_custkey % 3 + 1 as int) as own_place, " + C.pick("(o_orderkey * 3 + o_custkey + {i}) % 11", "Failed", "Cancelled", "Succeeded") + " as state from orders where o_orderkey % 4 > 0"
+CHAIN = C.Derived(" union all ".join(_LINK.format(i=i) for i in (1, 2, 3)))
 _EVIDENCE = f"""with r as (select * from {RUNS.sql}), a as (select * from {ACTIVITIES.sql}), i as (select * from {INPUTS.sql}), o as (select * from {OUTPUTS.sql}), c as (select * from {CHAIN.sql}),
 w as (select flow, case when validator_ts >= run_end and validator_matches and validator_ran is distinct from false then 'executed' when validator_ts >= run_end and validator_ran = false and orchestrated and validator_passes then 'orchestrated'
   when validator_ts >= run_end and validator_ran = false and waiver and run_state = 'Completed' and (validator_passes or (false_blockers > 0 and false_blockers = blockers)) then 'waived' else 'not_tested' end as way from r),
@@ -83,17 +70,15 @@ _CHECKS = {
     "union all select flow, 'activities_succeeded', 'not_evaluated', 1, 0 from r where flow not in (select flow from a)"
 )
 def run_evidence_checks(spark, d):
-    return evidence.run_checks(*[x.df(spark) for x in (RUNS, ACTIVITIES, INPUTS, OUTPUTS, CHAIN)])
+    return evidence.run_checks(*[x.df(spark, d) for x in (RUNS, ACTIVITIES, INPUTS, OUTPUTS, CHAIN)])
 
 
-STAGES = C.Inline(
-    "flow string, kind string, state string, validated boolean, quick boolean, light string, light_waived boolean, measured boolean, compared boolean, analysed boolean, code_reviewed boolean, other_side_downloaded boolean, other_side_measured boolean, reused_unchecked boolean",
-    ("a", "analytic", "APPROVED", True, True, "GREEN", None, True, True, True, True, True, True, None), ("b", "ingest", "SENT_BACK", True, True, "RED", None, None, None, None, None, None, None, None),
-    ("c", "ingest", None, None, None, None, None, None, None, None, None, None, None, None), ("d", "orchestrator", None, None, None, None, None, None, None, None, None, None, None, None), ("e", "orchestrator", None, True, None, None, None, None, None, None, None, None, None, None),
-    ("f", "ingest", None, True, None, None, None, None, None, None, True, True, None, None), ("g", "ingest", None, True, True, None, None, None, None, None, False, True, True, None), ("h", "ingest", None, True, True, "RED", None, None, None, None, True, None, None, None),
-    ("i", "ingest", None, True, True, "RED", True, None, None, None, True, None, None, None), ("j", "ingest", None, True, True, "GREEN", None, True, None, None, None, None, None, None), ("k", "ingest", None, True, True, "YELLOW", None, True, True, None, True, None, None, None),
-    ("l", "ingest", None, True, True, "YELLOW", None, True, True, True, True, None, None, None), ("m", "ingest", "APPROVED", True, True, "GREEN", None, True, True, True, True, True, True, True),
-)
+_SOME = lambda n, m: C.pick(f"(o_orderkey * {n} + o_custkey) % {m}", True, True, False, None, True)
+STAGES = C.Derived(
+    f"select {_FLOW}{C.pick('o_custkey % 5', 'orchestrator', 'analytic', 'ingest')} as kind, {C.pick('o_orderkey % 11', 'APPROVED', 'APPROVED_WITH_JUSTIFICATION', 'SENT_BACK', None)} as state, {_SOME(3, 9)} as validated, {_SOME(5, 7)} as quick, "
+    f"{C.pick('o_custkey % 7', 'RED', 'YELLOW', None, 'GREEN')} as light, {_SOME(7, 5)} as light_waived, {_SOME(11, 8)} as measured, {_SOME(13, 9)} as compared, {_SOME(17, 7)} as analysed, {_SOME(19, 5)} as code_reviewed, "
+    f"{_SOME(23, 6)} as other_side_downloaded, {_SOME(29, 5)} as other_side_measured, {C.pick('o_orderkey % 17', True, False, None)} as reused_unchecked from orders"
+)
 _STEP = """case when reused_unchecked then 'check_reused' when state like 'APPROVED%' then 'report' when state = 'SENT_BACK' then 'new_cycle' when kind = 'orchestrator' then if(validated, 'approve_by_run', 'run_orchestrator')
  when validated is not true then 'run_and_validate' when light is null then if(quick, 'traffic_light', 'quick_levels') when light = 'RED' and light_waived is not true then 'report_red' when measured is not true then 'measure'
  when compared is not true then 'compare' when analysed is not true then 'analyse' else 'decide' end"""
@@ -104,53 +89,51 @@ _STEP = """case when reused_unchecked then 'check_reused' when state like 'APPRO
     "case when going and step in ('run_and_validate', 'quick_levels', 'traffic_light') then case when other_side_downloaded is not true then 'download_other_side' when other_side_measured is not true then 'measure_other_side' end end) as lanes from s"
 )
 def next_step(spark, d):
-    return evidence.next_step(STAGES.df(spark))
-
+    return evidence.next_step(STAGES.df(spark, d))
 
-MACHINES = C.Inline("machine string, cores int, ram_gb double", ("small", 2, 4.0), ("desk", 8, 16.0), ("odd", 3, 31.2), ("one", 1, 64.0), ("big", 64, 512.0))
-_PRESETS = ", ".join(f"('{k}', {a}, {b}, {n}, {net})" for k, (a, b, n, net) in evidence.MACHINE.items())
 
-
-@query(
-    f"with p as (select * from {MACHINES.sql} m, (values {_PRESETS}) t(preset, ram, cpu, n, net)), q as (select *, greatest(1, ram_gb * ram::double - if(ram < 0.8, 1.5, 0)) as budget, floor(cores * cpu) as all_threads from p), "
-    "r as (select *, greatest(1, least(if(ram_gb >= 16, n, 1), all_threads)) as k from q) select machine, preset, k::int as objects, greatest(1, floor(all_threads / k))::int as threads, greatest(if(ram_gb >= 6, 2, 1), floor(budget / k))::int as memory_gb, least(8, net)::int as network_threads from r"
+NAMES = C.Derived(
+    "select distinct " + C.pick("c_custkey % 5", "='silver.sap_T' || c_nationkey", "='Tables/Gold/Sales' || c_nationkey", "='plain' || c_nationkey", "=chr(96) || 'silver' || chr(96) || '.' || chr(96) || 'missing' || c_nationkey || chr(96)", "='silver.twice' || c_nationkey")
+    + " as name from customer"
+)
+LISTING = C.Derived(
+    "select distinct " + C.pick("c_custkey % 6", "='Tables/Silver/SAP_t' || c_nationkey", "='Tables/gold/SALES' || c_nationkey", "='Tables/dbo/Plain' || c_nationkey", "='Tables/silver/twice' || c_nationkey", "='Tables/silver/Twice' || c_nationkey", "='Tables/gold/missing' || c_nationkey")
+    + " as path from customer"
 )
-def machine_limits(spark, d):
-    return evidence.machine_limits(MACHINES.df(spark))
-
-
-NAMES = C.Inline("name string", ("silver.sap_DFKKOP",), ("Tables/Gold/Sales",), ("plain",), ("`silver`.`missing`",), ("silver.twice",))
-LISTING = C.Inline("path string", ("Tables/Silver/SAP_dfkkop",), ("Tables/gold/SALES",), ("Tables/dbo/Plain",), ("Tables/silver/twice",), ("Tables/silver/Twice",), ("Tables/gold/missing",))
 
 
 @query(
     f"select name, (select min(path) from {LISTING.sql} l where lower(path) = 'tables/' || lower(case when starts_with(name, 'Tables/') then substr(name, 8) when contains(name, '.') then replace(replace(name, '`', ''), '.', '/') else 'dbo/' || name end)) as path from {NAMES.sql}"
 )
 def resolve_table(spark, d):
-    return evidence.resolve_table(NAMES.df(spark), LISTING.df(spark))
+    return evidence.resolve_table(NAMES.df(spark, d), LISTING.df(spark, d))
 
 
-LENGTHS = C.Inline("column_name string, max_length double", ("a", 20.0), ("b", float("nan")), ("c", None), ("d", 3.0))
+LENGTHS = C.Derived("select 'c' || c_custkey as column_name, case when c_custkey % 3 = 0 then cast('NaN' as double) when c_custkey % 3 = 1 then cast(c_nationkey as double) end as max_length from customer")
 
 
 @query(f"select column_name, case when not isnan(max_length) then max_length::bigint end as max_length from {LENGTHS.sql}")
 def catalogue_numbers(spark, d):
-    return LENGTHS.df(spark).select("column_name", evidence.plain_number(F.col("max_length")).alias("max_length"))
+    return LENGTHS.df(spark, d).select("column_name", evidence.plain_number(F.col("max_length")).alias("max_length"))
 
 
 #: Transcript lines: (file, seconds, request id, model, input, cache write, cache read, output).
-LINES = C.Inline(
-    "file string, ts int, request_id string, model string, input long, written long, read long, output long",
-    ("one", 0, "r1", "big-1", 100, 120000, 0, 10), ("one", 1, "r1", "big-1", 100, 120000, 0, 50), ("one", 400, "r2", "big-1", 10, 0, 300000, 5), ("one", 500, None, "big-1", 1, 1, 1, 1), ("two", 3, "r3", "<none>", 1, 1, 1, 1), ("two", 9, "r4", "small", 7, 150000, 5, 3), ("two", 20, "r5", "small", 7, 100, 5, 3),
-)
-
-
-def _transcripts(spark):
-    """The lines as JSON files, with one line that is no JSON."""
-    path = f"{_folder(spark, 'transcripts')}/logs"
-    line = lambda r: json.dumps({"type": "assistant", "timestamp": f"2024-01-01T00:{r[1] // 60:02d}:{r[1] % 60:02d}Z", "requestId": r[2], "message": {"model": r[3], "usage": {"input_tokens": r[4], "cache_creation_input_tokens": r[5], "cache_read_input_tokens": r[6], "output_tokens": r[7]}}})
-    rows = [(r[0], line(r)) for r in LINES.rows] + [("one", "{broken")]
-    spark.createDataFrame(rows, "file string, value string").repartition("file").sortWithinPartitions("file").write.mode("overwrite").partitionBy("file").text(path)
+#: Transcript lines: of each event one call, some logged twice, some without a request or a real model.
+LINES = C.Derived(
+    "select 's' || (user_id % 40) as file, cast(event_id % 3600 as int) as ts, case when event_id % 17 > 0 then 'r' || (event_id - event_id % 3) end as request_id, " + C.pick("user_id % 9", "<none>", "big-1", "big-1", "small", "small", "big-2")
+    + " as model, event_id % 100 as input, user_id * 1000 % 150000 as written, event_id * 977 % 300000 as read, event_id % 50 as output from events"
+)
+
+
+def _transcripts(spark, d):
+    """The lines as JSON files, each with one line that is no JSON."""
+    path = f"{C.folder(spark, 'transcripts')}/logs"
+    usage = F.struct(F.col("input").alias("input_tokens"), F.col("written").alias("cache_creation_input_tokens"), F.col("read").alias("cache_read_input_tokens"), F.col("output").alias("output_tokens"))
+    stamp = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("ts")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    line = F.to_json(F.struct(F.lit("assistant").alias("type"), stamp.alias("timestamp"), F.col("request_id").alias("requestId"), F.struct("model", usage.alias("usage")).alias("message")))
+    rows = LINES.df(spark, d).select("file", line.alias("value"))
+    rows = rows.unionByName(rows.select("file", F.lit("{broken").alias("value")).distinct())
+    rows.repartition(8, "file").write.mode("overwrite").partitionBy("file").text(path)
     return scans.transcripts(spark, path)
 
 
@@ -159,16 +142,16 @@ _FIRST = f"(select * from {LINES.sql} where request_id is not null and not start
 
 @query(f"select file as session, model, count(*) as n_calls, sum(input)::bigint as input_tokens, sum(written)::bigint as cache_write_tokens, sum(read)::bigint as cache_read_tokens, sum(output)::bigint as output_tokens, max(input + written + read) as max_context from {_FIRST} group by 1, 2")
 def transcript_usage(spark, d):
-    calls = _transcripts(spark)
+    calls = _transcripts(spark, d)
     sums = [F.sum(c).alias(c) for c in ("input_tokens", "cache_write_tokens", "cache_read_tokens", "output_tokens")]
     return calls.groupBy(F.element_at(F.split(F.element_at(F.split("file", "/"), -2), "="), -1).alias("session"), "model").agg(F.count(F.lit(1)).alias("n_calls"), *sums, F.max("context_tokens").alias("max_context"))
 
 
-SESSIONS = C.Inline(
-    "session string, actor string, model string, declared_model string, ended int, declared_since int, calls int, context_tokens long, rewrite_tokens long, result_bytes long, tool_calls int, pipeline_tool_calls int, errors int, cost double",
-    ("s1", "COORDINATOR", "big-1", None, 10, None, 40, 260000, 150000, 90000, 50, 10, 0, 9.0), ("s2", "COORDINATOR", "big-1", None, 11, None, 10, 100000, 0, 20000, 5, 1, 0, 1.0), ("s3", "meter", "big-1", "small", 12, 5, 5, 50000, 0, 0, 30, 25, 0, 2.0), ("s4", "meter", "small-1", "small", 3, 5, 5, 50000, 0, 0, 30, 25, 9, 0.5),
-    ("s5", "meter", "small-2", "small", 13, 5, 5, 50000, 0, 0, 30, 2, 20, 0.25), ("s6", "general", "big-1", None, 14, None, 7, 10000, 200000, 0, 9, 0, 0, 3.0), ("s7", "judge", "big-1", "big", 15, 1, 9, 10000, 0, 0, 40, 39, 0, 4.0), ("s8", "meter", "big-1", "small", 2, 5, 5, 50000, 0, 0, 30, 25, 0, 2.0),
-)
+SESSIONS = C.Derived(
+    f"select 's' || o_orderkey as session, {C.pick('o_custkey % 5', 'COORDINATOR', 'meter', 'general', 'judge', 'COORDINATOR')} as actor, {C.pick('o_orderkey % 5', 'big-1', 'small-1', 'small-2', 'big-2', 'big-1')} as model, {C.pick('o_custkey % 4', None, 'small', 'big', None)} as declared_model, "
+    "cast(o_orderkey % 20 as int) as ended, cast(o_custkey % 15 as int) as declared_since, cast(o_custkey % 40 as int) as calls, o_custkey * 331 % 300000 as context_tokens, o_orderkey * 577 % 150000 as rewrite_tokens, o_orderkey * 91 % 90000 as result_bytes, "
+    "cast(o_custkey % 50 + 1 as int) as tool_calls, cast(case when o_orderkey % 4 > 0 then o_custkey % 50 + 1 else 0 end as int) as pipeline_tool_calls, cast(case when o_orderkey % 3 = 0 then o_custkey % 50 else 0 end as int) as errors, cast(o_custkey % 8 as double) / 4 as cost from orders"
+)
 _FOUND = [
     ("large_context", "session", "actor = 'COORDINATOR' and context_tokens > 200000", "max(context_tokens)"), ("cache_rewrites", "actor", "rewrite_tokens >= 100000", "sum(rewrite_tokens)"),
     ("other_model", "actor", "declared_model is not null and not contains(model, declared_model) and ended >= declared_since", "count(*)"), ("generic_actor", "actor", "actor in ('general', 'search')", "sum(cost)"), ("large_results", "session", "actor = 'COORDINATOR' and result_bytes >= 30000", "sum(result_bytes)"),
@@ -182,17 +165,18 @@ _FOUND = [
     + f" union all select 'many_errors', actor, round(100.0 * sum(errors) / sum(tool_calls), 6)::double from {SESSIONS.sql} where declared_model = 'small' group by actor having sum(tool_calls) > 20 and 100.0 * sum(errors) / sum(tool_calls) >= 20"
 )
 def usage_findings(spark, d):
-    return ops.usage_findings(SESSIONS.df(spark), generic=["general", "search"], strong="big", weak="small", error_percent=20)
+    return ops.usage_findings(SESSIONS.df(spark, d), generic=["general", "search"], strong="big", weak="small", error_percent=20)
 
 
-@query("select 'b.csv' as name, 2::bigint as n_bytes union all select 'c.csv', 3")
+@query("select lower(replace(n_name, ' ', '_')) || '.csv' as name, octet_length(encode(n_name)) as n_bytes from nation where lower(n_name) >= 'c' and n_nationkey % 5 > 0")
 def matching_files(spark, d):
     """Files of a folder by a pattern, with their size and time."""
-    path = f"{_folder(spark, 'listing')}/files"
+    path = f"{C.folder(spark, 'listing')}/files"
     fs = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for name, body in (("a.txt", "x"), ("b.csv", "xy"), ("c.csv", "xyz")):
+    for key, nation in C.table(spark, d, "nation").select("n_nationkey", "n_name").collect():  # a name of a file each
+        name, body = f"{nation.lower().replace(' ', '_')}.{'csv' if key % 5 else 'txt'}", nation
         where = fs.Path(f"{path}/{name}")
         out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
         out.write(bytearray(body.encode()))
         out.close()
-    return scans.matching_files(spark, path, r"^[b-z].*\.csv$").where("modified is not null").select("name", "n_bytes")
+    return scans.matching_files(spark, path, r"^[c-z].*\.csv$").where("modified is not null").select("name", "n_bytes")

@@ -154,7 +154,7 @@ def _number(c: str, k: str) -> str:
     fixed = f"try_cast(cast({c} as varchar) as decimal(38,10))"
     plain = f"cast({c} as varchar)"
     mantissa, exponent = f"split_part({plain}, 'e', 1)", f"cast(cast(split_part({plain}, 'e', 2) as integer) as varchar)"
-    return f"case when cast({fixed} as double) = {c} then cast({fixed} as varchar) when contains({plain}, 'e') then {mantissa} || case when contains({mantissa}, '.') then '' else '.0' end || 'E' || {exponent} else {plain} end"
+    return f"case when isinf({c}) then case when {c} > 0 then 'Infinity' else '-Infinity' end when cast({fixed} as double) = {c} then cast({fixed} as varchar) when contains({plain}, 'e') then {mantissa} || case when contains({mantissa}, '.') then '' else '.0' end || 'E' || {exponent} else {plain} end"
 
 
 def _numeric_sql(cols, table: str) -> str:
@@ -176,12 +176,22 @@ def profile_numeric(spark, d):
     return profile.numeric(C.table(spark, d, "lineitem"))
 
 
-EXTREMES = C.Inline("wide double, tiny double, big long, few double", (1e30, 1e-12, 9007199254740993, 4.0), (5.0, 2.5, -9007199254740993, 4.0), (-1e-12, 0.5, 9007199254740992, None), (None, None, None, None), (2.0**70, 0.125, 0, float("nan")), (1e12, 3.0, 1, 8.0))
+#: Values whose sums are exact in doubles in any order: large and tiny powers of two, whole numbers beyond 2**53, NaN, infinities.
+EXTREMES = C.Derived(
+    f"select {C.pick('l_orderkey % 4', '=cast(1180591620717411303424 as double) * l_linenumber', None, '=cast(-1180591620717411303424 as double)', '=cast(0 as double)')} as wide, "
+    f"{C.pick('l_orderkey % 3', '=cast(l_linenumber as double) / 1152921504606846976', '=cast(0.125 as double)', None)} as tiny, "
+    f"{C.pick('l_orderkey % 3', '=9007199254740993', '=l_orderkey - 9007199254740993', '=l_partkey')} as big, "
+    f"{C.pick('l_partkey % 5', '=cast(chr(78) || chr(97) || chr(78) as double)', '=cast(l_linenumber as double)', '=l_quantity', None, '=l_quantity')} as few, "
+    f"{C.pick('l_linenumber % 3', '=cast(1 as double)', '=cast(chr(73) || chr(110) || chr(102) || chr(105) || chr(110) || chr(105) || chr(116) || chr(121) as double)')} as far from lineitem"
+)
+
 
+EXTREME_COLUMNS = [("wide", "f"), ("tiny", "f"), ("big", "i"), ("few", "f"), ("far", "f")]
 
-@query(_numeric_sql([("wide", "f"), ("tiny", "f"), ("big", "i"), ("few", "f")], EXTREMES.sql))
+
+@query(f"select * replace (round(mean, 0) as mean) from ({_numeric_sql(EXTREME_COLUMNS, EXTREMES.sql)})")
 def profile_numeric_extremes(spark, d):
-    return profile.numeric(EXTREMES.df(spark))
+    return profile.numeric(EXTREMES.df(spark, d)).withColumn("mean", F.round("mean", 0))
 
 
 def _quartiles_sql(cols, table: str) -> str:
@@ -197,9 +207,9 @@ def profile_quartiles(spark, d):
     return profile.quartiles(C.table(spark, d, "lineitem"))
 
 
-@query(_quartiles_sql([("wide", "f"), ("tiny", "f"), ("big", "i"), ("few", "f")], EXTREMES.sql))
+@query(_quartiles_sql(EXTREME_COLUMNS, EXTREMES.sql))
 def profile_quartiles_extremes(spark, d):
-    return profile.quartiles(EXTREMES.df(spark))
+    return profile.quartiles(EXTREMES.df(spark, d))
 
 
 _SENT = ", ".join(C._literal(x) for x in profile.SENTINEL_TEXTS)
@@ -220,11 +230,15 @@ def profile_text(spark, d):
     return profile.text(C.target(spark, d))
 
 
-MIXED = C.Inline(
-    "code string, amount string, day string, mail string, name string, zero string",
-    ("001", "1.50", "2024-01-05", "a@b.co", "ANA", "007"), ("12", "-3", "20240105", "x@y", " Luis ", "008"), ("ab", "1,5", "05/01/2024", "m@n.org", "José", "009"),
-    (None, ".5", "2024/01/05", None, "", "010"), ("00", "1.", "x", "a b@c.de", "N/A", "011"), ("7", "abc", "2024-1-5", "q@r.info", "\tx", "012"),
-)
+_K = "lpad(cast(p_partkey as string), 5, '0')"
+MIXED = C.Derived(
+    f"select {C.pick('p_partkey % 6', '001', '12', 'ab', None, '00', '=cast(p_size as string)')} as code, {C.pick('p_partkey % 6', '1.50', '-3', '1,5', '.5', '1.', '=cast(p_size as string)')} as amount, "
+    f"{C.pick('p_partkey % 6', '2024-01-05', '20240105', '05/01/2024', '2024/01/05', 'x', '2024-1-5')} as day, case when p_partkey % 6 <> 3 then 'p' || p_partkey || '@x.org' end as mail, "
+    f"{C.pick('p_partkey % 6', '=upper(p_name)', '= chr(32) || p_name', '=p_name || chr(233)', '', 'N/A', '=chr(9) || p_name')} as name, {_K} as zero, cast(p_size as string) as whole, '2024-01-' || lpad(cast(p_size % 28 + 1 as string), 2, '0') as dated from part"
+)
+
+
+MIXED_NAMES = ["code", "amount", "day", "mail", "name", "zero", "whole", "dated"]
 
 
 def _forensics_sql(cols, table: str) -> str:
@@ -232,9 +246,9 @@ def _forensics_sql(cols, table: str) -> str:
     return _each(cols, ", ".join(f"count(*) filter (where regexp_matches({{c}}, {C._literal(p)})) as {k}" for k, p in rx.items()), table)
 
 
-@query(_forensics_sql([(n,) for n in MIXED.names], MIXED.sql) + " union all " + _forensics_sql([("lang",), ("source",), ("text",)], "documents"))
+@query(_forensics_sql([(n,) for n in MIXED_NAMES], MIXED.sql) + " union all " + _forensics_sql([("lang",), ("source",), ("text",)], "documents"))
 def profile_text_forensics(spark, d):
-    return profile.text_forensics(MIXED.df(spark)).unionByName(profile.text_forensics(C.table(spark, d, "documents")))
+    return profile.text_forensics(MIXED.df(spark, d)).unionByName(profile.text_forensics(C.table(spark, d, "documents")))
 
 
 @query(
@@ -257,6 +271,20 @@ def profile_binary(spark, d):
     return profile.binaries(C.table(spark, d, "documents").select(F.col("text").cast("binary").alias("raw")))
 
 
+SIGNED = C.Derived("select case when l_linenumber % 3 = 0 then cast(0 as double) * -1 when l_linenumber % 3 = 1 then cast(0 as double) else l_quantity end as zero from lineitem")
+
+
+@query(f"select 'zero' as column_name, count(distinct zero) as n_distinct from (select case when zero = 0 then 0 else zero end as zero from {SIGNED.sql})")
+def distinct_signed_zeros(spark, d):
+    """0.0 and -0.0 are one value."""
+    return profile.distincts(SIGNED.df(spark, d))
+
+
+@query(f"with n as (select cast(zero as varchar) as value, count(*) as frequency from (select case when zero = 0 then cast(0 as double) else zero end as zero from {SIGNED.sql}) group by 1) select 'zero' as column_name, (row_number() over (order by frequency desc, value))::int as place, value, frequency, round(100.0 * frequency / sum(frequency) over (), 4)::double as pct from n order by frequency desc, value limit 5")
+def frequent_signed_zeros(spark, d):
+    return profile.frequent_values(SIGNED.df(spark, d))
+
+
 def _derived_sql(cols, table: str, head: str = "") -> str:
     return _each(cols, "count(distinct {c}) as n_distinct, case when count({c}) > 0 then round(100.0 * count(distinct {c}) / count({c}), 4)::double end as pct_distinct, coalesce(min({c}) = max({c}), count(distinct {c}) = 1) as is_constant, count({c}) = count(*) and count(*) > 0 and count(distinct {c}) = count(*) as candidate_key", table, head)
 
@@ -267,13 +295,13 @@ def profile_derived(spark, d):
 
 
 @query(
-    "with f as (" + " union all ".join(f"select '{n}' as column_name, {n} as v from {MIXED.sql}" for n in MIXED.names) + "), "
+    "with f as (" + " union all ".join(f"select '{n}' as column_name, {n} as v from {MIXED.sql}" for n in MIXED_NAMES) + "), "
     "t as (select column_name, count(*) - count(v) + count(*) filter (where length(v) = 0) + count(*) filter (where length(v) > 0 and trim(v, ' ') = '') as effective_nulls, count(v) as nn, "
     + ", ".join(f"count(*) filter (where regexp_matches(v, {C._literal(p.replace(chr(92) + 'z', '$'))})) as {k}" for k, p in profile.FORENSICS.items())
     + " from f group by 1) select column_name, effective_nulls, case when nn > 0 and integer_text = nn and leading_zero = 0 then 'NUMBER_AS_TEXT' when nn > 0 and leading_zero > 0.9 * nn then 'CODE_WITH_LEADING_ZEROS' when nn > 0 and date_text = nn then 'DATE_AS_TEXT' when nn > 0 and email = nn then 'EMAIL' else 'TEXT' end as semantic_type from t"
 )
 def semantic_types(spark, d):
-    return profile.semantic_types(MIXED.df(spark))
+    return profile.semantic_types(MIXED.df(spark, d))
 
 
 # the oracle chooses the columns too: at most 1000 distinct values, the 25 with the fewest first
@@ -304,26 +332,34 @@ def rules_integrity(spark, d):
     return rules.integrity(C.target(spark, d))
 
 
-def _odd_schema(spark: SparkSession) -> DataFrame:
-    return spark.sql(f"select 1 as `a b`, 2 as ok, 3 as `OK_`, cast(1 as decimal(38,2)) as num, null as nothing, array(1) as list, 1 as `{'x' * 130}`")
+def _odd_schema(spark: SparkSession, d: str) -> DataFrame:
+    customers = C.table(spark, d, "customer")
+    return customers.selectExpr("c_custkey as `a b`", "c_name as ok", "c_nationkey as `OK_`", "cast(c_acctbal as decimal(38,2)) as num", "null as nothing", "array(c_custkey) as list", f"c_mktsegment as `{'x' * 130}`")
 
 
 @query(f"select * from (values ('VG-01','OK',''),('VG-02','ERROR','a b'),('VG-03','ERROR','nothing'),('VG-04','OK',''),('VG-05','INFO','list'),('VG-06','ALERT','{'x' * 130}')) t(code,state,evidence)")
 def rules_schema(spark, d):
-    return rules.schema_rules(_odd_schema(spark))
+    return rules.schema_rules(_odd_schema(spark, d))
 
 
 @query("select 2::bigint as n_ok, 1::bigint as n_alert, 2::bigint as n_error, 1::bigint as n_info, 'ERROR' as state")
 def rules_overall(spark, d):
-    return rules.overall(rules.schema_rules(_odd_schema(spark)))
+    return rules.overall(rules.schema_rules(_odd_schema(spark, d)))
 
 
 _DUCK_TYPES = {"i": "bigint", "s": "string", "f": "double", "t": "timestamp_ntz"}
 
 
-@query(" union all ".join(
-    f"select {i} as position, '{c}' as column_name, '{'int' if c == 'c_nationkey' else _DUCK_TYPES[k]}' as data_type, count(*) > count({c}) as nullable, round(100.0 * (count(*) - count({c})) / count(*), 4)::double as pct_null, "
-    f"count(distinct {c}) as n_distinct, {f'max(length({c}))::int' if k == 's' else 'null::int'} as max_length, count(distinct {c}) = count(*) as candidate_key, {C.column_final_sql(c, k)} as fingerprint from customer" for i, (c, k) in enumerate(CU)))
+def contract_sql(table: str, cols, kinds: dict[str, str]) -> str:
+    """A table's observed contract; ``kinds`` are types that the categories don't tell."""
+    return " union all ".join(
+        f"select {i} as position, '{c}' as column_name, '{kinds.get(c, _DUCK_TYPES[k])}' as data_type, count(*) > count({c}) as nullable, round(100.0 * (count(*) - count({c})) / count(*), 4)::double as pct_null, "
+        f"count(distinct {c}) as n_distinct, {f'max(length({c}))::int' if k == 's' else 'null::int'} as max_length, count(distinct {c}) = count(*) as candidate_key, {C.column_final_sql(c, k)} as fingerprint from {table}"
+        for i, (c, k) in enumerate(cols)
+    )
+
+
+@query(contract_sql("customer", CU, {"c_nationkey": "int"}))
 def contract(spark, d):
     return rules.contract(C.table(spark, d, "customer"))
 

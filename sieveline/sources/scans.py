@@ -115,6 +115,24 @@ def delta_actions(spark: SparkSession, table: str) -> DataFrame:
     return base.unionByName(commits.where(F.col("version") > newest))
 
 
+# Fixed value: the base-85 digits in which a deletion vector's file is named.
+BASE_85 = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ.-:+=^!/*?&<>()[]{}@%$#"
+
+
+def deletion_vector_file(stored: Column) -> Column:
+    """The file of a deletion vector that is stored by a random prefix and 20 base-85 digits, relative to its table; NULL for other text.
+
+    The digits are four big-endian 32-bit numbers of five digits each, together a UUID.
+    """
+    digits = F.substring(stored, -20, 20)
+    value = lambda i: F.call_function("locate", F.substr(digits, i, F.lit(1)), F.lit(BASE_85)) - 1
+    words = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda w: F.aggregate(F.sequence(F.lit(1), F.lit(5)), F.lit(0).cast("long"), lambda n, i: n * 85 + value(w * 5 + i)))
+    text = F.lower(F.array_join(F.transform(words, lambda n: F.lpad(F.hex(n), 8, "0")), ""))
+    name = F.concat(F.lit("deletion_vector_"), F.regexp_replace(text, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(".bin"))
+    folder = F.substr(stored, F.lit(1), F.length(stored) - 20)
+    return F.when(F.length(stored) >= 20, F.when(F.length(folder) > 0, F.concat(folder, F.lit("/"), name)).otherwise(name))
+
+
 def delta_live_files(actions: DataFrame) -> DataFrame:
     """(path, rows, size, dv, dv_rows) of the live files: each path's last action, if it is an add."""
     files = actions.where("op in ('add', 'remove')")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections import defaultdict
 
-from sieveline.operators import diff, keys
+from sieveline.operators import diff, keys, profile
 
 
 def at(text: str) -> dt.datetime:
@@ -87,3 +87,33 @@ def test_shifted_column_and_nulls(spark):
 def test_empty_side_has_no_key(spark):
     s, f = pair(spark)
     assert keys.discover(s, f.limit(0)).origin == "no_key"
+
+
+def test_null_keys_pair_with_nothing(spark):
+    s = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")], "k int, v string")
+    f = spark.createDataFrame([(1, "a"), (None, "x")], "k int, v string")
+    d = diff.Diff(s, f, ["k"])
+    assert tuple(d.summary().first()) == (0, 0, 1, 0, 0, 0, 0)
+    assert {tuple(r) for r in d.null_keys().collect()} == {("source", 2), ("target", 1)}
+
+
+def test_exact_tests_of_keys_are_bounded(spark, monkeypatch):
+    """Pairs that are nearly unique pass the sketches; no more than the stated number are tested."""
+    tests = []
+    unique = keys.is_unique
+    monkeypatch.setattr(keys, "is_unique", lambda df, c: tests.append(c) or unique(df, c))
+    rows = spark.range(400).selectExpr("id", *[f"cast((id * {p}) % 40 as int) as c{i}" for i, p in enumerate((1, 3, 7, 9, 11, 13))]).drop("id")
+    rows = rows.unionByName(rows.limit(4))
+    keys.discover(rows, rows)
+    assert len(tests) <= 2 * keys.TESTS
+
+
+def test_brackets_are_narrowed(spark, monkeypatch):
+    """Quartiles stay exact when brackets have to be narrowed several times, also around values that repeat."""
+    monkeypatch.setattr(profile, "INSIDE", 3)
+    monkeypatch.setattr(profile, "BRACKET", 50)
+    df = spark.range(5000).selectExpr("cast(id * 7919 % 5003 as double) as a", "cast(id % 3 as int) as b", "case when id % 2 = 0 then double('infinity') else 1.0 end as c")
+    got = {r["column_name"]: (r["p25"], r["p50"], r["p75"]) for r in profile.quartiles(df).collect()}
+    a = sorted(i * 7919 % 5003 for i in range(5000))
+    assert [float(x) for x in got["a"]] == [a[1249], a[2499], a[3749]]
+    assert got["b"] == ("0", "1", "2") and got["c"][:2] == ("1.0000000000", "1.0000000000") and got["c"][2] == "Infinity"

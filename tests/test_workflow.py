@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 
+from sieveline.functions import exprlang
+from sieveline.functions.types import change_class
 from sieveline.operators import flowdefs, workflow
 
 COPY = {"name": "copy", "type": "Copy", "typeProperties": {
@@ -68,10 +72,40 @@ def test_records():
     assert workflow.thousands(1234567) == "1.234.567"
     assert workflow.missing_fields({"a": 1, "b": ""}, ["a", "b", "c.d"]) == ["b", "c.d"]
     assert workflow.reusable({"source": 1, "target": 2, "code": 3}, {"source": 1, "target": 5, "code": 9}, "code") == ["target changed"]
-    assert workflow.deletion_vector_file("ab" + "0" * 20) == "ab/deletion_vector_00000000-0000-0000-0000-000000000000.bin"
     assert workflow.mermaid([("a", "b")]).splitlines()[-1] == "  n0 --> n1"
 
 
-def test_usage_findings(spark):
-    df = spark.createDataFrame([("a", "m-1", "m", 300_000, 0, 9.0), ("b", "x", "m", 10, 200_000, 1.0)], "actor string, model string, declared_model string, context_tokens long, cache_write_tokens long, cost double")
-    assert {(r["finding"], r["actor"]) for r in workflow.usage_findings(df).collect()} == {("large_context", "a"), ("most_of_cost", "a"), ("cache_rewrites", "b"), ("other_model", "b")}
+_NOW = dt.datetime(2024, 3, 31, 12, 30, 0, tzinfo=dt.timezone.utc)
+EXPRESSIONS = [
+    ("@concat('a', 'b', string(1))", "ab1"), ("@toUpper(trim('  x '))", "X"), ("@substring('abcdef', 1, 3)", "bcd"), ("@if(greater(2, 1), 'yes', 'no')", "yes"), ("@add(2, mul(3, 4))", "14"),
+    ("@div(7, 2)", "3"), ("@mod(7, 4)", "3"), ("@formatDateTime('2024-01-05T10:11:12Z', 'yyyy-MM-dd HH:mm')", "2024-01-05 10:11"), ("@addDays('2024-02-28T00:00:00Z', 2, 'yyyyMMdd')", "20240301"),
+    ("@utcNow('yyyy/MM/dd')", "2024/03/31"), ("@getPastTime(1, 'Month', 'yyyy-MM-dd')", "2024-02-29"), ("@startOfMonth('2024-05-17T01:02:03Z', 'yyyy-MM-dd')", "2024-05-01"), ("@join(createArray('x', 'y'), '-')", "x-y"),
+    ("@last(split('a/b/c', '/'))", "c"), ("@coalesce(null, 'z')", "z"), ("@pipeline().parameters.env", "qa"), ("Files/@{pipeline().parameters.env}/@{item().name}", "Files/qa/<item.name>"),
+    ("@variables('day')", "05"), ("@json('{\"a\": [1, 2]}').a[1]", "2"), ("@empty('')", "True"), ("@not(equals(1, 2))", "True"), ("@contains('Hello', 'ell')", "True"), ("@dayOfWeek('2024-03-31T00:00:00Z')", "0"),
+    ("@max(1, 5, 3)", "5"), ("@length(union(createArray(1, 2), createArray(2, 3)))", "3"), ("@@literal", "@literal"), ("@convertFromUtc('2024-01-05T10:00:00Z', 'SA Pacific Standard Time', 'HH:mm')", "05:00"), ("plain", "plain"),
+]
+
+
+@pytest.mark.parametrize(("expression", "result"), EXPRESSIONS)
+def test_expressions(expression, result):
+    value = exprlang.evaluate(expression, {"pipeline": {"parameters": {"env": "qa"}}, "variables": {"day": "05"}}, _NOW)
+    assert (str(value) if isinstance(value, exprlang.Hole) else exprlang._text(value)) == result
+
+
+def test_type_changes():
+    changes = [
+        ("varchar(20)", "text", "TEXT_EQUIVALENT"), ("integer", "bigint", "WIDENING"), ("bigint", "integer", "INCOMPATIBLE"), ("numeric(10,2)", "numeric(12,2)", "PRECISION"), ("date", "timestamp without time zone", "WIDENING"),
+        ("text", "text", "SAME"), ("integer", "numeric(10,0)", "WIDENING"), ("boolean", "text", "INCOMPATIBLE"), ("real", "double precision", "WIDENING"),
+    ]
+    assert [change_class(a, b) for a, b, _ in changes] == [c for _, _, c in changes]
+
+
+def test_deletion_vector_files(spark):
+    from pyspark.sql import functions as F
+
+    from sieveline.sources.scans import deletion_vector_file
+
+    rows = [("ab" + "0" * 20,), ("ab^-aqEH.-t@S}K{vb[*k^",), ("0" * 20,), ("short",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "x string").select(deletion_vector_file(F.col("x"))).collect()]
+    zero = "deletion_vector_00000000-0000-0000-0000-000000000000.bin"
+    assert got == [f"ab/{zero}", "ab/deletion_vector_d2c639aa-8816-431a-aaf6-d3fe2512ff61.bin", zero, None, None]

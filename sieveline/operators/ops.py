@@ -87,9 +87,16 @@ def median_duration(log: DataFrame) -> DataFrame:
     return log.groupBy("action").agg(F.count("seconds").alias("n"), F.round(F.expr("percentile(seconds, 0.5)"), 6).alias("median_s"))
 
 
-def combine_chunks(chunks: DataFrame) -> DataFrame:
-    """Exact totals from partial aggregates (column_name, n, non_null, low, high, total) of disjoint chunks."""
-    return chunks.groupBy("column_name").agg(F.sum("n").alias("n"), F.sum("non_null").alias("non_null"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("total").alias("total"))
+def combine_chunks(chunks: DataFrame, collation: str | None = None) -> DataFrame:
+    """Exact totals from partial aggregates (column_name, n, non_null, low, high, total) of disjoint chunks.
+
+    Bounds are text bounds again by the ``collation`` that the columns declare: chunks' own bounds have to be by it too.
+    """
+    as_declared = (lambda c: F.collate(c, collation)) if collation else F.col
+    back = (lambda c: F.collate(c, "UTF8_BINARY")) if collation else (lambda c: c)
+    return chunks.groupBy("column_name").agg(
+        F.sum("n").alias("n"), F.sum("non_null").alias("non_null"), back(F.min(as_declared(F.col("low") if collation else "low"))).alias("low"), back(F.max(as_declared(F.col("high") if collation else "high"))).alias("high"), F.sum("total").alias("total")
+    )
 
 
 #: Session settings by how much of a machine may be used.

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.operators import copies, diff
+from sieveline.operators import approvals, copies, diff, fingerprint, ops
 from sieveline.operators.ledger import Ledger
 from sieveline.plans import common as C
-from sieveline.sources import drift
+from sieveline.sources import custom, drift
 from sieveline.sources.databases import Database
+from sieveline.sources.ranges import open_file
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -137,3 +139,82 @@ def csv_encodings(spark: SparkSession, d: str) -> DataFrame:
     for odd, encoding in ((1, "UTF-8"), (0, "ISO-8859-1")):
         rows.where(F.col("id").cast("long") % 2 == odd).repartition(2, "id").write.options(header=True, quote='"', escape='"', encoding=encoding).mode("append").csv(at)
     return drift.csv_folder(spark, at, "*.csv").withColumnRenamed("_encoding", "encoding")
+
+
+_WANTED = ("1-URGENT", "3-MEDIUM")
+
+
+@query(f"select 'p=' || o_orderpriority as folder, count(*) as n_rows from orders where o_orderpriority in {_WANTED} group by 1")
+def folder_listing(spark: SparkSession, d: str) -> DataFrame:
+    """Rows by folder of a partitioned table, from a listing whose filter opens two folders and the footers of their files alone."""
+    at = C.folder(spark, "listing")
+    C.table(spark, d, "orders").withColumn("p", F.col("o_orderpriority")).repartition(4).write.partitionBy("p").parquet(at)
+    files = custom.files_below(spark, at).where(F.col("folder").isin([f"p={w}" for w in _WANTED]) & F.col("name").endswith(".parquet"))
+    rows = files.select("folder", "path").mapInPandas(_footer_rows, "folder string, n_rows long")
+    return rows.groupBy("folder").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def _footer_rows(batches):
+    import pyarrow.parquet as pq
+
+    for pdf in batches:
+        yield pdf.assign(n_rows=[pq.ParquetFile(open_file(p)).metadata.num_rows for p in pdf["path"]])[["folder", "n_rows"]]
+
+
+#: Names in mixed case, so that the order by bytes isn't the declared one.
+_CASED = "case when p_partkey % 3 = 0 then upper(p_name) when p_partkey % 3 = 1 then lower(p_name) else p_name end"
+
+
+@query(f"select 'p_name' as column_name, count(*) as n, count(*) as non_null, lower(min({_CASED} collate nocase)) as low, lower(max({_CASED} collate nocase)) as high, sum(p_partkey)::bigint as total from part")
+def collated_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """Bounds of a text column by its collation, put together from 16 chunks."""
+    name = F.collate(F.expr(_CASED), "UTF8_LCASE")
+    parts = C.table(spark, d, "part").groupBy((F.col("p_partkey") % 16).alias("chunk")).agg(
+        F.lit("p_name").alias("column_name"), F.count(F.lit(1)).alias("n"), F.count("p_name").alias("non_null"), F.min(name).cast("string").alias("low"), F.max(name).cast("string").alias("high"), F.sum("p_partkey").alias("total")
+    )
+    return ops.combine_chunks(parts, "UTF8_LCASE").withColumns({"low": F.lower("low"), "high": F.lower("high")})
+
+
+_REPORT = "select l_returnflag as report, count(*) as n, sum(cast(l_quantity as bigint))::bigint as quantity, min(l_linenumber) as low, max(l_linenumber) as high from lineitem group by 1"
+_POINTERS = ("rows.total", "rows.sums[0].value", "bounds[0]", "bounds[1]", "rows.gone")
+
+
+@query(
+    f"with r as ({_REPORT}), c as (select report, 'rows.total' as pointer, n as cited, n as found from r union all select report, 'rows.sums[0].value', case when report = 'R' then quantity + 1 else quantity end, quantity from r "
+    "union all select report, 'bounds[0]', low, low from r union all select report, 'bounds[1]', case when report = 'N' then high - 1 else high end, high from r union all select report, 'rows.gone', 0, null from r) "
+    "select report, pointer, cited::varchar as cited, found::varchar as found, case when found is null then 'MISSING' when cited = found then 'MATCHES' else 'FALSIFIED' end as state from c"
+)
+def cited_figures(spark: SparkSession, d: str) -> DataFrame:
+    """Figures cited from measured reports: two are falsified, one stands nowhere."""
+    measured = C.table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("report")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"), F.min("l_linenumber").alias("low"), F.max("l_linenumber").alias("high"))
+    sums = F.array(F.struct(F.lit("quantity").alias("column"), F.col("quantity").alias("value")))
+    reports = measured.select("report", F.to_json(F.struct(F.struct(F.col("n").alias("total"), sums.alias("sums")).alias("rows"), F.array("low", "high").alias("bounds"))).alias("document"))
+    said = {"rows.total": F.col("n"), "rows.sums[0].value": F.col("quantity") + (F.col("report") == "R").cast("long"), "bounds[0]": F.col("low"), "bounds[1]": F.col("high") - (F.col("report") == "N").cast("int"), "rows.gone": F.lit(0)}
+    cited = measured.select("report", F.explode(F.array(*[F.struct(F.lit(p).alias("pointer"), c.cast("string").alias("cited")) for p, c in said.items()])).alias("x")).select("report", "x.*")
+    return approvals.cited_figures(reports, _POINTERS, cited)
+
+
+_GATES = [(1, "sources", "orders"), (2, "clients", "customer"), (3, "parts", "part")]
+
+
+@query("select 'migration' as flow, place::int as place, gate, decision, 'x' as by, gate <> 'clients' as unchanged, place = 1 as valid from (values (1, 'sources', 'APPROVED'), (2, 'clients', 'APPROVED'), (3, 'parts', 'APPROVED')) g(place, gate, decision) where (select count(*) from customer where c_custkey % 7 = 0) > 0")
+def content_gates(spark: SparkSession, d: str) -> DataFrame:
+    """Approvals of three tables, of which the second then changes: its gate and the later one fall, the earlier holds."""
+    tables = {t: C.table(spark, d, t) for _, _, t in _GATES}
+    prints = lambda frames: reduce(DataFrame.unionByName, [fingerprint.row_fingerprint(df).select(F.lit(t).alias("subject"), "fingerprint") for t, df in frames.items()])
+    order = spark.createDataFrame([("migration", *g) for g in _GATES], "flow string, place int, gate string, subject string")
+    approved = prints(tables).join(order, "subject").select(F.col("place").cast("long").alias("seq"), "flow", "gate", F.lit("APPROVED").alias("decision"), F.lit("x").alias("by"), "fingerprint")
+    first = approved.withColumns({"seq": F.lit(0).cast("long"), "decision": F.lit("REJECTED")})
+    changed = tables["customer"].withColumn("c_acctbal", F.when(F.col("c_custkey") % 7 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")))
+    return approvals.gates(order, approved.unionByName(first), prints(tables | {"customer": changed}))
+
+
+@query("select event_type as action, count(*) as n, sum(value_cents)::bigint as cents from (select event_type, cast(round(value * 100) as bigint) as value_cents from events) group by 1")
+def run_log(spark: SparkSession, d: str) -> DataFrame:
+    """Events appended to a log in two batches and read back."""
+    at, events = f"{C.folder(spark, 'log')}/log", C.table(spark, d, "events")
+    entries = events.select("event_id", "event_type", F.round(F.col("value") * 100).cast("long").alias("cents"))
+    for odd in (0, 1):
+        custom.append_to_log(entries.where(F.col("event_id") % 2 == odd), at)
+    log = custom.read_log(spark, at, "event_id long, event_type string, cents long")
+    return log.groupBy(F.col("event_type").alias("action")).agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents"))

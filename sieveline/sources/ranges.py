@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def on_workers(spark: SparkSession) -> None:
+    """Lets Python workers import this package, wherever the driver was started."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
+
 
 def open_file(name: str):
     """A file by its URI or path, for random access; pyarrow knows local files and the usual stores."""
@@ -18,6 +31,7 @@ def open_file(name: str):
 
 def listing(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """(path, file, n_bytes, modified) of all files below a path; contents are not read. ``file`` is the name that ``_metadata.file_path`` has."""
+    on_workers(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         files = files.option("pathGlobFilter", pattern)

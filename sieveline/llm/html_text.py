@@ -74,7 +74,9 @@ _NAME = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 # an attribute's value is quoted only right after "="; a quote elsewhere is a character like others
 _TAG = re.compile(r"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|/([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*+|(?=>|\Z)))*+)(?:>|\Z)|/[^a-zA-Z][^>]*(?:>|\Z))", re.DOTALL)
 _ATTR = re.compile(r"([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]*)))?")
-_READ = re.compile(r"class|id|role|hidden|itemprop", re.IGNORECASE)
+_READ = re.compile(r"class|id|role|hidden|itemprop|style", re.IGNORECASE)
+#: What a style says of an element that a reader doesn't see.
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!\s*important\s*)?(?:;|$)", re.IGNORECASE)
 _WHITE = re.compile(r"\s+")
 
 
@@ -123,6 +125,8 @@ def _prior(tag: str, source: str, inside_mark: bool) -> tuple[float, bool]:
         role = found.get("role", "").lower()
         if "hidden" in found and found["hidden"].lower() != "until-found":
             return 0, False
+        if found.get("aria-hidden", "").strip().lower() == "true" or _UNSEEN.search(found.get("style", "")):
+            return 0, False
         mark |= role in MARKS or found.get("itemprop", "").lower() == "articlebody"
         if role in FURNITURE_ROLES:
             prior = min(prior, BY_KIND)

@@ -178,8 +178,8 @@ _MODEL = ", ".join(["level int", "g string", "start int", "rows long", "logdet d
 _COLUMNS = [f.split()[0] for f in _MODEL.split(", ")]
 #: Where the search starts: plain estimate; medians and deviations; the latter with correlations of squashed values, of directions.
 STARTS = ("plain", "median", "squashed", "directions")
-#: Histograms of the statistics: bins per floor of the spread, and the last bin.
-PER_FLOOR, LAST_BIN = 20, 20_000
+#: Histograms of the statistics: bins per floor of the spread up to the last even one, and per doubling beyond it.
+PER_FLOOR, LAST_EVEN, PER_DOUBLING = 20, 20_000, 1_000
 
 
 def _per_level(rows: DataFrame, columns: list) -> DataFrame:
@@ -189,9 +189,10 @@ def _per_level(rows: DataFrame, columns: list) -> DataFrame:
 
 
 def _middles(rows: DataFrame) -> DataFrame:
-    """(level, g, c0.., d0..): medians and median deviations per group, to within a bin of a twentieth of the floor."""
+    """(level, g, c0.., d0..): medians and median deviations per group, to within a bin: a twentieth of the floor, or of very large values a thousandth of a doubling."""
     width = [f / PER_FLOOR for f in STATISTICS.values()]
-    bins = F.array(*[F.least(F.lit(LAST_BIN), F.floor(F.col(x) / w)).cast("int") for x, w in zip(_X, width, strict=True)])
+    beyond = lambda y: LAST_EVEN + F.floor(F.log2(y / LAST_EVEN) * PER_DOUBLING)
+    bins = F.array(*[F.when(F.col(x) / w < LAST_EVEN, F.floor(F.col(x) / w)).otherwise(beyond(F.col(x) / w)).cast("int") for x, w in zip(_X, width, strict=True)])
     counts = rows.select(*_LEVELS, F.posexplode(bins).alias("stat", "bin")).groupBy(*_LEVELS, "stat", "bin").agg(F.count(F.lit(1)).alias("n"))
     counts = _per_level(counts, ["stat", "bin", "n"]).groupBy("level", "g", "stat", "bin").agg(F.sum("n").alias("n"))
 
@@ -199,7 +200,8 @@ def _middles(rows: DataFrame) -> DataFrame:
         found = []
         for i, w in enumerate(width):
             part = pdf[pdf["stat"] == i].sort_values("bin")
-            at, n = (part["bin"].to_numpy() + 0.5) * w, part["n"].to_numpy()
+            middle, n = part["bin"].to_numpy() + 0.5, part["n"].to_numpy()
+            at = np.where(middle < LAST_EVEN, middle, LAST_EVEN * 2.0 ** (np.maximum(middle - LAST_EVEN, 0) / PER_DOUBLING)) * w
             median = at[np.searchsorted(np.cumsum(n), n.sum() / 2)]
             away = np.abs(at - median)
             order = np.argsort(away, kind="stable")

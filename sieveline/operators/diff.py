@@ -1,8 +1,9 @@
 """Differences between two sides: rows by key, cells by cause, multisets without a key.
 
-Both sides are projected to canonical text and meet in one aggregation by key, which counts each side's rows and keeps a
-row of each; copies of a key combine before the shuffle, so a repeated key multiplies nothing. Which keys are on one side,
-on both or repeated, and which cells differ, is all read from that frame. ``keep()`` computes it once for several results.
+Both sides meet in one aggregation by key, of counts and of 128-bit digests of the rows' canonical text alone: fixed-width values,
+which are hashed and not sorted, and of which copies combine before the shuffle, so that a repeated key multiplies nothing. Which
+keys are on one side, on both, changed or repeated is read from that frame; cells are fetched by key, for the rows that a result
+shows. ``keep()`` computes the frame once for several results.
 """
 
 from __future__ import annotations
@@ -31,25 +32,31 @@ class Diff:
         self.frame = self._keyed()
 
     def _canonical(self, df: DataFrame) -> DataFrame:
+        """Key and cells in canonical text, as k0.. and c0.."""
         kinds = {f.name: f.dataType for f in df.schema.fields}
-        return df.select(*[canon.canonical(F.col(f"`{c}`"), kinds[c]).alias(c) for c in [*self.key, *self.columns]])
+        names = [*((c, f"k{i}") for i, c in enumerate(self.key)), *((c, f"c{i}") for i, c in enumerate(self.columns))]
+        return df.select(*[canon.canonical(F.col(f"`{c}`"), kinds[c]).alias(to) for c, to in names])
 
     def _keyed(self) -> DataFrame:
-        """(k0.., ns, nf, s, f): a row per key with each side's count and, where it is 1, its cells c0..."""
-        keys = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(self.key)]
-        cells = F.struct(F.lit(True).alias("is"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(self.columns)])
-        none = F.when(F.lit(False), cells)
-        s = self.source.select(*keys, F.lit(1).alias("ns"), F.lit(0).alias("nf"), cells.alias("s"), none.alias("f"))
-        f = self.target.select(*keys, F.lit(0).alias("ns"), F.lit(1).alias("nf"), none.alias("s"), cells.alias("f"))
-        return s.unionByName(f).where(self._whole()).groupBy(*self._keys()).agg(F.sum("ns").alias("ns"), F.sum("nf").alias("nf"), F.max("s").alias("s"), F.max("f").alias("f"))
-
-    def _whole(self, names: Sequence[str] | None = None) -> Column:
+        """(k0.., ns, nf, changed): a row per key with each side's count, and whether two rows that pair differ."""
+        cells = [f"c{i}" for i in range(len(self.columns))]
+        digests = {"h": F.xxhash64(F.lit(1), *cells), "g": F.xxhash64(F.lit(2), *reversed(cells), F.lit(3))}
+        none = F.lit(None).cast("long")
+        s = self.source.select(*self._keys(), F.lit(1).alias("ns"), F.lit(0).alias("nf"), *[e.alias(f"s{k}") for k, e in digests.items()], *[none.alias(f"f{k}") for k in digests])
+        f = self.target.select(*self._keys(), F.lit(0).alias("ns"), F.lit(1).alias("nf"), *[none.alias(f"s{k}") for k in digests], *[e.alias(f"f{k}") for k, e in digests.items()])
+        both = s.unionByName(f).where(self._whole()).groupBy(*self._keys()).agg(F.sum("ns").alias("ns"), F.sum("nf").alias("nf"), *[F.max(c).alias(c) for c in ("sh", "sg", "fh", "fg")])
+        return both.select(*self._keys(), "ns", "nf", F.expr("ns = 1 and nf = 1 and (sh <> fh or sg <> fg)").alias("changed"))
+
+    def _whole(self) -> Column:
         """Whether no part of the key is NULL, in canonical text."""
-        return ~F.array_contains(F.array(*[F.col(f"`{k}`") for k in names or self._keys()]), canon.NULL_TOKEN)
+        whole = F.lit(True)
+        for k in self._keys():
+            whole = whole & (F.col(k) != canon.NULL_TOKEN)
+        return whole
 
     def null_keys(self) -> DataFrame:
         """(side, n_rows) of the rows whose key has a NULL, which nothing else here counts."""
-        sides = [df.where(~self._whole(self.key)).agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("n_rows")) for side, df in (("source", self.source), ("target", self.target))]
+        sides = [df.where(~self._whole()).agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("n_rows")) for side, df in (("source", self.source), ("target", self.target))]
         return sides[0].unionByName(sides[1])
 
     def _keys(self) -> list[str]:
@@ -63,58 +70,71 @@ class Diff:
     def drop(self) -> None:
         self.frame.unpersist()
 
-    def _of(self, condition: str, *columns: Column) -> DataFrame:
-        return self.frame.where(condition).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(self.key)], *columns)
+    def _at(self, condition: str) -> DataFrame:
+        return self.frame.where(condition).select(*self._keys())
 
-    def _cells(self, side: str, prefix: str = "") -> list[Column]:
-        return [F.col(f"{side}.c{i}").alias(f"{prefix}{c}") for i, c in enumerate(self.columns)]
+    def _named(self, prefix: str = "") -> list[Column]:
+        return [F.col(f"c{i}").alias(f"{prefix}{c}") for i, c in enumerate(self.columns)]
+
+    def _key(self) -> list[Column]:
+        return [F.col(f"k{i}").alias(c) for i, c in enumerate(self.key)]
+
+    def _rows(self, side: DataFrame, condition: str) -> DataFrame:
+        return side.join(self._at(condition), self._keys(), "left_semi").select(*self._key(), *self._named())
+
+    def _pairs(self, condition: str) -> DataFrame:
+        """The key, s_<column> and f_<column> of keys that occur once on both sides."""
+        s = self.source.join(self._at(condition), self._keys(), "left_semi").select(*self._keys(), *self._named("s_"))
+        f = self.target.select(*self._keys(), *self._named("f_"))
+        return s.join(f, self._keys()).select(*self._key(), *[f"`s_{c}`" for c in self.columns], *[f"`f_{c}`" for c in self.columns])
 
     @property
     def joined(self) -> DataFrame:
         """The key, s_<column> and f_<column> of the keys that occur once on both sides."""
-        return self._of("ns = 1 and nf = 1", *self._cells("s", "s_"), *self._cells("f", "f_"))
+        return self._pairs("ns = 1 and nf = 1")
 
     def only_source(self) -> DataFrame:
-        return self._of("ns = 1 and nf = 0", *self._cells("s"))
+        return self._rows(self.source, "ns = 1 and nf = 0")
 
     def only_target(self) -> DataFrame:
-        return self._of("ns = 0 and nf = 1", *self._cells("f"))
+        return self._rows(self.target, "ns = 0 and nf = 1")
 
     def changed(self) -> DataFrame:
-        return self._of("ns = 1 and nf = 1 and s <> f", *self._cells("s", "s_"), *self._cells("f", "f_"))
+        """As :attr:`joined`, of the rows that differ."""
+        return self._pairs("changed")
 
     @property
     def repeated(self) -> DataFrame:
         """Keys that occur more than once on a side."""
-        return self._of("ns > 1 or nf > 1")
+        return self.frame.where("ns > 1 or nf > 1").select(*self._key())
 
     def repeated_rows(self, side: str) -> DataFrame:
-        return (self.source if side == "source" else self.target).join(self.repeated, self.key, "left_semi")
+        return self._rows(self.source if side == "source" else self.target, "ns > 1 or nf > 1")
 
     def summary(self) -> DataFrame:
         """(only_source, only_target, common, changed, repeated_keys, repeated_source, repeated_target) in one row, by one pass."""
         count = lambda condition, what="1": F.coalesce(F.sum(F.when(F.expr(condition), F.expr(what))), F.lit(0)).cast("long")
         again = "ns > 1 or nf > 1"
         return self.frame.agg(
-            count("ns = 1 and nf = 0").alias("only_source"), count("ns = 0 and nf = 1").alias("only_target"), count("ns = 1 and nf = 1").alias("common"), count("ns = 1 and nf = 1 and s <> f").alias("changed"),
+            count("ns = 1 and nf = 0").alias("only_source"), count("ns = 0 and nf = 1").alias("only_target"), count("ns = 1 and nf = 1").alias("common"), count("changed").alias("changed"),
             count(again).alias("repeated_keys"), count(again, "ns").alias("repeated_source"), count(again, "nf").alias("repeated_target"),
         )
 
     def classes(self) -> DataFrame:
         """(what, n_keys, n_source, n_target): keys and rows by repeated, only_source, only_target, changed, equal."""
-        what = F.when(F.expr("ns > 1 or nf > 1"), "repeated").when(F.col("nf") == 0, "only_source").when(F.col("ns") == 0, "only_target").when(F.expr("s <> f"), "changed").otherwise("equal")
+        what = F.when(F.expr("ns > 1 or nf > 1"), "repeated").when(F.col("nf") == 0, "only_source").when(F.col("ns") == 0, "only_target").when(F.col("changed"), "changed").otherwise("equal")
         return self.frame.groupBy(what.alias("what")).agg(F.count(F.lit(1)).alias("n_keys"), F.sum("ns").alias("n_source"), F.sum("nf").alias("n_target"))
 
     def columns_summary(self) -> DataFrame:
-        """(column_name, n_different): one sweep over the joined rows."""
+        """(column_name, n_different): one sweep over the rows that differ."""
         sums = [F.count(F.when(F.col(f"s_{c}") != F.col(f"f_{c}"), 1)).alias(f"n{i}") for i, c in enumerate(self.columns)]
         rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n_different")) for i, c in enumerate(self.columns)])
-        return self.joined.agg(*sums).select(F.explode(rows).alias("x")).select("x.*")
+        return self.changed().agg(*sums).select(F.explode(rows).alias("x")).select("x.*")
 
     def cells(self) -> DataFrame:
         """(key..., column_name, source, target) of the cells that differ."""
         cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"s_{c}").alias("source"), F.col(f"f_{c}").alias("target")) for c in self.columns])
-        return self.joined.select(*self.key, F.explode(F.filter(cells, lambda x: x["source"] != x["target"])).alias("x")).select(*self.key, "x.*")
+        return self.changed().select(*[f"`{k}`" for k in self.key], F.explode(F.filter(cells, lambda x: x["source"] != x["target"])).alias("x")).select(*[f"`{k}`" for k in self.key], "x.*")
 
     def patterns(self) -> DataFrame:
         """(column_name, pattern, n)."""
@@ -149,7 +169,7 @@ class Diff:
         odd = F.filter("cells", lambda x: (x["s"] != x["f"]) & (x["f"] != F.lit(canon.NULL_TOKEN)) & (x["f"] != ""))
         same = lambda d: F.transform(F.filter("cells", lambda x: (x["s"] == d["f"]) & (x["i"] != d["i"])), lambda x: F.struct(d["i"].alias("to"), x["i"].alias("of")))
         names = F.array(*map(F.lit, self.columns))
-        found = self.joined.select(cells.alias("cells")).select(F.explode(F.flatten(F.transform(odd, same))).alias("x")).groupBy("x.to", "x.of").agg(F.count(F.lit(1)).alias("n"))
+        found = self.changed().select(cells.alias("cells")).select(F.explode(F.flatten(F.transform(odd, same))).alias("x")).groupBy("x.to", "x.of").agg(F.count(F.lit(1)).alias("n"))
         out = found.select(F.get(names, F.col("to")).alias("column_name"), F.get(names, F.col("of")).alias("source_column"), "n")
         order = Window.partitionBy("column_name").orderBy(F.desc("n"), "source_column")
         return out.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top).drop("place")

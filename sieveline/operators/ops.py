@@ -39,13 +39,14 @@ def usage_by_actor(calls: DataFrame, prices: DataFrame) -> DataFrame:
     """(actor, model, n_calls, n_runs, input_tokens, output_tokens, cost) of calls, one per request id.
 
     A request that was logged repeatedly counts once, as its last line. Prices (prefix, input_price, output_price per
-    million) match by the longest prefix of the model's name; the price list is small by nature and broadcast.
+    million) match by the longest prefix of the model's name: each name meets the list by all its prefixes, an equi-join.
     """
     last = Window.partitionBy("request_id").orderBy(F.desc("ts"))
     once = calls.withColumn("__r", F.row_number().over(last)).where("__r = 1").drop("__r")
     sums = once.groupBy("actor", "model").agg(F.count(F.lit(1)).alias("n_calls"), F.countDistinct("run_id").alias("n_runs"), F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"))
     models = sums.select("model").distinct()
-    hit = models.join(F.broadcast(prices), F.col("model").startswith(F.col("prefix")))
+    models = models.select("model", F.explode(F.transform(F.sequence(F.lit(0), F.length("model")), lambda n: F.substr("model", F.lit(1), n))).alias("prefix"))
+    hit = models.join(prices, "prefix")
     best = hit.groupBy("model").agg(F.max_by(F.struct("input_price", "output_price"), F.length("prefix")).alias("p"))
     cost = (F.col("input_tokens") * F.col("p.input_price") + F.col("output_tokens") * F.col("p.output_price")) / 1_000_000
     return sums.join(best, "model", "left").select("actor", "model", "n_calls", "n_runs", "input_tokens", "output_tokens", F.round(cost, 6).alias("cost"))

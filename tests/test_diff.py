@@ -117,3 +117,9 @@ def test_brackets_are_narrowed(spark, monkeypatch):
     a = sorted(i * 7919 % 5003 for i in range(5000))
     assert [float(x) for x in got["a"]] == [a[1249], a[2499], a[3749]]
     assert got["b"] == ("0", "1", "2") and got["c"][:2] == ("1.0000000000", "1.0000000000") and got["c"][2] == "Infinity"
+
+
+def test_sides_are_hashed_not_sorted(spark):
+    s, f = pair(spark)
+    plan = diff.Diff(s, f, ["id", "kind"]).summary()._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
+from decimal import Decimal
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
@@ -108,6 +109,10 @@ def number_text(c: Column, kind: str) -> Column:
     return F.when(fixed.cast("double") == c.cast("double"), fixed.cast("string")).otherwise(c.cast("string"))
 
 
+#: Most floating columns hold amounts: as whole ten-thousandths they are added up exactly without decimals.
+SCALE = 10_000.0
+
+
 def numeric(df: DataFrame) -> DataFrame:
     """(column_name, minimum, maximum, exact_sum, zeros, negatives, nans, infinities, inexact, mean) with numbers as text.
 
@@ -115,15 +120,41 @@ def numeric(df: DataFrame) -> DataFrame:
     don't hold exactly (or at all); where there are any, the sum lacks or rounds them, and the mean is that of doubles.
     """
     kinds = {f.name: K.category(f.dataType) for f in df.schema.fields}
-    floating = lambda n, e: e(_c(n)) if kinds[n] == K.FLOATING else F.lit(False)
-    value = lambda n: _finite(n, kinds[n])
-    fixed = lambda n: _as_decimal(value(n), kinds[n])
-    out = _long(df, columns_of(df, *K.NUMERIC), {
-        "minimum": lambda n: number_text(F.min(value(n)), kinds[n]), "maximum": lambda n: number_text(F.max(value(n)), kinds[n]),
-        "exact_sum": lambda n: F.sum(fixed(n)).cast("string"), "zeros": lambda n: _sum(_c(n) == 0), "negatives": lambda n: _sum(_c(n) < 0),
+    names = columns_of(df, *K.NUMERIC)
+    # Once a row: the finite value, and of floating ones its ten-thousandths where that many are exactly the value, else its decimal.
+    once: list[Column] = []
+    for i, n in enumerate(names):
+        value = _finite(n, kinds[n])
+        once += [value.alias(f"v{i}"), _c(n).alias(f"c{i}")]
+        if kinds[n] == K.FLOATING:
+            whole = F.when(F.abs(value) < 1e11, F.rint(value.cast("double") * SCALE).cast("long"))
+            few = whole.cast("double") / SCALE == value.cast("double")
+            once += [F.when(few, whole).alias(f"r{i}"), F.when(~F.coalesce(few, F.lit(False)), _as_decimal(value, K.FLOATING)).alias(f"d{i}")]
+        else:
+            once.append(_as_decimal(value, kinds[n]).alias(f"d{i}"))
+    at = {n: i for i, n in enumerate(names)}
+    col = lambda kind, n: F.col(f"{kind}{at[n]}")
+    floating = lambda n, e: e(col("c", n)) if kinds[n] == K.FLOATING else F.lit(False)
+
+    def exact_sum(n: str) -> Column:
+        slow = F.sum(col("d", n))
+        if kinds[n] != K.FLOATING:
+            return slow.cast("string")
+        total = None
+        for shift in (40, 20, 0):  # parts of 20 bits: their sums in 64-bit integers are exact below 2**43 rows
+            part = F.shiftright(col("r", n), shift)
+            part = F.sum(part if shift == 40 else part.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)") * F.lit(Decimal(1 << shift))
+            total = part if total is None else total + part
+        fast = (total.cast("decimal(33,0)") * F.lit(Decimal(1).scaleb(-4))).cast("decimal(37,10)")
+        both = F.when(fast.isNull(), slow).when(slow.isNull(), fast.cast("decimal(38,10)")).otherwise((fast + slow.try_cast("decimal(37,10)")).cast("decimal(38,10)"))
+        return both.cast("string")
+
+    out = _long(df.select(*once), names, {
+        "minimum": lambda n: number_text(F.min(col("v", n)), kinds[n]), "maximum": lambda n: number_text(F.max(col("v", n)), kinds[n]),
+        "exact_sum": exact_sum, "zeros": lambda n: _sum(col("c", n) == 0), "negatives": lambda n: _sum(col("c", n) < 0),
         "nans": lambda n: _sum(floating(n, F.isnan)), "infinities": lambda n: _sum(floating(n, lambda c: F.abs(c) == F.lit(float("inf")))),
-        "inexact": lambda n: _sum(F.coalesce(fixed(n).cast("double") != value(n).cast("double"), value(n).isNotNull())) if kinds[n] == K.FLOATING else F.lit(0).cast("long"),
-        "n": lambda n: F.count(value(n)), "average": lambda n: F.avg(value(n).cast("double")),
+        "inexact": lambda n: _sum(F.coalesce(col("d", n).cast("double") != col("v", n).cast("double"), col("v", n).isNotNull() & col("r", n).isNull())) if kinds[n] == K.FLOATING else F.lit(0).cast("long"),
+        "n": lambda n: F.count(col("v", n)), "average": lambda n: F.avg(col("v", n).cast("double")),
     })
     exact = F.col("exact_sum").try_cast("decimal(38,10)").cast("double") / F.col("n")
     mean = F.when(F.col("n") > 0, F.when(F.col("inexact") == 0, F.coalesce(exact, F.col("average"))).otherwise(F.col("average")))

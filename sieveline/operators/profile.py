@@ -195,9 +195,9 @@ def quartiles(df: DataFrame, only: Sequence[str] | None = None, at: Sequence[flo
             number = {n: value[n].cast("double") for n in cuts}
             ranks = {(n, k): max(1, math.ceil(Fraction(str(p)) * total[n])) for n in cuts for k, p in enumerate(at)}
             while True:
-                counts_of = df.agg(*[F.count(F.when(c, 1)).alias(f"{side}{block.index(n)}_{k}") for n in cuts for k, (lo, hi) in enumerate(cuts[n]) for side, c in (("b", number[n] < lo), ("i", number[n].between(lo, hi)))]).first()
+                counts_of = df.agg(*[F.count(F.when(c, 1)).alias(f"{side}{block.index(n)}_{k}") for n in cuts for k, (lo, hi) in enumerate(cuts[n]) for side, c in (("b", number[n] < lo), ("i", number[n].between(lo, hi)))[: 1 + (total[n] > INSIDE)]]).first()
                 below = {(n, k): counts_of[f"b{block.index(n)}_{k}"] for n, k in ranks}
-                held = {(n, k): counts_of[f"i{block.index(n)}_{k}"] for n, k in ranks}
+                held = {(n, k): counts_of[f"i{block.index(n)}_{k}"] if total[n] > INSIDE else total[n] for n, k in ranks}
                 wide = [(n, k) for n, k in ranks if held[n, k] > INSIDE and cuts[n][k][0] < cuts[n][k][1]]
                 if not wide:
                     break

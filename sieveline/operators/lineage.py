@@ -122,18 +122,29 @@ def in_windows(commits: DataFrame, runs: DataFrame, slack_s: int = 120, by: str
     return runs.select("run_id").join(found, "run_id", "left").fillna(0, ["n_commits"])
 
 
-def asof(runs: DataFrame, commits: DataFrame, by: list[str]) -> DataFrame:
+def asof(runs: DataFrame, commits: DataFrame, by: list[str], bucket_s: int = 86_400) -> DataFrame:
     """Each run with the last commit (ts, version) of its keys at or before its start: the version that it read.
 
-    Both are put on one time line per key and the last commit is carried forward by a window: one shuffle on the key and
-    no range join. Commits of equal time count as before the run; of those, the highest version wins.
+    Both are put on one time line, which is cut into buckets: within a key's bucket the last commit is carried forward by a
+    window, and over the borders the last one of all buckets before is, by a window over one row per key and bucket. So no
+    task holds more of a hot key than a bucket of its history, and there is no range join. Commits of equal time count as
+    before the run; of those, the highest version wins.
     """
     from pyspark.sql import Window
 
-    c = commits.select(*by, F.col("ts").alias("at"), F.lit(0).alias("kind"), F.struct(F.col("ts").alias("commit_ts"), F.col("version").alias("version")).alias("commit"), F.lit(None).cast("long").alias("run_id"))
-    r = runs.select(*by, F.col("start").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast(c.schema["commit"].dataType).alias("commit"), F.col("run_id").cast("long").alias("run_id"))
-    line = Window.partitionBy(*by).orderBy("at", "kind", F.col("commit.version").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    out = c.unionByName(r).withColumn("last", F.last("commit", ignorenulls=True).over(line)).where("kind = 1")
+    commit = F.struct(F.col("ts").alias("commit_ts"), F.col("version").alias("version"))
+    bucket = lambda t: F.floor(F.unix_seconds(F.col(t).cast("timestamp")) / bucket_s)
+    c = commits.select(*by, F.col("ts").alias("at"), bucket("ts").alias("bucket"), F.lit(0).alias("kind"), commit.alias("commit"), F.lit(None).cast("long").alias("run_id"))
+    r = runs.select(*by, F.col("start").alias("at"), bucket("start").alias("bucket"), F.lit(1).alias("kind"), F.lit(None).cast(c.schema["commit"].dataType).alias("commit"), F.col("run_id").cast("long").alias("run_id"))
+    line = Window.partitionBy(*by, "bucket").orderBy("at", "kind", F.col("commit.version").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    inside = c.unionByName(r).withColumn("last", F.last("commit", ignorenulls=True).over(line)).where("kind = 1")
+    ends = c.unionByName(r).groupBy(*by, "bucket").agg(F.max("commit").alias("commit"))
+    before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*[F.col(k).alias(f"_{k}") for k in by], F.col("bucket").alias("_bucket"), F.last("commit", ignorenulls=True).over(before).alias("carried"))
+    same = F.col("bucket").eqNullSafe(F.col("_bucket"))
+    for k in by:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    out = inside.join(carried, same, "left").withColumn("last", F.coalesce("last", "carried"))
     return out.select("run_id", *by, F.col("at").alias("start"), F.col("last.commit_ts").alias("commit_ts"), F.col("last.version").alias("version"))
 
 

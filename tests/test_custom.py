@@ -98,3 +98,20 @@ def test_bounds_by_collation(spark):
     assert (by_bytes["low"], by_bytes["high"]) == ("ALFA", "zeta")
     mixed = spark.createDataFrame([("c", 1, 1, "beta", "beta", 1), ("c", 1, 1, "ALFA", "Zeta", 1), ("c", 1, 1, "Gamma", "omega", 1)], chunks.schema)
     assert (ops.combine_chunks(mixed, "UTF8_LCASE").first()["high"], ops.combine_chunks(mixed).first()["high"]) == ("Zeta", "omega")
+
+
+def test_as_of_over_buckets(spark):
+    """The last commit at or before each run, in and across buckets, with ties, nulls and keys without commits."""
+    import datetime as dt
+    import random
+
+    from sieveline.operators import lineage
+
+    rng, day = random.Random(9), dt.datetime(2024, 1, 1)
+    at = lambda: day + dt.timedelta(minutes=rng.randrange(40)) + dt.timedelta(hours=rng.choice([0, 1, 30, 31, 90]))
+    commits = [(rng.choice(["a", "b", None]), at(), i) for i in range(80)]
+    runs = [(rng.choice(["a", "b", "c", None]), at() - dt.timedelta(hours=rng.choice([0, 1])), i) for i in range(60)]
+    c, r = spark.createDataFrame(commits, "k string, ts timestamp_ntz, version long"), spark.createDataFrame(runs, "k string, start timestamp_ntz, run_id long")
+    for bucket in (3600, 86_400):
+        got = {x["run_id"]: (x["commit_ts"], x["version"]) for x in lineage.asof(r, c, ["k"], bucket).collect()}
+        assert got == {i: max(((t, v) for k2, t, v in commits if k2 == k and t <= s), default=(None, None)) for k, s, i in runs}

@@ -86,3 +86,8 @@ def pattern(source: Column, target: Column) -> Column:
         .when(any_time(s) == any_time(f), "same_instant_other_format")
         .otherwise("other")
     )
+
+
+def thousands(c: Column) -> Column:
+    """A whole number's text with dots between thousands."""
+    return F.replace(F.format_number(c.cast("long"), 0), F.lit(","), F.lit("."))

@@ -23,6 +23,13 @@ def gates(order: DataFrame, decisions: DataFrame, current: DataFrame) -> DataFra
     return rows.select("flow", "place", "gate", F.col("d.decision").alias("decision"), F.col("d.by").alias("by"), unchanged.alias("unchanged"), F.every(holds).over(so_far).alias("valid"))
 
 
+def missing_fields(reports: DataFrame, required: Sequence[str]) -> DataFrame:
+    """(report, pointer) of the required fields that a JSON report (report, document) lacks or holds empty: what keeps it from being published."""
+    empty = lambda c: F.col("v").isNull() | c.isNull() | c.isin("", "[]", "{}")
+    gaps = F.array(*[F.when(empty(F.try_variant_get(F.col("v"), f"$.{p}", "string")), F.lit(p)) for p in required])
+    return reports.select("report", F.try_parse_json("document").alias("v")).select("report", F.explode(F.array_compact(gaps)).alias("pointer"))
+
+
 def cited_figures(reports: DataFrame, pointers: Sequence[str], cited: DataFrame, tolerance: float = 0.0) -> DataFrame:
     """(report, pointer, cited, found, state) of the figures that texts cite from JSON reports (report, document).
 

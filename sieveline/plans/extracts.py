@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.operators import approvals, copies, diff, fingerprint, ops
+from sieveline.functions import patterns
+from sieveline.operators import approvals, copies, diff, fingerprint, ops, profile
 from sieveline.operators.ledger import Ledger
 from sieveline.plans import common as C
-from sieveline.sources import custom, drift
+from sieveline.sources import custom, drift, scans, sinks
 from sieveline.sources.databases import Database
-from sieveline.sources.ranges import open_file
+from sieveline.sources.ranges import listing, open_file
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -218,3 +220,79 @@ def run_log(spark: SparkSession, d: str) -> DataFrame:
         custom.append_to_log(entries.where(F.col("event_id") % 2 == odd), at)
     log = custom.read_log(spark, at, "event_id long, event_type string, cents long")
     return log.groupBy(F.col("event_type").alias("action")).agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents"))
+
+
+def _put(spark: SparkSession, path: str, lines: list[str]) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
+    out.write(bytearray("\n".join(lines).encode()))
+    out.close()
+
+
+@query("select o_orderkey, o_custkey, o_orderstatus, o_orderpriority from orders where o_orderkey % 6 not in (1, 4)")
+def delta_table_read(spark: SparkSession, d: str) -> DataFrame:
+    """A table by its transaction log: of six files that were added two have been removed, though they still lie there."""
+    at = C.folder(spark, "table")
+    orders = C.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    orders.withColumn("cut", F.pmod("o_orderkey", F.lit(6))).repartition(6, "cut").write.partitionBy("cut").parquet(f"{at}/files")
+    files = {r["path"].split("cut=")[1][:1]: r["path"].rsplit("/files/", 1)[1] for r in listing(spark, f"{at}/files", "*.parquet").select("path").collect()}
+    add = [json.dumps({"add": {"path": f"files/{p}", "size": 1, "modificationTime": 1}}) for p in files.values()]
+    _put(spark, f"{at}/_delta_log/{0:020d}.json", add)
+    _put(spark, f"{at}/_delta_log/{1:020d}.json", [json.dumps({"remove": {"path": f"files/{files[k]}"}}) for k in ("1", "4")])
+    return scans.delta_table(spark, at).select(*orders.columns)
+
+
+@query("select f.format, count(*) as n_rows, sum(p_partkey)::bigint as keys from part, (values ('parquet'), ('csv'), ('json'), ('parquet without ending')) f(format) group by 1")
+def formats_read(spark: SparkSession, d: str) -> DataFrame:
+    """``part`` in files of three formats, and in one whose name doesn't tell it: each is read by the reader that fits."""
+    at, part, out = C.folder(spark, "formats"), C.table(spark, d, "part").select("p_partkey", "p_name"), None
+    for name, ending, write in (("parquet", "a.parquet", part.write.parquet), ("csv", "b.csv", part.write.option("header", True).csv), ("json", "c.json", part.write.json)):
+        write(f"{at}/{ending}")
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    store = fs.Path(at).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part.coalesce(1).write.parquet(f"{at}/made")
+    made = next(s.getPath() for s in store.listStatus(fs.Path(f"{at}/made")) if s.getPath().getName().startswith("part-"))
+    store.rename(made, fs.Path(f"{at}/d.extract"))
+    for told, name in (("parquet", "a.parquet"), ("csv", "b.csv"), ("json", "c.json"), ("parquet without ending", "d.extract")):
+        rows, how, _ = scans.read_any(spark, f"{at}/{name}")
+        found = rows.agg(F.lit(told if how == told.split()[0] else how).alias("format"), F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("p_partkey").cast("long")).alias("keys"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@query(
+    f"{C.DIFF_SQL} select 'only_source' as part, count(*) as n_rows from _s where o_orderkey not in (select o_orderkey from _f) union all select 'only_target', count(*) from _f where o_orderkey not in (select o_orderkey from _s) "
+    f"union all select 'changed', count(*) from _j where {' or '.join(f's_{c} <> f_{c}' for c, _ in C.columns('orders')[1:])} union all select 'repeated_source', count(*) from cs where o_orderkey in (select o_orderkey from rep) union all select 'repeated_target', count(*) from cf where o_orderkey in (select o_orderkey from rep)"
+)
+def diff_detail_written(spark: SparkSession, d: str) -> DataFrame:
+    """The detail of a comparison as it is written: rows of each part, read back from their files."""
+    at, out = C.folder(spark, "detail"), None
+    for part in sinks.detail(diff.Diff(C.source(spark, d), C.target(spark, d), ["o_orderkey"]), at):
+        found = spark.read.parquet(f"{at}/{part}").agg(F.lit(part).alias("part"), F.count(F.lit(1)).alias("n_rows"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@query("select column_name, true as near from information_schema.columns where table_name = 'lineitem'")
+def approximate_distinct(spark: SparkSession, d: str) -> DataFrame:
+    """Sketched distinct counts lie within a tenth of the exact ones; verdicts use the exact ones alone."""
+    rows = C.table(spark, d, "lineitem")
+    exact, sketched = profile.distincts(rows), profile.distincts(rows, approximate=True).withColumnRenamed("n_distinct", "about")
+    return exact.join(sketched, "column_name").select("column_name", (F.abs(F.col("about") - F.col("n_distinct")) <= 0.1 * F.col("n_distinct")).alias("near"))
+
+
+@query("select o_orderkey, replace(format('{:,}', cast(o_orderkey * o_custkey * 1000 as bigint)), ',', '.') as shown from orders")
+def thousands(spark: SparkSession, d: str) -> DataFrame:
+    return C.table(spark, d, "orders").select("o_orderkey", patterns.thousands(F.col("o_orderkey") * F.col("o_custkey") * 1000).alias("shown"))
+
+
+@query(
+    "with c as (select c_custkey as report, c_custkey % 4 = 0 as a, c_custkey % 5 = 0 as b, c_custkey % 7 = 0 as c from customer) select report, 'owner.name' as pointer from c where a union all select report, 'figures[0]' from c where b union all select report, 'state' from c where c"
+)
+def unpublished_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Reports, one a customer, with fields that are absent, null or empty."""
+    k = F.col("c_custkey")
+    owner = F.struct(F.when(k % 4 > 0, F.col("c_name")).when(k % 8 == 0, F.lit("")).alias("name"))
+    figures = F.when(k % 5 > 0, F.array("c_acctbal")).otherwise(F.array().cast("array<double>"))
+    document = F.to_json(F.struct(owner.alias("owner"), figures.alias("figures"), F.when(k % 7 > 0, F.lit("DONE")).alias("state")))
+    return approvals.missing_fields(C.table(spark, d, "customer").select(k.alias("report"), document.alias("document")), ["owner.name", "figures[0]", "state"])

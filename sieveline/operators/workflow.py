@@ -32,26 +32,6 @@ class Gates:
         return all(self.valid(g, fingerprint) for g in self.order)
 
 
-RESULTS = ("SAME", "EQUIVALENT", "DIFFERENT", "ONLY_SOURCE", "ONLY_TARGET")
-CLASSES = ("PLATFORM", "ORIGIN", "LOGIC")
-
-
-def rule_issues(result: str, kind: str | None = None, why: str | None = None, measured: str | None = None, open_points: str | None = None) -> list[str]:
-    """Why a compared code rule can't be registered: what isn't the same needs a class, a reason and figures."""
-    if result not in RESULTS:
-        return [f"unknown result {result}"]
-    if result == "SAME":
-        return []
-    kind = "PLATFORM" if result == "EQUIVALENT" else kind
-    out = [] if kind in CLASSES else [f"a class is missing: {', '.join(CLASSES)}"]
-    if result != "EQUIVALENT" and kind == "PLATFORM":
-        out.append("a difference of platform alone is EQUIVALENT")
-    out += [f"{name} is missing" for name, v in (("why", why), ("measured", measured)) if not v]
-    if result == "EQUIVALENT" and open_points:
-        out.append("EQUIVALENT leaves nothing unmeasured")
-    return out
-
-
 #: A cached table's states, in order.
 STATES = ("DOWNLOADED", "MEASURED", "COMPARED", "PUBLISHED")
 

@@ -296,3 +296,39 @@ def unpublished_fields(spark: SparkSession, d: str) -> DataFrame:
     figures = F.when(k % 5 > 0, F.array("c_acctbal")).otherwise(F.array().cast("array<double>"))
     document = F.to_json(F.struct(owner.alias("owner"), figures.alias("figures"), F.when(k % 7 > 0, F.lit("DONE")).alias("state")))
     return approvals.missing_fields(C.table(spark, d, "customer").select(k.alias("report"), document.alias("document")), ["owner.name", "figures[0]", "state"])
+
+
+ENTRIES = C.Derived(
+    f"select o_orderkey as seq, 'd' || (o_custkey % 200) as difference, {C.pick('(o_orderkey * 7 + o_custkey) % 5', 'JUSTIFIED', 'OPEN', 'JUSTIFIED', 'TO_VERIFY', 'REJECTED')} as decision, {C.pick('o_orderkey % 4', '', None, 'rounding', 'load')} as cause, {C.pick('o_orderkey % 3', True, False, None)} as measured, cast(o_orderkey % 8 as int) as n_examples from orders"
+)
+
+
+@query(
+    f"with e as (select * from {ENTRIES.sql}), l as (select *, row_number() over (partition by difference order by seq desc) as place, count(*) over (partition by difference) as revisions, first_value(decision) over (partition by difference order by seq) as first_decision, count(*) filter (where decision = 'JUSTIFIED') over (partition by difference) as n from e) "
+    "select difference, revisions, first_decision, decision, concat_ws(',', case when decision = 'JUSTIFIED' and not (coalesce(cause, '') <> '' and coalesce(measured, false)) then 'unmeasured' end, case when n_examples > 5 then 'examples' end, case when decision <> 'JUSTIFIED' and n > 0 then 'reopened' end) as issues from l where place = 1"
+)
+def difference_registry(spark: SparkSession, d: str) -> DataFrame:
+    return approvals.difference_registry(ENTRIES.df(spark, d))
+
+
+CODE_RULES = C.Derived(
+    f"select 'r' || p_partkey as rule, {C.pick('p_partkey % 7', 'SAME', 'EQUIVALENT', 'DIFFERENT', 'ONLY_SOURCE', 'ONLY_TARGET', 'OTHER', 'DIFFERENT')} as result, {C.pick('p_partkey % 5', 'PLATFORM', 'ORIGIN', 'LOGIC', None, 'ELSE')} as class, {C.pick('p_size % 3', '', None, '=p_type')} as why, {C.pick('p_size % 4', '', None, '=p_brand', '=p_brand')} as measured, {C.pick('p_partkey % 3', '', '=p_name', None)} as open_points from part"
+)
+
+
+@query(
+    f"select rule, concat_ws(',', case when result = 'OTHER' then 'unknown_result' end, case when result not in ('SAME', 'EQUIVALENT', 'OTHER') and coalesce(class, '') not in ('PLATFORM', 'ORIGIN', 'LOGIC') then 'class' end, case when result not in ('SAME', 'EQUIVALENT', 'OTHER') and class = 'PLATFORM' then 'platform_is_equivalent' end, "
+    f"case when result not in ('SAME', 'OTHER') and coalesce(why, '') = '' then 'why' end, case when result not in ('SAME', 'OTHER') and coalesce(measured, '') = '' then 'measured' end, case when result = 'EQUIVALENT' and coalesce(open_points, '') <> '' then 'open_points' end) as gaps from {CODE_RULES.sql}"
+)
+def rule_gaps(spark: SparkSession, d: str) -> DataFrame:
+    return approvals.rule_gaps(CODE_RULES.df(spark, d))
+
+
+WIDE_NULLS = 40
+
+
+@query(" union all ".join(f"select 'w{i}' as column_name, count(*) as n_rows, count(*) filter (where l_orderkey % {i + 2} > 0) as non_null, count(*) filter (where l_orderkey % {i + 2} = 0) as nulls, round(100.0 * count(*) filter (where l_orderkey % {i + 2} = 0) / count(*), 4)::double as pct_null from lineitem" for i in range(WIDE_NULLS)))
+def profile_wide(spark: SparkSession, d: str) -> DataFrame:
+    """A profile of 40 columns, in blocks that each stay within generated code."""
+    k = F.col("l_orderkey")
+    return profile.nulls(C.table(spark, d, "lineitem").select(*[F.when(k % (i + 2) > 0, F.col("l_partkey")).alias(f"w{i}") for i in range(WIDE_NULLS)]))

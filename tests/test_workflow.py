@@ -60,8 +60,6 @@ def test_gates():
 
 
 def test_records():
-    assert workflow.rule_issues("SAME") == [] and workflow.rule_issues("EQUIVALENT", why="w", measured="m") == []
-    assert len(workflow.rule_issues("DIFFERENT")) == 3 and workflow.rule_issues("DIFFERENT", "PLATFORM", "w", "m") == ["a difference of platform alone is EQUIVALENT"]
     assert workflow.advance(None, "DOWNLOADED") == "DOWNLOADED" and workflow.advance("COMPARED", "MEASURED") == "MEASURED"
     with pytest.raises(ValueError):
         workflow.advance("DOWNLOADED", "PUBLISHED")

@@ -1,14 +1,16 @@
 """Exact inner-product search by branch and bound in ball trees, one tree per shard.
 
 Space is cut into cells by the top of a ball tree, fitted to a bounded sample of the vectors (``SAMPLE_ROWS``, and
-``SAMPLE_VALUES`` numbers at most); every row goes to its cell, and a cell with more than ``SHARD_ROWS`` rows is dealt to
+``SAMPLE_VALUES`` numbers at most), each bounded by several balls; every row goes to a ball and its cell, and a cell with more than ``SHARD_ROWS`` rows is dealt to
 several shards. Each shard's ball tree is built once and written. A node is a ball (centre, radius) over its rows; no
 row in it scores more than q.centre + |q| * radius. Nodes are taken in order of that bound, and a node whose bound is
 below a query's k-th score so far is passed over for this query.
 
-A first round searches a shard of each query's own cell. The k-th score found there is shared with all other cells: a
-query is sent on to those cells alone whose ball's bound reaches it, and the search there starts from it. Queries travel in
-blocks of bounded size, so that a task holds one shard's tree and one block, and a shard returns k rows a query at most.
+A first round searches a shard of each query's own cell. The k-th score found there is shared with all other cells: those
+alone of which a ball's bound reaches it are visited, best bound first. A second round takes the rest of the own cell and the
+``NEXT`` best ones, which mostly raises the k-th score, and a third one what that score leaves of the others; each search starts from
+the score so far. Queries travel in blocks of bounded size, so that a task holds one shard's tree and one block, and a shard
+returns k rows a query at most.
 
 Scores are exact integers. Where every partial sum stays below 2**52, 64-bit floats hold them; else floats only bound the
 scores, and what the bounds leave is computed in whole numbers of any size.
@@ -34,6 +36,10 @@ LEAF = 128
 SHARD_ROWS, BLOCK, TOGETHER = 16_384, 16_384, 512
 #: Cells of the top tree, rows and numbers of the sample that it is fitted to, and sampled rows a cell needs.
 CELLS, SAMPLE_ROWS, SAMPLE_VALUES, CELL_SAMPLE = 1_024, 16_384, 8_000_000, 8
+#: Balls that bound a cell's rows, and sampled rows a ball needs: a cell that holds parts of several clusters is not one wide ball.
+BALLS, BALL_SAMPLE = 8, 4
+#: Cells besides its own that a query visits before its k-th score is shared again.
+NEXT = 8
 #: Components are kept as whole numbers times 2**-UNIT, so that no finite one overflows.
 UNIT = 16
 #: Scores of this size and beyond don't fit a long's range here; their exact value travels beside the clamped one.
@@ -231,43 +237,61 @@ def halves(points: np.ndarray, away: np.ndarray, count: int) -> np.ndarray:
 
 
 class Cells:
-    """The top of a ball tree over a sample: hyperplanes down to cells, and a centre for each cell."""
+    """The top of a ball tree over a sample: hyperplanes down to balls, numbered in the tree's order, and a centre for each.
 
-    def __init__(self, sample: np.ndarray, cells: int) -> None:
-        self.normal, self.cut, self.kids, centres = [], [], [], []
-        waiting = [(sample, cells, -1, 0)]
-        while waiting:
-            points, n, parent, side = waiting.pop()
-            centre = points.mean(axis=0) if len(points) else np.zeros(sample.shape[1])
-            away = points - centre
-            spread = np.einsum("ij,ij->i", away, away)
-            if n <= 1 or len(points) < 2 or not spread.max() > 0:
-                me = -1 - len(centres)
-                centres.append(centre)
-            else:
-                me = len(self.kids)
-                one = points[np.argmax(spread)]
+    The ball with the largest sum of squared distances is split next, halfway between two points far apart, so that balls
+    follow clusters whatever their sizes. ``cell`` puts balls that lie together in the tree into cells of like numbers of rows.
+    """
+
+    def __init__(self, sample: np.ndarray, cells: int, balls: int) -> None:
+        normal, cut, kids, points = [None], [0.0], [None], [sample]  # by node; leaves have no kids
+        open_nodes = [(-np.inf, 0)]
+        leaves = 1
+        while open_nodes and leaves < balls:
+            me = heapq.heappop(open_nodes)[1]
+            mine = points[me]
+            if len(mine) < 2 * BALL_SAMPLE:
+                continue
+            away = mine - mine.mean(axis=0)
+            with np.errstate(over="ignore", invalid="ignore"):
+                one = mine[np.argmax(np.einsum("ij,ij->i", away, away))]
+                other = mine[np.argmax(((mine - one) ** 2).sum(axis=1))]
+                along, half = mine @ (other - one), float(((one + other) / 2) @ (other - one))
+                left = along < half
+            if not 0 < left.sum() < len(left):
+                continue
+            normal[me], cut[me], kids[me], points[me] = other - one, half, (len(kids), len(kids) + 1), None
+            leaves += 1
+            for part in (mine[left], mine[~left]):
                 with np.errstate(over="ignore", invalid="ignore"):
-                    other = points[np.argmax(((points - one) ** 2).sum(axis=1))]
-                    along = points @ (other - one)
-                cut = float(np.partition(along, len(points) * (n // 2) // n)[len(points) * (n // 2) // n])
-                self.normal.append(other - one)
-                self.cut.append(cut)
-                self.kids.append([0, 0])
-                waiting += [(points[along < cut], n // 2, me, 0), (points[~(along < cut)], n - n // 2, me, 1)]
-            if parent >= 0:
-                self.kids[parent][side] = me
-        self.centres, self.kids = np.array(centres), np.array(self.kids, np.int64).reshape(-1, 2)
-        self.normal = np.array(self.normal).reshape(-1, sample.shape[1])
+                    spread = float(np.nan_to_num(((part - part.mean(axis=0)) ** 2).sum(), nan=np.inf))
+                heapq.heappush(open_nodes, (-spread, len(kids)))
+                normal.append(None), cut.append(0.0), kids.append(None), points.append(part)
+        inner = [i for i, k in enumerate(kids) if k is not None]
+        name, centres, sizes = {i: n for n, i in enumerate(inner)}, [], []
+        waiting = [0]
+        while waiting:
+            me = waiting.pop()
+            if kids[me] is not None:
+                waiting += kids[me][::-1]
+                continue
+            name[me] = -1 - len(centres)
+            centres.append(points[me].mean(axis=0) if len(points[me]) else np.zeros(sample.shape[1]))
+            sizes.append(max(1, len(points[me])))
+        self.centres, self.cut = np.array(centres), np.array([cut[i] for i in inner])
+        self.kids = np.array([[name[k] for k in kids[i]] for i in inner], np.int64).reshape(-1, 2)
+        self.normal = np.array([normal[i] for i in inner]).reshape(-1, sample.shape[1])
+        middle = np.cumsum(sizes) - np.array(sizes) / 2
+        self.cell = np.unique((middle * cells / sum(sizes)).astype(np.int64), return_inverse=True)[1].astype(np.int32)
 
     def of(self, vectors: np.ndarray) -> np.ndarray:
-        """Each vector's cell."""
+        """Each vector's ball."""
         at = np.zeros(len(vectors), np.int64) if len(self.kids) else np.full(len(vectors), -1, np.int64)
         while (open_rows := np.flatnonzero(at >= 0)).size:
             node = at[open_rows]
             with np.errstate(over="ignore", invalid="ignore"):
                 along = np.einsum("ij,ij->i", vectors[open_rows], self.normal[node])
-            at[open_rows] = self.kids[node, (~(along < np.array(self.cut)[node])).astype(int)]
+            at[open_rows] = self.kids[node, (~(along < self.cut[node])).astype(int)]
         return -1 - at
 
 
@@ -304,28 +328,30 @@ def search(df: DataFrame, is_query, *, k: int = 5, scale: int = 256, id_col: str
     wanted = max(1, min(SAMPLE_ROWS, SAMPLE_VALUES // max(width, 1)))
     sample = rows.where(F.size("v") == width).where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(max(1, total // wanted))) == 0).limit(wanted).select("v")
     sample = [r["v"] for r in sample.collect()] or [[0.0] * width]
-    cells = Cells(quantised(np.array(sample, float).reshape(len(sample), width), scale), max(1, min(CELLS, -(-total // SHARD_ROWS), len(sample) // CELL_SAMPLE)))
+    wanted = max(1, min(CELLS, -(-total // SHARD_ROWS), len(sample) // CELL_SAMPLE))
+    cells = Cells(quantised(np.array(sample, float).reshape(len(sample), width), scale), wanted, 1 if wanted == 1 else wanted * BALLS)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = 0
         for batch in batches:
             values, sizes = _vectors(batch.column(1))
             values = quantised(values, scale)
-            cell, away, own = np.full(len(sizes), -1, np.int32), np.full(len(sizes), np.inf), sizes == width
+            ball, cell, away, own = np.full(len(sizes), -1, np.int32), np.full(len(sizes), -1, np.int32), np.full(len(sizes), np.inf), sizes == width
             if own.any() and width:
                 mine = values[np.repeat(own, sizes)].reshape(-1, width)
-                cell[own] = cells.of(mine)
+                ball[own] = cells.of(mine)
+                cell[own] = cells.cell[ball[own]]
                 with np.errstate(over="ignore", invalid="ignore"):
-                    away[own] = np.sqrt(((mine - cells.centres[cell[own]]) ** 2).sum(axis=1))
+                    away[own] = np.sqrt(((mine - cells.centres[ball[own]]) ** 2).sum(axis=1))
             v = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values))
-            yield pa.RecordBatch.from_arrays([batch.column(0), v, batch.column(2), pa.array(sizes.astype(np.int32)), pa.array(cell), pa.array(np.nan_to_num(away, nan=np.inf)), pa.array(np.arange(read, read + len(sizes)))], ["id", "v", "asks", "width", "cell", "away", "place"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), v, batch.column(2), pa.array(sizes.astype(np.int32)), pa.array(cell), pa.array(ball), pa.array(np.nan_to_num(away, nan=np.inf)), pa.array(np.arange(read, read + len(sizes)))], ["id", "v", "asks", "width", "cell", "ball", "away", "place"])
             read += len(sizes)
 
-    rows = scratch.table(rows.mapInArrow(assign, "id long, v array<double>, asks boolean, width int, cell int, away double, place long"), "rows")
+    rows = scratch.table(rows.mapInArrow(assign, "id long, v array<double>, asks boolean, width int, cell int, ball int, away double, place long"), "rows")
     where = ["width", "cell", "sub"]
-    shards = scratch.table(rows.groupBy("width", "cell").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("subs"), F.max("away").alias("radius")), "shards")
-    radius = {r["cell"]: r["radius"] for r in shards.where("cell >= 0").select("cell", "radius").collect()}  # at most CELLS rows
-    shards = shards.select("width", "cell", "subs")
+    balls = scratch.table(rows.groupBy("width", "cell", "ball").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")), "balls")
+    radius = {r["ball"]: r["radius"] for r in balls.where("ball >= 0").select("ball", "radius").collect()}  # at most CELLS * BALLS rows
+    shards = scratch.table(balls.groupBy("width", "cell").agg(F.ceil(F.sum("n") / SHARD_ROWS).cast("int").alias("subs")), "shards")
     # rows that share an id don't share a shard: places read deal them, and ids deal queries
     dealt = lambda *of: F.pmod(F.xxhash64(*of), F.col("subs")).cast("int")
     rows = rows.join(shards, ["width", "cell"]).withColumn("sub", dealt("id", "place"))
@@ -358,41 +384,62 @@ def search(df: DataFrame, is_query, *, k: int = 5, scale: int = 256, id_col: str
         held = trees.join(sizes, where).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("tree", *by)
         return scratch.table(parts.groupBy(*by).cogroup(held.groupBy(*by)).applyInPandas(look, _HITS), name)
 
+    def worst(hits: DataFrame) -> DataFrame:
+        """(id, s, wide): the k-th of the hits so far, for queries that have as many."""
+        place = F.row_number().over(Window.partitionBy("query_id").orderBy("s", "wide", "vec_id"))
+        return hits.withColumn("rank", place).where(F.col("rank") == k).select(F.col("query_id").alias("id"), "s", "wide")
+
     none = [F.lit(0).cast("long").alias("s"), F.lit(None).cast("binary").alias("wide")]  # no floor is known
     first = round_of(queries.select("id", "v", *where, *none), "first")
-    worst = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("s", "wide")).alias("kth")).where(F.col("n") >= k).select(F.col("query_id").alias("id"), "kth.s", "kth.wide")
-    known = queries.join(worst, "id", "left").select("id", "v", *where, F.coalesce("s", F.lit(0)).alias("s"), "wide")
+    known = queries.join(worst(first), "id", "left").select("id", "v", "width", "cell", F.coalesce("s", F.lit(0)).alias("s"), "wide")
     centres, reach = cells.centres, np.array([radius.get(c, -np.inf) for c in range(len(cells.centres))])
+    starts = np.flatnonzero(np.diff(cells.cell, prepend=-1))
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The cells whose ball reaches a query's k-th score; its own one is always among them."""
-        names = ["id", "v", "width", "home", "home_sub", "s", "wide", "cell"]
+    def aim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(id, aims): the cells of which a ball reaches a query's k-th score, highest bound first; its own one leads them."""
+        kind = pa.list_(pa.struct([("cell", pa.int32()), ("bound", pa.float64())]))
         for batch in batches:
             values, sizes = _vectors(batch.column("v"))
-            s, wide = batch.column("s").to_pylist(), batch.column("wide").to_pylist()
-            far = [[c] for c in batch.column("cell").to_pylist()]
-            own = np.flatnonzero(batch.column("cell").to_numpy() >= 0)
+            s, wide, home = batch.column("s").to_pylist(), batch.column("wide").to_pylist(), batch.column("cell").to_numpy()
+            aims = [[{"cell": c, "bound": math.inf}] for c in home.tolist()]
+            own = np.flatnonzero(home >= 0)
             if len(own):
-                q = values[np.repeat(batch.column("cell").to_numpy() >= 0, sizes)].reshape(len(own), -1)
+                q = values[np.repeat(home >= 0, sizes)].reshape(len(own), -1)
                 norm = np.sqrt((q**2).sum(axis=1))
                 with np.errstate(all="ignore"):
                     slack = q.shape[1] * _EPS * (np.sqrt((centres**2).sum(axis=1)) + reach)
                     bound = q @ centres.T + norm[:, None] * (reach * (1 + 1e-9) + slack)[None, :] + 1e-12
+                    bound[np.isnan(bound)] = np.inf
+                    bound[:, np.isneginf(reach)] = -np.inf  # balls that no row went to
+                    bound = np.maximum.reduceat(bound, starts, axis=1)
                     floor = np.array([-np.inf if wide[i] is None or s[i] >= CLAMP else math.ldexp(-float(s[i]), -2 * UNIT) for i in own])
                     floor -= np.where(np.isfinite(floor), np.abs(floor) * 1e-12, 0)
-                    visits = ~(bound < floor[:, None]) & ~np.isneginf(reach)[None, :]
-                visits[np.arange(len(own)), batch.column("cell").to_numpy()[own]] = True
-                for i, row in zip(own.tolist(), visits, strict=True):
-                    far[i] = np.flatnonzero(row).tolist()
-            n = [len(c) for c in far]
-            at = pa.array(np.repeat(np.arange(len(n)), n))
-            taken = [batch.column(c).take(at) for c in ("id", "v", "width", "cell", "sub", "s", "wide")]
-            yield pa.RecordBatch.from_arrays([*taken, pa.array(np.concatenate([np.array(c, np.int32) for c in far]) if len(n) else np.empty(0, np.int32))], names)
-
-    sent = known.mapInArrow(spread, "id long, v array<double>, width int, home int, home_sub int, s long, wide binary, cell int")
-    sent = sent.join(shards, ["width", "cell"]).withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
-    sent = scratch.table(sent.where("cell <> home or sub <> home_sub").select("id", "v", *where, "s", "wide"), "sent")
-    hits = first.unionByName(round_of(sent, "rest"))
+                    visits = (bound >= floor[:, None]) & ~np.isneginf(bound)
+                visits[np.arange(len(own)), home[own]] = False
+                for i, row, high in zip(own.tolist(), visits, bound, strict=True):
+                    at = np.flatnonzero(row)
+                    at = at[np.argsort(-high[at], kind="stable")]
+                    aims[i] += [{"cell": c, "bound": x} for c, x in zip(at.tolist(), high[at].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(aims, kind)], ["id", "aims"])
+
+    # Orders are told once and written, without vectors: bounds computed anew could differ in their last bit, and a cell be left out.
+    aims = scratch.table(known.select("id", "v", "cell", "s", "wide").mapInArrow(aim, "id long, aims array<struct<cell: int, bound: double>>"), "aims")
+    asked = queries.select("id", "v", "width", F.col("cell").alias("home"), F.col("sub").alias("home_sub"))
+
+    def sent(chosen: DataFrame, hits: DataFrame) -> DataFrame:
+        """Queries with the shards of the cells (id, cell, bound) that the k-th score of the hits leaves, its first shard left out."""
+        floor = -F.col("s").cast("double") * F.lit(2.0 ** (-2 * UNIT))
+        floor = F.when(F.col("wide").isNull() | (F.col("s") >= F.lit(CLAMP)), F.lit(-math.inf)).otherwise(floor - F.abs(floor) * 1e-12)
+        chosen = chosen.join(worst(hits), "id", "left").where(F.col("bound") >= floor).select("id", "cell", F.coalesce("s", F.lit(0)).alias("s"), "wide")
+        out = chosen.join(asked, "id").join(shards, ["width", "cell"]).withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
+        return out.where("cell <> home or sub <> home_sub").select("id", "v", *where, "s", "wide")
+
+    # the query's own cell and the NEXT best ones, then what their k-th score leaves of the others
+    second = round_of(scratch.table(sent(aims.select("id", F.inline(F.slice("aims", 1, NEXT + 1))), first), "sent2"), "second")
+    hits = first.unionByName(second)
+    others = aims.where(F.size("aims") > NEXT + 1).select("id", F.inline(F.slice("aims", F.lit(NEXT + 2), F.size("aims"))))
+    third = round_of(scratch.table(sent(others, hits), "sent3"), "third")
+    hits = hits.unionByName(third)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("s", "wide", "vec_id"))
     ranked = hits.withColumn("rank", place).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", (-F.col("s")).alias("score"))

@@ -426,6 +426,27 @@ def test_topk_ties_and_odd_vectors(spark):
     assert topk.search(few.limit(0), F.lit(True)).collect() == []
 
 
+def test_search_visits_few_shards_of_clusters(spark, monkeypatch):
+    """30 clusters of 200 vectors in shards of 100: a query goes to the shards of its cluster and few others, and nothing is lost."""
+    import pandas as pd
+
+    seen, table = {}, Scratch.table
+
+    def kept(self, df, name, **options):
+        seen[name] = table(self, df, name, **options)
+        return seen[name]
+
+    monkeypatch.setattr(topk, "SHARD_ROWS", 100)
+    monkeypatch.setattr(Scratch, "table", kept)
+    rng = np.random.default_rng(2)
+    vectors = (rng.normal(size=(30, 16))[np.arange(6_000) % 30] + rng.normal(size=(6_000, 16)) * 0.02).astype(np.float32)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(6_000), "embedding": list(vectors)}))
+    got = sorted(tuple(r) for r in topk.search(df, F.col("vec_id") % 50 == 0).collect())
+    assert got == brute_topk(np.arange(6_000), vectors)
+    visits = seen["queries"].count() + seen["sent2"].count() + seen["sent3"].count()
+    assert visits <= 0.35 * seen["queries"].count() * seen["trees"].count()
+
+
 def big_topk(rows, asks, k=5, scale=256):
     """By whole numbers of any size, all rows against all queries of their length."""
     from fractions import Fraction
@@ -533,6 +554,101 @@ def test_threshold_of_the_body_path():
     assert html_text.main_text(page).split("\n") == ["t" * 60, *[long.strip()] * 3, *[short.strip()] * 2]
 
 
+def slow_text(body):
+    """The module's definition read literally, on a tree (tag, children) without marks: every figure by a walk of its own."""
+    import math
+
+    chars = lambda x: sum(c not in " \n" for c in x)
+    every = lambda n: [n] + [y for x in n[1] if not isinstance(x, str) for y in every(x)]
+    total_chars = lambda n: sum(chars(x) if isinstance(x, str) else total_chars(x) for x in n[1])
+    linked = lambda n: total_chars(n) if n[0] == "a" else sum(linked(x) for x in n[1] if not isinstance(x, str))
+    prior = lambda n: 0.002 if n[0] in ("nav", "aside", "footer") else 1.0
+    share = linked(body) / max(total_chars(body), 1)
+
+    def parents(n, above=()):
+        yield n, above
+        for x in reversed(n[1]):  # of equal sums the outer, then the later node
+            if not isinstance(x, str):
+                yield from parents(x, (n, *above))
+
+    way = {id(n): above for n, above in parents(body)}
+    weight = lambda n: math.prod(prior(x) for x in (n, *way[id(n)]) if x is not body)
+
+    def formula(c, t, lc, lt, share=share):
+        if c == 0:
+            return 0.0
+        b = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
+        return c / max(t, 1) * max(0.0, math.log((c / max(lc, 1)) * (max(t, 1) / max(lt, 1))) / max(1.0, math.log(b)))
+
+    density = lambda n: weight(n) * formula(total_chars(n), len(every(n)) - 1, linked(n), sum(x[0] == "a" for x in every(n)))
+    own = lambda n: sum(chars(x) for x in n[1] if isinstance(x, str))
+
+    def sums(n):
+        inside = own(n) if n[0] == "a" else 0
+        return sum(density(x) for x in n[1] if not isinstance(x, str)) + weight(n) * formula(own(n), 1, inside, min(inside, 1))
+
+    found = [(sums(n), n) for n, _ in parents(body)]
+    best = max(x for x, _ in found)
+    core = next(n for x, n in found if x >= best * (1 - 1e-9))
+    path = [core, *way[id(core)]]
+    least = min(density(n) for n in path) * (1 - 1e-9)
+    taken, alone = [core], []
+    for child, node in zip(path, path[1:], strict=False):
+        at = next(i for i, x in enumerate(node[1]) if x is child)
+        for i, x in enumerate(node[1]):
+            if not isinstance(x, str) and x is not child and prior(x) == 1:
+                title = x[0] == "h1" and i < at and 2 * linked(x) < total_chars(x)
+                if title or total_chars(x) and (density(x) >= least or sums(x) >= 0.2 * best * (1 - 1e-9)):
+                    taken.append(x)
+        if own(node) and weight(node) * formula(own(node), 1, 0, 0, 0.0) >= least:
+            alone.append(node)
+    held = lambda n, nodes: any(n is x for x in nodes)
+
+    def text(n, inside):
+        block = n[0] not in ("a", "b", "span") or (held(n, taken) and not inside)
+        inside = inside or held(n, taken)
+        out = "\0" if block else ""
+        for x in n[1]:
+            if isinstance(x, str):
+                out += x if inside or held(n, alone) else ""
+            elif not inside or prior(x) == 1 or held(x, path):
+                out += text(x, inside)
+        return out + ("\0" if block else "")
+
+    blocks = [" ".join(b.split()) for b in text(body, False).split("\0")]
+    return "\n".join(b for b in blocks if b)
+
+
+def test_unmarked_pages_equal_slow_sums():
+    """Trees by chance: links, lists, furniture by kind and texts of all lengths, nothing that marks the article."""
+    import random
+    import re
+
+    chance = random.Random(13)
+    words = lambda n: " ".join("x" * chance.randint(1, 9) + str(chance.randint(0, 10**6)) for _ in range(n))
+
+    def inline():
+        return [words(chance.choice([1, 3, 12, 40])), *([(chance.choice(["a", "a", "b", "span"]), [words(chance.choice([1, 2, 5]))]), " " + words(3)] if chance.random() < 0.5 else [])]
+
+    def tree(depth):
+        kind = chance.random()
+        if depth == 0 or kind < 0.35:
+            return (chance.choice(["p", "p", "p", "h1", "h2"]), inline())
+        if kind < 0.5:
+            return ("ul", [("li", [("a", [words(chance.randint(1, 4))])]) for _ in range(chance.randint(1, 6))])
+        tag = chance.choice(["div", "div", "section", "nav", "aside", "footer"])
+        return (tag, [*([words(chance.choice([1, 8]))] if chance.random() < 0.3 else []), *[tree(depth - 1) for _ in range(chance.randint(1, 5))]])
+
+    shown = lambda n: n if isinstance(n, str) else f"<{n[0]}>{''.join(map(shown, n[1]))}</{n[0]}>"
+    several = 0
+    for _ in range(1_000):
+        body = ("body", [tree(chance.randint(1, 4)) for _ in range(chance.randint(1, 6))])
+        want = slow_text(body)
+        assert html_text.main_text(f"<html>{shown(body)}</html>") == want, shown(body)
+        several += 0 < len(want) < len(re.sub("<[^>]*>", "", shown(body))) / 2
+    assert several > 100  # pages of which less than half is the article
+
+
 def test_marks_change_little(spark, data):
     """Without its <article> tag, a page of the table keeps its article's paragraphs and none of its furniture."""
     for r in spark.read.parquet(f"{data}/pages.parquet").collect():

@@ -113,6 +113,29 @@ def number_text(c: Column, kind: str) -> Column:
 SCALE = 10_000.0
 
 
+#: Where a decimal is cut for its sum; a sum's lower limb then has 24 digits, ten of them after the point.
+LIMB = 10**14
+
+
+def _joined_sum() -> Column:
+    """The sum of the parts r40, r20, r0, above and below, as text with ten decimals and any number of digits before; NULL without parts."""
+    some = F.col("r0").isNotNull() | F.col("below").isNotNull()
+    zero, lower = F.lit(Decimal(0)), F.lit(Decimal(LIMB * 10**10))
+    fast = zero
+    for shift in (40, 20, 0):
+        fast = fast + F.coalesce(F.col(f"r{shift}").cast("decimal(20,0)"), zero) * F.lit(Decimal(1 << shift))
+    below = F.coalesce(F.replace(F.col("below").cast("string"), F.lit("."), F.lit("")).cast("decimal(38,0)"), zero)
+    low = (fast.cast("decimal(30,0)") * F.lit(Decimal(10**6)) + below).cast("decimal(38,0)")  # in units of 10**-10
+    carry = F.floor((low - F.pmod(low, lower)) / lower).cast("decimal(30,0)")
+    high = (F.coalesce("above", zero) + carry).cast("decimal(38,0)")
+    rest = F.pmod(low, lower).cast("decimal(24,0)")
+    # High is rounded down, so that the rest is never negative: a negative number is its counterpart with a sign.
+    minus = high < 0
+    digits = F.when(minus & (rest > 0), F.concat((-high - 1).cast("string"), F.lpad((lower - rest).cast("string"), 24, "0"))).otherwise(F.concat(F.abs(high).cast("string"), F.lpad(rest.cast("string"), 24, "0")))
+    text = F.regexp_replace(F.regexp_replace(digits, "^0+(?=[0-9]{11})", ""), "([0-9]{10})$", ".$1")
+    return F.when(some, F.concat(F.when(minus, "-").otherwise(""), text))
+
+
 def numeric(df: DataFrame) -> DataFrame:
     """(column_name, minimum, maximum, exact_sum, zeros, negatives, nans, infinities, inexact, mean) with numbers as text.
 
@@ -136,29 +159,28 @@ def numeric(df: DataFrame) -> DataFrame:
     col = lambda kind, n: F.col(f"{kind}{at[n]}")
     floating = lambda n, e: e(col("c", n)) if kinds[n] == K.FLOATING else F.lit(False)
 
-    def exact_sum(n: str) -> Column:
-        slow = F.sum(col("d", n))
+    def sums(n: str) -> dict[str, Column]:
+        """The sum in parts that can't overflow: ten-thousandths by 20 bits, decimals by what lies above and below ``LIMB``."""
+        d, none = col("d", n), F.lit(None)
         if kinds[n] != K.FLOATING:
-            return slow.cast("string")
-        total = None
-        for shift in (40, 20, 0):  # parts of 20 bits: their sums in 64-bit integers are exact below 2**43 rows
-            part = F.shiftright(col("r", n), shift)
-            part = F.sum(part if shift == 40 else part.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)") * F.lit(Decimal(1 << shift))
-            total = part if total is None else total + part
-        fast = (total.cast("decimal(33,0)") * F.lit(Decimal(1).scaleb(-4))).cast("decimal(37,10)")
-        both = F.when(fast.isNull(), slow).when(slow.isNull(), fast.cast("decimal(38,10)")).otherwise((fast + slow.try_cast("decimal(37,10)")).cast("decimal(38,10)"))
-        return both.cast("string")
+            return {"plain": F.sum(d).cast("string"), **{f"r{s}": none.cast("long") for s in (40, 20, 0)}, "above": none.cast("decimal(30,0)"), "below": none.cast("decimal(35,10)")}
+        bits = {f"r{s}": F.shiftright(col("r", n), s) for s in (40, 20, 0)}  # sums of 20 bits in 64-bit integers are exact below 2**43 rows
+        limb = F.lit(Decimal(LIMB))
+        above = F.expr(f"d{at[n]} div {LIMB}BD")
+        return {"plain": none.cast("string"), **{k: F.sum(b if k == "r40" else b.bitwiseAND(F.lit((1 << 20) - 1))) for k, b in bits.items()}, "above": F.sum(above.cast("decimal(20,0)")), "below": F.sum(d % limb).cast("decimal(35,10)")}
 
     out = _long(df.select(*once), names, {
         "minimum": lambda n: number_text(F.min(col("v", n)), kinds[n]), "maximum": lambda n: number_text(F.max(col("v", n)), kinds[n]),
-        "exact_sum": exact_sum, "zeros": lambda n: _sum(col("c", n) == 0), "negatives": lambda n: _sum(col("c", n) < 0),
+        **{k: (lambda n, k=k: sums(n)[k]) for k in ("plain", "r40", "r20", "r0", "above", "below")}, "zeros": lambda n: _sum(col("c", n) == 0), "negatives": lambda n: _sum(col("c", n) < 0),
         "nans": lambda n: _sum(floating(n, F.isnan)), "infinities": lambda n: _sum(floating(n, lambda c: F.abs(c) == F.lit(float("inf")))),
         "inexact": lambda n: _sum(F.coalesce(col("d", n).cast("double") != col("v", n).cast("double"), col("v", n).isNotNull() & col("r", n).isNull())) if kinds[n] == K.FLOATING else F.lit(0).cast("long"),
         "n": lambda n: F.count(col("v", n)), "average": lambda n: F.avg(col("v", n).cast("double")),
     })
-    exact = F.col("exact_sum").try_cast("decimal(38,10)").cast("double") / F.col("n")
+    out = out.withColumn("exact_sum", F.coalesce("plain", _joined_sum()))
+    exact = F.col("exact_sum").cast("double") / F.col("n")
     mean = F.when(F.col("n") > 0, F.when(F.col("inexact") == 0, F.coalesce(exact, F.col("average"))).otherwise(F.col("average")))
-    return out.withColumn("mean", F.when(F.col("inexact") == 0, F.round(mean, 6)).otherwise(mean)).drop("n", "average")
+    mean = F.when(F.col("inexact") == 0, F.round(mean, 6)).otherwise(mean)
+    return out.select("column_name", "minimum", "maximum", "exact_sum", "zeros", "negatives", "nans", "infinities", "inexact", mean.alias("mean"))
 
 
 #: Accuracy of the sketches that bracket a quantile: its rank is known to one in as many rows.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import random
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 from sieveline.operators import profile
 
@@ -28,6 +28,17 @@ def test_sums_of_amounts_and_others_are_exact(spark):
     assert single["exact_sum"] == "2.6000000000"
 
 
+def test_sums_of_any_size_are_exact(spark):
+    """Sums of 28 digits before the point, beyond what a decimal of 38 digits holds, and just below zero and the cut."""
+    big = 2.0**70
+    for values in ([big] * 900 + [0.0, 0.25], [9e27] * 50 + [0.5], [-9e27] * 50 + [0.5], [-big] * 900 + [-0.1], [-1e14, 0.1], [1e14, -0.1], [-1e-10, 0.0], [-3e14, -1e-10], [1e14, 1e14, -2e14, 0.0], [-0.125, 0.1234567891]):
+        found = profile.numeric(spark.createDataFrame([(v,) for v in values], "a double").repartition(3)).first()
+        with localcontext(prec=80):
+            want = sum(Decimal(repr(v)) for v in values)
+            assert found["exact_sum"] == f"{want:.10f}" and found["inexact"] == 0
+        assert math.isclose(found["mean"], float(want) / len(values), rel_tol=1e-15, abs_tol=1e-6)
+
+
 def test_signed_zeros_are_one_value(spark):
     df = spark.createDataFrame([(0.0,), (-0.0,), (1.0,), (-0.0,)], "a double")
     assert profile.distincts(df).first()["n_distinct"] == 2

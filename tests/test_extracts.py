@@ -182,6 +182,21 @@ def test_measured_copy_sees_what_lies_there(spark, tmp_path):
     assert (twice["rows_copied"], twice["outcome"]) == (200, "GAINED") or twice["rows_read"] == 200
 
 
+def test_no_task_of_a_logged_table_holds_a_cut(spark, data, tmp_path):
+    """Four input files stay four tasks of each cut: a file holds a part of its cut's rows, and all live rows come back."""
+    spark.read.parquet(f"{data}/orders.parquet").repartition(4).write.parquet(str(tmp_path / "orders.parquet"))
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        found = extracts.delta_table_read(spark, str(tmp_path))
+        names = {p.rsplit("/files/", 1)[1] for p in found.inputFiles()}
+        assert {n.split("/")[0] for n in names} == {f"cut={i}" for i in (0, 2, 3, 5)} and len(names) == 16
+        want = spark.read.parquet(f"{data}/orders.parquet").where("o_orderkey % 6 not in (1, 4)").select(*found.columns)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+
+
 def test_column_shift_plan_grows_with_columns(spark):
     wide = spark.range(50).select("id", *[F.concat(F.lit(f"{i}:"), "id").alias(f"c{i}") for i in range(68)])
     odd = wide.withColumn("c3", F.when(F.col("id") < 7, F.col("c40")).otherwise(F.col("c3")))

@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Bytes per core, and in all, below which an input is dealt anew before costly expressions.
 PER_CORE, AT_MOST = 32 << 20, 1 << 30
+#: Bytes of a part, by the optimizer's estimate, where a task keeps much of what it reads; and the most parts to make.
+PER_PART, MOST_PARTS = 8 << 20, 4096
+
+
+def _size(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -14,5 +21,13 @@ def spread(df: DataFrame) -> DataFrame:
     By the optimizer's estimate of the size; a large input has tasks enough and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < min(PER_CORE * cores, AT_MOST) else df
+    return df.repartition(cores) if _size(df) < min(PER_CORE * cores, AT_MOST) else df
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` in parts whose number grows with the input, so that what a task gathers of its part (distinct values, say) doesn't.
+
+    Rows are dealt by their number, which sorts nothing, whatever their values.
+    """
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, min(MOST_PARTS, -(-_size(df) // PER_PART)))
+    return df.withColumn("_place", F.monotonically_increasing_id()).repartition(parts, "_place").drop("_place")

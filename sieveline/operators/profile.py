@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions import types as K
-from sieveline.functions.scale import spread
+from sieveline.functions.scale import dealt, spread
 
 #: Columns per pass: wide aggregations leave generated code beyond about a hundred expressions.
 BLOCK = 14
@@ -74,6 +74,10 @@ def nulls(df: DataFrame) -> DataFrame:
     return out.select("column_name", "n_rows", "non_null", gone.alias("nulls"), F.when(F.col("n_rows") > 0, F.round(100.0 * gone / F.col("n_rows"), 4)).alias("pct_null"))
 
 
+#: Relative standard deviation of sketched distinct counts: a tenth off is ten times as much.
+SKETCH = 0.01
+
+
 def distincts(df: DataFrame, approximate: bool = False) -> DataFrame:
     """(column_name, n_distinct) of every column but nested, binary and void ones.
 
@@ -82,9 +86,9 @@ def distincts(df: DataFrame, approximate: bool = False) -> DataFrame:
     """
     names = [f.name for f in df.schema.fields if K.category(f.dataType) not in (K.NESTED, K.BINARY, K.VOID)]
     if approximate:
-        return _long(df, names, {"n_distinct": lambda n: F.approx_count_distinct(_c(n))})
+        return _long(df, names, {"n_distinct": lambda n: F.approx_count_distinct(_c(n), SKETCH)})
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _value(df, n).cast("string").alias("v")) for i, n in enumerate(names)]))
-    per = spread(df).select(pairs.alias("p")).select("p.i", "p.v").where("v is not null").distinct().groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    per = dealt(df).select(pairs.alias("p")).select("p.i", "p.v").where("v is not null").distinct().groupBy("i").agg(F.count(F.lit(1)).alias("n"))
     # columns without any value have no pair
     name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("k") + 1)
     all_names = df.sparkSession.range(len(names)).select(F.col("id").cast("int").alias("k"))
@@ -321,7 +325,7 @@ def frequent_values(df: DataFrame, columns: Sequence[str] | None = None, top: in
     """
     names = list(columns) if columns else [f.name for f in df.schema.fields if K.category(f.dataType) not in (K.NESTED, K.BINARY, K.VOID)]
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), _value(df, n).cast("string").alias("value")) for n in names]))
-    counts = spread(df).select(pairs.alias("p")).select("p.*").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("frequency"))
+    counts = dealt(df).select(pairs.alias("p")).select("p.*").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("frequency"))
     sizes = counts.groupBy("column_name").agg(F.count("value").alias("n_distinct"), F.sum("frequency").alias("n_rows")).where(F.col("n_distinct").between(0, max_distinct))
     sizes = sizes.orderBy("n_distinct", "column_name").limit(max_columns)
     few = counts.join(F.broadcast(sizes), "column_name")  # a row per column, max_columns at most

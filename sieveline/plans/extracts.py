@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import zlib
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from sieveline.operators import approvals, copies, diff, fingerprint, ops, profi
 from sieveline.operators.ledger import Ledger
 from sieveline.plans import common as C
 from sieveline.sources import custom, drift, scans, sinks
-from sieveline.sources.databases import Database
+from sieveline.sources.databases import Database, packed_derby
 from sieveline.sources.ranges import listing, open_file
 
 QUERIES: dict = {}
@@ -38,11 +37,21 @@ PARTS = 8
 
 
 def _database(spark: SparkSession, d: str) -> Database:
-    """``orders`` with a skewed key and a time of day, loaded into a database in memory that comes with Spark; it lives in this process."""
-    url, properties = f"jdbc:derby:memory:orders{zlib.crc32(d.encode())};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    orders = C.table(spark, d, "orders")
-    orders = orders.withColumns({"skew": F.expr(SKEW), "o_orderdate": F.col("o_orderdate").cast("timestamp")})
-    orders.coalesce(1).write.option("createTableColumnTypes", "o_orderstatus varchar(10), o_orderpriority varchar(40)").jdbc(url, "loaded", mode="overwrite", properties=properties)
+    """``orders`` with a skewed key and a time of day, in a database that comes with Spark, packed for reading by any process.
+
+    Spark writes the rows as delimited text in parallel. An embedded database has one process that writes: the driver's imports these
+    files as a stream, closes the database and packs its pages, uncompressed, into one archive in the shared folder. From there every
+    executor opens it read-only.
+    """
+    at = C.folder(spark, "database")
+    orders = C.table(spark, d, "orders").withColumns({"skew": F.expr(SKEW), "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz")})
+    text = lambda c, kind: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) if kind == "string" else c.cast("string")
+    line = F.concat_ws(",", *[F.coalesce(text(F.col(c), kind), F.lit("")) for c, kind in orders.dtypes])
+    orders.select(line.alias("value")).write.text(f"{at}/rows")
+    # Times are local times, as in the given table: no zone moves them.
+    properties = {"driver": "org.apache.derby.jdbc.EmbeddedDriver", "preferTimestampNTZ": "true"}
+    empty = orders.limit(0).write.option("createTableColumnTypes", "o_orderstatus varchar(10), o_orderpriority varchar(40)")
+    url = packed_derby(spark, at, "LOADED", lambda to: empty.jdbc(to, "loaded", mode="append", properties=properties))
     return Database(spark, url, "loaded", properties)
 
 

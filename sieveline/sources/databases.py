@@ -7,8 +7,11 @@ database, so that of a table of any size only a bounded number of counts reaches
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+import shutil
+import zipfile
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -201,3 +204,38 @@ class Database:
         if key is None:
             return self.spark.read.format("jdbc").options(url=self.url, dbtable=source, **self.properties).load()
         return self.spark.read.jdbc(self.url, source, predicates=[p for p, _ in self.parts(key, parts, within)], properties=dict(self.properties))
+
+
+def packed_derby(spark: SparkSession, folder: str, table: str, create: Callable[[str], None]) -> str:
+    """The URL of a read-only database that any process opens which sees ``folder``, with one table filled from the texts in folder/rows.
+
+    ``create`` makes the empty table at the URL it gets. Texts are imported file by file as a stream; pages lie uncompressed in the
+    archive, so that a reader seeks to each. The folder has to be on a file system that all processes mount.
+    """
+    if "://" in folder and not folder.startswith("file:"):
+        raise RuntimeError(f"an embedded database can't be opened in {folder}: set spark.checkpoint.dir to a folder on a shared file system")
+    at = Path("/" + folder.removeprefix("file:").lstrip("/"))
+    jvm, base = spark.sparkContext._jvm, f"jdbc:derby:{at}/open"
+    jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register("org.apache.derby.jdbc.EmbeddedDriver")
+    connection = jvm.java.sql.DriverManager.getConnection(f"{base};create=true")
+    try:
+        call = connection.createStatement()
+        call.execute("call syscs_util.syscs_set_database_property('derby.storage.pageSize', '32768')")
+        create(base)
+        for file in sorted((at / "rows").glob("part-*")):
+            call.execute(f"call syscs_util.syscs_import_table(null, '{table}', '{file}', ',', '\"', 'UTF-8', 0)")
+    finally:
+        connection.close()
+        try:
+            jvm.java.sql.DriverManager.getConnection(f"{base};shutdown=true")
+        except Exception as e:  # noqa: BLE001  a shutdown is told by an exception
+            if "08006" not in str(e.java_exception.getSQLState() if hasattr(e, "java_exception") else e):
+                raise
+    with zipfile.ZipFile(at / "packed.jar", "w", zipfile.ZIP_STORED, allowZip64=True) as archive:
+        for part in sorted((at / "open").rglob("*")):
+            inner = part.relative_to(at)
+            if part.is_file() and inner.parts[1] != "tmp" and not part.name.endswith(".lck"):
+                archive.write(part, inner.as_posix())
+    for done in ("open", "rows"):
+        shutil.rmtree(at / done)
+    return f"jdbc:derby:jar:({at}/packed.jar)open"

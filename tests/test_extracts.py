@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,6 +34,26 @@ def test_parts_of_a_skewed_key_are_near_the_mean(loaded, spark, data):
     assert sum(sizes) == spark.read.parquet(f"{data}/orders.parquet").count() == rows.select("o_orderkey").distinct().count()
 
 
+def test_another_process_reads_the_database(loaded):
+    """As executors do: a process that shares nothing but the folder."""
+    code = "import sys\nfrom sieveline.session import local_session\nfrom sieveline.sources.databases import Database\nrows = Database(local_session(2, '1g'), sys.argv[1], 'loaded', {'driver': sys.argv[2]}).read('skew', 4, within='o_orderkey')\nprint('rows', rows.count(), rows.select('o_orderkey').distinct().count())"
+    root = str(Path(extracts.__file__).resolve().parents[2])
+    done = subprocess.run([sys.executable, "-c", code, loaded.url, DERBY["driver"]], capture_output=True, text=True, timeout=180, cwd=root, check=False)
+    assert "rows 1500 1500" in done.stdout, done.stderr[-2000:]
+
+
+def test_texts_and_nulls_come_through_the_import(spark, tmp_path):
+    """Quotes, line ends, blanks at both ends, empty texts and NULLs."""
+    rows = [("1", '"a, ""b"""'), ("2", '""'), ("3", ""), ("4", '"  x\ny "')]
+    spark.createDataFrame([(",".join(r),) for r in rows], "value string").repartition(2).write.text(f"{tmp_path}/rows")
+    empty = spark.createDataFrame([], "k int, v string").write.option("createTableColumnTypes", "v varchar(40)")
+    url = databases.packed_derby(spark, str(tmp_path), "ODD_TEXTS", lambda to: empty.jdbc(to, "odd_texts", mode="append", properties=DERBY))
+    db = databases.Database(spark, url, "odd_texts", DERBY)
+    assert {r["k"]: r["v"] for r in db.read("k", 2).collect()} == {1: 'a, "b"', 2: "", 3: None, 4: "  x\ny "}
+    with pytest.raises(RuntimeError, match="shared file system"):
+        databases.packed_derby(spark, "hdfs://host/x", "T", empty.jdbc)
+
+
 def test_a_heavy_value_stays_whole_without_a_second_column(loaded):
     sizes = [n for _, n in loaded.parts("skew", 8)]
     assert sum(sizes) == 1500 and max(sizes) >= 500

@@ -124,3 +124,40 @@ def test_given_documents(spark):
     rows = [(found[i], y) for i, y in labels.items() if i in found and found[i]["held_out"]]
     assert sum(r["predicted"] for r, y in rows if y) >= 0.75 * sum(y for _, y in rows)
     assert sum(r["predicted"] for r, y in rows if not y) <= 0.03 * len(rows)
+
+
+def test_all_labelled_rows_count(spark, given):
+    """In many parts or one, with long texts or short: each word that marks a text is learnt, wherever it stands."""
+    docs, labels = given
+    parts = replace(SMALL, rows=60, words=20_000)
+    found = {r["doc_id"]: r["predicted"] for r in scores(spark, docs, labels, parts)}
+    rows = [(found[i], y) for i, _, y in labels if held(i)]
+    assert sum(p for p, y in rows if y) >= 0.9 * sum(y for _, y in rows) and sum(p for p, y in rows if not y) <= 0.04 * len(rows)
+    # Texts of more words than a fit would once read: 12,000 plain ones before the mark.
+    long = [(i, "plain " * 12_000 + ("zork Quix" if i % 2 else "calm sea"), "en", "s") for i in range(90)]
+    model = T.fit(spark.createDataFrame(long, DOCS), spark.createDataFrame([(i, 1, i % 2) for i in range(90)], LABELS), replace(SMALL, steps=12))
+    assert isinstance(model, T.Model)
+
+
+def test_every_text_is_met_over_the_rounds():
+    s = replace(SMALL, steps=6, batch=8, dropout=0.0)
+    texts = [np.array([[i + 1, i + 1]]) for i in range(150)]
+    labels = (np.arange(150) % 3 == 0).astype(int)
+    state = T.fresh(s)
+    start = state.copy()
+    for number in range(s.rounds):
+        state = T.train_round(state, texts, labels, s, number)
+    assert (state[1:151] != start[1:151]).any(axis=1).mean() > 0.9
+
+
+def test_stretches_of_long_texts_equal_a_loop():
+    rng = np.random.default_rng(4)
+    s = replace(T.Settings(), buckets=64, dim=4, filters=3)
+    table, taps = rng.normal(size=(64, 4)), [rng.normal(size=(w, 4, 3)) for w in s.widths]
+    docs = [np.vstack([rng.integers(1, 64, (n, 2)), np.zeros((T.PAD, 2), int)]) for n in (0, 3, 70_000, 1, 40_000, 2)]
+    pooled, places = T._strongest(np.vstack(docs), np.array([len(d) for d in docs]), table, taps, s)
+    for d, (doc, begin) in enumerate(zip(docs, np.cumsum([0, *[len(x) for x in docs[:-1]]]), strict=True)):
+        x = table[doc[:, 0]] + table[doc[:, 1]]
+        n = len(doc) - T.PAD + 1
+        whole = np.hstack([sum(x[i : i + n] @ taps[w][i] for i in range(width)) for w, width in enumerate(s.widths)])
+        assert np.allclose(pooled[d], whole.max(axis=0)) and (places[d] - begin == whole.argmax(axis=0)).all()

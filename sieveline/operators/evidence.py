@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.functions import scale
+
 OK, FAILS, JUSTIFIED, UNKNOWN = "ok", "fails", "justified", "not_evaluated"
 
 
@@ -54,6 +56,7 @@ def run_checks(runs: DataFrame, activities: DataFrame, inputs: DataFrame, output
     inputs (flow, input, kind, version_read, producer_state, changed_after, files_after); outputs (flow, output, kind,
     committed, measured_version, written_versions, commits_after, files_in_run); chain (flow, place, own_place, state).
     """
+    runs, activities, inputs, outputs, chain = scale.together("flow", runs, activities, inputs, outputs, chain)
     good, copy = F.col("state") == "Succeeded", F.col("kind") == "Copy"
     scope = F.coalesce(F.col("in_scope"), F.lit(False)) & copy
     of_activities = _counted(activities, {"activities_succeeded": (F.lit(True), good), "scope_succeeded": (scope, good), "copies_complete": (scope, F.col("rows_read") == F.col("rows_copied"))})
@@ -81,7 +84,8 @@ def run_checks(runs: DataFrame, activities: DataFrame, inputs: DataFrame, output
     broken = chain.where("state = 'Failed'").groupBy("flow").agg(F.min("place").alias("failed"), F.max("own_place").alias("own_place")).where("own_place is not null")
     stopped = runs.where("orchestrator_state <> 'Completed'").select("flow").join(broken, "flow")
     of_stop = stopped.select("flow", F.lit("orchestrator_failed_later").alias("check"), F.lit(1).cast("long").alias("n_rows"), F.when(F.col("failed") > F.col("own_place"), 0).otherwise(1).cast("long").alias("n_bad"))
-    counted = reduce(DataFrame.unionByName, [of_activities.where("check = 'activities_succeeded'"), loads, of_inputs, of_outputs, of_tables, of_chain, first, of_stop])
+    tables = [of_activities.where("check = 'activities_succeeded'"), loads, of_inputs, of_outputs, of_tables, of_chain, first, of_stop]
+    counted = reduce(DataFrame.unionByName, [scale.apart(x, "flow") for x in tables])
     words = counted.select("flow", "check", _word(F.col("n_bad") > 0).alias("word"), "n_rows", "n_bad")
     one = lambda check, word: F.struct(F.lit(check).alias("check"), word.alias("word"))
     blocks = F.coalesce("blockers", F.lit(0)) - F.coalesce("false_blockers", F.lit(0))
@@ -92,7 +96,7 @@ def run_checks(runs: DataFrame, activities: DataFrame, inputs: DataFrame, output
         F.when(F.col("has").isNull(), one("activities_succeeded", F.lit(UNKNOWN))),
     )).alias("x")).where("x is not null").select("flow", "x.check", "x.word")
     singles = singles.withColumns({"n_rows": F.lit(1).cast("long"), "n_bad": F.when(F.col("word") == FAILS, 1).otherwise(0).cast("long")})
-    return words.unionByName(singles)
+    return words.unionByName(scale.apart(singles, "flow"))
 
 
 def next_step(flows: DataFrame) -> DataFrame:

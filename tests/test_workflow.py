@@ -107,3 +107,14 @@ def test_deletion_vector_files(spark):
     got = [r[0] for r in spark.createDataFrame(rows, "x string").select(deletion_vector_file(F.col("x"))).collect()]
     zero = "deletion_vector_00000000-0000-0000-0000-000000000000.bin"
     assert got == [f"ab/{zero}", "ab/deletion_vector_d2c639aa-8816-431a-aaf6-d3fe2512ff61.bin", zero, None, None]
+
+
+def test_parts_of_evidence_grow_with_the_rows(spark, data, monkeypatch):
+    """No task holds more as the tables grow: more rows, more parts, and each branch of the union has tasks of its own."""
+    from sieveline.functions import scale
+    from sieveline.plans.evidence import run_evidence_checks
+
+    before = run_evidence_checks(spark, data)
+    monkeypatch.setattr(scale, "PART_ROWS", 500)
+    after = run_evidence_checks(spark, data)
+    assert after.rdd.getNumPartitions() >= 9 * 15 and sorted(after.collect()) == sorted(before.collect())

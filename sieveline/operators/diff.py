@@ -18,6 +18,10 @@ from sieveline.functions import canon
 from sieveline.functions.patterns import as_time, pattern, seconds_between
 from sieveline.operators.keys import common_columns
 
+#: From so many columns on, a row's canonical text makes one generated method of more bytes than the JVM compiles (8,000): it would be
+#: interpreted. Below this limit Spark cuts the work into methods that are compiled; the session keeps the setting.
+WIDE, JIT_LIMIT = 40, 8000
+
 
 class Diff:
     """Lazy results of comparing ``source`` and ``target`` by ``key``; each is a DataFrame.
@@ -28,6 +32,8 @@ class Diff:
     def __init__(self, source: DataFrame, target: DataFrame, key: Sequence[str], date_column: str | None = None) -> None:
         self.key, self.date_column = list(key), date_column
         self.columns = [c for c in common_columns(source, target) if c not in self.key]
+        if len(self.columns) > WIDE:
+            source.sparkSession.conf.set("spark.sql.codegen.hugeMethodLimit", JIT_LIMIT)
         self.source, self.target = (self._canonical(x) for x in (source, target))
         self.frame = self._keyed()
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from sieveline.operators import diff, keys, profile
 
 
@@ -123,3 +125,11 @@ def test_sides_are_hashed_not_sorted(spark):
     s, f = pair(spark)
     plan = diff.Diff(s, f, ["id", "kind"]).summary()._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+
+
+def test_wide_rows_keep_to_methods_that_the_jvm_compiles(spark):
+    """One generated method for all columns of a wide row would be interpreted."""
+    wide = spark.range(3).select("id", *[F.concat(F.lit(f"{i}-"), "id").alias(f"c{i}") for i in range(50)])
+    found = diff.Diff(wide, wide.withColumn("c0", F.col("c49")), ["id"]).column_shift().collect()
+    assert [(r["column_name"], r["source_column"], r["n"]) for r in found] == [("c0", "c49", 3)]
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000

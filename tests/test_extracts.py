@@ -6,9 +6,11 @@ import os
 import random
 import subprocess
 import sys
+from functools import reduce
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.operators import copies, diff, fingerprint
@@ -34,6 +36,14 @@ def test_parts_of_a_skewed_key_are_near_the_mean(loaded, spark, data):
     assert sum(sizes) == spark.read.parquet(f"{data}/orders.parquet").count() == rows.select("o_orderkey").distinct().count()
 
 
+def test_parts_of_keys_whose_cube_passes_64_bits(spark, data, tmp_path):
+    """As in larger tables; negative keys, a null and the ends of the type too."""
+    orders = spark.read.parquet(f"{data}/orders.parquet").where("o_orderkey < 500")
+    far = [orders.withColumn("o_orderkey", F.expr(k)) for k in ("o_orderkey + 2097000", "-o_orderkey - 9000000000", f"{2**63 - 1} - o_orderkey", f"o_orderkey - {2**63 - 1} - 1")]
+    reduce(DataFrame.unionByName, far).unionByName(orders.limit(1).withColumn("o_orderkey", F.lit(None).cast("long"))).write.parquet(f"{tmp_path}/orders.parquet")
+    assert [tuple(r) for r in extracts.database_parts(spark, str(tmp_path)).collect()] == [(8, 2001, True)]
+
+
 def test_another_process_reads_the_database(loaded):
     """As executors do: a process that shares nothing but the folder."""
     code = "import sys\nfrom sieveline.session import local_session\nfrom sieveline.sources.databases import Database\nrows = Database(local_session(2, '1g'), sys.argv[1], 'loaded', {'driver': sys.argv[2]}).read('skew', 4, within='o_orderkey')\nprint('rows', rows.count(), rows.select('o_orderkey').distinct().count())"

@@ -10,6 +10,7 @@ import re
 import shutil
 import zipfile
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -25,6 +26,10 @@ TEXT_CASTS: dict[str, dict[str, str]] = {
 }
 #: Cells of counts per part: a part differs from the mean by about one cell.
 CELLS = 16
+#: Ranges that one query counts at most.
+RANGES = 1024
+#: Connections that fill an embedded database at once.
+LOADERS = 8
 
 
 @dataclass(frozen=True)
@@ -152,7 +157,7 @@ class Database:
                 middle = (lo + hi) // 2
                 found += [(a, b, self.query(f"select count(*) n from {self.table}{self._if(prefix, f'{k} between {a} and {b}')}").first()[0]) for a, b in ((lo, middle), (middle + 1, hi))]
             else:
-                width = -(-(hi - lo + 1) // min(hi - lo + 1, max(8, min(1024, 2 * n // limit))))
+                width = -(-(hi - lo + 1) // min(hi - lo + 1, RANGES))
                 ranges = self.query(f"select c, count(*) n from (select ({k} - {lo}) / {width} c from {self.table}{self._if(prefix, f'{k} between {lo} and {hi}')}) r group by c").collect()
                 counts = {int(c): m for c, m in ranges}
                 found += [(lo + c * width, min(hi, lo + (c + 1) * width - 1), counts.get(c, 0)) for c in range(-(-(hi - lo + 1) // width))]
@@ -209,7 +214,8 @@ class Database:
 def packed_derby(spark: SparkSession, folder: str, table: str, create: Callable[[str], None]) -> str:
     """The URL of a read-only database that any process opens which sees ``folder``, with one table filled from the texts in folder/rows.
 
-    ``create`` makes the empty table at the URL it gets. Texts are imported file by file as a stream; pages lie uncompressed in the
+    ``create`` makes the empty table at the URL it gets. Texts are imported file by file as a stream, several files at once: since an
+    import locks its table, each connection fills one of its own, and the table becomes a view of these. Pages lie uncompressed in the
     archive, so that a reader seeks to each. The folder has to be on a file system that all processes mount.
     """
     if "://" in folder and not folder.startswith("file:"):
@@ -222,8 +228,25 @@ def packed_derby(spark: SparkSession, folder: str, table: str, create: Callable[
         call = connection.createStatement()
         call.execute("call syscs_util.syscs_set_database_property('derby.storage.pageSize', '32768')")
         create(base)
-        for file in sorted((at / "rows").glob("part-*")):
-            call.execute(f"call syscs_util.syscs_import_table(null, '{table}', '{file}', ',', '\"', 'UTF-8', 0)")
+        files = sorted((at / "rows").glob("part-*"))
+        tables = [table]
+        if (n := min(LOADERS, len(files))) > 1:
+            tables = [f"{table}_{i}" for i in range(n)]
+            call.execute(f'rename table "{table}" to "{tables[0]}"')
+            for other in tables[1:]:
+                call.execute(f'create table "{other}" as select * from "{tables[0]}" with no data')
+            call.execute(f'create view "{table}" as ' + " union all ".join(f'select * from "{x}"' for x in tables))
+
+        def fill(i: int) -> None:
+            own = jvm.java.sql.DriverManager.getConnection(base)
+            try:
+                for file in files[i :: len(tables)]:
+                    own.createStatement().execute(f"call syscs_util.syscs_import_table(null, '{tables[i]}', '{file}', ',', '\"', 'UTF-8', 0)")
+            finally:
+                own.close()
+
+        with ThreadPoolExecutor(len(tables)) as pool:
+            list(pool.map(fill, range(len(tables))))
     finally:
         connection.close()
         try:

@@ -64,6 +64,28 @@ def test_texts_and_nulls_come_through_the_import(spark, tmp_path):
         databases.packed_derby(spark, "hdfs://host/x", "T", empty.jdbc)
 
 
+def test_files_are_loaded_at_once_and_each_once(spark, tmp_path):
+    """More files than connections, one of them empty, one far larger; the table keeps its types."""
+    rows = spark.range(3000).select(F.concat_ws(",", "id", F.concat(F.lit('"'), F.col("id") % 7, F.lit('"'))).alias("value"), (F.col("id") < 2000).alias("large"))
+    rows.where("large").drop("large").coalesce(1).union(rows.where("not large").drop("large").repartition(2 * databases.LOADERS)).union(rows.drop("large").limit(0)).write.text(f"{tmp_path}/rows")
+    empty = spark.createDataFrame([], "k long, v string").write.option("createTableColumnTypes", "v varchar(40)")
+    url = databases.packed_derby(spark, str(tmp_path), "MANY", lambda to: empty.jdbc(to, "many", mode="append", properties=DERBY))
+    db = databases.Database(spark, url, "many", DERBY)
+    assert [(c.name, c.type_name, c.precision) for c in db.columns()] == [("k", "BIGINT", 19), ("v", "VARCHAR", 40)]
+    assert sorted((r["k"], r["v"]) for r in db.read("k", 4).collect()) == [(i, str(i % 7)) for i in range(3000)]
+    assert db.query("select count(*) n from \"MANY_7\"").first()[0] > 0
+
+
+def test_counts_need_few_passes(spark, monkeypatch):
+    """A heavy value among far ones: each pass narrows the range to a thousandth."""
+    url, asked, ask = "jdbc:derby:memory:heavy;create=true", [], databases.Database.query
+    spark.createDataFrame([(7 if i % 3 == 0 else (i * 1000) ** 3, i) for i in range(1500)], "k long, i int").write.jdbc(url, "heavy", mode="overwrite", properties=DERBY)
+    monkeypatch.setattr(databases.Database, "query", lambda self, sql: asked.append(sql) or ask(self, sql))
+    parts = databases.Database(spark, url, "heavy", DERBY).parts("k", 8, within="i")
+    assert sum(n for _, n in parts) == 1500 and max(n for _, n in parts) <= 1.2 * 1500 / 8
+    assert len(asked) <= 16  # 22, when ranges were fewer for smaller cells
+
+
 def test_a_heavy_value_stays_whole_without_a_second_column(loaded):
     sizes = [n for _, n in loaded.parts("skew", 8)]
     assert sum(sizes) == 1500 and max(sizes) >= 500

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
+import math
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.functions import patterns
@@ -14,7 +15,7 @@ from sieveline.operators.ledger import Ledger
 from sieveline.plans import common as C
 from sieveline.sources import custom, drift, scans, sinks
 from sieveline.sources.databases import Database, packed_derby
-from sieveline.sources.ranges import listing, open_file
+from sieveline.sources.ranges import listing, on_workers, open_file
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -32,13 +33,26 @@ def query(sql: str | None = None):
 
 
 #: A key a third of whose values are equal and whose others lie far apart.
-SKEW, SKEW_SQL = "case when o_orderkey % 3 = 0 then 7 else o_orderkey * o_orderkey * o_orderkey end", "case when o_orderkey % 3 = 0 then 7 else o_orderkey ** 3 end"
-#: Such a key for any ``o_orderkey``: the same up to 2,097,151, above which no 64-bit number holds the cube.
+SKEW_SQL = "case when o_orderkey % 3 = 0 then 7 else o_orderkey ** 3 end"
+#: Such a key for any ``o_orderkey``: whole numbers, the cube up to 2,097,151, above which no 64-bit number holds it.
 BOUNDED_SKEW = "case when o_orderkey % 3 = 0 then 7 else pmod(o_orderkey, 2097152) * pmod(o_orderkey, 2097152) * pmod(o_orderkey, 2097152) end"
 PARTS = 8
 
 
-def _database(spark: SparkSession, d: str, skew: str = SKEW) -> Database:
+def _cube(key: int | None) -> int | None:
+    """The cube as SQL takes it, by the C library's ``pow``, which above 2**53 rounds unlike whole numbers and unlike the JVM's; None where 64 bits don't hold it."""
+    cube = math.nan if key is None else math.pow(key, 3)
+    return int(cube) if -(2**63) <= cube < 2**63 else None
+
+
+def _skew(spark: SparkSession) -> Column:
+    """``SKEW_SQL``, with a NULL for each cube that its cast to a bigint refuses."""
+    on_workers(spark)
+    key = F.col("o_orderkey")
+    return F.when(key % 3 == 0, F.lit(7)).otherwise(F.udf(_cube, "long", useArrow=True)(key))
+
+
+def _database(spark: SparkSession, d: str, skew: Column | None = None) -> Database:
     """``orders`` with a skewed key and a time of day, in a database that comes with Spark, packed for reading by any process.
 
     Spark writes the rows as delimited text in parallel. An embedded database has one process that writes: the driver's imports these
@@ -46,7 +60,7 @@ def _database(spark: SparkSession, d: str, skew: str = SKEW) -> Database:
     executor opens it read-only.
     """
     at = C.folder(spark, "database")
-    orders = C.table(spark, d, "orders").withColumns({"skew": F.expr(skew), "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz")})
+    orders = C.table(spark, d, "orders").withColumns({"skew": _skew(spark) if skew is None else skew, "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz")})
     text = lambda c, kind: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) if kind == "string" else c.cast("string")
     line = F.concat_ws(",", *[F.coalesce(text(F.col(c), kind), F.lit("")) for c, kind in orders.dtypes])
     orders.select(line.alias("value")).write.text(f"{at}/rows")
@@ -59,7 +73,7 @@ def _database(spark: SparkSession, d: str, skew: str = SKEW) -> Database:
 
 @query(f"select o_orderkey, o_custkey, o_orderstatus, cast(cast(o_totalprice as decimal(18,2)) as varchar) as o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate, o_orderpriority, cast({SKEW_SQL} as bigint) as skew from orders")
 def database_extract(spark: SparkSession, d: str) -> DataFrame:
-    """All rows of a database table, read in parallel parts of a skewed key."""
+    """All rows of a database table, read in parallel parts of a skewed key; it is NULL where no bigint holds it, which ends the SQL."""
     rows = _database(spark, d).read("skew", PARTS, within="o_orderkey")
     return rows.withColumns({"o_totalprice": F.col("o_totalprice").cast("decimal(18,2)").cast("string"), "o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")})
 
@@ -67,7 +81,7 @@ def database_extract(spark: SparkSession, d: str) -> DataFrame:
 @query(f"select {PARTS} as n_parts, count(*) as n_rows, true as all_near_mean from orders")
 def database_parts(spark: SparkSession, d: str) -> DataFrame:
     """Sizes of the parts as they are read: none may exceed the mean by a fifth."""
-    rows = _database(spark, d, BOUNDED_SKEW).read("skew", PARTS, within="o_orderkey")
+    rows = _database(spark, d, F.expr(BOUNDED_SKEW)).read("skew", PARTS, within="o_orderkey")
     sizes = rows.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
     return sizes.agg(F.count(F.lit(1)).cast("int").alias("n_parts"), F.sum("n").alias("n_rows"), (F.max("n") <= 1.2 * F.avg("n")).alias("all_near_mean"))
 

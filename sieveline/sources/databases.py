@@ -139,8 +139,8 @@ class Database:
     def cells(self, key: str, limit: int, prefix: str = "", within: str | None = None) -> list[Cell]:
         """Disjoint cells that cover all rows, in the key's order; each holds ``limit`` rows at most.
 
-        The database counts equal ranges of the key, and of a range that holds more its ranges in turn. A single value with more rows
-        is cut by the column ``within``, if there is one. Rows that come while parts are read fall into the outer cells.
+        The database counts equal ranges of the key, and of a range that holds more its ranges in turn. A single value with more rows,
+        or NULL, is cut by the column ``within``, if there is one. Rows that come while parts are read fall into the outer cells.
         """
         kinds = {c.name: c.jdbc for c in self.columns()}
         if kinds.get(key) not in INTEGERS:
@@ -170,7 +170,9 @@ class Database:
                 out += [*outer[0], *self.cells(within, limit, " and ".join(x for x in (prefix, f"{k} = {lo}") if x)), *outer[1]]
             else:
                 out.append(Cell(prefix, key, None if first else lo, None if last else hi, n))
-        if every > known or not out:
+        if every - known > limit and within:
+            out += self.cells(within, limit, " and ".join(x for x in (prefix, f"{k} is null") if x))
+        elif every > known or not out:
             out.append(Cell(prefix, key, None, None, every - known, null=True))
         return out
 

@@ -57,6 +57,15 @@ def test_cubes_are_those_of_the_sql(spark, data, tmp_path):
     assert sorted(fits) == sorted(duckdb.sql(f"{sql} where o_orderkey % 3 = 0 or o_orderkey between -2097152 and 2097151").fetchall()) and len(fits) < len(found) == 3001
 
 
+def test_heavy_nulls_are_cut_by_the_second_column(spark):
+    url = "jdbc:derby:memory:nulls;create=true"
+    spark.createDataFrame([(i if i < 100 else None, i) for i in range(1000)], "k long, i int").write.jdbc(url, "nulls", mode="overwrite", properties=DERBY)
+    db = databases.Database(spark, url, "nulls", DERBY)
+    parts = [n for _, n in db.parts("k", 8, within="i")]
+    assert len(parts) == 8 and sum(parts) == 1000 and max(parts) <= 1.2 * 1000 / 8
+    assert sorted(r["i"] for r in db.read("k", 8, within="i").collect()) == list(range(1000))
+
+
 def test_another_process_reads_the_database(loaded):
     """As executors do: a process that shares nothing but the folder."""
     code = "import sys\nfrom sieveline.session import local_session\nfrom sieveline.sources.databases import Database\nrows = Database(local_session(2, '1g'), sys.argv[1], 'loaded', {'driver': sys.argv[2]}).read('skew', 4, within='o_orderkey')\nprint('rows', rows.count(), rows.select('o_orderkey').distinct().count())"

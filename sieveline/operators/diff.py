@@ -21,6 +21,9 @@ from sieveline.operators.keys import common_columns
 #: From so many columns on, a row's canonical text makes one generated method of more bytes than the JVM compiles (8,000): it would be
 #: interpreted. Below this limit Spark cuts the work into methods that are compiled; the session keeps the setting.
 WIDE, JIT_LIMIT = 40, 8000
+#: Where a key's hash stands in a sieve: one of 2**19 rows, so that 25 MB are broadcast at most, and a bit in each of four words. Of other
+#: keys' rows one in 500 passes at five million keys, a third at fifty million.
+_PLACE, _BITS = f"_hash & {2**19 - 1}", [f"cast(shiftrightunsigned(_hash, {19 + 6 * i}) & 63 as int)" for i in range(4)]
 
 
 class Diff:
@@ -34,7 +37,8 @@ class Diff:
         self.columns = [c for c in common_columns(source, target) if c not in self.key]
         if len(self.columns) > WIDE:
             source.sparkSession.conf.set("spark.sql.codegen.hugeMethodLimit", JIT_LIMIT)
-        self.source, self.target = (self._canonical(x) for x in (source, target))
+        self.given = source, target
+        self.source, self.target = (self._canonical(x) for x in self.given)
         self.frame = self._keyed()
 
     def _canonical(self, df: DataFrame) -> DataFrame:
@@ -46,12 +50,11 @@ class Diff:
     def _keyed(self) -> DataFrame:
         """(k0.., ns, nf, changed): a row per key with each side's count, and whether two rows that pair differ."""
         cells = [f"c{i}" for i in range(len(self.columns))]
-        digests = {"h": F.xxhash64(F.lit(1), *cells), "g": F.xxhash64(F.lit(2), *reversed(cells), F.lit(3))}
-        none = F.lit(None).cast("long")
-        s = self.source.select(*self._keys(), F.lit(1).alias("ns"), F.lit(0).alias("nf"), *[e.alias(f"s{k}") for k, e in digests.items()], *[none.alias(f"f{k}") for k in digests])
-        f = self.target.select(*self._keys(), F.lit(0).alias("ns"), F.lit(1).alias("nf"), *[none.alias(f"s{k}") for k in digests], *[e.alias(f"f{k}") for k, e in digests.items()])
-        both = s.unionByName(f).where(self._whole()).groupBy(*self._keys()).agg(F.sum("ns").alias("ns"), F.sum("nf").alias("nf"), *[F.max(c).alias(c) for c in ("sh", "sg", "fh", "fg")])
-        return both.select(*self._keys(), "ns", "nf", F.expr("ns = 1 and nf = 1 and (sh <> fh or sg <> fg)").alias("changed"))
+        digests = [F.xxhash64(F.lit(1), *cells).alias("h"), F.xxhash64(F.lit(2), *reversed(cells), F.lit(3)).alias("g")]
+        sides = [side.select(*self._keys(), F.lit(ns).alias("ns"), F.lit(nf).alias("nf"), *digests) for side, ns, nf in ((self.source, 1, 0), (self.target, 0, 1))]
+        # Of two rows that pair, equal digests cancel out.
+        both = sides[0].unionByName(sides[1]).where(self._whole()).groupBy(*self._keys()).agg(F.sum("ns").alias("ns"), F.sum("nf").alias("nf"), F.bit_xor("h").alias("h"), F.bit_xor("g").alias("g"))
+        return both.select(*self._keys(), "ns", "nf", F.expr("ns = 1 and nf = 1 and (h <> 0 or g <> 0)").alias("changed"))
 
     def _whole(self) -> Column:
         """Whether no part of the key is NULL, in canonical text."""
@@ -88,10 +91,26 @@ class Diff:
     def _rows(self, side: DataFrame, condition: str) -> DataFrame:
         return side.join(self._at(condition), self._keys(), "left_semi").select(*self._key(), *self._named())
 
-    def _pairs(self, condition: str) -> DataFrame:
-        """The key, s_<column> and f_<column> of keys that occur once on both sides."""
-        s = self.source.join(self._at(condition), self._keys(), "left_semi").select(*self._keys(), *self._named("s_"))
-        f = self.target.select(*self._keys(), *self._named("f_"))
+    def _sieve(self, condition: str) -> DataFrame:
+        """For the hash of each key where the condition holds a row by some of its bits, where others set one bit in each word."""
+        keys = self._at(condition).select(F.xxhash64(*self._keys()).alias("_hash"))
+        return keys.groupBy(F.expr(_PLACE).alias("_place")).agg(*[F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias(f"_word{i}") for i, bit in enumerate(_BITS)])
+
+    def _sieved(self, given: DataFrame, sieve: DataFrame) -> DataFrame:
+        """Canonical rows of the sieve's keys and, by chance, of few others, found without a shuffle: what an exact join then has to shuffle."""
+        kinds = {f.name: f.dataType for f in given.schema.fields}
+        hashed = given.withColumn("_hash", F.xxhash64(*[canon.canonical(F.col(f"`{c}`"), kinds[c]) for c in self.key]))
+        hit = " and ".join([f"{_PLACE} = _place", *[f"getbit(_word{i}, {bit}) = 1" for i, bit in enumerate(_BITS)]])
+        return self._canonical(hashed.join(F.broadcast(sieve), F.expr(hit), "left_semi"))
+
+    def _pairs(self, condition: str, few: bool = False) -> DataFrame:
+        """The key, s_<column> and f_<column> of keys that occur once on both sides; where they may be ``few``, other rows aren't shuffled."""
+        sides = self.source, self.target
+        if few:
+            sieve = self._sieve(condition)
+            sides = [self._sieved(x, sieve) for x in self.given]
+        s = sides[0].join(self._at(condition), self._keys(), "left_semi").select(*self._keys(), *self._named("s_"))
+        f = sides[1].select(*self._keys(), *self._named("f_"))
         return s.join(f, self._keys()).select(*self._key(), *[f"`s_{c}`" for c in self.columns], *[f"`f_{c}`" for c in self.columns])
 
     @property
@@ -107,7 +126,7 @@ class Diff:
 
     def changed(self) -> DataFrame:
         """As :attr:`joined`, of the rows that differ."""
-        return self._pairs("changed")
+        return self._pairs("changed", few=True)
 
     @property
     def repeated(self) -> DataFrame:

@@ -127,6 +127,25 @@ def test_sides_are_hashed_not_sorted(spark):
     assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
 
 
+def test_changed_rows_are_found_without_a_shuffle_of_the_others(spark):
+    """30 of 20,000 rows differ, besides NULL and repeated keys; whole rows would be 20 MB."""
+    wide = spark.range(20000).select(F.when(F.col("id") != 5, F.col("id")).alias("id"), *[F.sha2(F.concat_ws("-", "id", F.lit(i)), 256).alias(f"w{i}") for i in range(8)])
+    target = wide.withColumn("w0", F.when(F.col("id").isNull() | (F.col("id") % 500 == 0), F.col("w7")).otherwise(F.col("w0")))
+    d = diff.Diff(wide.unionByName(wide.where("id between 1000 and 5999")), target, ["id"])
+    assert 30 <= d._sieved(d.given[1], d._sieve("changed")).count() <= 40
+    context = spark.sparkContext
+    context.setJobGroup("few", "")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as in tables that are too large for it
+    try:
+        found = d.column_shift().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert [tuple(r) for r in found] == [("w0", "w7", 30)]
+    stages = {s for j in context.statusTracker().getJobIdsForGroup("few") for s in context.statusTracker().getJobInfo(j).stageIds if context.statusTracker().getStageInfo(s)}
+    assert 0 < sum(context._jsc.sc().statusStore().lastStageAttempt(s).shuffleWriteBytes() for s in stages) < 4_000_000
+
+
 def test_wide_rows_keep_to_methods_that_the_jvm_compiles(spark):
     """One generated method for all columns of a wide row would be interpreted."""
     wide = spark.range(3).select("id", *[F.concat(F.lit(f"{i}-"), "id").alias(f"c{i}") for i in range(50)])
